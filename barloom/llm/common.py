@@ -83,7 +83,7 @@ def shingle_set(text: bytes | None, size: int, hashes: WordHashes) -> np.ndarray
     h = hashes.of(words)
     width = min(size, len(words))
     odd, n = _odd(size + 1), len(words) - width + 1
-    out = np.full(n, odd[size] * np.uint64(width), np.uint64)
+    out = np.full(n, odd[size]) * np.uint64(width)
     for i in range(width):
         out += h[i : i + n] * odd[i]
     return np.unique(mix(out))

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from barloom.llm.mixing import MIX_SQL, mix_sources
 from barloom.llm.near_dedup import near_duplicates
+from barloom.llm.packing import pack_documents
+from barloom.llm.quality import quality_scores
+from barloom.llm.substring_dedup import dedup_passages
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -15,8 +20,31 @@ def op3_superminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
+def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_passages(_read(spark, sf_dir, "documents")).selectExpr(
+        "doc_id", "text", "size(removed) AS n_removed", "removed", "kept_spans", "array_distinct(removed.first_id) AS first_ids"
+    )
+
+
+def op7_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_read(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2)
+
+
+def op9_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_scores(_read(spark, sf_dir, "documents").select("doc_id", "text"), _read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op10_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), room=2048)
+
+
 QUERIES = {
     "op3_superminhash_near_dedup": op3_superminhash_near_dedup,
+    "op6_passage_dedup": op6_passage_dedup,
+    "op7_systematic_mix": op7_systematic_mix,
+    "op9_quality_ftrl": op9_quality_ftrl,
+    "op10_bin_completion": op10_bin_completion,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_systematic_mix": MIX_SQL}

@@ -1,17 +1,68 @@
-"""The text pipeline: five stages over documents, each written and read again."""
+"""The text pipeline: quality, near duplicates, repeated passages, mixing and packing, each stage written and read again."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
 from barloom.llm.common import durable
+from barloom.llm.mixing import mixed_documents
+from barloom.llm.near_dedup import near_duplicates
+from barloom.llm.packing import pack_documents
+from barloom.llm.quality import quality_scores
+from barloom.llm.substring_dedup import dedup_passages
 
-STAGES: list = []
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts; it learns from the labels outside the held-out fold."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_scores(docs, labels).where("predicted = 1").select(docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that of the least id; of rows of one id the first by text.
+
+    Documents of null id belong to no group and stay.
+    """
+    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    alone = F.row_number().over(W.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).orderBy("text", "source", "lang"))
+    return left.withColumn("__place", alone).where("doc_id is null or __place = 1").drop("__place")
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that an earlier document holds; texts of which nothing is left go."""
+    cut = dedup_passages(docs)
+    whole = cut.where((F.size("removed") == 0) | (F.length(F.trim("text")) > 0))
+    return whole.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target takes it."""
+    return mixed_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in sequences of 2048 tokens."""
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("MinHash near-dedup", near_dedup),
+    ("substring dedup", substring_dedup),
+    ("mixing to target weights", mix),
+    ("best-fit packing", pack),
+]
+
+#: Trained weights, signatures and a search for fillings have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = durable(stage(spark, docs, sf_dir), name)
+        docs = durable(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
