@@ -66,7 +66,7 @@ def _sketcher(shingle: int, perms: int, rows: int):
             keys = np.zeros((len(sets), perms // rows), np.uint64) + band
             for i in range(rows):
                 keys = mix(keys + signs[:, i::rows][:, : perms // rows])
-            low = mix(signs).astype(np.uint8)
+            low = mix(signs[:, :: max(1, perms // 64)]).astype(np.uint8)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
@@ -144,6 +144,115 @@ def _confirmer(percent: int):
     return keep
 
 
+def _grouped(batches, process):
+    """Whole runs of equal first columns, which arrive sorted, whatever batches they arrive in."""
+    import pyarrow as pa
+
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if held is not None:
+            table = pa.concat_tables([held, table])
+        keys = table.column(0).to_numpy()
+        if not len(keys):
+            continue
+        last = int(np.searchsorted(keys, keys[-1]))
+        held = table.slice(last)
+        if last:
+            yield from process(table.slice(0, last), keys[:last])
+    if held is not None:
+        yield from process(held, held.column(0).to_numpy())
+
+
+def _edges(pairs):
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+
+def _plausible_forest(percent: int, least: float):
+    """For each bucket of (key, id, root, n, sign): links that join what sizes and signatures leave in question.
+
+    Only members of different components are held against each other. Not each pair comes out, but
+    enough of them to connect all that are in question: fewer than the bucket has members.
+    """
+
+    def forest(ids, roots, n, sign):
+        label = np.arange(len(ids))
+        for at in range(0, len(ids), 64):
+            part = slice(at, at + 64)
+            ok = (sign[part, None, :] == sign[None, :, :]).mean(axis=2) >= least
+            ok &= roots[part, None] != roots[None, :]
+            ok &= 100 * np.minimum(n[part, None], n[None, :]) >= percent * np.maximum(n[part, None], n[None, :])
+            for i in np.flatnonzero(ok.any(axis=1)):
+                met = np.unique(np.append(label[ok[i]], label[at + i]))
+                if len(met) > 1:
+                    label[np.isin(label, met)] = met[0]
+        return [(int(ids[x]), int(ids[i])) for i, x in enumerate(label) if x != i]
+
+    def process(table, keys):
+        ids, roots, n = (table.column(k).to_numpy() for k in (1, 2, 3))
+        sign = np.frombuffer(b"".join(table.column(4).to_pylist()), np.uint8).reshape(len(ids), -1)
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        sizes = np.diff(np.append(starts, len(keys)))
+        two = starts[sizes == 2]
+        ok = (sign[two] == sign[two + 1]).mean(axis=1) >= least if len(two) else np.zeros(0, bool)
+        ok &= (roots[two] != roots[two + 1]) & (100 * np.minimum(n[two], n[two + 1]) >= percent * np.maximum(n[two], n[two + 1]))
+        out = list(zip(ids[two[ok]].tolist(), ids[two[ok] + 1].tolist(), strict=True))
+        for start, size in zip(starts[sizes > 2], sizes[sizes > 2], strict=True):
+            part = slice(start, start + size)
+            out += forest(ids[part], roots[part], n[part], sign[part])
+        yield _edges(sorted(set(out)))
+
+    return lambda batches: _grouped(batches, process)
+
+
+def _block_links(percent: int):
+    """For each cell of (cell, member, id, root, hashes): links of its askers, which come first, to its members.
+
+    Whole sets are intersected through one sorted list of all that the askers hold. A link between
+    parts that links of this cell have already joined isn't returned.
+    """
+
+    def process(table, keys):
+        member, ids, roots = (table.column(k).to_pylist() for k in (1, 2, 3))
+        sets = [np.frombuffer(x, np.uint64) for x in table.column(4).to_pylist()]
+        starts = [*np.flatnonzero(np.append(True, keys[1:] != keys[:-1])).tolist(), len(keys)]
+        out = []
+        for a, b in zip(starts, starts[1:], strict=False):
+            asking = [i for i in range(a, b) if not member[i]]
+            if not asking:
+                continue
+            owner = np.repeat(np.arange(len(asking)), [len(sets[i]) for i in asking])
+            held = np.concatenate([sets[i] for i in asking])
+            order = np.argsort(held, kind="stable")
+            held, owner = held[order], owner[order]
+            n = np.array([len(sets[i]) for i in asking])
+            parent: dict[int, int] = {}
+
+            def root(x, parent=parent):
+                while parent.setdefault(x, x) != x:
+                    parent[x] = x = parent[parent[x]]
+                return x
+
+            for y in range(a, b):
+                if not member[y]:
+                    continue
+                lo, hi = np.searchsorted(held, sets[y], "left"), np.searchsorted(held, sets[y], "right")
+                found = hi > lo
+                lo, width = lo[found], (hi - lo)[found]
+                at = np.repeat(lo - np.append(0, np.cumsum(width)[:-1]), width) + np.arange(width.sum()) if len(lo) else np.zeros(0, np.int64)
+                both = np.bincount(owner[at], minlength=len(asking))
+                for u in np.flatnonzero(100 * both >= percent * (n + len(sets[y]) - both)):
+                    x, z = root(roots[asking[u]]), root(roots[y])
+                    if x != z:
+                        parent[max(x, z)] = min(x, z)
+                        out.append((ids[asking[u]], ids[y]))
+        yield _edges(out)
+
+    return lambda batches: _grouped(batches, process)
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -152,56 +261,50 @@ def near_duplicates(
     percent: int = 80,
     perms: int = 128,
     rows: int = 4,
-    small: int = 24,
-    levels: int = 3,
+    block: int = 4096,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row: the groups that links of similar texts form.
 
     Two documents are linked if the Jaccard similarity of their sets of `shingle`-word shingles is
     `percent` or more; component_id is the least id that links reach. Equal sets are one class
-    from the start. SuperMinHash signatures are cut into perms / rows bands; at similarity 0.8
-    the 32 bands of 4 miss a pair once in 2e7. Each class meets the least of each bucket that it
-    is in, the least of all first. Buckets that still hold several components then compare all
-    classes of different components, if they hold at most `small`; larger buckets are split by a
-    further band (a linked pair shares one with the same certainty) up to `levels` times, and what
-    is still large at the last level is compared in full. Every link is confirmed on whole sets.
+    from the start. SuperMinHash signatures are cut into perms / rows bands; at similarity 0.8 the
+    32 bands of 4 miss a pair once in 2e7. Each class first meets the least members of its buckets.
+    What then lies in one bucket but in different components is sieved by sizes and signatures
+    inside the bucket (0.3 below the threshold, six standard deviations) into groups in question;
+    in these all members outside of the group's largest component are held against all members,
+    in blocks. Every link is confirmed on whole sets; no step gives out all pairs of a group.
+    Buckets of over `block` members are first split by a further band (a linked pair shares one
+    with the same certainty); what is still larger is compared as pairs of blocks.
 
     Null text and text without words: n_shingles 0, linked with nothing. Null id: linked with
     nothing, component_id and kept null. A repeated id counts as one document of several texts:
     each of its rows is returned, all in one component. Other columns are not read.
     """
-    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.encode(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), "UTF-8").alias("text"))
+    source = docs.select(
+        F.col(f"`{id_col}`").cast("long").alias("id"), F.encode(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), "UTF-8").alias("text")
+    )
     sketched = durable(
         source.mapInArrow(_sketcher(shingle, perms, rows), "id long, n_shingles long, digest binary, bands array<long>, sign binary"),
         "sketches",
     )
     known = sketched.where("id is not null and n_shingles > 0")
-    classes = known.groupBy("digest").agg(
-        F.min(F.struct("id", "n_shingles", "bands", "sign")).alias("x")
-    ).select("digest", "x.*")
+    classes = known.groupBy("digest").agg(F.min(F.struct("id", "n_shingles", "bands", "sign")).alias("x")).select("digest", "x.*")
     classes = durable(classes, "classes")
     reps = classes.select("id", "n_shingles", "sign")
+    buckets = classes.select(F.explode("bands").alias("key"), "id")
+    members = durable(buckets.join(_shared(buckets), "key"), "members")
+    starred = members.where("id <> least_id").select(F.col("least_id").alias("a"), F.col("id").alias("b")).distinct()
 
     def plausible(pairs: DataFrame) -> DataFrame:
-        """What sizes and signatures leave of candidate pairs; 0.3 is over 8 standard deviations."""
         x = reps.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("sign").alias("sa"))
         y = reps.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sign").alias("sb"))
         sized = pairs.join(x, "a").join(y, "b").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
         return sized.select("a", "b", "sa", "sb").mapInArrow(_agreeing(percent / 100 - 0.3), "a long, b long")
 
-    # Whole sets only of classes that share a bucket with another one; texts move once.
-    buckets = classes.select(F.explode("bands").alias("key"), "id")
-    shared = _shared(buckets)
-    starred = durable(
-        buckets.join(shared, "key").where("id <> least_id").select(F.col("least_id").alias("a"), F.col("id").alias("b")).distinct(),
-        "starred",
-    )
     likely = durable(plausible(starred), "likely")
-
-    wanted = buckets.join(shared, "key").select("id").distinct()
-    sets = durable(
-        source.where("id is not null").join(wanted, "id").mapInArrow(_setter(shingle), "id long, hashes binary"), "sets"
-    )
+    # Whole sets only of classes that share a bucket with another one; texts move once.
+    wanted = members.select("id").distinct()
+    sets = durable(source.where("id is not null").join(wanted, "id").mapInArrow(_setter(shingle), "id long, hashes binary"), "sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         x = sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha"))
@@ -212,47 +315,57 @@ def near_duplicates(
     own = known.select("id", "digest").join(classes.select("digest", F.col("id").alias("rep")), "digest").select("id", "rep")
     many = own.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("hi")).where("a <> hi")
     given = own.join(many, "id").where("a <> rep").select("a", F.col("rep").alias("b"))
+
     links = durable(confirmed(likely.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")).unionByName(given), "links")
     roots = components(links)
+    ra = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
+    rb = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    apart = likely.join(ra, "a", "left").join(rb, "b", "left").where("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b")
+    links = links.unionByName(durable(confirmed(apart), "links"))
+    roots = components(links)
 
-    def apart(pairs: DataFrame) -> DataFrame:
-        """Pairs whose ends are not yet in one component."""
-        ra = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
-        rb = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-        joined = pairs.join(ra, "a", "left").join(rb, "b", "left")
-        return joined.where("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b")
-
-    def grown(found: DataFrame) -> None:
-        nonlocal links, roots
-        found = durable(found, "found")
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            roots = components(links)
-
-    grown(confirmed(apart(likely)))
-    tried = starred
-    for level in range(levels):
-        spread = buckets.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        mixed = spread.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-        mixed = spread.join(mixed.select("key", "size"), "key")
-        mixed = durable(mixed, "mixed")
-        close = mixed if level == levels - 1 else mixed.where(F.col("size") <= small)
-        x = close.select("key", F.col("id").alias("a"), F.col("root").alias("ra"))
-        y = close.select("key", F.col("id").alias("b"), F.col("root").alias("rb"))
-        pairs = x.join(y, "key").where("a < b and ra <> rb").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-        pairs = durable(plausible(pairs), "pairs")
-        grown(confirmed(apart(pairs)))
-        large = mixed.where(F.col("size") > small).select("key", "id")
-        if level == levels - 1 or large.isEmpty():
-            break
-        further = large.join(classes.select("id", "bands"), "id").select(
-            "id", "key", F.explode("bands").alias("other")
-        ).where("other <> key").select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "id").distinct()
-        buckets = durable(further, "split")
-        shared = _shared(buckets)
-        stars = buckets.join(shared, "key").where("id <> least_id").select(F.col("least_id").alias("a"), F.col("id").alias("b")).distinct()
-        stars = durable(plausible(apart(stars.join(tried, ["a", "b"], "left_anti"))), "likely")
-        grown(confirmed(stars))
+    def rooted(df: DataFrame) -> DataFrame:
+        return df.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+
+    def mixed(df: DataFrame) -> DataFrame:
+        """Members of the buckets that hold several components, with the buckets' sizes."""
+        found = df.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+        return durable(df.join(found.where("lo <> hi").select("key", "size"), "key"), "mixed")
+
+    spread = mixed(rooted(members.select("key", "id")))
+    cells = spread.where(F.col("size") <= block).select("key", "id", "root")
+    large = spread.where(F.col("size") > block)
+    if not large.isEmpty():
+        both = (F.least("key", "other"), F.greatest("key", "other"))
+        further = large.join(classes.select("id", "bands"), "id").select("id", "root", "key", F.explode("bands").alias("other"))
+        split = mixed(further.where("other <> key").select(F.xxhash64(*both).alias("key"), "id", "root").distinct())
+        parts = F.ceil(F.col("size") * 2 / block)
+        pairs = split.where(F.col("size") > block).withColumn("i", F.pmod(F.xxhash64("id"), parts))
+        pairs = pairs.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+        cells = cells.unionByName(split.where(F.col("size") <= block).select("key", "id", "root")).unionByName(
+            pairs.select(F.xxhash64("key", F.least("i", "j"), F.greatest("i", "j")).alias("key"), "id", "root")
+        )
+    asked = cells.join(reps, "id").select("key", "id", "root", "n_shingles", "sign").repartition("key").sortWithinPartitions("key")
+    forest = asked.mapInArrow(_plausible_forest(percent, percent / 100 - 0.3), "a long, b long").distinct()
+
+    # Groups in question: askers are all outside of a group's largest component.
+    groups = rooted(components(forest).select(F.col("node").alias("id"), F.col("root").alias("group")))
+    groups = durable(groups, "groups")
+    parts = groups.groupBy("group", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = parts.groupBy("group").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("total"))
+    main = main.select("group", F.col("main.root").alias("main"), F.ceil(F.col("total") / 1024).alias("spans"), F.ceil((F.col("total") - F.col("main.n")) / 512).alias("lots"))
+    placed = groups.join(main, "group").withColumn("hash", F.xxhash64("id"))
+    asking = placed.where("root <> main").select(
+        "group", "id", "root", F.pmod("hash", "lots").alias("lot"), F.explode(F.expr("sequence(0L, spans - 1)")).alias("span"), F.lit(False).alias("member")
+    )
+    asked = placed.select(
+        "group", "id", "root", F.explode(F.expr("sequence(0L, lots - 1)")).alias("lot"), F.pmod("hash", "spans").alias("span"), F.lit(True).alias("member")
+    )
+    cells = asking.unionByName(asked).select(F.xxhash64("group", "lot", "span").alias("cell"), "member", "id", "root")
+    held = cells.join(sets, "id").select("cell", "member", "id", "root", "hashes").repartition("cell").sortWithinPartitions("cell")
+    found = durable(held.mapInArrow(_block_links(percent), "a long, b long"), "links")
+    if not found.isEmpty():
+        roots = components(links.unionByName(found))
 
     placed = (
         sketched.select("id", "n_shingles", "digest")

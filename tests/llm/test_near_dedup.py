@@ -44,6 +44,13 @@ def corpus(seed=1):
                 words[rng.randrange(len(words))] = rng.choice(vocab)
             rows.append((n, " ".join(words), "x"))
             n += 1
+    core = [rng.choice(vocab) for _ in range(60)]
+    for _ in range(70):  # copies that are near the threshold of each other
+        words = list(core)
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(len(words))] = rng.choice(vocab)
+        rows.append((n, " ".join(words), "x"))
+        n += 1
     shared = [rng.choice(vocab) for _ in range(60)]
     for _ in range(60):  # a passage that many hold, below the threshold
         rows.append((n, " ".join([rng.choice(vocab) for _ in range(25)] + shared), "x"))
@@ -55,8 +62,8 @@ def corpus(seed=1):
 def test_groups_match_brute_force(spark):
     rows = corpus()
     df = spark.createDataFrame(rows, SCHEMA)
-    for small in (24, 3):
-        got = near_duplicates(df, shingle=4, small=small).where("doc_id is not null").collect()
+    for block in (4096, 4):
+        got = near_duplicates(df, shingle=4, block=block).where("doc_id is not null").collect()
         assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, 4)
         assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
