@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from barloom.plans import bars_plans  # noqa: F401
+from barloom.plans.base import ORACLE, QUERIES
 
 
 def flagship(spark, sf_dir: str):
