@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import unicodedata
 import zlib
 from bisect import bisect_right
 from pathlib import Path
@@ -17,11 +18,19 @@ from barloom.llm.common import durable
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-#: The vocabulary reads A-Z as a-z; only a special token's name tells them apart.
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _MARKS = frozenset(".,!?;:|")
 
 
+def _byte_chars() -> list[str]:
+    """The visible character that stands for each byte in the vocabulary's tokens: itself, or from 256 on in order."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(others)) for b in range(256)]
+
+
+_BYTE_CHARS = _byte_chars()
+
+
 class TokenBytes(dict):
     """chunk of text without spaces or line ends -> its ids as little-endian unsigned 32-bit numbers.
 
@@ -36,6 +45,7 @@ class TokenBytes(dict):
 
         super().__init__()
         self.tokenizer, self.limit, self.elder = Tokenizer.from_str(vocabulary), limit, {}
+        self.model = self.tokenizer.model
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self.elder.get(chunk)
@@ -44,7 +54,7 @@ class TokenBytes(dict):
             if word and chunk[-1] in _MARKS and word.isalpha() and max(word) < "\u0250":
                 ids = self[word] + self[chunk[-1]]
             else:
-                ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+                ids = np.array(self._encode(chunk), "<u4").tobytes()
         if len(chunk) <= 64:
             if len(self) >= self.limit:
                 self.elder = dict(self)
@@ -52,9 +62,17 @@ class TokenBytes(dict):
             self[chunk] = ids
         return ids
 
+    def _encode(self, chunk: str) -> list[int]:
+        """Lower-case Latin letters pass the vocabulary's own text rules unchanged, so they go to its model at once."""
+        if chunk.isalpha() and chunk == chunk.lower() and max(chunk) < "\u0250" and unicodedata.is_normalized("NFC", chunk):
+            word = chunk if chunk.isascii() else "".join(map(_BYTE_CHARS.__getitem__, chunk.encode()))
+            return [t.id for t in self.model.tokenize(word)]
+        return self.tokenizer.encode(chunk, add_special_tokens=False).ids
+
     def of(self, text: str) -> bytes:
+        # The vocabulary reads A-Z as a-z; only the name of a special token tells them apart.
         if "<|" not in text:
-            text = text.translate(_LOWER) if not text.isascii() else text.lower()
+            text = text.encode().lower().decode()
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
