@@ -79,7 +79,7 @@ def trades(curve: DataFrame, keys=KEY) -> DataFrame:
     return runs.select(
         *keys, "trade", F.col("e.side").alias("side"), F.col("e.entry_time").alias("entry_time"), F.col("e.entry_price").alias("entry_price"),
         F.when(still, F.col("l.time")).otherwise(F.col("l.__x.time")).alias("exit_time"), price.alias("exit_price"), "bars_held",
-        (F.pow(price / F.col("e.entry_price"), F.col("e.side")) - 1).alias("gross_return"), (after / F.col("e.equity_at_entry") - 1).alias("net_return"),
+        (F.pow(price / F.col("e.entry_price"), F.col("e.side")) - 1).alias("gross_return"), (after / F.nullif(F.col("e.equity_at_entry"), F.lit(0.0)) - 1).alias("net_return"),
         F.col("e.equity_at_entry").alias("equity_at_entry"), after.alias("equity_at_exit"), still.alias("open_at_end"),
     )
 

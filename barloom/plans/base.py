@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.sources.bars import synthetic_bars
 from barloom.sources.derived import EVENT_SQL, event_bars, trade_bars, trade_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +21,11 @@ FIXTURES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "daily": (lambda spark, sf: trade_bars(spark, sf, "p_brand", "1d"), trade_sql("p_brand", "1d")),
     "flags": (lambda spark, sf: trade_bars(spark, sf, "l_returnflag", "1w"), trade_sql("l_returnflag", "1w")),
 }
+FIXTURES["closes"] = (
+    lambda spark, sf: synthetic_bars(trade_bars(spark, sf, "p_type", "1w").select("symbol", "timeframe", "time", "close")),
+    trade_sql("p_type", "1w").replace("bars AS (", "bars0 AS (") + """,
+bars AS (SELECT symbol, timeframe, time, open, greatest(open, close) AS high, least(open, close) AS low, close, 1.0::DOUBLE AS volume, close AS turnover FROM bars0)""",
+)
 W = "WINDOW w AS (PARTITION BY symbol, timeframe ORDER BY time)"
 
 
