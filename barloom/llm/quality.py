@@ -54,7 +54,7 @@ class Ftrl:
         self.n[at] += g * g
 
 
-def train(docs: DataFrame, marks: DataFrame, most_rows: int = 20_000, epochs: int = EPOCHS, bits: int = BITS) -> np.ndarray:
+def train(docs: DataFrame, marks: DataFrame, most_rows: int = 8_000, epochs: int = EPOCHS, bits: int = BITS) -> np.ndarray:
     """Weights, bias last, learnt from docs (doc_id, text) under marks (doc_id, label).
 
     At most about most_rows marks are learnt from, drawn by a hash of the id: that bounds both
