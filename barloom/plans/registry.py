@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barloom.plans import bars_plans, books_plans, rules_plans, studies_plans  # noqa: F401
+from barloom.plans import bars_plans, books_plans, more_plans, rules_plans, studies_plans  # noqa: F401
 from barloom.plans.base import ORACLE, QUERIES
 
 
