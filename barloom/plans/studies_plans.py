@@ -34,7 +34,7 @@ def rows_of(b):
 
 
 AL = ALIGNED.replace("AGED", str(5 * WEEK))
-on_bars("rp1_aligned", "brands", lambda b: rounded(rows_of(b)), f"{AL} SELECT symbol, idx, time, round(price, 6) AS price, round(turnover, 6) AS turnover, first_idx FROM aligned")
+on_bars("rp1_aligned", "brands", lambda b: rounded(rows_of(b), "turnover"), f"{AL} SELECT symbol, idx, time, price, round(turnover, 6) AS turnover, first_idx FROM aligned")
 UNI = f"""{AL}, tr AS (SELECT *, sum(turnover) OVER (PARTITION BY symbol ORDER BY idx ROWS {LOOK - 1} PRECEDING) AS traded FROM aligned),
 uni AS (SELECT symbol, idx, traded, place FROM (SELECT *, row_number() OVER (PARTITION BY idx ORDER BY traded DESC, symbol) AS place FROM tr WHERE idx >= 1 AND idx % {EVERY} = 0 AND price IS NOT NULL AND idx - first_idx >= {OLD}) WHERE place <= {TOP})"""
 
@@ -91,8 +91,8 @@ sw AS (SELECT coalesce(o.idx, n.idx) AS idx, sum(abs(coalesce(n.weight, 0) - coa
 bk AS (SELECT b.idx, b.fill, coalesce(growth, 1) AS growth, coalesce(turnover, 0) AS turnover, invested FROM (SELECT idx, max(fill) AS fill, arg_max(inv, fill) AS invested FROM (SELECT idx, fill, sum(weight * ratio / unit) AS inv FROM un GROUP BY ALL) GROUP BY idx) b
        LEFT JOIN gr ON b.idx = gr.idx LEFT JOIN sw ON b.idx = sw.idx),
 book AS (SELECT *, product(growth * greatest(1 - turnover * {RATE}, 0)) OVER (ORDER BY idx) AS equity FROM bk)"""
-on_bars("rp9_passive_book", "brands", lambda b: rounded(unit(b)), f"{UNI}, {UNIT} SELECT idx, fill, round(growth, 6) AS growth, round(turnover, 6) AS turnover, round(invested, 6) AS invested, round(equity, 6) AS equity FROM book")
-on_bars("rp8_book", "brands", lambda b: rounded(unit(b, "inverse")), f"{INVERSE}, {UNIT.replace('eq AS (SELECT u.symbol, u.idx, 1.0::DOUBLE / count(*) OVER (PARTITION BY u.idx) AS weight FROM uni u)', 'eq AS (SELECT * FROM wt)')} SELECT idx, fill, round(growth, 6) AS growth, round(turnover, 6) AS turnover, round(invested, 6) AS invested, round(equity, 6) AS equity FROM book")
+on_bars("rp9_passive_book", "brands", lambda b: rounded(unit(b).withColumn("equity", F.ln("equity"))), f"{UNI}, {UNIT} SELECT idx, fill, round(growth, 6) AS growth, round(turnover, 6) AS turnover, round(invested, 6) AS invested, round(ln(equity), 6) AS equity FROM book")
+on_bars("rp8_book", "brands", lambda b: rounded(unit(b, "inverse").withColumn("equity", F.ln("equity"))), f"{INVERSE}, {UNIT.replace('eq AS (SELECT u.symbol, u.idx, 1.0::DOUBLE / count(*) OVER (PARTITION BY u.idx) AS weight FROM uni u)', 'eq AS (SELECT * FROM wt)')} SELECT idx, fill, round(growth, 6) AS growth, round(turnover, 6) AS turnover, round(invested, 6) AS invested, round(ln(equity), 6) AS equity FROM book")
 on_bars("rp6_gated_book", "brands", lambda b: rounded(unit(b, "equal", True)))
 on_bars("rp7_budget_scaled", "brands", lambda b: rounded(R.budget_scaled(unit(b, "inverse").withColumn("book_id", F.lit(0)), 0.3, 12, PER_YEAR, RATE).select("idx", "scale", "scaled_equity")))
 on_bars("rp10_single_hold", "brands", lambda b: rounded(R.single_hold(rows_of(b), "Brand#23", RATE)), f"{AL} SELECT idx, round(coalesce(last_value(price IGNORE NULLS) OVER x / first_value(price IGNORE NULLS) OVER x * (1 - {RATE}), 1), 6) AS hold FROM aligned WHERE symbol = 'Brand#23' WINDOW x AS (ORDER BY idx)")
@@ -110,7 +110,7 @@ def renamed(sql, n):
 CANDS = ", ".join(renamed(f"{plain_sql(f'CASE WHEN close > {sma_sql(g['window'])} THEN 1.0 ELSE 0.0 END')}, {CURVE}", n) for n, g in enumerate(GRID)) + ", cand AS (" + " UNION ALL ".join(
     f"SELECT symbol, timeframe, {n} AS candidate, row_number() OVER (PARTITION BY symbol ORDER BY time) - 1 AS i, time, open, close, equity FROM curve_{n}" for n in range(len(GRID))
 ) + ")"
-SPLITS = f"splits AS (SELECT s AS split, s * {TEST} AS train_start, s * {TEST} + {TRAIN} AS train_end, s * {TEST} + {TRAIN + TEST} AS test_end FROM (SELECT unnest(range(20)) AS s) WHERE s * {TEST} + {TRAIN + TEST} <= 350)"
+SPLITS = f"splits AS (SELECT s AS split, s * {TEST} AS train_start, s * {TEST} + {TRAIN} AS train_end, s * {TEST} + {TRAIN + TEST} AS test_end FROM (SELECT unnest(range(20)) AS s) WHERE s * {TEST} + {TRAIN + TEST} <= 300)"
 SCORES = f"""tr AS (SELECT c.*, split, ln(equity / lag(equity) OVER (PARTITION BY symbol, split, candidate ORDER BY i)) AS l FROM cand c JOIN splits ON i >= train_start AND i < train_end),
 scores AS (SELECT symbol, timeframe, split, candidate, arg_max(equity, i) / arg_min(equity, i) AS total, count(*) AS n, CASE WHEN stddev_pop(l) > 0 THEN avg(l) / stddev_pop(l) * sqrt({WEEKS!r}) ELSE 0 END AS sharpe FROM tr GROUP BY ALL)"""
 PICKS = "picks AS (SELECT symbol, timeframe, split, candidate, score FROM (SELECT *, round(sharpe, 12) AS score, row_number() OVER (PARTITION BY symbol, split ORDER BY round(sharpe, 12) DESC, candidate) AS p FROM scores) WHERE p = 1)"
@@ -118,11 +118,11 @@ PICKS = "picks AS (SELECT symbol, timeframe, split, candidate, score FROM (SELEC
 
 def searched(b):
     curves = H.candidates(b, "sma", GRID, RATE)
-    splits = H.split_bounds(b.sparkSession, 350, TRAIN, TEST)
+    splits = H.split_bounds(b.sparkSession, 300, TRAIN, TEST)
     return curves, splits, H.scores(curves, splits, WEEKS)
 
 
-on_tables("wf1_splits", lambda spark, sf: H.split_bounds(spark, 350, TRAIN, TEST), f"WITH {SPLITS} SELECT split, train_start, train_end, test_end FROM splits")
+on_tables("wf1_splits", lambda spark, sf: H.split_bounds(spark, 300, TRAIN, TEST), f"WITH {SPLITS} SELECT split, train_start, train_end, test_end FROM splits")
 on_bars("wf3_scores", "types", lambda b: rounded(searched(b)[2]), f"{CANDS}, {SPLITS}, {SCORES} SELECT symbol, timeframe, split, candidate, round(total - 1, 6) AS total_return, round(exp(ln(total) / (n / {WEEKS!r})) - 1, 6) AS cagr, round(sharpe, 6) AS sharpe FROM scores")
 on_bars("wf4_chosen", "types", lambda b: rounded(H.chosen(searched(b)[2])), f"{CANDS}, {SPLITS}, {SCORES}, {PICKS} SELECT symbol, timeframe, split, candidate, round(score, 6) AS score FROM picks")
 on_bars("wf7_stability", "types", lambda b: rounded(H.stability(H.chosen(searched(b)[2]))), f"{CANDS}, {SPLITS}, {SCORES}, {PICKS} SELECT symbol, timeframe, candidate, count(*) AS wins, round(count(*) / sum(count(*)) OVER (PARTITION BY symbol), 6) AS share FROM picks GROUP BY symbol, timeframe, candidate")
