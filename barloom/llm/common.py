@@ -44,7 +44,7 @@ def n_words(text: Column) -> Column:
 class WordHashes(dict):
     """word -> 64-bit hash, remembered for up to `limit` words at a time."""
 
-    def __init__(self, limit: int = 1 << 20):
+    def __init__(self, limit: int = 1 << 18):
         super().__init__()
         self.limit = limit
 

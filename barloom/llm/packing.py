@@ -40,7 +40,7 @@ class TokenBytes(dict):
     of the memory, in place of the one before; chunks of over 64 characters are never kept.
     """
 
-    def __init__(self, vocabulary: str, limit: int = 500_000):
+    def __init__(self, vocabulary: str, limit: int = 300_000):
         from tokenizers import Tokenizer
 
         super().__init__()
