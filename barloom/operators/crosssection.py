@@ -25,9 +25,14 @@ def panel(bars: DataFrame, dates: DataFrame, lookback: int, max_age: int, trend_
     order = in_order()
     rows = bars.withColumn("peak", F.max("close").over(order.rowsBetween(W.unboundedPreceding, 0)))
     rows = rows.withColumn("mean", I.sma(trend_bars) if trend_bars else F.lit(None).cast("double"))
-    now = asof(rows, dates, ["close", "peak", "mean"], max_age)
-    past = asof(bars, dates.select("k", (F.col("date") - lookback).alias("date")), ["close"], max_age).select("symbol", "k", F.col("close").alias("past"))
-    both = now.join(past, ["symbol", "k"]).withColumn("momentum", F.when(F.col("past") != 0, F.col("close") / F.when(F.col("past") != 0, F.col("past")) - 1))
+    # One pass for both moments: each date is asked for twice, now and `lookback` before.
+    moments = dates.select("k", "date", F.explode(F.array(F.lit(0), F.lit(1))).alias("ago"))
+    moments = moments.withColumn("date", F.col("date") - F.col("ago") * lookback)
+    seen = asof(rows, moments, ["close", "peak", "mean"], max_age, ("ago",))
+    now = F.col("ago") == 0
+    values = ("date", "close", "print_close", "peak", "mean")
+    both = seen.groupBy("symbol", "k").agg(*[F.max(F.when(now, F.col(v))).alias(v) for v in values], F.max(F.when(~now, F.col("close"))).alias("past"))
+    both = both.withColumn("momentum", F.when(F.col("past") != 0, F.col("close") / F.when(F.col("past") != 0, F.col("past")) - 1))
     out = both.select(
         "symbol", "k", "date", "close", "print_close", "momentum", (F.col("close") / F.col("peak") - 1).alias("below_peak"), (F.col("close") / F.col("mean") - 1).alias("trend")
     )
@@ -58,15 +63,29 @@ def ranked(readings: DataFrame, top: float, long_short: bool = False) -> DataFra
 
     top is a number of symbols, or below 1 a share of those that have a reading.
     """
-    rows = readings.where("momentum is not null and close is not null")
-    every = W.partitionBy("k")
+    return _sided(readings.where("momentum is not null and close is not null"), top, long_short).where("side is not null")
+
+
+def weighted_readings(readings: DataFrame, top: float, long_short: bool = False, ok: Column | None = None) -> DataFrame:
+    """All readings with `side` and `weight`, those of ranked() and weights() among the ones that are `ok`, null and 0 elsewhere."""
+    fit = F.col("momentum").isNotNull() & F.col("close").isNotNull()
+    fit = fit if ok is None else fit & ok
+    rows = _sided(readings.withColumn("__fit", fit), top, long_short, "__fit")
+    rows = rows.withColumn("side", F.when(F.col("__fit"), F.col("side"))).drop("__fit")
+    half = F.when(F.min("side").over(W.partitionBy("k")) < 0, 0.5).otherwise(1.0)
+    weight = F.col("side") * half / F.count("side").over(W.partitionBy("k", "side"))
+    return rows.withColumn("weight", F.when(F.col("side").isNotNull(), weight).otherwise(F.lit(0.0)))
+
+
+def _sided(rows: DataFrame, top: float, long_short: bool, fit: str | None = None) -> DataFrame:
+    every = W.partitionBy(*(["k", fit] if fit else ["k"]))
     n = F.greatest(F.lit(1), F.bround(F.count(F.lit(1)).over(every) * top).cast("int")) if top < 1 else F.lit(int(top))
     best = F.row_number().over(every.orderBy(F.col("momentum").desc(), "symbol"))
     worst = F.row_number().over(every.orderBy("momentum", "symbol"))
     rows = rows.withColumn("__n", n).withColumn("__best", best).withColumn("__worst", worst)
     side = F.when(F.col("__best") <= F.col("__n"), 1)
     side = side.when(F.col("__worst") <= F.col("__n"), -1) if long_short else side
-    return rows.withColumn("side", side).where("side is not null").drop("__n", "__best", "__worst")
+    return rows.withColumn("side", side).drop("__n", "__best", "__worst")
 
 
 def signed(readings: DataFrame, threshold: float = 0.0, long_short: bool = False) -> DataFrame:
@@ -82,19 +101,24 @@ def weights(chosen: DataFrame) -> DataFrame:
     return chosen.withColumn("weight", F.col("side") * half / F.count(F.lit(1)).over(each))
 
 
-def book(readings: DataFrame, held: DataFrame, rate: float = 0.001) -> DataFrame:
+def book(readings: DataFrame, held: DataFrame | None = None, rate: float = 0.001) -> DataFrame:
     """(k, date, holdings, turnover, growth, delisted, equity): equity before each date's trades, by period.
 
+    Without `held`, readings have `weight` themselves, as weighted_readings() gives it: nothing is joined then.
+
     A holding earns from its close to the next date's, or to its last print where it has none there. Turnover is
     against what the weights before have drifted to; its cost is paid before the period earns.
     """
     along = W.partitionBy("symbol").orderBy("k")
-    ahead = readings.select("symbol", "k", "date", "close", F.lead("close").over(along).alias("next_close"), F.lead("print_close").over(along).alias("next_print"))
-    rows = ahead.join(held.select("symbol", "k", "weight"), ["symbol", "k"], "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
+    ahead = readings.select(
+        "symbol", "k", "date", "close", F.lead("close").over(along).alias("next_close"), F.lead("print_close").over(along).alias("next_print"), *(["weight"] if held is None else [])
+    )
+    rows = ahead if held is None else ahead.join(held.select("symbol", "k", "weight"), ["symbol", "k"], "left")
+    rows = rows.withColumn("weight", F.coalesce("weight", F.lit(0.0)))
     ratio = F.when(F.col("weight") != 0, F.coalesce(F.coalesce("next_close", "next_print") / F.col("close"), F.lit(1.0))).otherwise(F.lit(1.0))
     rows = rows.withColumn("ratio", ratio)
-    growth = rows.groupBy("k").agg((1 + F.sum(F.col("weight") * (F.col("ratio") - 1))).alias("growth"))
-    rows = rows.join(growth, "k").withColumn("drifted", F.lag(F.col("weight") * F.col("ratio") / F.col("growth")).over(along))
+    growth = 1 + F.sum(F.col("weight") * (F.col("ratio") - 1)).over(W.partitionBy("k"))
+    rows = rows.withColumn("growth", growth).withColumn("drifted", F.lag(F.col("weight") * F.col("ratio") / F.col("growth")).over(along))
     turn = F.abs(F.col("weight") - F.coalesce("drifted", F.lit(0.0)))
     per = rows.groupBy("k").agg(
         F.max("date").alias("date"), F.sum((F.col("weight") != 0).cast("long")).alias("holdings"), F.sum(turn).alias("turnover"), F.max("growth").alias("growth"),

@@ -9,22 +9,22 @@ from pyspark.sql import functions as F
 from barloom.sources.bars import KEY
 
 
-def asof(bars: DataFrame, dates: DataFrame, values: list[str], max_age: int | None = None) -> DataFrame:
-    """For each series and each row (k, date): the last bar at or before the date.
+def asof(bars: DataFrame, dates: DataFrame, values: list[str], max_age: int | None = None, tags: tuple[str, ...] = ()) -> DataFrame:
+    """For each series and each row (k, date) and its tags: the last bar at or before the date.
 
     Gives k, date, print_time, the values as print_<name>, and under their own names those not older than max_age.
     Bars and moments go through one window by series: nothing is paired that isn't asked for. dates are few.
     """
-    probes = bars.select(*KEY).distinct().crossJoin(F.broadcast(dates.select("k", "date")))
+    probes = bars.select(*KEY).distinct().crossJoin(F.broadcast(dates.select("k", "date", *tags)))
     seen = F.struct(F.col("time").alias("print_time"), *[F.col(v) for v in values])
     rows = bars.select(*KEY, "time", F.lit(0).alias("probe"), F.lit(None).cast("long").alias("k"), seen.alias("seen")).unionByName(
-        probes.select(*KEY, F.col("date").alias("time"), F.lit(1).alias("probe"), F.col("k").cast("long").alias("k")), allowMissingColumns=True
+        probes.select(*KEY, F.col("date").alias("time"), F.lit(1).alias("probe"), F.col("k").cast("long").alias("k"), *tags), allowMissingColumns=True
     )
     upto = W.partitionBy(*KEY).orderBy("time", "probe").rowsBetween(W.unboundedPreceding, 0)
     rows = rows.withColumn("seen", F.last("seen", ignorenulls=True).over(upto)).where("probe = 1")
     fresh = F.lit(True) if max_age is None else F.col("time") - F.col("seen.print_time") <= max_age
     return rows.select(
-        *KEY, "k", F.col("time").alias("date"), F.col("seen.print_time").alias("print_time"), *[F.col(f"seen.{v}").alias(f"print_{v}") for v in values],
+        *KEY, "k", *tags, F.col("time").alias("date"), F.col("seen.print_time").alias("print_time"), *[F.col(f"seen.{v}").alias(f"print_{v}") for v in values],
         *[F.when(fresh, F.col(f"seen.{v}")).alias(v) for v in values],
     )
 

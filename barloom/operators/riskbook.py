@@ -88,24 +88,28 @@ def unit_book(held: DataFrame, rate: float = 0.001) -> DataFrame:
     """
     along = W.partitionBy("symbol", "fill").orderBy("idx")
     rows = held.withColumn("ratio", F.coalesce(F.col("price") / F.first("price").over(along), F.lit(1.0)))
-    unit = rows.groupBy("fill", "idx").agg((1 + F.sum(F.col("weight") * (F.col("ratio") - 1))).alias("unit"))
-    rows = rows.join(unit, ["fill", "idx"]).withColumn("share", F.col("weight") * F.col("ratio") / F.col("unit"))
+    rows = rows.withColumn("unit", 1 + F.sum(F.col("weight") * (F.col("ratio") - 1)).over(W.partitionBy("fill", "idx"))).withColumn("share", F.col("weight") * F.col("ratio") / F.col("unit"))
     rows = rows.withColumn("sale", F.col("sold") & ~F.coalesce(F.lag("sold").over(along), F.lit(False)))
-    per = unit.withColumn("growth", F.col("unit") / F.lag("unit").over(W.partitionBy("fill").orderBy("idx")))
-    earned = per.where("idx > fill").select("idx", "growth")
-    # Trades: sales between fills, and at each fill the union of old and new names.
-    sales = rows.where("sale").select("idx", F.col("share").alias("moved"))
-    last = rows.where(F.col("idx") > F.col("fill")).select("symbol", "idx", F.when(F.col("sold"), F.lit(0.0)).otherwise(F.col("share")).alias("old"))
-    fills = held.select(F.col("fill").alias("idx")).distinct()
-    old = last.join(fills, "idx", "left_semi")
-    new = rows.where("idx = fill").select("symbol", "idx", F.col("weight").alias("new"))
-    swaps = old.join(new, ["symbol", "idx"], "full_outer").select("idx", F.abs(F.coalesce("new", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))).alias("moved"))
-    turn = sales.join(fills, "idx", "left_anti").unionByName(swaps).groupBy("idx").agg(F.sum("moved").alias("turnover"))
-    current = rows.groupBy("idx", "fill").agg(F.sum(F.when(F.col("sold"), F.lit(0.0)).otherwise(F.col("share"))).alias("invested"))
-    current = current.groupBy("idx").agg(F.max_by("invested", "fill").alias("invested"), F.max("fill").alias("fill"))
-    book = current.join(earned, "idx", "left").join(turn, "idx", "left").withColumn("growth", F.coalesce("growth", F.lit(1.0))).withColumn("turnover", F.coalesce("turnover", F.lit(0.0)))
+    # Each name's row of a bar moves: at its sale; on the bar of a fill, between what the old book drifted to and the new weight.
+    filled = F.max(F.col("idx") == F.col("fill")).over(W.partitionBy("idx"))
+    rows = rows.withColumn("ends", filled & (F.col("idx") > F.col("fill")))
+    old = F.when(F.col("ends") & ~F.col("sold"), F.col("share")).otherwise(F.lit(0.0))
+    new = F.when(F.col("idx") == F.col("fill"), F.col("weight")).otherwise(F.lit(0.0))
+    moved = rows.groupBy("idx", "symbol").agg(
+        F.abs(F.sum(new) - F.sum(old)).alias("swap"), F.sum(F.when(F.col("sale") & ~F.col("ends"), F.col("share")).otherwise(F.lit(0.0))).alias("sold"),
+        F.max(F.struct("fill", F.when(F.col("sold"), F.lit(0.0)).otherwise(F.col("share")).alias("share"))).alias("now"),
+        F.max(F.when(F.col("idx") > F.col("fill"), F.struct("fill", "unit"))).alias("held"),
+    )
+    fill = F.max("now.fill").over(W.partitionBy("idx"))
+    per = moved.withColumn("fill", fill).groupBy("idx", "fill").agg(
+        F.sum(F.col("swap") + F.col("sold")).alias("turnover"), F.sum(F.when(F.col("now.fill") == F.col("fill"), F.col("now.share"))).alias("invested"), F.max("held").alias("held")
+    )
+    before = W.orderBy("idx")
+    last = F.lag("held").over(before)
+    growth = F.when(F.col("held").isNull(), F.lit(1.0)).otherwise(F.col("held.unit") / F.when(last["fill"] == F.col("held.fill"), last["unit"]).otherwise(F.lit(1.0)))
+    book = per.withColumn("growth", growth).select("idx", "fill", "growth", "turnover", "invested")
     factor = F.col("growth") * F.greatest(1 - F.col("turnover") * rate, F.lit(0.0))
-    return book.withColumn("__f", factor).withColumn("equity", F.product("__f").over(W.orderBy("idx").rowsBetween(W.unboundedPreceding, 0))).drop("__f")
+    return book.withColumn("__f", factor).withColumn("equity", F.product("__f").over(before.rowsBetween(W.unboundedPreceding, 0))).drop("__f")
 
 
 def budget_scaled(book: DataFrame, budget: float, vol_window: int, per_year: float, rate: float = 0.001) -> DataFrame:

@@ -110,14 +110,13 @@ book AS (SELECT k, date, holdings, turnover, growth, delisted, CASE WHEN coalesc
 SHOW = "round(turnover, 6) AS turnover, round(growth, 6) AS growth, delisted, round(equity, 6) AS equity"
 for _name, _top, _ls in (("xs10_book_rank", TOP, False), ("xs10_book_rank_ls", TOP, True)):
     on_bars(
-        _name, "brands", lambda b, top=_top, ls=_ls: rounded(X.book(read(b), X.weights(X.ranked(read(b), top, ls)), RATE)),
+        _name, "brands", lambda b, top=_top, ls=_ls: rounded(X.book(X.weighted_readings(read(b), top, ls), rate=RATE)),
         f"{PANEL}, {picks(_top, _ls)}, {BOOK} SELECT k, date, holdings, {SHOW} FROM book",
     )
 
 
 def gated_book(b):
-    rows = gated(b)
-    return X.book(rows, X.weights(X.ranked(rows.where("ok"), TOP)), RATE)
+    return X.book(X.weighted_readings(gated(b), TOP, ok=F.col("ok")), rate=RATE)
 
 
 on_bars(
@@ -125,7 +124,7 @@ on_bars(
     f"{GATED}, {picks(TOP, False, 'ok AND momentum IS NOT NULL AND close IS NOT NULL', 'gated')}, {BOOK.replace('growth AS growth, ', '')} SELECT k, date, holdings, {SHOW} FROM book",
 )
 on_bars(
-    "xs8_vol_scale", "brands", lambda b: rounded(X.vol_scale(X.book(read(b), X.weights(X.ranked(read(b), TOP)), RATE), 12, 13.0, 0.4, 0.1, 1.0).select("k", "scale")),
+    "xs8_vol_scale", "brands", lambda b: rounded(X.vol_scale(X.book(X.weighted_readings(read(b), TOP), rate=RATE), 12, 13.0, 0.4, 0.1, 1.0).select("k", "scale")),
     f"""{PANEL}, {picks(TOP, False)}, {BOOK}, sc AS (SELECT k, count(*) OVER v AS n, stddev_pop(growth - 1) OVER v * sqrt(13.0) AS s FROM book WINDOW v AS (ORDER BY k ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING))
     SELECT k, round(CASE WHEN n < 5 THEN 1.0 WHEN s <= 0 THEN 1.0 ELSE greatest(0.1, least(1.0, 0.4 / s)) END, 6) AS scale FROM sc""",
 )
@@ -160,10 +159,10 @@ on_bars(
     SELECT k, exposure FROM y WHERE was IS NULL OR was <> exposure""",
 )
 on_bars(
-    "xs14_delisted", "daily", lambda b: (lambda p: X.book(p, X.weights(X.ranked(p, TOP)), RATE).agg(F.sum("delisted").alias("delisted"), F.sum("holdings").alias("holdings")))(X.panel(b, X.rebalance_dates(b, CALENDAR, 30), 40 * 86_400, 86_400)),
+    "xs14_delisted", "daily", lambda b: (lambda p: X.book(X.weighted_readings(p, TOP), rate=RATE).agg(F.sum("delisted").alias("delisted"), F.sum("holdings").alias("holdings")))(X.panel(b, X.rebalance_dates(b, CALENDAR, 30), 40 * 86_400, 86_400)),
 )
 on_bars(
-    "xs15_placebo", "brands", lambda b: rounded(X.book(read(b), X.weights(X.ranked(X.permuted(read(b), ["momentum"], 7), TOP)), RATE)),
+    "xs15_placebo", "brands", lambda b: rounded(X.book(X.weighted_readings(X.permuted(read(b), ["momentum"], 7), TOP), rate=RATE)),
     f"""{PANEL.replace("panel AS (SELECT", "panel0 AS (SELECT")}, nm AS (SELECT DISTINCT symbol FROM panel0), a AS (SELECT symbol, row_number() OVER (ORDER BY symbol) AS n FROM nm), b AS (SELECT symbol AS lender, row_number() OVER (ORDER BY md5('7:' || symbol), symbol) AS n FROM nm),
     lent AS (SELECT p.symbol, p.k, p.date, p.close, p.print_close, q.momentum FROM panel0 p JOIN a ON p.symbol = a.symbol JOIN b ON a.n = b.n LEFT JOIN panel0 q ON q.symbol = b.lender AND q.k = p.k),
     {picks(TOP, False, source="lent")}, panel AS (SELECT * FROM panel0), {BOOK} SELECT k, date, holdings, {SHOW} FROM book""",
