@@ -7,29 +7,62 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A unit ends with its line, or with a sentence inside of it.
-UNIT_END = re.compile(r"\n|[.!?。！？…]+[\"'”’)\]]*(?=\s)")
+#: Where a line ends, and where a sentence ends inside of it.
 LINE_END = re.compile(r"\n")
+SENTENCE_END = re.compile(r"[.!?。！？…]+[\"'”’)\]]*(?=\s)")
 
 
-def units(text: str, ends: re.Pattern = UNIT_END) -> list[tuple[int, int]]:
-    """(start, end) of each unit, in code points; together they are the text."""
-    cuts = [0, *(m.end() for m in ends.finditer(text)), len(text)]
+def _parts(text: str, start: int, end: int, ends: re.Pattern) -> list[tuple[int, int]]:
+    cuts = [start, *(m.end() for m in ends.finditer(text, start, end)), end]
     return [(a, b) for a, b in zip(cuts, cuts[1:], strict=False) if a < b]
 
 
+def lines(text: str) -> list[tuple[int, int]]:
+    """(start, end) of each line with its end, in code points."""
+    return _parts(text, 0, len(text), LINE_END)
+
+
+def sentences(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """(start, end) of each sentence of a line; together they are the line."""
+    return _parts(text, start, end, SENTENCE_END)
+
+
 def normal(unit: str) -> list[str]:
     """A unit's words in lower case; white space at either side or between words makes no difference."""
     return unit.lower().split()
 
 
+def units(text: str, least_words: int = 8, by_sentence: bool = True) -> list[tuple[int, int, list[str]]]:
+    """(start, end, words to hash) of what may be a repeat: lines, and the sentences of lines that have several.
+
+    A line counts from least_words words on. A shorter sentence is hashed after the words before it, as many as
+    make least_words, so that it repeats only where its surroundings do; one without so many before it can't.
+    """
+    out, before = [], []
+    for start, end in lines(text):
+        words = normal(text[start:end])
+        if len(words) >= least_words:
+            out.append((start, end, words))
+        parts = sentences(text, start, end) if by_sentence else []
+        if len(parts) < 2 and (len(words) >= least_words or not by_sentence):
+            before = [*before, *words][-least_words:]
+            continue
+        for a, b in parts or [(start, end)]:
+            own = normal(text[a:b])
+            hashed = own if len(own) >= least_words else [*before, *own][-least_words:]
+            if own and len(hashed) >= least_words:
+                out.append((a, b, hashed))
+            before = [*before, *own][-least_words:]
+    return out
+
+
 def digest_of(words: list[str]) -> bytes:
     import xxhash
 
     return xxhash.xxh3_128_digest(" ".join(words).encode())
 
 
-def _unit_rows(ends: re.Pattern, least_words: int):
+def _unit_rows(least_words: int, by_sentence: bool):
     def rows(batches):
         import pyarrow as pa
 
@@ -41,10 +74,7 @@ def _unit_rows(ends: re.Pattern, least_words: int):
             out: list[list] = [[], [], [], [], []]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 seen = set()
-                for start, end in units(text or "", ends):
-                    words = normal(text[start:end])
-                    if len(words) < least_words:
-                        continue
+                for start, end, words in units(text or "", least_words, by_sentence):
                     digest = digest_of(words)
                     for column, value in zip(out, (doc, start, end, digest, digest in seen), strict=True):
                         column.append(value)
@@ -57,7 +87,7 @@ def _unit_rows(ends: re.Pattern, least_words: int):
     return rows
 
 
-def repeated_units(docs: DataFrame, least_words: int = 5, ends: re.Pattern = UNIT_END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_units(docs: DataFrame, least_words: int = 8, by_sentence: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, start, end, first_id, digest): each unit that is not the earliest of its kind, with original offsets.
 
     The earliest has the least id, then the least offset. Digests are 128 bits. The least id of each digest is
@@ -66,17 +96,18 @@ def repeated_units(docs: DataFrame, least_words: int = 5, ends: re.Pattern = UNI
     repeats of each other; rows that repeat an id are one document and not repeats of each other.
     """
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    found = source.mapInArrow(_unit_rows(ends, least_words), "id long, start int, end int, digest binary, again boolean")
+    found = source.mapInArrow(_unit_rows(least_words, by_sentence), "id long, start int, end int, digest binary, again boolean")
     firsts = found.where("not again").groupBy("digest").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n"))
     firsts = firsts.where("n > 1 and first_id is not null").select("digest", "first_id")
     seen = found.join(firsts, "digest", "left").where("again or id <> first_id")
     return seen.select("id", "start", "end", F.coalesce("first_id", "id").alias("first_id"), "digest")
 
 
-def _cutter(columns: int, at: int):
+def _cutter(columns: int, at: int, least_words: int, by_sentence: bool):
     """Replaces column `at` by what its spans leave; the spans are the last column.
 
-    A span counts if the text holds there what was hashed: a repeated id may have several texts.
+    A span counts if the text holds there what was hashed: a repeated id may have several texts. Sentences of a
+    line that goes as a whole aren't listed.
     """
 
     def cut(batches):
@@ -86,16 +117,19 @@ def _cutter(columns: int, at: int):
         for batch in batches:
             texts, removed, kept = [], [], []
             for text, gone in zip(batch.column(at).to_pylist(), batch.column(columns).to_pylist(), strict=True):
-                gone = [g for g in gone or () if text and digest_of(normal(text[g["start"] : g["end"]])) == g.pop("digest")]
-                left, here = [], 0
-                for g in gone:
+                held = {(a, b): digest_of(words) for a, b, words in units(text, least_words, by_sentence)} if text and gone else {}
+                left, listed, here = [], [], 0
+                for g in sorted(gone or (), key=lambda g: (g["start"], -g["end"])):
+                    if held.get((g["start"], g["end"])) != g.pop("digest") or g["end"] <= here:
+                        continue
                     if g["start"] > here:
                         left.append((here, g["start"]))
                     here = g["end"]
+                    listed.append(g)
                 if here < len(text or ""):
                     left.append((here, len(text)))
-                texts.append("".join(text[a:b] for a, b in left) if gone else text)
-                removed.append(gone)
+                texts.append("".join(text[a:b] for a, b in left) if listed else text)
+                removed.append(listed)
                 kept.append([{"start": a, "end": b} for a, b in left])
             arrays = [pa.array(texts, pa.string()) if k == at else batch.column(k) for k in range(columns)]
             arrays += [pa.array(removed, pa.list_(pa.struct([*span, ("first_id", pa.int64())]))), pa.array(kept, pa.list_(pa.struct(span)))]
@@ -104,18 +138,17 @@ def _cutter(columns: int, at: int):
     return cut
 
 
-def dedup_passages(docs: DataFrame, least_words: int = 5, ends: re.Pattern = UNIT_END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_passages(docs: DataFrame, least_words: int = 8, by_sentence: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with repeated units cut out of the text, and two columns more.
 
     `removed` lists what was cut as (start, end, first_id), `kept_spans` what stays as (start,
-    end), both in code points of the original text. Units of under least_words words stay: short
-    lines recur in unrelated texts. Null text stays null and empty stays empty. A row of null id
+    end), both in code points of the original text. Units are lines and sentences, see units(). Null text stays null and empty stays empty. A row of null id
     is left whole, as no later row can be told from it; columns named like the two are replaced.
     """
     docs = docs.drop("removed", "kept_spans")
-    gone = repeated_units(docs.where(F.col(f"`{id_col}`").isNotNull()), least_words, ends, id_col, text_col)
+    gone = repeated_units(docs.where(F.col(f"`{id_col}`").isNotNull()), least_words, by_sentence, id_col, text_col)
     gone = gone.groupBy(F.col("id").alias("__id")).agg(F.sort_array(F.collect_set(F.struct("start", "end", "first_id", "digest"))).alias("__gone"))
     ready = docs.join(gone, F.col(f"`{id_col}`") == F.col("__id"), "left").drop("__id")
     spans = "array<struct<start:int,end:int,first_id:bigint>>"
     schema = docs.select("*", F.array().cast(spans).alias("removed"), F.array().cast("array<struct<start:int,end:int>>").alias("kept_spans")).schema
-    return ready.mapInArrow(_cutter(len(docs.columns), docs.columns.index(text_col)), schema)
+    return ready.mapInArrow(_cutter(len(docs.columns), docs.columns.index(text_col), least_words, by_sentence), schema)

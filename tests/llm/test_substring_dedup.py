@@ -1,55 +1,67 @@
 import random
 
-from barloom.llm.substring_dedup import LINE_END, dedup_passages, normal, units
+from barloom.llm.substring_dedup import dedup_passages, units
 
 SCHEMA = "doc_id long, text string, removed string"
 
 
-def brute(rows, ends, least=5):
-    seen, out = {}, {}
-    for doc, text, _ in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
-        kept, gone = [], []
-        for a, b in units(text or "", ends) if ends else units(text or ""):
-            words = normal(text[a:b])
+def brute(rows, by_sentence, least=8):
+    """Texts by id in order; a unit goes if its words were met before, by whatever text holds them first."""
+    first, out = {}, {}
+    ordered = sorted((r for r in rows if r[0] is not None), key=lambda r: r[0])
+    for doc, text, _ in ordered:
+        for _, _, words in units(text or "", least, by_sentence):
+            first.setdefault(" ".join(words), doc)
+    for doc, text, _ in ordered:
+        gone, seen, left = [], set(), [True] * len(text or "")
+        for a, b, words in units(text or "", least, by_sentence):
             key = " ".join(words)
-            if len(words) >= least and key in seen:
-                gone.append((a, b, seen[key]))
-            else:
-                kept.append(text[a:b])
-                if len(words) >= least:
-                    seen[key] = doc
-        out[doc] = (None if text is None else "".join(kept), gone)
+            if first[key] != doc or key in seen:
+                gone.append((a, b, first[key]))
+                left[a:b] = [False] * (b - a)
+            seen.add(key)
+        outer = [g for g in gone if not any(o[0] <= g[0] and g[1] <= o[1] and o[:2] != g[:2] for o in gone)]
+        out[doc] = (None if text is None else "".join(c for c, k in zip(text, left) if k), sorted(set(outer)))
     return out
 
 
 def corpus():
     rng = random.Random(2)
-    sentences = [" ".join(f"w{rng.randrange(500)}" for _ in range(rng.randint(2, 14))) + rng.choice([".", "!", "?"]) for _ in range(120)]
+    sentences = [" ".join(f"w{rng.randrange(500)}" for _ in range(rng.randint(2, 18))) + rng.choice([".", "!", "?"]) for _ in range(120)]
     rows = []
     for i in range(200):
-        parts = [rng.choice(sentences) if rng.random() < 0.5 else f"only {i} {k} is in this one." for k in range(rng.randint(0, 12))]
+        parts = [rng.choice(sentences) if rng.random() < 0.5 else f"only {i} {k} is in this one and not in others." for k in range(rng.randint(0, 12))]
         rows.append((i, "".join(p + rng.choice([" ", "\n", "  \n"]) for p in parts), "x"))
     rng.shuffle(rows)
-    return rows + [(500, None, None), (501, "", None), (502, "No end of line but a b c d", None), (503, "no END of\tline but a b c d", None), (504, "Ünï ". lower() * 40_000, None)]
+    return rows + [(500, None, None), (501, "", None), (502, "No end of line but a b c d e f", None), (503, "no END of\tline but a b c d e f", None), (504, "Ünï ". lower() * 40_000, None)]
 
 
 def test_matches_brute_force_by_sentence_and_by_line(spark):
     rows = corpus()
     df = spark.createDataFrame(rows, SCHEMA)
-    for ends in (None, LINE_END):
-        want = brute(rows, ends)
-        got = dedup_passages(df, **({"ends": ends} if ends else {})).collect()
+    for by_sentence in (True, False):
+        want = brute(rows, by_sentence)
+        got = dedup_passages(df, by_sentence=by_sentence).collect()
         assert len(got) == len(rows)
         for r in got:
             text, gone = want[r.doc_id]
             assert r.text == text, r.doc_id
-            assert [(g.start, g.end, g.first_id) for g in r.removed] == gone
+            assert sorted((g.start, g.end, g.first_id) for g in r.removed) == gone
         whole = {r[0]: r[1] or "" for r in rows}
         assert all("".join(whole[r.doc_id][s.start : s.end] for s in r.kept_spans) == (r.text or "") for r in got)
 
 
 def test_null_and_repeated_ids(spark):
-    rows = [(None, "one two three four five.", None), (3, "one two three four five.", None), (3, "one two three four five.", None), (3, "x. one two three four five. y", None), (4, "ONE two three four five. Rest stays.", None)]
+    line = "one two three four five six seven eight nine."
+    rows = [(None, line, None), (3, line, None), (3, line, None), (3, f"x y. {line} z", None), (4, f"{line.upper()} Rest stays.", None)]
     got = sorted((str(r.doc_id), r.text) for r in dedup_passages(spark.createDataFrame(rows, SCHEMA)).collect())
-    assert got == [("3", "one two three four five."), ("3", "one two three four five."), ("3", "x. one two three four five. y"), ("4", " Rest stays."), ("None", "one two three four five.")]
+    assert got == [("3", line), ("3", line), ("3", f"x y. {line} z"), ("4", " Rest stays."), ("None", line)]
     assert dedup_passages(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_a_passage_inside_of_lines_goes_with_its_short_sentences(spark):
+    passage = "Alpha beta gamma delta epsilon zeta eta theta iota. So it. Then kappa lambda mu nu xi omicron pi rho sigma tau. Oh no."
+    rows = [(1, f"A first text of its own says this {passage} And ends.", None), (2, f"Another one. Here {passage} It goes on in its own words.", None), (3, "So it. Oh no.", None)]
+    got = {r.doc_id: r.text for r in dedup_passages(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[1] == rows[0][1] and got[3] == rows[2][1]
+    assert "kappa" not in got[2] and "So it." not in got[2] and "Oh no." not in got[2] and got[2].endswith("It goes on in its own words.")
