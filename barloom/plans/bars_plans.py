@@ -71,7 +71,7 @@ on_bars(
 
 
 def _raw(spark, sf):
-    e = ticks(spark, sf).where("event_id % 7 <> 1")
+    e = ticks(spark, sf)
     cells = F.array(
         F.when(F.col("event_id") % 2 == 0, F.col("time") * 1000).otherwise(F.col("time")).cast("string"), F.col("price").cast("string"),
         F.when(F.col("event_id") % 11 == 0, F.lit("x")).otherwise(F.col("price").cast("string")), F.lit("3"), F.lit("1.5"), F.lit("10"),
@@ -82,7 +82,7 @@ def _raw(spark, sf):
 
 on_tables(
     "sc9_parse_raw", lambda spark, sf: _raw(spark, sf).groupBy("symbol", "ok").agg(F.count(F.lit(1)).alias("n"), F.max("time").alias("last_time"), F.max("high").alias("high"), F.min("turnover").alias("turnover")),
-    f"""WITH {EVENT_SQL}, x AS (SELECT *, event_id % 13 = 0 AS short, event_id % 11 = 0 AS bad FROM ticks WHERE event_id % 7 <> 1)
+    f"""WITH {EVENT_SQL}, x AS (SELECT *, event_id % 13 = 0 AS short, event_id % 11 = 0 AS bad FROM ticks)
     SELECT symbol, NOT (short OR bad) AS ok, count(*) AS n, max(time) AS last_time, max(3.0::DOUBLE) AS high, min(0.0::DOUBLE) AS turnover FROM x GROUP BY ALL""",
 )
 on_bars(

@@ -250,8 +250,8 @@ on_bars("sl4_last_trades", "types", lambda b: b.orderBy(F.col("time").desc(), "s
 
 def borrow(spark, sf):
     rows = table(spark, sf, "supplier").select(F.col("s_name").alias("currency"), (F.pmod("s_suppkey", F.lit(97)) / 100_000).alias("daily"))
-    return rounded(costs.ranked_rates(rows, 5.0).limit(25))
+    return rounded(costs.ranked_rates(rows, 5.0))
 
 
-on_tables("sl5_rates", borrow, "SELECT s_name AS currency, round((s_suppkey % 97) / 100000.0, 6) AS daily, round((s_suppkey % 97) / 100000.0 * 365 * 100, 6) AS annual FROM supplier WHERE (s_suppkey % 97) / 100000.0::DOUBLE * 365 * 100 >= 5 ORDER BY (s_suppkey % 97) / 100000.0::DOUBLE * 365 * 100 DESC, s_name LIMIT 25")
+on_tables("sl5_rates", borrow, "SELECT s_name AS currency, round((s_suppkey % 97) / 100000.0, 6) AS daily, round((s_suppkey % 97) / 100000.0 * 365 * 100, 6) AS annual FROM supplier WHERE (s_suppkey % 97) / 100000.0::DOUBLE * 365 * 100 >= 5")
 

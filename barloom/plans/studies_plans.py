@@ -184,8 +184,8 @@ on_tables(
 )
 on_tables(
     "rg8_run_table",
-    lambda spark, sf: rounded(G.run_table(run_rows(spark, sf).where("recorded_at < 200").withColumn("metrics", F.create_map(F.when(F.col("recorded_at") % 2 == 0, "strategy.total").otherwise("return.total"), "total")), checks(spark, sf).select(F.col("seq").cast("string").alias("run_id"), "status").where("seq % 5 <> 0"))).drop("sharpe"),
-    f"WITH {RUN_SQL} SELECT run_id, recorded_at, round(total, 6) AS total, CASE WHEN recorded_at % 5 = 0 THEN '-' WHEN recorded_at % 3 = 0 THEN 'verified' WHEN recorded_at % 3 = 1 THEN 'mismatch' ELSE 'data-changed' END AS status FROM r WHERE recorded_at < 200",
+    lambda spark, sf: rounded(G.run_table(run_rows(spark, sf).withColumn("metrics", F.create_map(F.when(F.col("recorded_at") % 2 == 0, "strategy.total").otherwise("return.total"), "total")), checks(spark, sf).select(F.col("seq").cast("string").alias("run_id"), "status").where("seq % 5 <> 0"))).drop("sharpe"),
+    f"WITH {RUN_SQL} SELECT run_id, recorded_at, round(total, 6) AS total, CASE WHEN recorded_at % 5 = 0 THEN '-' WHEN recorded_at % 3 = 0 THEN 'verified' WHEN recorded_at % 3 = 1 THEN 'mismatch' ELSE 'data-changed' END AS status FROM r",
 )
 
 
