@@ -7,52 +7,35 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Where a line ends, and where a sentence ends inside of it.
-LINE_END = re.compile(r"\n")
+#: Where a sentence ends inside of a line.
 SENTENCE_END = re.compile(r"[.!?。！？…]+[\"'”’)\]]*(?=\s)")
 
 
-def _parts(text: str, start: int, end: int, ends: re.Pattern) -> list[tuple[int, int]]:
-    cuts = [start, *(m.end() for m in ends.finditer(text, start, end)), end]
-    return [(a, b) for a, b in zip(cuts, cuts[1:], strict=False) if a < b]
-
-
-def lines(text: str) -> list[tuple[int, int]]:
-    """(start, end) of each line with its end, in code points."""
-    return _parts(text, 0, len(text), LINE_END)
-
-
-def sentences(text: str, start: int, end: int) -> list[tuple[int, int]]:
-    """(start, end) of each sentence of a line; together they are the line."""
-    return _parts(text, start, end, SENTENCE_END)
-
-
-def normal(unit: str) -> list[str]:
-    """A unit's words in lower case; white space at either side or between words makes no difference."""
-    return unit.lower().split()
-
-
 def units(text: str, least_words: int = 8, by_sentence: bool = True) -> list[tuple[int, int, list[str]]]:
     """(start, end, words to hash) of what may be a repeat: lines, and the sentences of lines that have several.
 
-    A line counts from least_words words on. A shorter sentence is hashed after the words before it, as many as
+    Words are in lower case; white space at either side or between them makes no difference. A line counts from least_words words on. A shorter sentence is hashed after the words before it, as many as
     make least_words, so that it repeats only where its surroundings do; one without so many before it can't.
     """
-    out, before = [], []
-    for start, end in lines(text):
-        words = normal(text[start:end])
-        if len(words) >= least_words:
-            out.append((start, end, words))
-        parts = sentences(text, start, end) if by_sentence else []
-        if len(parts) < 2 and (len(words) >= least_words or not by_sentence):
-            before = [*before, *words][-least_words:]
-            continue
-        for a, b in parts or [(start, end)]:
-            own = normal(text[a:b])
-            hashed = own if len(own) >= least_words else [*before, *own][-least_words:]
-            if own and len(hashed) >= least_words:
-                out.append((a, b, hashed))
-            before = [*before, *own][-least_words:]
+    out, before, start = [], [], 0
+    while start < len(text):
+        end = text.find("\n", start) + 1 or len(text)
+        whole, parts, a = [], [], start
+        for b in (*(m.end() for m in SENTENCE_END.finditer(text, start, end) if by_sentence), end):
+            own = text[a:b].lower().split()
+            if len(own) >= least_words:
+                parts.append((a, b, own))
+                before = own
+            elif own:
+                before = [*before[-least_words:], *own]
+                if by_sentence and len(before) >= least_words:
+                    parts.append((a, b, before[-least_words:]))
+            whole, a = whole + own if whole else own, b
+        if len(parts) == 1 and parts[0][:2] == (start, end):
+            out += parts
+        else:
+            out += [(start, end, whole), *parts] if len(whole) >= least_words else parts
+        start = end
     return out
 
 
@@ -62,33 +45,41 @@ def digest_of(words: list[str]) -> bytes:
     return xxhash.xxh3_128_digest(" ".join(words).encode())
 
 
+def mark_of(text: str) -> int:
+    """Tells the texts of a repeated id apart."""
+    import xxhash
+
+    return xxhash.xxh32_intdigest(text.encode()) - (1 << 31)
+
+
 def _unit_rows(least_words: int, by_sentence: bool):
     def rows(batches):
         import pyarrow as pa
 
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.bool_())
+
         def emit(out):
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["id", "start", "end", "digest", "again"])
+            columns = zip(*out, strict=True) if out else [()] * len(kinds)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["id", "mark", "start", "end", "digest", "again"])
 
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen = set()
+                seen, mark = set(), mark_of(text or "")
                 for start, end, words in units(text or "", least_words, by_sentence):
                     digest = digest_of(words)
-                    for column, value in zip(out, (doc, start, end, digest, digest in seen), strict=True):
-                        column.append(value)
+                    out.append((doc, mark, start, end, digest, digest in seen))
                     seen.add(digest)
-                if len(out[0]) > 50_000:
+                if len(out) > 50_000:
                     yield emit(out)
-                    out = [[], [], [], [], []]
+                    out = []
             yield emit(out)
 
     return rows
 
 
 def repeated_units(docs: DataFrame, least_words: int = 8, by_sentence: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, start, end, first_id, digest): each unit that is not the earliest of its kind, with original offsets.
+    """(id, mark, start, end, first_id): each unit that is not the earliest of its kind, with original offsets.
 
     The earliest has the least id, then the least offset. Digests are 128 bits. The least id of each digest is
     a map-side aggregate and only then joined, so that a line that a third of the documents hold
@@ -96,18 +87,18 @@ def repeated_units(docs: DataFrame, least_words: int = 8, by_sentence: bool = Tr
     repeats of each other; rows that repeat an id are one document and not repeats of each other.
     """
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    found = source.mapInArrow(_unit_rows(least_words, by_sentence), "id long, start int, end int, digest binary, again boolean")
+    found = source.mapInArrow(_unit_rows(least_words, by_sentence), "id long, mark int, start int, end int, digest binary, again boolean")
     firsts = found.where("not again").groupBy("digest").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n"))
     firsts = firsts.where("n > 1 and first_id is not null").select("digest", "first_id")
     seen = found.join(firsts, "digest", "left").where("again or id <> first_id")
-    return seen.select("id", "start", "end", F.coalesce("first_id", "id").alias("first_id"), "digest")
+    return seen.select("id", "mark", "start", "end", F.coalesce("first_id", "id").alias("first_id"))
 
 
-def _cutter(columns: int, at: int, least_words: int, by_sentence: bool):
+def _cutter(columns: int, at: int):
     """Replaces column `at` by what its spans leave; the spans are the last column.
 
-    A span counts if the text holds there what was hashed: a repeated id may have several texts. Sentences of a
-    line that goes as a whole aren't listed.
+    A span counts if it is of this text: a repeated id may have several. Sentences of a line that goes as a whole
+    aren't listed.
     """
 
     def cut(batches):
@@ -117,10 +108,10 @@ def _cutter(columns: int, at: int, least_words: int, by_sentence: bool):
         for batch in batches:
             texts, removed, kept = [], [], []
             for text, gone in zip(batch.column(at).to_pylist(), batch.column(columns).to_pylist(), strict=True):
-                held = {(a, b): digest_of(words) for a, b, words in units(text, least_words, by_sentence)} if text and gone else {}
+                mark = mark_of(text) if text and gone else None
                 left, listed, here = [], [], 0
                 for g in sorted(gone or (), key=lambda g: (g["start"], -g["end"])):
-                    if held.get((g["start"], g["end"])) != g.pop("digest") or g["end"] <= here:
+                    if g.pop("mark") != mark or g["end"] <= here:
                         continue
                     if g["start"] > here:
                         left.append((here, g["start"]))
@@ -147,8 +138,8 @@ def dedup_passages(docs: DataFrame, least_words: int = 8, by_sentence: bool = Tr
     """
     docs = docs.drop("removed", "kept_spans")
     gone = repeated_units(docs.where(F.col(f"`{id_col}`").isNotNull()), least_words, by_sentence, id_col, text_col)
-    gone = gone.groupBy(F.col("id").alias("__id")).agg(F.sort_array(F.collect_set(F.struct("start", "end", "first_id", "digest"))).alias("__gone"))
+    gone = gone.groupBy(F.col("id").alias("__id")).agg(F.sort_array(F.collect_set(F.struct("start", "end", "first_id", "mark"))).alias("__gone"))
     ready = docs.join(gone, F.col(f"`{id_col}`") == F.col("__id"), "left").drop("__id")
     spans = "array<struct<start:int,end:int,first_id:bigint>>"
     schema = docs.select("*", F.array().cast(spans).alias("removed"), F.array().cast("array<struct<start:int,end:int>>").alias("kept_spans")).schema
-    return ready.mapInArrow(_cutter(len(docs.columns), docs.columns.index(text_col), least_words, by_sentence), schema)
+    return ready.mapInArrow(_cutter(len(docs.columns), docs.columns.index(text_col)), schema)
