@@ -56,20 +56,22 @@ def _unit_rows(least_words: int, by_sentence: bool):
     def rows(batches):
         import pyarrow as pa
 
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.bool_())
+        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()))
 
         def emit(out):
             columns = zip(*out, strict=True) if out else [()] * len(kinds)
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["id", "mark", "start", "end", "digest", "again"])
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["id", "mark", "digest", "starts", "ends"])
 
         for batch in batches:
             out: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen, mark = set(), mark_of(text or "")
+                held: dict[bytes, tuple[list, list]] = {}
                 for start, end, words in units(text or "", least_words, by_sentence):
-                    digest = digest_of(words)
-                    out.append((doc, mark, start, end, digest, digest in seen))
-                    seen.add(digest)
+                    starts, ends = held.setdefault(digest_of(words), ([], []))
+                    starts.append(start)
+                    ends.append(end)
+                mark = mark_of(text or "")
+                out += [(doc, mark, digest, starts, ends) for digest, (starts, ends) in held.items()]
                 if len(out) > 50_000:
                     yield emit(out)
                     out = []
@@ -81,17 +83,21 @@ def _unit_rows(least_words: int, by_sentence: bool):
 def repeated_units(docs: DataFrame, least_words: int = 8, by_sentence: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, mark, start, end, first_id): each unit that is not the earliest of its kind, with original offsets.
 
-    The earliest has the least id, then the least offset. Digests are 128 bits. The least id of each digest is
+    The earliest has the least id, then the least offset. Digests are 128 bits. A document gives one row for each digest, with all places of it. The least id of each digest is
     a map-side aggregate and only then joined, so that a line that a third of the documents hold
     is neither gathered in a task nor paired with itself. Rows of null id rank last and are never
     repeats of each other; rows that repeat an id are one document and not repeats of each other.
     """
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    found = source.mapInArrow(_unit_rows(least_words, by_sentence), "id long, mark int, start int, end int, digest binary, again boolean")
-    firsts = found.where("not again").groupBy("digest").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    found = source.mapInArrow(_unit_rows(least_words, by_sentence), "id long, mark int, digest binary, starts array<int>, ends array<int>")
+    firsts = found.groupBy("digest").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n"))
     firsts = firsts.where("n > 1 and first_id is not null").select("digest", "first_id")
-    seen = found.join(firsts, "digest", "left").where("again or id <> first_id")
-    return seen.select("id", "mark", "start", "end", F.coalesce("first_id", "id").alias("first_id"))
+    own = F.coalesce(F.col("first_id").isNull() | (F.col("id") == F.col("first_id")), F.lit(False))
+    seen = found.join(firsts, "digest", "left").withColumn("own", own).where("not own or size(starts) > 1")
+    spans = F.arrays_zip("starts", "ends")
+    later = F.when(F.col("own"), F.slice(spans, F.lit(2), F.size("starts"))).otherwise(spans)
+    rows = seen.select("id", "mark", F.coalesce("first_id", "id").alias("first_id"), F.explode(later).alias("x"))
+    return rows.select("id", "mark", F.col("x.starts").alias("start"), F.col("x.ends").alias("end"), "first_id")
 
 
 def _cutter(columns: int, at: int):
