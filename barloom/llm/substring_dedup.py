@@ -1,40 +1,81 @@
-"""Passages that repeat across documents, found by hashing lines and their sentences."""
+"""Passages that repeat across documents, found by hashing lines and windows of pieces of sentences."""
 
 from __future__ import annotations
 
 import re
+import zlib
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Where a sentence ends inside of a line.
-SENTENCE_END = re.compile(r"[.!?。！？…]+[\"'”’)\]]*(?=\s)")
+#: A word with the white space before it.
+WORD = re.compile(r"\s*\S+")
+#: Words after which a sentence ends.
+SENTENCE_END = re.compile(r"[.!?。！？…]+[\"'”’)\]]*$")
+#: One word in so many ends a piece, by its own letters.
+CUT_IN = 8
+
+
+class _Cuts(dict):
+    """2 for a word that ends a sentence, 1 for another one that ends a piece, else 0: by the word alone, so that copies of a passage are cut alike wherever they stand."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 1_000_000:
+            self.clear()
+        self[word] = kind = 2 if SENTENCE_END.search(word) else int(zlib.crc32(word.encode()) % CUT_IN == 0)
+        return kind
+
+
+_cuts = _Cuts()
 
 
 def units(text: str, least_words: int = 8, by_sentence: bool = True) -> list[tuple[int, int, list[str]]]:
-    """(start, end, words to hash) of what may be a repeat: lines, and the sentences of lines that have several.
+    """(start, end, words to hash) of what may be a repeat: lines, and windows of the pieces that they are cut into.
 
-    Words are in lower case; white space at either side or between them makes no difference. A line counts from least_words words on. A shorter sentence is hashed after the words before it, as many as
-    make least_words, so that it repeats only where its surroundings do; one without so many before it can't.
+    Words are in lower case; white space at either side or between them makes no difference. A line counts from least_words words on. Pieces end with lines, with sentences and after
+    one word in CUT_IN. A window is the last least_words words before a cut, whatever sentences and lines they are of; a piece of more words is one
+    as well, and so are the first least_words words of a sentence. Windows overlap each other and lines, but nothing of the same words. So a repeated passage goes, wherever in a sentence it begins, from least_words words
+    before the first cut that has as many in the passage, up to its last cut.
     """
-    out, before, start = [], [], 0
+    out, words, ends, opens, cut, start = [], [], [], {}, -1, 0
+    firsts: dict[str, int] = {}  # where the first unit of these words ends
     while start < len(text):
         end = text.find("\n", start) + 1 or len(text)
-        whole, parts, a = [], [], start
-        for b in (*(m.end() for m in SENTENCE_END.finditer(text, start, end) if by_sentence), end):
-            own = text[a:b].lower().split()
-            if len(own) >= least_words:
-                parts.append((a, b, own))
-                before = own
-            elif own:
-                before = [*before[-least_words:], *own]
-                if by_sentence and len(before) >= least_words:
-                    parts.append((a, b, before[-least_words:]))
-            whole, a = whole + own if whole else own, b
-        if len(parts) == 1 and parts[0][:2] == (start, end):
-            out += parts
-        else:
-            out += [(start, end, whole), *parts] if len(whole) >= least_words else parts
+        line = text[start:end]
+        own = line.lower().split()
+        if len(own) >= least_words:
+            out.append((start, end, own))
+            firsts.setdefault(" ".join(own), end)
+        if by_sentence and own:
+            n = len(words)
+            begin = n - 1
+            opens[begin] = start
+            words += own
+            ends += accumulate(map(len, WORD.findall(line)[: len(own)]), initial=start)
+            del ends[n]
+            kinds = [_cuts[w] for w in own]
+            kinds[-1] = 2
+            for last, kind in enumerate(kinds, n):
+                if not kind:
+                    continue
+                spans = [(last - least_words, last)]
+                if last - cut > least_words:
+                    spans.insert(0, (cut, last))
+                if begin is not None and last - begin > least_words:
+                    spans.insert(0, (begin, begin + least_words))
+                    begin = None
+                for a, z in spans:
+                    if a >= -1:
+                        at, held = opens[a] if a in opens else ends[a], words[a + 1 : z + 1]
+                        key = " ".join(held)
+                        if firsts.get(key, 0) <= at:
+                            firsts.setdefault(key, ends[z])
+                            out.append((at, ends[z], held))
+                cut = last
+                if kind == 2:
+                    begin = last
         start = end
     return out
 
@@ -56,22 +97,20 @@ def _unit_rows(least_words: int, by_sentence: bool):
     def rows(batches):
         import pyarrow as pa
 
-        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int32()))
 
         def emit(out):
             columns = zip(*out, strict=True) if out else [()] * len(kinds)
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["id", "mark", "digest", "starts", "ends"])
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["id", "mark", "digest", "places"])
 
         for batch in batches:
             out: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held: dict[bytes, tuple[list, list]] = {}
+                held: dict[bytes, list[int]] = {}
                 for start, end, words in units(text or "", least_words, by_sentence):
-                    starts, ends = held.setdefault(digest_of(words), ([], []))
-                    starts.append(start)
-                    ends.append(end)
+                    held.setdefault(digest_of(words), []).extend((start, end))
                 mark = mark_of(text or "")
-                out += [(doc, mark, digest, starts, ends) for digest, (starts, ends) in held.items()]
+                out += [(doc, mark, digest, places) for digest, places in held.items()]
                 if len(out) > 50_000:
                     yield emit(out)
                     out = []
@@ -83,28 +122,25 @@ def _unit_rows(least_words: int, by_sentence: bool):
 def repeated_units(docs: DataFrame, least_words: int = 8, by_sentence: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, mark, start, end, first_id): each unit that is not the earliest of its kind, with original offsets.
 
-    The earliest has the least id, then the least offset. Digests are 128 bits. A document gives one row for each digest, with all places of it. The least id of each digest is
-    a map-side aggregate and only then joined, so that a line that a third of the documents hold
-    is neither gathered in a task nor paired with itself. Rows of null id rank last and are never
+    The earliest has the least id, then the least offset. Digests are 128 bits. A document gives one row for each digest, with all
+    places of it (start, end, start, ...). Rows go through one exchange by digest, texts are cut once, and the least id of a digest is
+    the window's, so that a line that a third of the documents hold is not paired with itself. Rows of null id rank last and are never
     repeats of each other; rows that repeat an id are one document and not repeats of each other.
     """
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    found = source.mapInArrow(_unit_rows(least_words, by_sentence), "id long, mark int, digest binary, starts array<int>, ends array<int>")
-    firsts = found.groupBy("digest").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-    firsts = firsts.where("n > 1 and first_id is not null").select("digest", "first_id")
+    found = source.mapInArrow(_unit_rows(least_words, by_sentence), "id long, mark int, digest binary, places array<int>")
+    seen = found.withColumn("first_id", F.min("id").over(W.partitionBy("digest")))
     own = F.coalesce(F.col("first_id").isNull() | (F.col("id") == F.col("first_id")), F.lit(False))
-    seen = found.join(firsts, "digest", "left").withColumn("own", own).where("not own or size(starts) > 1")
-    spans = F.arrays_zip("starts", "ends")
-    later = F.when(F.col("own"), F.slice(spans, F.lit(2), F.size("starts"))).otherwise(spans)
-    rows = seen.select("id", "mark", F.coalesce("first_id", "id").alias("first_id"), F.explode(later).alias("x"))
-    return rows.select("id", "mark", F.col("x.starts").alias("start"), F.col("x.ends").alias("end"), "first_id")
+    seen = seen.withColumn("own", own).where("not own or size(places) > 2")
+    rows = seen.select("*", F.explode(F.sequence(F.lit(0), F.size("places") - 1, F.lit(2))).alias("k")).where("not own or k > 0")
+    return rows.selectExpr("id", "mark", "places[k] AS start", "places[k + 1] AS end", "first_id")
 
 
 def _cutter(columns: int, at: int):
     """Replaces column `at` by what its spans leave; the spans are the last column.
 
-    A span counts if it is of this text: a repeated id may have several. Sentences of a line that goes as a whole
-    aren't listed.
+    A span counts if it is of this text: a repeated id may have several. Spans inside of another one
+    aren't listed; others may overlap.
     """
 
     def cut(batches):
@@ -139,7 +175,7 @@ def dedup_passages(docs: DataFrame, least_words: int = 8, by_sentence: bool = Tr
     """docs with repeated units cut out of the text, and two columns more.
 
     `removed` lists what was cut as (start, end, first_id), `kept_spans` what stays as (start,
-    end), both in code points of the original text. Units are lines and sentences, see units(). Null text stays null and empty stays empty. A row of null id
+    end), both in code points of the original text; what was cut may overlap. Units are lines and windows of pieces of sentences, see units(). Null text stays null and empty stays empty. A row of null id
     is left whole, as no later row can be told from it; columns named like the two are replaced.
     """
     docs = docs.drop("removed", "kept_spans")

@@ -65,3 +65,42 @@ def test_a_passage_inside_of_lines_goes_with_its_short_sentences(spark):
     got = {r.doc_id: r.text for r in dedup_passages(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got[1] == rows[0][1] and got[3] == rows[2][1]
     assert "kappa" not in got[2] and "So it." not in got[2] and "Oh no." not in got[2] and got[2].endswith("It goes on in its own words.")
+
+
+def planted(seed, n, length):
+    """Texts of own words, and a passage that starts and stops at any word of most of them."""
+    rng = random.Random(seed)
+    words = lambda k, tag: [f"{tag}{rng.randrange(3000)}" + rng.choice(["", "", "", "", ",", "."]) for _ in range(k)]
+    passages = [words(length, f"p{i}q") for i in range(3)]
+    rows, spans = [], {}
+    for i in range(n):
+        before, passage, after = words(rng.randint(5, 40), f"a{i}x"), passages[i % 3], words(rng.randint(5, 40), f"b{i}x")
+        rows.append((i, " ".join([*before, *passage, *after]), None))
+        spans[i] = (len(" ".join(before)) + 1, len(" ".join([*before, *passage])))
+    return rows, spans
+
+
+def test_passages_at_any_word_go_but_for_their_edges(spark):
+    rows, spans = planted(5, 60, 70)
+    # one sentence only, from mid-sentence to mid-sentence
+    single = " ".join(f"z{k}" for k in range(60))
+    rows += [(100, f"here it says {single} and so on", None), (101, f"elsewhere they wrote {single} but no more", None)]
+    spans |= {i: (rows[k][1].index("z0"), rows[k][1].index("z59") + 3) for i, k in ((100, 60), (101, 61))}
+    kept = total = 0
+    for r in dedup_passages(spark.createDataFrame(rows, SCHEMA)).collect():
+        text, (a, b) = dict((d, t) for d, t, _ in rows)[r.doc_id], spans[r.doc_id]
+        if r.doc_id < 3 or r.doc_id == 100:
+            assert r.text == text
+            continue
+        assert r.text.startswith(text[: a - 1]) and r.text.endswith(text[b:])
+        assert all(a - 1 <= g.start and g.end <= b for g in r.removed)
+        stays = len(r.text.split()) - len(text[:a].split()) - len(text[b:].split())
+        assert stays < 35, r.doc_id
+        kept, total = kept + stays, total + len(text[a:b].split())
+    assert kept < 0.2 * total
+
+
+def test_a_document_that_repeats_itself_keeps_a_whole_first_copy(spark):
+    line = " ".join(["again."] * 20)
+    (row,) = dedup_passages(spark.createDataFrame([(1, line, None)], SCHEMA)).collect()
+    assert row.text.split() == ["again."] * 8
