@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 WORD = re.compile(r"\s*\S+")
 #: Words after which a sentence ends.
 SENTENCE_END = re.compile(r"[.!?。！？…]+[\"'”’)\]]*$")
+#: A line of so many words may be a repeat by itself, or one of so many characters of scripts that put no spaces between words.
+LINE_WORDS, LINE_CHARS = 3, 8
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 #: One word in so many ends a piece, by its own letters.
 CUT_IN = 8
 
@@ -31,10 +34,10 @@ class _Cuts(dict):
 _cuts = _Cuts()
 
 
-def units(text: str, least_words: int = 8, by_sentence: bool = True) -> list[tuple[int, int, list[str]]]:
+def units(text: str, least_words: int = 8, by_sentence: bool = True, line_words: int = LINE_WORDS, line_chars: int = LINE_CHARS) -> list[tuple[int, int, list[str]]]:
     """(start, end, words to hash) of what may be a repeat: lines, and windows of the pieces that they are cut into.
 
-    Words are in lower case; white space at either side or between them makes no difference. A line counts from least_words words on. Pieces end with lines, with sentences and after
+    Words are in lower case; white space at either side or between them makes no difference. A whole line counts from line_words words on, or from line_chars characters of a script without spaces. Pieces end with lines, with sentences and after
     one word in CUT_IN. A window is the last least_words words before a cut, whatever sentences and lines they are of; a piece of more words is one
     as well, and so are the first least_words words of a sentence. Windows overlap each other and lines, but nothing of the same words. So a repeated passage goes, wherever in a sentence it begins, from least_words words
     before the first cut that has as many in the passage, up to its last cut.
@@ -45,7 +48,7 @@ def units(text: str, least_words: int = 8, by_sentence: bool = True) -> list[tup
         end = text.find("\n", start) + 1 or len(text)
         line = text[start:end]
         own = line.lower().split()
-        if len(own) >= least_words:
+        if len(own) >= line_words or own and len(UNSPACED.findall(line)) >= line_chars:
             out.append((start, end, own))
             firsts.setdefault(" ".join(own), end)
         if by_sentence and own:

@@ -104,3 +104,13 @@ def test_a_document_that_repeats_itself_keeps_a_whole_first_copy(spark):
     line = " ".join(["again."] * 20)
     (row,) = dedup_passages(spark.createDataFrame([(1, line, None)], SCHEMA)).collect()
     assert row.text.split() == ["again."] * 8
+
+
+def test_short_whole_lines_go_but_not_the_same_words_inside_of_a_line(spark):
+    lines = ["All rights reserved.", "Share this page now", "版权所有不得转载。"]
+    rows = [(i, "\n".join([f"own a{i}", lines[0], f"b{i}", lines[1], f"c{i}", lines[2], f"d{i}", "yes"]), None) for i in range(3)]
+    rows.append((9, "He said: all rights reserved. Share this page now, and yes", None))
+    got = {r.doc_id: r.text for r in dedup_passages(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[0] == rows[0][1] and got[9] == rows[3][1]
+    for i in (1, 2):
+        assert got[i].split() == f"own a{i} b{i} c{i} d{i} yes".split()
