@@ -99,14 +99,19 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, perc
     window. Windows step an eighth of the template's length and are as much longer, so that a notice lies in
     one whole; then its similarity is 0.6 or more, at which the 32 bands of 2 miss it once in 10**6.
     Windows without any template's shingle can't match and aren't signed; nor are texts without an
-    anchor word. Null text, empty text and texts of under five words hold none; results of rows
-    that repeat an id are merged; null ids are one id. Templates need five words.
+    anchor word. A template of under five words is one shingle of its own width, which a text holds whole or not.
+    Null text and empty text hold none; results of rows
+    that repeat an id are merged; null ids are one id. Templates need a word.
     """
     templates = templates or TEMPLATES
-    if any(len(words_of(t)) < SHINGLE for t in templates.values()):
-        raise ValueError("templates need five words")
-    table = template_table(docs.sparkSession, templates)
+    short = {name: words for name, text in templates.items() if len(words := words_of(text)) < SHINGLE}
+    if not all(short.values()):
+        raise ValueError("templates need a word")
+    templates = {name: text for name, text in templates.items() if name not in short}
     lower = F.translate(F.col(f"`{text_col}`"), string.ascii_uppercase, string.ascii_lowercase)
+    if not templates:
+        return _short_notices(docs, short, id_col, lower)
+    table = template_table(docs.sparkSession, templates)
     likely = F.lit(False)
     for word in anchors(templates, percent):
         likely = likely | F.contains(F.col("lower"), F.lit(word))
@@ -137,9 +142,27 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, perc
     best = met.where(F.col("n_shared") * 100 >= F.col("n_shingles") * percent).groupBy("doc_id", "license", "n_shingles").agg(
         F.max(F.struct("n_shared", (-F.col("start")).alias("back"))).alias("x")
     )
-    return best.select(
+    long_ones = best.select(
         "doc_id", "license", "n_shingles", F.col("x.n_shared").alias("n_shared"), (F.col("x.n_shared") / F.col("n_shingles")).alias("containment"), (-F.col("x.back")).alias("window_start")
     )
+    return long_ones.unionByName(_short_notices(docs, short, id_col, lower)) if short else long_ones
+
+
+def _short_notices(docs: DataFrame, short: dict[str, list[str]], id_col: str, lower: Column) -> DataFrame:
+    """The rows of templates of under SHINGLE words: one shingle of the template's own width, held whole or not at all."""
+    likely = F.lit(False)
+    for words in short.values():
+        likely = likely | F.contains(F.col("lower"), F.lit(max(words, key=len)))
+    found = docs.select(F.col(f"`{id_col}`").alias("doc_id"), lower.alias("lower")).where(likely).select(
+        "doc_id", F.regexp_extract_all("lower", F.lit("[a-z0-9]+"), F.lit(0)).alias("words")
+    )
+    # spaces at both ends keep words whole; what comes before the first hit has as many spaces as words, and one more
+    text = F.concat(F.lit(" "), F.concat_ws(" ", "words"), F.lit(" "))
+    places = F.array(*[F.struct(F.lit(name).alias("license"), F.instr(F.col("flat"), f" {' '.join(words)} ").alias("at")) for name, words in short.items()])
+    hits = found.select("doc_id", text.alias("flat")).select("doc_id", "flat", F.explode(places).alias("x")).where("x.at > 0")
+    start = F.length(F.regexp_replace(F.expr("substring(flat, 1, x.at)"), "[^ ]", "")) - 1
+    firsts = hits.groupBy("doc_id", F.col("x.license").alias("license")).agg(F.min(start).cast("int").alias("window_start"))
+    return firsts.select("doc_id", "license", F.lit(1).alias("n_shingles"), F.lit(1).alias("n_shared"), F.lit(1.0).alias("containment"), "window_start")
 
 
 def license_sql(templates: dict[str, str] | None = None, percent: int = 80) -> str:

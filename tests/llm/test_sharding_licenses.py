@@ -65,3 +65,25 @@ def test_scan_matches_brute_force_sql(spark):
     got = same(scan_licenses(df), license_sql(), df)
     assert {r[1] for r in got} >= {"mit", "gpl-3.0-notice", "apache-2.0"} and (204, "gpl-3.0-notice") in {r[:2] for r in got}
     assert scan_licenses(df.limit(0)).count() == 0
+
+
+def test_templates_of_under_five_words_are_found_whole(spark):
+    rights = ["all", "rights", "reserved"]
+    texts = ["All rights reserved.", "a b\nALL RIGHTS\nreserved!", "all rights are reserved", "overall rights reserved", "all rights reservedly", "x all rights reserved all rights reserved", "", None, "rights"]
+    texts += [f"word {TEMPLATES['mit']} All rights reserved."]
+    rows = [(i, t, None, None) for i, t in enumerate(texts)] + [(5, "all rights reserved", None, None), (None, "© all rights reserved", None, None)]
+    want = {}
+    for doc, text, _, _ in rows:
+        words = words_of(text or "")
+        for k in range(len(words) - 2):
+            if words[k : k + 3] == rights:
+                want[doc] = min(want.get(doc, k), k)
+    df = spark.createDataFrame(rows, SCHEMA)
+    templates = TEMPLATES | {"all-rights-reserved": "All rights reserved."}
+    got = scan_licenses(df, templates).collect()
+    assert {(r.doc_id, r.window_start) for r in got if r.license == "all-rights-reserved"} == set(want.items()) and len(want) == 5
+    assert all((r.n_shingles, r.n_shared, r.containment) == (1, 1, 1.0) for r in got if r.license == "all-rights-reserved")
+    plain = [tuple(r) for r in scan_licenses(df).collect()]
+    assert sorted(map(repr, plain)) == sorted(repr(tuple(r)) for r in got if r.license != "all-rights-reserved") and plain
+    only = scan_licenses(df, {"all-rights-reserved": "All rights reserved."}).collect()
+    assert len(only) == 5
