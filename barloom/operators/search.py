@@ -36,6 +36,23 @@ def split_bounds(spark: SparkSession, n: int, train: int, test: int, step: int |
     return ids.select("split", start.alias("train_start"), (start + train).alias("train_end"), (start + train + test).alias("test_end"))
 
 
+def series_splits(bars: DataFrame, train: int, test: int, step: int | None = None) -> DataFrame:
+    """(series, split, train_start, train_end, test_end): the split_bounds of each series by its own count of bars."""
+    step = step or test
+    last = F.floor((F.col("n") - train - test) / step)
+    counted = bars.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= train + test)
+    ids = counted.select(*KEY, F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("split"))
+    start = F.col("split") * step
+    return ids.select(*KEY, "split", start.alias("train_start"), (start + train).alias("train_end"), (start + train + test).alias("test_end"))
+
+
+def _with_splits(rows: DataFrame, splits: DataFrame, *on: str) -> DataFrame:
+    """rows beside the splits of their own series, or beside splits that hold for all."""
+    if set(KEY) <= set(splits.columns):
+        return rows.join(splits, [*KEY, *on])
+    return rows.join(F.broadcast(splits), [*on]) if on else rows.crossJoin(F.broadcast(splits))
+
+
 def candidates(bars: DataFrame, name: str, grid: list[dict], rate: float = 0.001) -> DataFrame:
     """(series, candidate, i, time, open, close, equity): every candidate's curve over all bars, numbered from 0."""
     runs = [equity_curve(signal(bars, name, **params), rate).withColumn("candidate", F.lit(i)) for i, params in enumerate(grid)]
@@ -46,7 +63,7 @@ def candidates(bars: DataFrame, name: str, grid: list[dict], rate: float = 0.001
 
 def scores(curves: DataFrame, splits: DataFrame, per_year: float) -> DataFrame:
     """(series, split, candidate, total_return, cagr, sharpe) on each train range, rebased to its first point."""
-    cut = curves.join(F.broadcast(splits), (F.col("i") >= F.col("train_start")) & (F.col("i") < F.col("train_end")))
+    cut = _with_splits(curves, splits).where("i >= train_start and i < train_end")
     order = W.partitionBy(*KEY, "split", "candidate").orderBy("i")
     before = F.lag("equity").over(order)
     rows = cut.withColumn("__l", F.when((before > 0) & (F.col("equity") > 0), F.ln(F.col("equity") / F.when(before > 0, before))))
@@ -69,7 +86,7 @@ def stitched(curves: DataFrame, splits: DataFrame, picks: DataFrame, rate: float
 
     Each range is rebased to its own first bar; holding enters at the bar before the test, less two sides' cost in each split.
     """
-    spans = picks.join(F.broadcast(splits), "split")
+    spans = _with_splits(picks, splits, "split")
     cut = curves.join(spans, [*KEY, "candidate"]).where("i >= train_end and i < test_end")
     order = W.partitionBy(*KEY, "split").orderBy("i")
     whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)

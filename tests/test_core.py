@@ -12,7 +12,7 @@ from barloom.operators import indicators as I
 from barloom.operators import quality as Q
 from barloom.operators.folds import ema_of, rsi_of
 from barloom.operators.performance import performance
-from barloom.operators.search import expand_grid, split_bounds
+from barloom.operators.search import chosen, expand_grid, scores, series_splits, split_bounds, stitched
 from barloom.operators.signals import SIGNALS, describe, register_signal, signal
 from barloom.sources import bars as B
 
@@ -208,6 +208,22 @@ def test_splits_and_grids(spark):
         expand_grid({"a": list(range(401))})
 
 
+def test_splits_of_each_series_reach_its_last_whole_test(spark):
+    rows, want = [], []
+    for name, n in (("A", 10), ("B", 12), ("C", 13), ("D", 6)):
+        rows += [(name, "1d", c, i, i * 86400, 1.0 + i, 1.0 + i, 1.0 + i * (c + 1)) for c in range(2) for i in range(n)]
+        want += [(name, "1d", s, 3 * s, 3 * s + 4, 3 * s + 7) for s in range(9) if 3 * s + 7 <= n]
+    curves = spark.createDataFrame(rows, "symbol string, timeframe string, candidate int, i int, time long, open double, close double, equity double")
+    splits = series_splits(curves.where("candidate = 0"), 4, 3)
+    assert sorted(map(tuple, splits.collect())) == want
+    scored = scores(curves, splits, 365.0)
+    assert sorted((r.symbol, r.split, r.candidate) for r in scored.collect()) == sorted((w[0], w[2], c) for w in want for c in range(2))
+    got = sorted((r.symbol, r.split, r.i) for r in stitched(curves, splits, chosen(scored)).collect())
+    assert got == sorted((w[0], w[2], i) for w in want for i in range(w[4], w[5]))
+    alike = split_bounds(spark, 10, 4, 3)
+    assert {(r.symbol, r.split) for r in scores(curves.where("symbol = 'A'"), alike, 365.0).collect()} == {("A", 0), ("A", 1)}
+
+
 def test_targets_out_of_range_fail(spark):
     bars = make(spark, [1.0, 2.0]).withColumn("target", F.lit(-0.5))
     assert C.check_targets(bars).count() == 2
