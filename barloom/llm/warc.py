@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -21,6 +22,8 @@ ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
+#: The version, a reserved digit and the origin, then the names of the fields.
+VERSION_BLOCK = re.compile(rb"[12] \d+ [^\n]*\nURL IP-address ")
 REVISIT = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 
 
@@ -70,7 +73,9 @@ def read_arc(data: bytes) -> Iterator[ArcRecord]:
         if end < 0:
             return
         line = data[at:end].rstrip(b"\r")
-        if line.startswith(b"filedesc:"):
+        # Beyond the start only files that were put together have one; pages may have such a URL too.
+        about_file = line.startswith(b"filedesc:") and (at == 0 or VERSION_BLOCK.match(data, end + 1) is not None)
+        if about_file:
             # The version is the first digit of the block, whose header line has that version's fields already.
             version = data[end + 1 : end + 2]
             fields = 10 if version == b"2" else 5
@@ -86,7 +91,7 @@ def read_arc(data: bytes) -> Iterator[ArcRecord]:
         if stop < len(data) and data[stop : stop + 1] not in b"\r\n":
             at = end + 1
             continue
-        if not line.startswith(b"filedesc:"):
+        if not about_file:
             yield ArcRecord(parts[0], parts[1], parts[2], parts[3], data[end + 1 : stop], at)
         at = stop
 

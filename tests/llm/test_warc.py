@@ -30,6 +30,16 @@ def test_both_versions_are_read_by_their_headers():
             assert got[0].url == "http://a.example/x%20y"
 
 
+def test_pages_whose_url_looks_like_a_version_block_are_records():
+    odd = [RECORDS[0], ("filedesc://a page", "1.2.3.4", "20010203040506", "text/html", b"1 is its first letter"), ("filedesc:", "::1", "20010203040506", "text/html", b""), *RECORDS[1:]]
+    for version in (1, 2):
+        data = write_arc(odd, version)
+        for file in (data, gzip.compress(data)):
+            assert [(r.ip, r.date, r.kind, r.block) for r in read_arc(file)] == [r[1:] for r in odd]
+        both = write_arc(RECORDS, 3 - version) + b"\n" + data
+        assert [r.block for r in read_arc(both)] == [r[4] for r in RECORDS + odd]
+
+
 def test_bad_lengths_and_cut_files_cost_one_record():
     data = write_arc(RECORDS, 1)
     wrong = data.replace(b" text/dns 25\n", b" text/dns 24\n")
