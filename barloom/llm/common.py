@@ -42,13 +42,13 @@ def n_words(text: Column) -> Column:
 
 
 class WordHashes(dict):
-    """word -> 64-bit hash, remembered for up to `limit` words at a time."""
+    """word, as bytes or str -> 64-bit hash, remembered for up to `limit` words at a time."""
 
     def __init__(self, limit: int = 1 << 18):
         super().__init__()
         self.limit = limit
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: bytes | str) -> int:
         import xxhash
 
         if len(self) >= self.limit:
@@ -56,7 +56,7 @@ class WordHashes(dict):
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
 
-    def of(self, words: list[bytes]) -> np.ndarray:
+    def of(self, words: list) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
@@ -67,6 +67,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def powers(n: int, base: int) -> np.ndarray:
+    """base ** 0 ... base ** (n - 1) modulo 2**64."""
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
 def _odd(n: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 

@@ -1,150 +1,169 @@
-"""Passages that repeat across documents, found by hashing lines and windows of pieces of sentences."""
+"""Lines, paragraphs and passages that repeat across documents: units are hashed, digests are grouped, the earliest stays."""
 
 from __future__ import annotations
 
-import re
-import zlib
-from itertools import accumulate
-
+import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: A word with the white space before it.
-WORD = re.compile(r"\s*\S+")
-#: Words after which a sentence ends.
-SENTENCE_END = re.compile(r"[.!?。！？…]+[\"'”’)\]]*$")
-#: A line of so many words may be a repeat by itself, or one of so many characters of scripts that put no spaces between words.
-LINE_WORDS, LINE_CHARS = 3, 8
-UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
-#: One word in so many ends a piece, by its own letters.
-CUT_IN = 8
+from barloom.llm.common import WordHashes, durable, mix, powers
+
+#: Words of a line or paragraph from which on it may be a repeat by itself.
+LINE_WORDS = 16
+#: Words of a passage inside of lines, and how many places in a row may go without one being hashed.
+PASSAGE_WORDS, SPREAD = 24, 16
+#: Scripts that put no spaces between words: each of their characters counts as a word.
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+#: A digest of more than 1 in HOT_SHARE of all units, and of more than HOT_ROWS, is looked up where its rows lie; so there are HOT_SHARE of them at most.
+HOT_ROWS, HOT_SHARE = 10_000, 20_000
+
+_SPACE = np.array([chr(c).isspace() for c in range(0x3001)] + [False])
+_BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
+
+
+def words_of(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Words in lower case, and where each starts and ends in the text."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    word = ~_SPACE[np.minimum(codes, 0x3001)]
+    alone = np.zeros(len(codes), bool)
+    if len(codes) and int(codes.max()) >= UNSPACED[0][0]:
+        for low, high in UNSPACED:
+            alone |= (codes >= low) & (codes <= high)
+    joined = word[1:] & word[:-1] & ~alone[1:] & ~alone[:-1]
+    starts = np.flatnonzero(word & np.append(True, ~joined)) if len(codes) else np.zeros(0, np.int64)
+    ends = np.flatnonzero(word & np.append(~joined, True)) + 1 if len(codes) else np.zeros(0, np.int64)
+    if alone.any():
+        return [text[a:b].lower() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], starts, ends
+    return text.lower().split(), starts, ends
 
 
-class _Cuts(dict):
-    """2 for a word that ends a sentence, 1 for another one that ends a piece, else 0: by the word alone, so that copies of a passage are cut alike wherever they stand."""
+class _Powers:
+    """Powers of both bases and of their inverses, as many as the longest text so far asked for."""
 
-    def __missing__(self, word: str) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        self[word] = kind = 2 if SENTENCE_END.search(word) else int(zlib.crc32(word.encode()) % CUT_IN == 0)
-        return kind
+    def __init__(self):
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
 
+    def of(self, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        if not self.held or len(self.held[0][0]) < n:
+            size = max(n, 1 << 14)
+            self.held = [(powers(size, base), powers(size, pow(base, -1, 1 << 64))) for base in _BASES]
+        return self.held
 
-_cuts = _Cuts()
 
+_powers = _Powers()
 
-def units(text: str, least_words: int = 8, by_sentence: bool = True, line_words: int = LINE_WORDS, line_chars: int = LINE_CHARS) -> list[tuple[int, int, list[str]]]:
-    """(start, end, words to hash) of what may be a repeat: lines, and windows of the pieces that they are cut into.
 
-    Words are in lower case; white space at either side or between them makes no difference. A whole line counts from line_words words on, or from line_chars characters of a script without spaces. Pieces end with lines, with sentences and after
-    one word in CUT_IN. A window is the last least_words words before a cut, whatever sentences and lines they are of; a piece of more words is one
-    as well, and so are the first least_words words of a sentence. Windows overlap each other and lines, but nothing of the same words. So a repeated passage goes, wherever in a sentence it begins, from least_words words
-    before the first cut that has as many in the passage, up to its last cut.
+def units(text: str, hashes: WordHashes, passage_words: int = PASSAGE_WORDS, spread: int = SPREAD, line_words: int = LINE_WORDS) -> tuple[np.ndarray, ...]:
+    """(start, end, digest, digest, again) of what may be a repeat, as five columns in order of start.
+
+    Whole lines, with the end of the line, and whole paragraphs are units from line_words words on. Of the runs of
+    passage_words words, whatever lines they are in, the one of least hash among each `spread` in a row is: so two texts
+    that share passage_words + spread - 1 words in a row share a unit there, wherever in a line it begins. Words are in lower
+    case, white space at either side or between them makes no difference. `again` marks all but the first place of a
+    digest in this text; places that overlap the first are left out.
     """
-    out, words, ends, opens, cut, start = [], [], [], {}, -1, 0
-    firsts: dict[str, int] = {}  # where the first unit of these words ends
-    while start < len(text):
-        end = text.find("\n", start) + 1 or len(text)
-        line = text[start:end]
-        own = line.lower().split()
-        if len(own) >= line_words or own and len(UNSPACED.findall(line)) >= line_chars:
-            out.append((start, end, own))
-            firsts.setdefault(" ".join(own), end)
-        if by_sentence and own:
-            n = len(words)
-            begin = n - 1
-            opens[begin] = start
-            words += own
-            ends += accumulate(map(len, WORD.findall(line)[: len(own)]), initial=start)
-            del ends[n]
-            kinds = [_cuts[w] for w in own]
-            kinds[-1] = 2
-            for last, kind in enumerate(kinds, n):
-                if not kind:
-                    continue
-                spans = [(last - least_words, last)]
-                if last - cut > least_words:
-                    spans.insert(0, (cut, last))
-                if begin is not None and last - begin > least_words:
-                    spans.insert(0, (begin, begin + least_words))
-                    begin = None
-                for a, z in spans:
-                    if a >= -1:
-                        at, held = opens[a] if a in opens else ends[a], words[a + 1 : z + 1]
-                        key = " ".join(held)
-                        if firsts.get(key, 0) <= at:
-                            firsts.setdefault(key, ends[z])
-                            out.append((at, ends[z], held))
-                cut = last
-                if kind == 2:
-                    begin = last
-        start = end
-    return out
-
-
-def digest_of(words: list[str]) -> bytes:
-    import xxhash
-
-    return xxhash.xxh3_128_digest(" ".join(words).encode())
-
-
-def mark_of(text: str) -> int:
-    """Tells the texts of a repeated id apart."""
-    import xxhash
-
-    return xxhash.xxh32_intdigest(text.encode()) - (1 << 31)
-
-
-def _unit_rows(least_words: int, by_sentence: bool):
+    words, starts, ends = words_of(text)
+    n = len(words)
+    if n < min(passage_words, line_words):
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64, bool))
+    first = hashes.of(words)
+    sums = []
+    for value, (power, inverse) in zip((first, mix(first ^ np.uint64(_BASES[0]))), _powers.of(n + 1), strict=True):
+        sums.append((np.append(np.uint64(0), np.cumsum(value * power[:n], dtype=np.uint64)), inverse))
+
+    def digests(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
+        return [mix((s[b] - s[a]) * inverse[a] + (b - a).astype(np.uint64)) for s, inverse in sums]
+
+    breaks = np.flatnonzero(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32) == 10)
+    line = np.searchsorted(breaks, starts)
+    step = np.diff(line)
+    found = []
+    for cut in (np.flatnonzero(step > 0) + 1, np.flatnonzero(step > 1) + 1):
+        a, b = np.append(0, cut), np.append(cut, n)
+        long_ = b - a >= line_words
+        found.append((a[long_], b[long_]))
+    (la, lb), (pa, pb) = found
+    many = line[pa] != line[pb - 1]  # a paragraph of one line is that line
+    a, b = np.concatenate([la, pa[many]]), np.concatenate([lb, pb[many]])
+    edge = np.append(breaks + 1, len(text))
+    begin, end = np.append(0, breaks + 1)[line[a]], edge[line[b - 1]]
+    columns = [(begin, end, *digests(a, b))]
+    if n >= passage_words:
+        at = np.arange(n - passage_words + 1)
+        one, two = digests(at, at + passage_words)
+        width = min(spread, len(at))
+        views = np.lib.stride_tricks.sliding_window_view(one, width)
+        chosen = np.unique(views.argmin(axis=1) + np.arange(len(views)))
+        columns.append((starts[chosen], ends[chosen + passage_words - 1], one[chosen], two[chosen]))
+    start, end, one, two = (np.concatenate(c) for c in zip(*columns, strict=True))
+    order = np.lexsort((-end, start))
+    start, end, one, two = start[order], end[order], one[order], two[order]
+    _, place, inverse = np.unique(one, return_index=True, return_inverse=True)
+    again = place[inverse] != np.arange(len(one))
+    if again.any():
+        keep = ~again | (start >= end[place][inverse])
+        start, end, one, two, again = start[keep], end[keep], one[keep], two[keep], again[keep]
+    return start, end, one, two, again
+
+
+def _unit_rows(passage_words: int, spread: int, line_words: int):
     def rows(batches):
         import pyarrow as pa
 
-        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int32()))
+        hashes = WordHashes()
 
-        def emit(out):
-            columns = zip(*out, strict=True) if out else [()] * len(kinds)
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["id", "mark", "digest", "places"])
+        def emit(held):
+            sizes = [len(columns[0]) for _, _, columns in held]
+            ids = pa.array([i for i, _, _ in held], pa.int64()).take(pa.array(np.repeat(np.arange(len(held)), sizes)))
+            marks = np.repeat(np.array([m for _, m, _ in held], np.int64), sizes)
+            start, end, one, two, again = (np.concatenate(c) for c in zip(*(columns for _, _, columns in held), strict=True))
+            arrays = [ids, pa.array(marks), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(again)]
+            return pa.RecordBatch.from_arrays(arrays, ["id", "mark", "one", "two", "start", "end", "again"])
 
         for batch in batches:
-            out: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held: dict[bytes, list[int]] = {}
-                for start, end, words in units(text or "", least_words, by_sentence):
-                    held.setdefault(digest_of(words), []).extend((start, end))
-                mark = mark_of(text or "")
-                out += [(doc, mark, digest, places) for digest, places in held.items()]
-                if len(out) > 50_000:
-                    yield emit(out)
-                    out = []
-            yield emit(out)
+            held, size = [], 0
+            for doc, mark, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                held.append((doc, mark, units(text, hashes, passage_words, spread, line_words)))
+                size += len(held[-1][2][0])
+                if size > 50_000:
+                    yield emit(held)
+                    held, size = [], 0
+            if held:
+                yield emit(held)
 
     return rows
 
 
-def repeated_units(docs: DataFrame, least_words: int = 8, by_sentence: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_units(
+    docs: DataFrame, passage_words: int = PASSAGE_WORDS, spread: int = SPREAD, line_words: int = LINE_WORDS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """(id, mark, start, end, first_id): each unit that is not the earliest of its kind, with original offsets.
 
-    The earliest has the least id, then the least offset. Digests are 128 bits. A document gives one row for each digest, with all
-    places of it (start, end, start, ...). Rows go through one exchange by digest, texts are cut once, and the least id of a digest is
-    the window's, so that a line that a third of the documents hold is not paired with itself. Rows of null id rank last and are never
-    repeats of each other; rows that repeat an id are one document and not repeats of each other.
+    The earliest has the least id, then the least offset; `mark` is a hash of the text, which tells the texts of a repeated id
+    apart. Texts are cut into units once; digests, of 128 bits, are pre-aggregated to the least id before they move. Digests that very many
+    units have are few, as their number of rows must exceed a share of all: their rows are looked up in place, and the other rows meet
+    the repeated digests in a join, so that no task gathers a line that a third of the documents hold.
+
+    Rows that share an id aren't repeats of each other, but a text's own repeats are. Rows of null id rank after all ids, by
+    the hash of their text; equal texts of null id stay alike. Texts of null are left out.
     """
-    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    found = source.mapInArrow(_unit_rows(least_words, by_sentence), "id long, mark int, digest binary, places array<int>")
-    seen = found.withColumn("first_id", F.min("id").over(W.partitionBy("digest")))
-    own = F.coalesce(F.col("first_id").isNull() | (F.col("id") == F.col("first_id")), F.lit(False))
-    seen = seen.withColumn("own", own).where("not own or size(places) > 2")
-    rows = seen.select("*", F.explode(F.sequence(F.lit(0), F.size("places") - 1, F.lit(2))).alias("k")).where("not own or k > 0")
-    return rows.selectExpr("id", "mark", "places[k] AS start", "places[k + 1] AS end", "first_id")
+    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("mark"), F.col(f"`{text_col}`").alias("text"))
+    kinds = "id long, mark long, one long, two long, start int, end int, again boolean"
+    found = durable(source.where("text is not null").mapInArrow(_unit_rows(passage_words, spread, line_words), kinds), "units")
+    firsts = found.groupBy("one", "two").agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"), F.min(F.when(F.col("id").isNull(), F.col("mark"))).alias("first_mark")
+    )
+    firsts = durable(firsts.where("n > 1"), "repeated")
+    bound = max(HOT_ROWS, found.count() // HOT_SHARE)
+    hot = F.broadcast(firsts.where(F.col("n") > bound))
+    key = ["one", "two"]
+    seen = found.join(hot, key, "left_anti").join(firsts.where(F.col("n") <= bound), key).unionByName(found.join(hot, key))
+    later = F.when(F.col("first_id").isNull(), F.col("mark") != F.col("first_mark")).otherwise(F.coalesce(F.col("id") != F.col("first_id"), F.lit(True)))
+    return seen.where(later | F.col("again")).select("id", "mark", "start", "end", "first_id")
 
 
 def _cutter(columns: int, at: int):
-    """Replaces column `at` by what its spans leave; the spans are the last column.
-
-    A span counts if it is of this text: a repeated id may have several. Spans inside of another one
-    aren't listed; others may overlap.
-    """
+    """Replaces column `at` by what its spans leave; the spans are the last column. Spans inside of another one aren't listed; others may overlap."""
 
     def cut(batches):
         import pyarrow as pa
@@ -153,10 +172,9 @@ def _cutter(columns: int, at: int):
         for batch in batches:
             texts, removed, kept = [], [], []
             for text, gone in zip(batch.column(at).to_pylist(), batch.column(columns).to_pylist(), strict=True):
-                mark = mark_of(text) if text and gone else None
                 left, listed, here = [], [], 0
                 for g in sorted(gone or (), key=lambda g: (g["start"], -g["end"])):
-                    if g.pop("mark") != mark or g["end"] <= here:
+                    if g["end"] <= here:
                         continue
                     if g["start"] > here:
                         left.append((here, g["start"]))
@@ -174,17 +192,24 @@ def _cutter(columns: int, at: int):
     return cut
 
 
-def dedup_passages(docs: DataFrame, least_words: int = 8, by_sentence: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_passages(
+    docs: DataFrame, passage_words: int = PASSAGE_WORDS, spread: int = SPREAD, line_words: int = LINE_WORDS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """docs with repeated units cut out of the text, and two columns more.
 
     `removed` lists what was cut as (start, end, first_id), `kept_spans` what stays as (start,
-    end), both in code points of the original text; what was cut may overlap. Units are lines and windows of pieces of sentences, see units(). Null text stays null and empty stays empty. A row of null id
-    is left whole, as no later row can be told from it; columns named like the two are replaced.
+    end), both in code points of the original text; what was cut may overlap. Units are lines and paragraphs of line_words words on, and
+    passages of passage_words, see units(): any run of passage_words + spread - 1 words that an earlier text holds loses all but at most
+    spread - 1 words at either side. Shorter lines are common to independent texts and stay; a lower line_words takes them too.
+
+    Null text stays null and empty stays empty; ids are whole numbers. For rows that share an id and for null ids see
+    repeated_units(). Columns named like the two are replaced.
     """
     docs = docs.drop("removed", "kept_spans")
-    gone = repeated_units(docs.where(F.col(f"`{id_col}`").isNotNull()), least_words, by_sentence, id_col, text_col)
-    gone = gone.groupBy(F.col("id").alias("__id")).agg(F.sort_array(F.collect_set(F.struct("start", "end", "first_id", "mark"))).alias("__gone"))
-    ready = docs.join(gone, F.col(f"`{id_col}`") == F.col("__id"), "left").drop("__id")
+    gone = repeated_units(docs, passage_words, spread, line_words, id_col, text_col)
+    gone = gone.groupBy(F.col("id").alias("__id"), F.col("mark").alias("__mark")).agg(F.collect_set(F.struct("start", "end", "first_id")).alias("__gone"))
+    same = F.xxhash64(F.col(f"`{text_col}`")) == F.col("__mark")
+    ready = docs.join(gone, same & F.col(f"`{id_col}`").eqNullSafe(F.col("__id")), "left").drop("__id", "__mark")
     spans = "array<struct<start:int,end:int,first_id:bigint>>"
     schema = docs.select("*", F.array().cast(spans).alias("removed"), F.array().cast("array<struct<start:int,end:int>>").alias("kept_spans")).schema
     return ready.mapInArrow(_cutter(len(docs.columns), docs.columns.index(text_col)), schema)

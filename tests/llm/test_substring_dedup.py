@@ -1,116 +1,139 @@
 import random
+import re
 
-from barloom.llm.substring_dedup import dedup_passages, units
+import numpy as np
+
+from barloom.llm.common import WordHashes
+from barloom.llm.substring_dedup import dedup_passages, repeated_units, units, words_of
 
 SCHEMA = "doc_id long, text string, removed string"
 
 
-def brute(rows, by_sentence, least=8):
-    """Texts by id in order; a unit goes if its words were met before, by whatever text holds them first."""
-    first, out = {}, {}
-    ordered = sorted((r for r in rows if r[0] is not None), key=lambda r: r[0])
-    for doc, text, _ in ordered:
-        for _, _, words in units(text or "", least, by_sentence):
-            first.setdefault(" ".join(words), doc)
-    for doc, text, _ in ordered:
-        gone, seen, left = [], set(), [True] * len(text or "")
-        for a, b, words in units(text or "", least, by_sentence):
-            key = " ".join(words)
-            if first[key] != doc or key in seen:
-                gone.append((a, b, first[key]))
-                left[a:b] = [False] * (b - a)
-            seen.add(key)
-        outer = [g for g in gone if not any(o[0] <= g[0] and g[1] <= o[1] and o[:2] != g[:2] for o in gone)]
-        out[doc] = (None if text is None else "".join(c for c, k in zip(text, left) if k), sorted(set(outer)))
+def grams(text, n):
+    spans = [m.span() for m in re.finditer(r"\S+", text or "")]
+    words = (text or "").lower().split()
+    return spans, {k: " ".join(words[k : k + n]) for k in range(len(words) - n + 1)}
+
+
+def long_lines(text, least):
+    at = 0
+    for line in (text or "").splitlines(keepends=True):
+        if len(line.split()) >= least:
+            yield at, at + len(line), " ".join(line.lower().split())
+        at += len(line)
+
+
+def bounds(rows, passage=24, spread=16, line=16):
+    """For each text in order of id: characters that must go, and those that may, by comparing runs of words with those of the texts before."""
+    long_before, short_before, lines_before, out = set(), set(), set(), {}
+    for doc, text, _ in sorted(rows, key=lambda r: r[0]):
+        must, may = np.zeros(len(text or ""), bool), np.zeros(len(text or ""), bool)
+        spans, whole = grams(text, passage + spread - 1)
+        for k, words in whole.items():
+            if words in long_before:
+                inner = spans[k + spread - 1 : k + passage]
+                must[inner[0][0] : inner[-1][1]] = True
+        seen = {}
+        _, part = grams(text, passage)
+        for k, words in part.items():
+            if words in short_before or k - seen.setdefault(words, k) >= passage:
+                may[spans[k][0] : spans[k + passage - 1][1]] = True
+        own = set()
+        for a, b, words in long_lines(text, line):
+            if words in lines_before:
+                must[a:b] = may[a:b] = True
+            if words in own:
+                may[a:b] = True
+            own.add(words)
+        # a paragraph of lines that an earlier text has is a unit of its own, so blocks of lines may go too
+        long_before |= set(whole.values())
+        short_before |= set(part.values())
+        lines_before |= own
+        out[doc] = (must, may)
     return out
 
 
 def corpus():
     rng = random.Random(2)
-    sentences = [" ".join(f"w{rng.randrange(500)}" for _ in range(rng.randint(2, 18))) + rng.choice([".", "!", "?"]) for _ in range(120)]
+    passages = [" ".join(f"w{rng.randrange(5000)}" for _ in range(rng.choice([8, 20, 45, 60, 150]))) for _ in range(40)]
     rows = []
     for i in range(200):
-        parts = [rng.choice(sentences) if rng.random() < 0.5 else f"only {i} {k} is in this one and not in others." for k in range(rng.randint(0, 12))]
-        rows.append((i, "".join(p + rng.choice([" ", "\n", "  \n"]) for p in parts), "x"))
+        parts = [rng.choice(passages) if rng.random() < 0.4 else " ".join(f"own{i}x{k}y{j}" for j in range(rng.randint(1, 30))) for k in range(rng.randint(0, 10))]
+        rows.append((i, "".join(p + rng.choice([" ", "\n", "  \n", "\n\n"]) for p in parts), "x"))
     rng.shuffle(rows)
-    return rows + [(500, None, None), (501, "", None), (502, "No end of line but a b c d e f", None), (503, "no END of\tline but a b c d e f", None), (504, "Ünï ". lower() * 40_000, None)]
+    return rows + [(501, "", None), (504, "ünï ".upper() * 40_000, None), (505, "Ünï\t" * 40_000, None)]
 
 
-def test_matches_brute_force_by_sentence_and_by_line(spark):
+def test_between_what_must_and_what_may_go(spark):
+    rows = corpus()
+    rng = random.Random(3)
+    line = " ".join(f"l{k}" for k in range(16))
+    rows += [(300 + i, f"before {i}\n{line.upper() if i % 2 else line}  \nafter {rng.random()}", None) for i in range(5)]
+    got = dedup_passages(spark.createDataFrame([*rows, (500, None, None)], SCHEMA)).collect()
+    assert len(got) == len(rows) + 1
+    want, texts, cut = bounds(rows), {r[0]: r[1] for r in rows}, 0
+    for r in got:
+        if r.doc_id == 500:
+            assert r.text is None and r.removed == []
+            continue
+        text, (must, may) = texts[r.doc_id], want[r.doc_id]
+        gone = np.zeros(len(text), bool)
+        for g in r.removed:
+            gone[g.start : g.end] = True
+        assert r.text == "".join(c for c, k in zip(text, gone, strict=True) if not k)
+        assert "".join(text[s.start : s.end] for s in r.kept_spans) == r.text
+        assert not (must & ~gone).any(), r.doc_id
+        visible = np.array([not c.isspace() for c in text], bool)
+        assert not (gone & ~may & visible).any(), r.doc_id
+        assert all(g.first_id <= r.doc_id for g in r.removed)
+        cut += bool(r.removed)
+    assert cut > 80
+
+
+def test_hot_digests_are_found_in_place_alike(spark, monkeypatch):
     rows = corpus()
     df = spark.createDataFrame(rows, SCHEMA)
-    for by_sentence in (True, False):
-        want = brute(rows, by_sentence)
-        got = dedup_passages(df, by_sentence=by_sentence).collect()
-        assert len(got) == len(rows)
-        for r in got:
-            text, gone = want[r.doc_id]
-            assert r.text == text, r.doc_id
-            assert sorted((g.start, g.end, g.first_id) for g in r.removed) == gone
-        whole = {r[0]: r[1] or "" for r in rows}
-        assert all("".join(whole[r.doc_id][s.start : s.end] for s in r.kept_spans) == (r.text or "") for r in got)
+    plain = sorted(map(tuple, repeated_units(df).collect()))
+    monkeypatch.setattr("barloom.llm.substring_dedup.HOT_ROWS", 3)
+    monkeypatch.setattr("barloom.llm.substring_dedup.HOT_SHARE", 1 << 40)
+    assert sorted(map(tuple, repeated_units(df).collect())) == plain and plain
 
 
 def test_null_and_repeated_ids(spark):
-    line = "one two three four five six seven eight nine."
-    rows = [(None, line, None), (3, line, None), (3, line, None), (3, f"x y. {line} z", None), (4, f"{line.upper()} Rest stays.", None)]
+    line, other = " ".join(f"a{k}" for k in range(20)), " ".join(f"b{k}" for k in range(20))
+    rows = [(None, line, None), (3, line, None), (3, line, None), (3, f"x y.\n{line}\nz", None), (4, f"{line.upper()}\nRest stays.", None), (None, other, None), (None, other, None), (None, f"{other}\nend", None)]
     got = sorted((str(r.doc_id), r.text) for r in dedup_passages(spark.createDataFrame(rows, SCHEMA)).collect())
-    assert got == [("3", line), ("3", line), ("3", f"x y. {line} z"), ("4", " Rest stays."), ("None", line)]
+    assert got[:4] == [("3", line), ("3", line), ("3", f"x y.\n{line}\nz"), ("4", "Rest stays.")]
+    # of null ids the least text, by its hash, keeps what several hold; what an id holds goes; equal texts stay alike
+    assert got[4] == ("None", "") and got[5:] in ([("None", ""), ("None", ""), ("None", f"{other}\nend")], [("None", other), ("None", other), ("None", "end")])
     assert dedup_passages(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-def test_a_passage_inside_of_lines_goes_with_its_short_sentences(spark):
-    passage = "Alpha beta gamma delta epsilon zeta eta theta iota. So it. Then kappa lambda mu nu xi omicron pi rho sigma tau. Oh no."
-    rows = [(1, f"A first text of its own says this {passage} And ends.", None), (2, f"Another one. Here {passage} It goes on in its own words.", None), (3, "So it. Oh no.", None)]
-    got = {r.doc_id: r.text for r in dedup_passages(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert got[1] == rows[0][1] and got[3] == rows[2][1]
-    assert "kappa" not in got[2] and "So it." not in got[2] and "Oh no." not in got[2] and got[2].endswith("It goes on in its own words.")
-
-
-def planted(seed, n, length):
-    """Texts of own words, and a passage that starts and stops at any word of most of them."""
-    rng = random.Random(seed)
-    words = lambda k, tag: [f"{tag}{rng.randrange(3000)}" + rng.choice(["", "", "", "", ",", "."]) for _ in range(k)]
-    passages = [words(length, f"p{i}q") for i in range(3)]
-    rows, spans = [], {}
-    for i in range(n):
-        before, passage, after = words(rng.randint(5, 40), f"a{i}x"), passages[i % 3], words(rng.randint(5, 40), f"b{i}x")
-        rows.append((i, " ".join([*before, *passage, *after]), None))
-        spans[i] = (len(" ".join(before)) + 1, len(" ".join([*before, *passage])))
-    return rows, spans
-
-
-def test_passages_at_any_word_go_but_for_their_edges(spark):
-    rows, spans = planted(5, 60, 70)
-    # one sentence only, from mid-sentence to mid-sentence
-    single = " ".join(f"z{k}" for k in range(60))
-    rows += [(100, f"here it says {single} and so on", None), (101, f"elsewhere they wrote {single} but no more", None)]
-    spans |= {i: (rows[k][1].index("z0"), rows[k][1].index("z59") + 3) for i, k in ((100, 60), (101, 61))}
-    kept = total = 0
-    for r in dedup_passages(spark.createDataFrame(rows, SCHEMA)).collect():
-        text, (a, b) = dict((d, t) for d, t, _ in rows)[r.doc_id], spans[r.doc_id]
-        if r.doc_id < 3 or r.doc_id == 100:
-            assert r.text == text
-            continue
-        assert r.text.startswith(text[: a - 1]) and r.text.endswith(text[b:])
-        assert all(a - 1 <= g.start and g.end <= b for g in r.removed)
-        stays = len(r.text.split()) - len(text[:a].split()) - len(text[b:].split())
-        assert stays < 35, r.doc_id
-        kept, total = kept + stays, total + len(text[a:b].split())
-    assert kept < 0.2 * total
-
-
 def test_a_document_that_repeats_itself_keeps_a_whole_first_copy(spark):
-    line = " ".join(["again."] * 20)
-    (row,) = dedup_passages(spark.createDataFrame([(1, line, None)], SCHEMA)).collect()
-    assert row.text.split() == ["again."] * 8
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(1, f"{passage} between {passage}", None), (2, "again. " * 200, None)]
+    got = {r.doc_id: r.text for r in dedup_passages(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[1].startswith(f"{passage} between") and len(got[1].split()) < 61 + 32
+    assert 24 <= len(got[2].split()) < 200
 
 
-def test_short_whole_lines_go_but_not_the_same_words_inside_of_a_line(spark):
-    lines = ["All rights reserved.", "Share this page now", "版权所有不得转载。"]
-    rows = [(i, "\n".join([f"own a{i}", lines[0], f"b{i}", lines[1], f"c{i}", lines[2], f"d{i}", "yes"]), None) for i in range(3)]
-    rows.append((9, "He said: all rights reserved. Share this page now, and yes", None))
+def test_short_lines_and_clean_texts_stay_unless_asked_for(spark):
+    lines = ["All rights reserved.", "Share this page now"]
+    rows = [(i, "\n".join([f"own a{i}", lines[0], f"b{i}", lines[1], f"d{i}"]), None) for i in range(3)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert sorted(r.text for r in dedup_passages(df).collect()) == sorted(r[1] for r in rows)
+    got = {r.doc_id: r.text for r in dedup_passages(df, line_words=3).collect()}
+    assert got[0] == rows[0][1] and all(got[i].split() == f"own a{i} b{i} d{i}".split() for i in (1, 2))
+
+
+def test_words_of_scripts_without_spaces(spark):
+    words, starts, ends = words_of("Ab 版权 c所　İx\n")
+    assert words == ["ab", "版", "权", "c", "所", "İx".lower()] and starts.tolist() == [0, 3, 4, 6, 7, 9] and ends.tolist() == [2, 4, 5, 7, 8, 11]
+    for text in ("", " ", "a", " a", "a ", "a\tb c", "x" * 70_000):
+        words, starts, ends = words_of(text)
+        assert words == text.split() and [text[a:b] for a, b in zip(starts, ends)] == words
+    passage = "".join(chr(0x4E00 + 7 * k) for k in range(90))
+    rows = [(1, f"first {passage} one", None), (2, f"other words {passage}。", None)]
     got = {r.doc_id: r.text for r in dedup_passages(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert got[0] == rows[0][1] and got[9] == rows[3][1]
-    for i in (1, 2):
-        assert got[i].split() == f"own a{i} b{i} c{i} d{i} yes".split()
+    assert got[1] == rows[0][1] and len(got[2]) < len(rows[1][1]) - 50
+    assert all(len(c) == 0 for c in units("a b c", WordHashes()))
