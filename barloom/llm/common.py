@@ -9,6 +9,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: A key of more than 1 in HOT_SHARE of all rows, and of more than HOT_ROWS, is hot; so there are HOT_SHARE hot keys at most.
+HOT_ROWS, HOT_SHARE = 10_000, 20_000
 #: ASCII white space; a word is a run of anything else.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -36,6 +38,18 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def meet(rows: DataFrame, table: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
+    """rows (a stored table) with the columns of table that share their keys: an inner join that gathers no hot key.
+
+    table has each key once, with the number of its rows in the column n. The hot keys are at most HOT_SHARE, by
+    their share of all rows, so they are broadcast and their rows stay where they lie; all others meet by a shuffle.
+    """
+    bound = max(HOT_ROWS, rows.count() // HOT_SHARE)
+    hot = F.broadcast(table.where(F.col(n) > bound))
+    cold = rows.join(hot.select(*keys), keys, "left_anti").join(table.where(F.col(n) <= bound), keys)
+    return cold.unionByName(rows.join(hot, keys))
+
+
 def n_words(text: Column) -> Column:
     """Words of a text as a bigint; null counts 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

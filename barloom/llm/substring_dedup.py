@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import WordHashes, durable, mix, powers
+from barloom.llm.common import WordHashes, durable, meet, mix, powers
 
 #: Words of a line or paragraph from which on it may be a repeat by itself.
 LINE_WORDS = 16
@@ -14,8 +14,6 @@ LINE_WORDS = 16
 PASSAGE_WORDS, SPREAD = 24, 16
 #: Scripts that put no spaces between words: each of their characters counts as a word.
 UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
-#: A digest of more than 1 in HOT_SHARE of all units, and of more than HOT_ROWS, is looked up where its rows lie; so there are HOT_SHARE of them at most.
-HOT_ROWS, HOT_SHARE = 10_000, 20_000
 
 _SPACE = np.array([chr(c).isspace() for c in range(0x3001)] + [False])
 _BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
@@ -154,10 +152,7 @@ def repeated_units(
         F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"), F.min(F.when(F.col("id").isNull(), F.col("mark"))).alias("first_mark")
     )
     firsts = durable(firsts.where("n > 1"), "repeated")
-    bound = max(HOT_ROWS, found.count() // HOT_SHARE)
-    hot = F.broadcast(firsts.where(F.col("n") > bound))
-    key = ["one", "two"]
-    seen = found.join(hot, key, "left_anti").join(firsts.where(F.col("n") <= bound), key).unionByName(found.join(hot, key))
+    seen = meet(found, firsts, ["one", "two"])
     later = F.when(F.col("first_id").isNull(), F.col("mark") != F.col("first_mark")).otherwise(F.coalesce(F.col("id") != F.col("first_id"), F.lit(True)))
     return seen.where(later | F.col("again")).select("id", "mark", "start", "end", "first_id")
 

@@ -15,7 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import durable
+from barloom.llm.common import durable, meet
 
 #: Header fields of a URL record by version of the ARC format.
 ARC_FIELDS = {
@@ -51,10 +51,15 @@ def write_arc(records: list[tuple[str, str, str, str, bytes]], version: int = 1,
     return bytes(out)
 
 
+def _number(text: str) -> int | None:
+    """A number of ASCII digits; other digits aren't ones of a header."""
+    return int(text) if text.isascii() and text.isdigit() else None
+
+
 def _arc_line(line: bytes, fields: int) -> tuple[list[str], int] | None:
     """A header line's fields and declared length, or None if it isn't one. A URL may hold spaces: fields count from the right."""
     parts = line.decode("utf-8", "replace").rsplit(" ", fields - 1)
-    if len(parts) != fields or not parts[-1].isdigit() or not (parts[2].isdigit() and 4 <= len(parts[2]) <= 14):
+    if len(parts) != fields or _number(parts[-1]) is None or _number(parts[2]) is None or not 4 <= len(parts[2]) <= 14:
         return None
     return parts, int(parts[-1])
 
@@ -124,8 +129,8 @@ def split_http(block: bytes) -> tuple[bytes, bytes]:
     return block, b""
 
 
-def warc_fields(record: ArcRecord) -> dict[str, str]:
-    """What a WARC record says of an ARC record: same inputs, same identifier.
+def warc_fields(record: ArcRecord, archive: str = "") -> dict[str, str]:
+    """What a WARC record says of an ARC record: its identifier is of its contents and of its place in the archive.
 
     Dates of fewer than 14 digits are filled up; an impossible one becomes the start of 1970. Blocks that begin
     with a status line are responses, others resources of their own content type.
@@ -138,7 +143,7 @@ def warc_fields(record: ArcRecord) -> dict[str, str]:
         when = datetime(1970, 1, 1, tzinfo=timezone.utc)
     digest = sha1_base32(payload)
     date = when.strftime("%Y-%m-%dT%H:%M:%SZ")
-    name = "|".join([record.url, date, digest, sha1_base32(head)])
+    name = "|".join([record.url, date, digest, sha1_base32(head), archive, str(record.offset)])
     return {
         "WARC-Type": "response" if head else "resource",
         "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>",
@@ -167,8 +172,8 @@ def read_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             return
         lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
         fields = dict(line.split(": ", 1) for line in lines if ": " in line)
-        length = fields.get("Content-Length", "")
-        stop = end + 4 + int(length) if length.isdigit() else -1
+        length = _number(fields.get("Content-Length", ""))
+        stop = -1 if length is None else end + 4 + length
         if stop < 0 or stop > len(data):
             at = end
             continue
@@ -184,56 +189,86 @@ RECORD = "page_id long, digest string, payload_bytes long, record_id string, dat
 ARCHIVED = 200
 
 
-def convert_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Pages written as ARC files of up to 200 records, by turns of version 1 and 2, and converted: a row for each record.
+def _header(head: bytes, name: bytes) -> str | None:
+    """The value of an HTTP header, or None."""
+    mark = head.find(b"\n" + name + b": ")
+    return head[mark + len(name) + 3 :].split(b"\n", 1)[0].strip().decode("utf-8", "replace") if mark >= 0 else None
+
+
+def _page_of(head: bytes) -> int | None:
+    value = _header(head, b"X-Page-Id") or ""
+    n = _number(value.removeprefix("-"))
+    return n if n is None or not value.startswith("-") else -n
+
+
+def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(name, content): pages written as ARC files of up to 200 records, by turns of version 1 and 2.
 
-    The page's id travels in the block's HTTP headers. Null html is an empty payload, null url is '-'.
+    The page's id, a whole number, travels in the block's HTTP headers. Null html is an empty payload, null url is '-'.
     """
 
-    def convert(batches):
+    def write(batches):
         import pyarrow as pa
         import pyarrow.compute as pc
+        from pyspark import TaskContext
 
-        names = [c.split()[0] for c in RECORD.split(", ")]
-        turn = 0
+        part, turn = TaskContext.get().partitionId(), 0
         for batch in batches:
             for at in range(0, batch.num_rows, ARCHIVED):
-                part, rows = batch.slice(at, ARCHIVED), []
-                records = []
-                for page, url, html in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), pc.cast(part.column(2), pa.binary()).to_pylist(), strict=True):
+                piece, records = batch.slice(at, ARCHIVED), []
+                for page, url, html in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), pc.cast(piece.column(2), pa.binary()).to_pylist(), strict=True):
                     head = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n" + ("" if page is None else f"X-Page-Id: {page}\r\n") + "\r\n"
                     records.append((url or "-", "0.0.0.0", "20240101000000", "text/html", head.encode() + (html or b"")))
                 turn += 1
-                for record in read_arc(write_arc(records, 1 + turn % 2)):
-                    fields = warc_fields(record)
+                name = f"pages-{part:05d}-{turn:05d}.arc"
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([write_arc(records, 1 + turn % 2, name)], pa.binary())], ["name", "content"])
+
+    rows = pages.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{url_col}`").cast("string"), F.col(f"`{html_col}`").cast("string"))
+    return rows.mapInArrow(write, "name string, content binary")
+
+
+def convert_archives(archives: DataFrame, name_col: str = "name", content_col: str = "content") -> DataFrame:
+    """A row for each record of stored ARC files (name, content), gzipped or not, with what a WARC record says of it.
+
+    page_id is the number in the block's X-Page-Id header, null where there is none. Null content has no records; the names of
+    files should differ, as identifiers are made of them.
+    """
+
+    def convert(batches):
+        import pyarrow as pa
+
+        names = [c.split()[0] for c in RECORD.split(", ")]
+        kinds = [{"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[c.split()[1]] for c in RECORD.split(", ")]
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                rows = []
+                for record in read_arc(content.as_py() or b""):
+                    fields = warc_fields(record, name or "")
                     head, payload = split_http(record.block)
-                    mark = head.find(b"X-Page-Id: ")
-                    page = int(head[mark + 11 : head.index(b"\r\n", mark)]) if mark >= 0 else None
                     rows.append(
-                        (page, fields["WARC-Payload-Digest"][5:], len(payload), fields["WARC-Record-ID"], fields["WARC-Date"], record.url, record.ip)
+                        (_page_of(head), fields["WARC-Payload-Digest"][5:], len(payload), fields["WARC-Record-ID"], fields["WARC-Date"], record.url, record.ip)
                         + (fields["WARC-Type"], fields["Content-Type"], record.block)
                     )
-                kinds = [{"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[c.split()[1]] for c in RECORD.split(", ")]
+                    if len(rows) == ARCHIVED:
+                        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
+                        rows = []
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
 
-    rows = pages.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{url_col}`").cast("string"), F.col(f"`{html_col}`").cast("string"))
-    return rows.mapInArrow(convert, RECORD)
+    return archives.select(F.col(f"`{name_col}`").cast("string"), F.col(f"`{content_col}`").cast("binary")).mapInArrow(convert, RECORD)
 
 
 def write_archives(records: DataFrame, archive_bytes: int = 1 << 20, compress: bool = False) -> DataFrame:
-    """(archive, n_records, content): WARC files of about archive_bytes of the converted records.
+    """(archive, n_records, content): WARC files of about archive_bytes of the converted records, a stored table.
 
     Of records of one payload those of the least page_id are whole, others are revisits that refer to it
-    and hold the headers alone. Which is the least is settled on ids and digests; records move
+    and hold the headers alone. Which is the least is settled on ids and digests, pre-aggregated by digest; records move
     once, by their identifier, so that a payload that very many pages have isn't dealt to one task.
     """
-    least = records.groupBy("digest").agg(F.min("page_id").alias("first_page"), F.count(F.lit(1)).alias("n")).where("n > 1")
     narrow = records.select("digest", "page_id", "record_id", "url", "date")
-    firsts = narrow.join(least, "digest")
-    origin = firsts.where("page_id = first_page").groupBy("digest").agg(F.min(F.struct("record_id", "url", "date")).alias("origin"))
-    later = firsts.where("page_id is null or page_id <> first_page").where("first_page is not null")
-    # The headers hold the page's id, so an identifier is one page's.
-    later = later.join(origin, "digest").groupBy("record_id").agg(F.first("origin").alias("origin"))
+    place = F.struct(F.col("page_id").isNull().alias("unknown"), "page_id", "record_id", "url", "date")
+    least = narrow.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("origin"))
+    least = durable(least.where("n > 1 and origin.page_id is not null"), "least")
+    later = meet(narrow, least, ["digest"]).where("page_id is null or page_id <> origin.page_id").select("record_id", "origin")
     ready = records.join(later, "record_id", "left").select(
         "page_id", "digest", "payload_bytes", "record_id", "date", "url", "ip", "kind", "content_type", "block", "origin"
     )
@@ -293,10 +328,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
                 rows = []
                 for fields, block in read_warc(content.as_py() or b""):
                     head, payload = split_http(block)
-                    mark = head.find(b"X-Page-Id: ")
-                    page = int(head[mark + 11 : head.index(b"\r\n", mark)]) if mark >= 0 else None
-                    revisit = fields.get("WARC-Type") == "revisit"
-                    length = int(fields.get("X-Payload-Length", 0)) if revisit else len(payload)
+                    page, revisit = _page_of(head), fields.get("WARC-Type") == "revisit"
+                    length = _number(fields.get("X-Payload-Length", "")) if revisit else len(payload)
                     digest = fields.get("WARC-Payload-Digest", "")[5:] if revisit else sha1_base32(payload)
                     rows.append((fields.get("WARC-Record-ID"), fields.get("WARC-Type"), fields.get("WARC-Target-URI"), fields.get("WARC-Date"), page, length, digest, fields.get("WARC-Refers-To")))
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
@@ -310,13 +343,17 @@ def archive_round_trip(pages: DataFrame, **columns) -> DataFrame:
     Rows that repeat a page_id and its payload are all responses, or all revisits of a lesser page; a null
     page_id ranks last, so it revisits any page of the same payload, and is a response where there is none.
     """
-    back = read_archives(durable(write_archives(durable(convert_pages(pages, **columns), "records")), "archives"))
-    back = durable(back.select("page_id", "payload_bytes", "payload_digest", "record_type", "record_id", "refers_to_record"), "records")
-    wanted = back.where("record_type = 'revisit'").select(F.col("refers_to_record").alias("record_id")).distinct()
-    origins = back.where("record_type <> 'revisit'").join(wanted, "record_id").groupBy("record_id").agg(F.min("page_id").alias("refers_to"))
-    return back.join(origins.withColumnRenamed("record_id", "refers_to_record"), "refers_to_record", "left").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
-    )
+    records = durable(convert_archives(archive_pages(pages, **columns)), "records")
+    back = read_archives(durable(write_archives(records), "archives"))
+    back = durable(back.select("page_id", "payload_bytes", "payload_digest", "record_type", "record_id", "refers_to_record"), "read-back")
+    whole = back.where("record_type <> 'revisit'")
+    again = back.where("record_type = 'revisit'")
+    # Responses refer to nothing, so only revisits look for their origin.
+    wanted = again.groupBy(F.col("refers_to_record").alias("record_id")).agg(F.count(F.lit(1)).alias("n"))
+    origins = durable(whole.select("record_id", F.col("page_id").alias("refers_to")).join(wanted, "record_id").withColumnRenamed("record_id", "refers_to_record"), "origins")
+    columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    found = meet(again, origins, ["refers_to_record"]).select(*columns)
+    return whole.withColumn("refers_to", F.lit(None).cast("long")).select(*columns).unionByName(found)
 
 
 #: DuckDB gives SHA-1 as hexadecimal digits: 40 of them are 32 groups of five bits.

@@ -94,8 +94,8 @@ def test_hot_digests_are_found_in_place_alike(spark, monkeypatch):
     rows = corpus()
     df = spark.createDataFrame(rows, SCHEMA)
     plain = sorted(map(tuple, repeated_units(df).collect()))
-    monkeypatch.setattr("barloom.llm.substring_dedup.HOT_ROWS", 3)
-    monkeypatch.setattr("barloom.llm.substring_dedup.HOT_SHARE", 1 << 40)
+    monkeypatch.setattr("barloom.llm.common.HOT_ROWS", 3)
+    monkeypatch.setattr("barloom.llm.common.HOT_SHARE", 1 << 40)
     assert sorted(map(tuple, repeated_units(df).collect())) == plain and plain
 
 

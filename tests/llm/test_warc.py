@@ -2,8 +2,9 @@ import gzip
 
 from barloom.llm.warc import (
     ARCHIVE_SQL,
+    archive_pages,
     archive_round_trip,
-    convert_pages,
+    convert_archives,
     read_arc,
     read_archives,
     read_warc,
@@ -55,7 +56,21 @@ def test_fields_are_synthesised_alike_each_time():
     assert (first["WARC-Type"], dns["WARC-Type"], dns["Content-Type"]) == ("response", "resource", "text/dns")
     assert first["WARC-Date"] == "2001-02-03T04:05:06Z" and dns["WARC-Date"] == "2001-02-03T00:00:00Z" and late["WARC-Date"].startswith("1970")
     assert first["WARC-Payload-Digest"] == "sha1:" + sha1_base32(b"hello\n\nworld")
-    assert first == next(warc_fields(r) for r in read_arc(write_arc(RECORDS, 1)))
+    assert first == next(warc_fields(r) for r in read_arc(write_arc(RECORDS, 2)))
+    twice = [warc_fields(r, "a.arc")["WARC-Record-ID"] for r in read_arc(write_arc(RECORDS[:1] * 2, 1))]
+    assert len({*twice, first["WARC-Record-ID"]}) == 3
+
+
+def test_digits_of_other_scripts_are_no_header(spark):
+    odd = write_arc(RECORDS, 1).replace(b" text/dns 25\n", " text/dns ²5\n".encode()).replace(b"20010203040506", "2001020304050٦".encode())
+    assert [r.url for r in read_arc(odd)] == ["http://b.example/"]
+    warc = write_warc_record({"N": "1"}, b"abc") + write_warc_record({"N": "2"}, b"de")
+    assert [f["N"] for f, _ in read_warc(warc.replace(b"Content-Length: 3", "Content-Length: ³".encode()))] == ["2"]
+    block = b"HTTP/1.1 200 OK\r\nX-Page-Id: \xc2\xb2\r\n\r\nabc"
+    files = [("a.arc", write_arc([("u", "::1", "20010203", "t", block)])), ("b.arc.gz", gzip.compress(write_arc(RECORDS))), ("c.arc", None), ("d.arc", b"")]
+    got = convert_archives(spark.createDataFrame(files, "name string, content binary")).collect()
+    assert sorted((r.url, r.page_id, r.payload_bytes) for r in got) == [("dns:a.example", None, 25), ("http://a.example/x%20y", None, 12), ("http://b.example/", None, 0), ("u", None, 3)]
+    assert len({r.record_id for r in got}) == 4
 
 
 def test_warc_records_round_trip_and_damage_is_left_out():
@@ -81,9 +96,23 @@ def test_pages_round_trip_matches_sql(spark):
     assert archive_round_trip(df.limit(0)).count() == 0
 
 
+def test_urls_like_version_blocks_hot_payloads_and_repeated_rows(spark, monkeypatch):
+    import duckdb
+
+    monkeypatch.setattr("barloom.llm.common.HOT_ROWS", 2)
+    monkeypatch.setattr("barloom.llm.common.HOT_SHARE", 1 << 40)
+    rows = [(i, "filedesc://x" if i % 3 else "filedesc:", [None, "a", "b"][i % 2 + (i > 30)]) for i in range(40)] + [(7, "u", "a"), (7, "u", "a"), (1, "u", "a"), (1, "u", "a"), (None, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    con = duckdb.connect()
+    con.register("pages", df.toArrow())
+    assert sorted(map(repr, map(tuple, archive_round_trip(df).collect()))) == sorted(map(repr, con.execute(ARCHIVE_SQL).fetchall()))
+    ids = [r.record_id for r in convert_archives(archive_pages(df)).collect()]
+    assert len(ids) == len(set(ids)) == len(rows)
+
+
 def test_compressed_archives_hold_each_record_once(spark):
     df = spark.createDataFrame([(i, "u", "abc" * (i % 3), None) for i in range(50)], "page_id long, url string, html string, digest string")
-    archives = write_archives(convert_pages(df), archive_bytes=2000, compress=True)
+    archives = write_archives(convert_archives(archive_pages(df)), archive_bytes=2000, compress=True)
     kept = [(r.archive, r.n_records) for r in archives.collect()]
     assert len(kept) > 1 and all(a.endswith(".warc.gz") for a, _ in kept) and sum(n for _, n in kept) == 50
     back = read_archives(archives).collect()
