@@ -12,13 +12,13 @@ CALM = 0.10
 PASSES = 10
 
 
-def universe(rows: DataFrame, top: int, lookback: int, rebalance: int, min_history: int = 0) -> DataFrame:
-    """(symbol, idx, traded, place) at each rebalance bar: the most traded over the last `lookback` bars with a price and a history."""
+def universe(rows: DataFrame, top: int, lookback: int, rebalance: int, min_history: int = 0, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(symbol, idx, traded, place) and the columns `carry` at each rebalance bar: the most traded over the last `lookback` bars with a price and a history."""
     along = W.partitionBy("symbol").orderBy("idx")
     traded = rows.withColumn("traded", F.sum("turnover").over(along.rowsBetween(-(lookback - 1), 0)))
     ready = traded.where((F.col("idx") >= 1) & (F.col("idx") % rebalance == 0) & F.col("price").isNotNull() & (F.col("idx") - F.col("first_idx") >= min_history))
     place = F.row_number().over(W.partitionBy("idx").orderBy(F.col("traded").desc(), "symbol"))
-    return ready.withColumn("place", place).where(F.col("place") <= top).select("symbol", "idx", "traded", "place")
+    return ready.withColumn("place", place).where(F.col("place") <= top).select("symbol", "idx", "traded", "place", *carry)
 
 
 def trailing_vol(rows: DataFrame, window: int, per_year: float) -> DataFrame:
@@ -62,82 +62,109 @@ def trend_ok(rows: DataFrame, bars: int) -> DataFrame:
 
 
 def positions(rows: DataFrame, weights: DataFrame, rebalance: int, gate: bool = False) -> DataFrame:
-    """(symbol, fill, idx, weight, price, sold): each holding bar by bar from its fill to the bar of the next fill, the last known price where there is none.
+    """(symbol, fill, until, idx, weight, ratio, gone, sale): each holding bar by bar, from its fill to the bar of the next one.
 
-    A decision at bar d is filled at d + 1 and held to d + 1 + rebalance. With a gate, a name whose `up` fails at a
-    close is sold at the next one, where its price stops; it comes back at a rebalance at the earliest.
+    A decision at bar d is filled at d + 1 and held until the next decision that has targets is filled, or the calendar ends;
+    `ratio` is the price over that of the fill, and a bar without a price, or after one without, leaves it as it is. With a gate, a name
+    whose `up` fails at a close between decisions is sold at the next one: `sale` there, `gone` from there on, and its ratio
+    stays. Decisions should be made among names that are `up`; one that was sold comes back by them alone.
     """
-    held = weights.select("symbol", (F.col("idx") + 1).alias("fill"), "weight")
-    spans = held.withColumn("idx", F.explode(F.sequence(F.col("fill"), F.col("fill") + rebalance)))
-    out = spans.join(rows.select("symbol", "idx", "price", *(["up"] if gate else [])), ["symbol", "idx"])
+    was = F.lag("price").over(W.partitionBy("symbol").orderBy("idx"))
+    moves = rows.select("symbol", "idx", F.coalesce(F.col("price") / F.when(was > 0, was), F.lit(1.0)).alias("move"), *(["up"] if gate else []))
+    # One row a rebalance.
+    fills = weights.select((F.col("idx") + 1).alias("fill")).distinct().crossJoin(F.broadcast(rows.agg(F.max("idx").alias("last")))).where("fill <= last")
+    fills = fills.select("fill", F.coalesce(F.lead("fill").over(W.orderBy("fill")), F.col("last")).alias("until"))
+    held = weights.select("symbol", (F.col("idx") + 1).alias("fill"), "weight").join(fills, "fill")
+    out = held.withColumn("idx", F.explode(F.sequence("fill", "until"))).join(moves, ["symbol", "idx"])
     along = W.partitionBy("symbol", "fill").orderBy("idx")
-    seen = along.rowsBetween(W.unboundedPreceding, 0)
-    failed = F.max((~F.col("up")).cast("int")).over(along.rowsBetween(W.unboundedPreceding, -1)) if gate else F.lit(0)
-    out = out.withColumn("gone", F.coalesce(failed, F.lit(0)) == 1).withColumn("price", F.last("price", ignorenulls=True).over(seen))
-    # The first bar of `gone` is the sale: its price is the last that counts.
-    runs = W.partitionBy("symbol", "fill", "gone").orderBy("idx").rowsBetween(W.unboundedPreceding, 0)
-    return out.select("symbol", "fill", "idx", "weight", F.when(F.col("gone"), F.first("price").over(runs)).otherwise(F.col("price")).alias("price"), F.col("gone").alias("sold"))
+    if gate:
+        fails = (~F.col("up") & (F.col("idx") % rebalance != 0)).cast("int")
+        before = lambda n: F.coalesce(F.max(fails).over(along.rowsBetween(W.unboundedPreceding, -n)) == 1, F.lit(False))
+        out = out.withColumn("gone", before(1)).withColumn("__left", before(2))
+    else:
+        out = out.withColumn("gone", F.lit(False)).withColumn("__left", F.lit(False))
+    earned = F.when((F.col("idx") == F.col("fill")) | F.col("__left"), F.lit(1.0)).otherwise(F.col("move"))
+    ratio = F.product(earned).over(along.rowsBetween(W.unboundedPreceding, 0))
+    return out.select("symbol", "fill", "until", "idx", "weight", ratio.alias("ratio"), "gone", (F.col("gone") & ~F.col("__left")).alias("sale"))
+
+
+def book_bars(held: DataFrame) -> DataFrame:
+    """(idx, fill, unit, growth, exits, alive, swaps) for each bar from the first fill on: what a book needs, whatever its scale.
+
+    unit is the value, at this bar and before its trades, of one invested at the fill of the book that came into it, growth what the bar
+    made of it; exits and alive are the parts of it in names that are sold here and that stay. On the bar of a fill, swaps has
+    (new, old) for each name: its new weight, and its part of unit so far.
+    """
+    value = F.col("weight") * F.col("ratio")
+    per = held.groupBy("fill", "idx").agg(
+        (1 + F.sum(F.col("weight") * (F.col("ratio") - 1))).alias("unit"), F.sum(F.when(F.col("sale"), value).otherwise(F.lit(0.0))).alias("exits"),
+        F.sum(F.when(F.col("gone"), F.lit(0.0)).otherwise(value)).alias("alive"),
+    )
+    growth = F.col("unit") / F.nullif(F.lag("unit").over(W.partitionBy("fill").orderBy("idx")), F.lit(0.0))
+    per = per.withColumn("growth", F.coalesce(growth, F.lit(1.0))).where("idx > fill")
+    ends = held.where("(idx = fill) or (idx = until)").join(held.select(F.col("fill").alias("idx")).distinct(), "idx")
+    new = F.when(F.col("idx") == F.col("fill"), F.col("weight")).otherwise(F.lit(0.0))
+    old = F.when((F.col("idx") > F.col("fill")) & ~F.col("gone"), value).otherwise(F.lit(0.0))
+    swaps = ends.groupBy("idx", "symbol").agg(F.sum(new).alias("new"), F.sum(old).alias("old")).groupBy("idx").agg(F.collect_list(F.struct("new", "old")).alias("swaps"))
+    both = per.join(swaps, "idx", "full_outer")
+    fill = F.when(F.col("swaps").isNotNull(), F.col("idx")).otherwise(F.col("fill"))
+    zero = lambda c, v=0.0: F.coalesce(c, F.lit(v)).alias(c)
+    return both.select("idx", fill.alias("fill"), "unit", zero("growth", 1.0), zero("exits"), zero("alive"), "swaps")
 
 
 def unit_book(held: DataFrame, rate: float = 0.001) -> DataFrame:
-    """(idx, fill, growth, turnover, invested, equity) for each bar from the first fill on.
+    """(idx, fill, growth, turnover, invested, cost, equity) for each bar from the first fill on, fully invested.
 
-    A book's value since its fill is 1 + sum(weight * (price / price at fill - 1)). On the bar of a fill the old book
-    earns up to that close; then the new weights are traded against what the old ones have drifted to. A name that
-    the gate sells is traded at its sale.
+    On the bar of a fill the old book earns up to that close; names that the gate sells there are sold first, then the new weights
+    are traded against what the old ones have drifted to. Each trade costs `rate` of what it moves.
     """
-    along = W.partitionBy("symbol", "fill").orderBy("idx")
-    rows = held.withColumn("ratio", F.coalesce(F.col("price") / F.first("price").over(along), F.lit(1.0)))
-    rows = rows.withColumn("unit", 1 + F.sum(F.col("weight") * (F.col("ratio") - 1)).over(W.partitionBy("fill", "idx"))).withColumn("share", F.col("weight") * F.col("ratio") / F.col("unit"))
-    rows = rows.withColumn("sale", F.col("sold") & ~F.coalesce(F.lag("sold").over(along), F.lit(False)))
-    # Each name's row of a bar moves: at its sale; on the bar of a fill, between what the old book drifted to and the new weight.
-    filled = F.max(F.col("idx") == F.col("fill")).over(W.partitionBy("idx"))
-    rows = rows.withColumn("ends", filled & (F.col("idx") > F.col("fill")))
-    old = F.when(F.col("ends") & ~F.col("sold"), F.col("share")).otherwise(F.lit(0.0))
-    new = F.when(F.col("idx") == F.col("fill"), F.col("weight")).otherwise(F.lit(0.0))
-    moved = rows.groupBy("idx", "symbol").agg(
-        F.abs(F.sum(new) - F.sum(old)).alias("swap"), F.sum(F.when(F.col("sale") & ~F.col("ends"), F.col("share")).otherwise(F.lit(0.0))).alias("sold"),
-        F.max(F.struct("fill", F.when(F.col("sold"), F.lit(0.0)).otherwise(F.col("share")).alias("share"))).alias("now"),
-        F.max(F.when(F.col("idx") > F.col("fill"), F.struct("fill", "unit"))).alias("held"),
-    )
-    fill = F.max("now.fill").over(W.partitionBy("idx"))
-    per = moved.withColumn("fill", fill).groupBy("idx", "fill").agg(
-        F.sum(F.col("swap") + F.col("sold")).alias("turnover"), F.sum(F.when(F.col("now.fill") == F.col("fill"), F.col("now.share"))).alias("invested"), F.max("held").alias("held")
-    )
+    unit = F.coalesce(F.nullif(F.col("unit"), F.lit(0.0)), F.lit(1.0))
+    book = book_bars(held).withColumn("__sold", F.col("exits") / unit)
+    moved = F.aggregate("swaps", F.lit(0.0), lambda total, x: total + F.abs(x["new"] - x["old"] / unit))
+    invested = F.when(F.col("swaps").isNotNull(), F.aggregate("swaps", F.lit(0.0), lambda total, x: total + x["new"])).otherwise(F.col("alive") / unit)
+    book = book.withColumn("__moved", F.coalesce(moved, F.lit(0.0))).withColumn("invested", invested)
+    kept = F.greatest(1 - F.col("__sold") * rate, F.lit(0.0)) * F.greatest(1 - F.col("__moved") * rate, F.lit(0.0))
     before = W.orderBy("idx")
-    last = F.lag("held").over(before)
-    growth = F.when(F.col("held").isNull(), F.lit(1.0)).otherwise(F.col("held.unit") / F.when(last["fill"] == F.col("held.fill"), last["unit"]).otherwise(F.lit(1.0)))
-    book = per.withColumn("growth", growth).select("idx", "fill", "growth", "turnover", "invested")
-    factor = F.col("growth") * F.greatest(1 - F.col("turnover") * rate, F.lit(0.0))
-    return book.withColumn("__f", factor).withColumn("equity", F.product("__f").over(before.rowsBetween(W.unboundedPreceding, 0))).drop("__f")
+    book = book.withColumn("__kept", kept).withColumn("equity", F.product(F.col("growth") * F.col("__kept")).over(before.rowsBetween(W.unboundedPreceding, 0)))
+    cost = F.coalesce(F.lag("equity").over(before), F.lit(1.0)) * F.col("growth") * (1 - F.col("__kept"))
+    return book.select("idx", "fill", "growth", (F.col("__sold") + F.col("__moved")).alias("turnover"), "invested", cost.alias("cost"), "equity")
 
 
-def budget_scaled(book: DataFrame, budget: float, vol_window: int, per_year: float, rate: float = 0.001) -> DataFrame:
-    """Adds `scale` and `scaled_equity` to (book_id, idx, fill, growth, turnover): exposure cut where the book's own volatility exceeds the budget.
+def budget_scaled(bars: DataFrame, budget: float, vol_window: int, per_year: float, rate: float = 0.001) -> DataFrame:
+    """(book_id, idx, fill, scale, turnover, invested, equity) of book_bars() with a book_id: exposure is cut where the book's own volatility exceeds the budget.
 
-    The scale is set at fills, from the deviation of the scaled book's last returns; it feeds back, so each book is walked.
+    The scale of a fill is set at its decision, a bar before, from the deviation of the scaled book's last vol_window returns; a book is then
+    worth 1 + scale * (unit - 1) since its fill. This feeds back, so each book is walked, one row a bar; books run in parallel. Bars of
+    the calendar before the first fill count as flat.
     """
 
     def step(rows):
-        equity, scale, levels, scales, curve = 1.0, 1.0, [1.0], [], []
-        for i, (idx, fill, growth, turnover) in enumerate(zip(rows["idx"], rows["fill"], rows["growth"], rows["turnover"], strict=True)):
-            equity *= 1 + scale * (growth - 1)
-            if idx == fill:
-                recent = [b / a - 1 for a, b in zip(levels[-vol_window - 1 :], levels[-vol_window:], strict=False) if a > 0]
-                was = scale
-                if len(levels) > vol_window and len(recent) > 3:
-                    mean = sum(recent) / len(recent)
-                    real = (sum((x - mean) ** 2 for x in recent) / len(recent) * per_year) ** 0.5
-                    scale = min(1.0, budget / real) if real > 0 else 1.0
-                equity *= max(0.0, 1 - rate * (turnover * scale + abs(scale - was)))
-            else:
-                equity *= max(0.0, 1 - rate * turnover * scale)
+        first = int(rows["idx"].iloc[0])
+        equity, scale, unit, levels, out = 1.0, 1.0, 1.0, [1.0] * first, []
+        for value, exits, alive, swaps in zip(*(rows[c] for c in ("unit", "exits", "alive", "swaps")), strict=True):
+            worth, turnover = 1.0, 0.0
+            if value == value and value is not None:
+                worth = 1 + scale * (value - 1)
+                equity *= worth / (1 + scale * (unit - 1))
+                turnover, unit = scale * exits / worth, value
+                equity *= max(0.0, 1 - rate * turnover)
+            invested = scale * alive / worth
+            if swaps is not None:
+                now = 1.0
+                if len(levels) > vol_window:
+                    recent = [b / a - 1 for a, b in zip(levels[-vol_window - 1 :], levels[-vol_window:], strict=False) if a > 0]
+                    mean = sum(recent) / max(len(recent), 1)
+                    real = (sum((x - mean) ** 2 for x in recent) / len(recent) * per_year) ** 0.5 if len(recent) > 3 else 0.0
+                    now = min(1.0, budget / real) if real > 0 else 1.0
+                moved = sum(abs(now * x["new"] - scale * x["old"] / worth) for x in swaps)
+                equity *= max(0.0, 1 - rate * moved)
+                turnover, scale, unit, invested = turnover + moved, now, 1.0, now * sum(x["new"] for x in swaps)
             levels.append(equity)
-            scales.append(scale)
-            curve.append(equity)
-        return {"scale": scales, "scaled_equity": curve}
+            out.append((scale, turnover, invested, equity))
+        return dict(zip(("scale", "turnover", "invested", "equity"), map(list, zip(*out, strict=True)), strict=True))
 
-    return fold(book.withColumn("time", F.col("idx")), ["book_id"], step, {"scale": "double", "scaled_equity": "double"}).drop("time")
+    walked = fold(bars.withColumn("time", F.col("idx")), ["book_id"], step, dict.fromkeys(("scale", "turnover", "invested", "equity"), "double"))
+    return walked.select("book_id", "idx", "fill", "scale", "turnover", "invested", "equity")
 
 
 def single_hold(rows: DataFrame, symbol: str, rate: float = 0.001) -> DataFrame:
@@ -152,8 +179,16 @@ def shares(book: DataFrame) -> DataFrame:
     return book.agg(F.avg("invested").alias("invested"), F.avg((F.col("invested") <= 0).cast("double")).alias("flat"), F.avg("turnover").alias("turnover"))
 
 
-def restricted(book: DataFrame, first: int, last: int) -> DataFrame:
-    """The bars from first to last, equity rebased to 1 at the first and indexed from 0."""
-    rows = book.where(F.col("idx").between(first, last))
-    base = F.first("equity").over(W.orderBy("idx").rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-    return rows.select((F.col("idx") - first).alias("idx"), (F.col("equity") / base).alias("equity"), "invested", "turnover")
+def restricted(book: DataFrame, first: int, last: int | None = None, hold: DataFrame | None = None, rate: float = 0.001) -> DataFrame:
+    """The bars from first to last, or to the end, of a book as it stood: indexed from 0, equity 1 at the first, costs of what it then had.
+
+    hold, (idx, hold), is bought anew: it starts at 1 less one side's cost. No rows where fewer than three bars are there.
+    """
+    rows = book.where(F.col("idx") >= first if last is None else F.col("idx").between(first, last))
+    if hold is not None:
+        rows = rows.join(hold, "idx", "left")
+    whole = W.orderBy("idx").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    based = [(F.col(c) / F.first("equity").over(whole)).alias(c) for c in ("equity", "cost") if c in book.columns]
+    bought = [] if hold is None else [(F.col("hold") / F.first("hold").over(whole) * (1 - rate)).alias("hold")]
+    rows = rows.withColumn("__n", F.count(F.lit(1)).over(W.partitionBy())).where("__n >= 3")
+    return rows.select((F.col("idx") - first).alias("idx"), *based, "invested", "turnover", *bought)

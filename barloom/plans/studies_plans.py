@@ -50,9 +50,11 @@ vol AS (SELECT symbol, idx, CASE WHEN count(r) OVER x >= 3 THEN stddev_pop(r) OV
 on_bars("wn19_trailing_vol", "brands", lambda b: R.trailing_vol(rows_of(b), VOL, PER_YEAR).select("symbol", "idx", r6("vol", "vol")), f"{AL}, {VOLS} SELECT symbol, idx, round(vol, 6) AS vol FROM vol")
 
 
-def weights_of(b, scheme):
-    vols = R.trailing_vol(rows_of(b), VOL, PER_YEAR).select("symbol", "idx", "vol")
-    return R.weighted(uni(b).join(vols, ["symbol", "idx"]), scheme)
+def weights_of(b, scheme, gate=False):
+    """Weights among the universe, or among those of it whose price is above that of 8 bars before."""
+    rows = R.trailing_vol(R.trend_ok(rows_of(b), 8), VOL, PER_YEAR)
+    chosen = R.universe(rows, TOP, LOOK, EVERY, OLD, ("vol", "up"))
+    return R.weighted(chosen.where("up") if gate else chosen, scheme)
 
 
 INVERSE = f"{UNI}, {VOLS}, iw AS (SELECT u.symbol, u.idx, 1 / vol AS i FROM uni u JOIN vol v ON u.symbol = v.symbol AND u.idx = v.idx WHERE vol >= 0.1), wt AS (SELECT symbol, idx, i / sum(i) OVER (PARTITION BY idx) AS weight FROM iw)"
@@ -75,9 +77,13 @@ on_bars("rp4_capped", "brands", lambda b: rounded(R.capped(weights_of(b, "invers
 on_bars("rp5_trend_ok", "brands", lambda b: R.trend_ok(rows_of(b), 8).select("symbol", "idx", "up"), f"{AL} SELECT symbol, idx, coalesce(price > lag(price, 8) OVER (PARTITION BY symbol ORDER BY idx), false) AS up FROM aligned")
 
 
-def unit(b, scheme="equal", gate=False):
+def held_of(b, scheme="equal", gate=False):
     rows = R.trend_ok(rows_of(b), 8) if gate else rows_of(b)
-    return R.unit_book(R.positions(rows, weights_of(b, scheme).select("symbol", "idx", "weight"), EVERY, gate), RATE)
+    return R.positions(rows, weights_of(b, scheme, gate).select("symbol", "idx", "weight"), EVERY, gate)
+
+
+def unit(b, scheme="equal", gate=False):
+    return R.unit_book(held_of(b, scheme, gate), RATE)
 
 
 UNIT = f"""eq AS (SELECT u.symbol, u.idx, 1.0::DOUBLE / count(*) OVER (PARTITION BY u.idx) AS weight FROM uni u),
@@ -91,13 +97,33 @@ sw AS (SELECT coalesce(o.idx, n.idx) AS idx, sum(abs(coalesce(n.weight, 0) - coa
 bk AS (SELECT b.idx, b.fill, coalesce(growth, 1) AS growth, coalesce(turnover, 0) AS turnover, invested FROM (SELECT idx, max(fill) AS fill, arg_max(inv, fill) AS invested FROM (SELECT idx, fill, sum(weight * ratio / unit) AS inv FROM un GROUP BY ALL) GROUP BY idx) b
        LEFT JOIN gr ON b.idx = gr.idx LEFT JOIN sw ON b.idx = sw.idx),
 book AS (SELECT *, product(growth * greatest(1 - turnover * {RATE}, 0)) OVER (ORDER BY idx) AS equity FROM bk)"""
-on_bars("rp9_passive_book", "brands", lambda b: rounded(unit(b).withColumn("equity", F.ln("equity"))), f"{UNI}, {UNIT} SELECT idx, fill, round(growth, 6) AS growth, round(turnover, 6) AS turnover, round(invested, 6) AS invested, round(ln(equity), 6) AS equity FROM book")
-on_bars("rp8_book", "brands", lambda b: rounded(unit(b, "inverse").withColumn("equity", F.ln("equity"))), f"{INVERSE}, {UNIT.replace('eq AS (SELECT u.symbol, u.idx, 1.0::DOUBLE / count(*) OVER (PARTITION BY u.idx) AS weight FROM uni u)', 'eq AS (SELECT * FROM wt)')} SELECT idx, fill, round(growth, 6) AS growth, round(turnover, 6) AS turnover, round(invested, 6) AS invested, round(ln(equity), 6) AS equity FROM book")
-on_bars("rp6_gated_book", "brands", lambda b: rounded(unit(b, "equal", True)))
-on_bars("rp7_budget_scaled", "brands", lambda b: rounded(R.budget_scaled(unit(b, "inverse").withColumn("book_id", F.lit(0)), 0.3, 12, PER_YEAR, RATE).select("idx", "scale", "scaled_equity")))
+on_bars("rp9_passive_book", "brands", lambda b: rounded(unit(b).drop("cost").withColumn("equity", F.ln("equity"))), f"{UNI}, {UNIT} SELECT idx, fill, round(growth, 6) AS growth, round(turnover, 6) AS turnover, round(invested, 6) AS invested, round(ln(equity), 6) AS equity FROM book")
+on_bars("rp8_book", "brands", lambda b: rounded(unit(b, "inverse").drop("cost").withColumn("equity", F.ln("equity"))), f"{INVERSE}, {UNIT.replace('eq AS (SELECT u.symbol, u.idx, 1.0::DOUBLE / count(*) OVER (PARTITION BY u.idx) AS weight FROM uni u)', 'eq AS (SELECT * FROM wt)')} SELECT idx, fill, round(growth, 6) AS growth, round(turnover, 6) AS turnover, round(invested, 6) AS invested, round(ln(equity), 6) AS equity FROM book")
+GATED = f"""eq AS (SELECT u.symbol, u.idx, 1.0::DOUBLE / count(*) OVER (PARTITION BY u.idx) AS weight FROM uni u JOIN st USING (symbol, idx) WHERE up),
+fl AS (SELECT fill, coalesce(lead(fill) OVER (ORDER BY fill), z) AS until FROM (SELECT DISTINCT idx + 1 AS fill FROM eq), (SELECT max(idx) AS z FROM aligned) WHERE fill <= z),
+sp AS (SELECT symbol, fill, until, weight, unnest(range(fill, until + 1)) AS idx FROM eq JOIN fl ON fill = eq.idx + 1),
+w0 AS (SELECT sp.*, step, CASE WHEN NOT up AND sp.idx % {EVERY} <> 0 THEN 1 ELSE 0 END AS fail FROM sp JOIN st USING (symbol, idx)),
+w1 AS (SELECT *, coalesce(max(fail) OVER (PARTITION BY symbol, fill ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gone,
+              coalesce(max(fail) OVER (PARTITION BY symbol, fill ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING), 0) AS over_ FROM w0),
+w2 AS (SELECT *, product(CASE WHEN idx = fill OR over_ = 1 THEN 1.0 ELSE step END) OVER (PARTITION BY symbol, fill ORDER BY idx) AS ratio FROM w1),
+un AS (SELECT fill, idx, 1 + sum(weight * (ratio - 1)) AS unit, sum(CASE WHEN gone = 1 AND over_ = 0 THEN weight * ratio ELSE 0 END) AS exits, sum(CASE WHEN gone = 0 THEN weight * ratio ELSE 0 END) AS alive FROM w2 GROUP BY fill, idx),
+inc AS (SELECT * FROM (SELECT *, unit / lag(unit) OVER (PARTITION BY fill ORDER BY idx) AS growth FROM un) WHERE idx > fill),
+nm AS (SELECT symbol, idx, sum(CASE WHEN idx = fill THEN weight ELSE 0 END) AS new, sum(CASE WHEN idx > fill AND gone = 0 THEN weight * ratio ELSE 0 END) AS old FROM w2 WHERE idx IN (SELECT fill FROM fl) GROUP BY symbol, idx),
+sw AS (SELECT nm.idx, sum(abs(new - old / coalesce(unit, 1))) AS moved, sum(new) AS bought FROM nm LEFT JOIN inc ON nm.idx = inc.idx GROUP BY nm.idx),
+bk AS (SELECT coalesce(inc.idx, sw.idx) AS idx, CASE WHEN sw.idx IS NULL THEN fill ELSE sw.idx END AS fill, coalesce(growth, 1) AS growth, coalesce(exits / unit, 0) AS sold, coalesce(moved, 0) AS moved, coalesce(bought, alive / unit) AS invested
+       FROM inc FULL JOIN sw ON inc.idx = sw.idx),
+book AS (SELECT *, sold + moved AS turnover, product(growth * (1 - sold * {RATE}) * (1 - moved * {RATE})) OVER (ORDER BY idx) AS equity FROM bk)"""
+STEPS = "st AS (SELECT symbol, idx, coalesce(price / lag(price) OVER (PARTITION BY symbol ORDER BY idx), 1) AS step, coalesce(price > lag(price, 8) OVER (PARTITION BY symbol ORDER BY idx), false) AS up FROM aligned)"
+on_bars("rp6_gated_book", "brands", lambda b: rounded(unit(b, "equal", True).drop("cost").withColumn("equity", F.ln("equity"))), f"{UNI}, {STEPS}, {GATED} SELECT idx, fill, round(growth, 6) AS growth, round(turnover, 6) AS turnover, round(invested, 6) AS invested, round(ln(equity), 6) AS equity FROM book")
+on_bars("rp7_budget_scaled", "brands", lambda b: rounded(R.budget_scaled(R.book_bars(held_of(b, "inverse")).withColumn("book_id", F.lit(0)), 0.3, 12, PER_YEAR, RATE).drop("book_id")))
 on_bars("rp10_single_hold", "brands", lambda b: rounded(R.single_hold(rows_of(b), "Brand#23", RATE)), f"{AL} SELECT idx, round(coalesce(last_value(price IGNORE NULLS) OVER x / first_value(price IGNORE NULLS) OVER x * (1 - {RATE}), 1), 6) AS hold FROM aligned WHERE symbol = 'Brand#23' WINDOW x AS (ORDER BY idx)")
 on_bars("rp11_shares", "brands", lambda b: rounded(R.shares(unit(b))), f"{UNI}, {UNIT} SELECT round(avg(invested), 6) AS invested, round(avg(CASE WHEN invested <= 0 THEN 1.0 ELSE 0.0 END), 6) AS flat, round(avg(turnover), 6) AS turnover FROM book")
-on_bars("rp12_restricted", "brands", lambda b: rounded(R.restricted(unit(b), 100, 200)), f"{UNI}, {UNIT} SELECT idx - 100 AS idx, round(equity / first_value(equity) OVER (ORDER BY idx), 6) AS equity, round(invested, 6) AS invested, round(turnover, 6) AS turnover FROM book WHERE idx BETWEEN 100 AND 200")
+on_bars(
+    "rp12_restricted", "brands", lambda b: rounded(R.restricted(unit(b), 100, 200, R.single_hold(rows_of(b), "Brand#23", RATE), RATE)),
+    f"""{UNI}, {UNIT}, hd AS (SELECT idx, price / first_value(price IGNORE NULLS) OVER (ORDER BY idx) AS hold FROM aligned WHERE symbol = 'Brand#23'), co AS (SELECT *, coalesce(lag(equity) OVER (ORDER BY idx), 1) * growth - equity AS cost FROM book)
+    SELECT co.idx - 100 AS idx, round(equity / first_value(equity) OVER o, 6) AS equity, round(cost / first_value(equity) OVER o, 6) AS cost, round(invested, 6) AS invested, round(turnover, 6) AS turnover,
+    round(hold / first_value(hold) OVER o * (1 - {RATE}), 6) AS hold FROM co JOIN hd ON co.idx = hd.idx WHERE co.idx BETWEEN 100 AND 200 WINDOW o AS (ORDER BY co.idx)""",
+)
 
 GRID = H.expand_grid({"window": [5, 10, 20, 40]})
 TRAIN, TEST = 100, 40

@@ -1,6 +1,7 @@
 """Books against loops that walk from date to date."""
 
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,6 +100,96 @@ def test_unit_book_matches_a_loop(spark):
         assert got[i] == pytest.approx(equity), i
 
 
+def walk(price, up, targets, every, rate, gate, budget=None, window=6, per_year=50.0):
+    """One bar after another: mark, sell what lost its trend, fill what was decided, decide anew."""
+    symbols, n = sorted(price), len(next(iter(price.values())))
+    held, equity, leaving, decided, out = {}, [1.0], [], None, {}
+    for i in range(1, n):
+        value = {}
+        for s, share in held.items():
+            a, b = price[s][i - 1], price[s][i]
+            value[s] = share if a is None or b is None else share * b / a
+        total = 1 - sum(held.values()) + sum(value.values())
+        equity.append(equity[-1] * total)
+        held = {s: v / total for s, v in value.items()}
+        turnover = 0.0
+        if leaving:
+            turnover = sum(held.pop(s) for s in leaving)
+            equity[-1] *= 1 - rate * turnover
+            leaving = []
+        scale = None
+        if decided is not None:
+            new, scale = decided
+            moved = sum(abs(new.get(s, 0) - held.get(s, 0)) for s in symbols)
+            equity[-1] *= 1 - rate * moved
+            held, turnover, decided = dict(new), turnover + moved, None
+        out[i] = (equity[-1], turnover, sum(held.values()), scale)
+        if i % every:
+            leaving = [s for s in held if not up[s][i]] if gate else []
+        elif targets.get(i):
+            scale = 1.0
+            if budget is not None and len(equity) > window:
+                recent = [equity[k] / equity[k - 1] - 1 for k in range(len(equity) - window, len(equity))]
+                real = statistics.pstdev(recent) * per_year**0.5
+                scale = min(1.0, budget / real) if real > 0 else 1.0
+            decided = {s: w * scale for s, w in targets[i].items()}, scale
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_gated_and_budgeted_books_match_a_walk(spark, seed):
+    rng = random.Random(seed)
+    symbols, n, every, rate = "ABCD", 60, 4, 0.002
+    price = {s: [100.0] for s in symbols}
+    for s in symbols:
+        for _ in range(n - 1):
+            price[s].append(price[s][-1] * (1 + rng.uniform(-0.08, 0.08)))
+        for k in range(n):
+            if rng.random() < 0.06:
+                price[s] = [None if i == k else p for i, p in enumerate(price[s])]
+    up = {s: [i >= 3 and price[s][i] is not None and price[s][i - 3] is not None and price[s][i] > price[s][i - 3] for i in range(n)] for s in symbols}
+    rows = spark.createDataFrame([(s, i, price[s][i]) for s in symbols for i in range(n)], "symbol string, idx long, price double")
+    rows = riskbook.trend_ok(rows, 3)
+    for gate in (False, True):
+        targets = {}
+        for d in range(every, n, every):
+            names = [s for s in symbols if (up[s][d] or not gate) and price[s][d] is not None and rng.random() < 0.6 and d not in (20, 24)]
+            targets[d] = {s: 0.9 / len(names) for s in names}
+        weights = spark.createDataFrame([(s, d, w) for d, t in targets.items() for s, w in t.items()], "symbol string, idx long, weight double")
+        held = riskbook.positions(rows, weights, every, gate)
+        want = walk(price, up, targets, every, rate, gate)
+        first = min(d for d, t in targets.items() if t) + 1
+        got = {r.idx: r for r in riskbook.unit_book(held, rate).collect()}
+        assert sorted(got) == list(range(first, n))
+        for i, r in got.items():
+            assert (r.equity, r.turnover, r.invested) == pytest.approx(want[i][:3], abs=1e-9), (gate, i)
+        want = walk(price, up, targets, every, rate, gate, budget=0.2)
+        scaled = {r.idx: r for r in riskbook.budget_scaled(riskbook.book_bars(held).withColumn("book_id", F.lit(1)), 0.2, 6, 50.0, rate).collect()}
+        for i, r in scaled.items():
+            assert (r.equity, r.turnover, r.invested) == pytest.approx(want[i][:3], abs=1e-9), (gate, i)
+            assert want[i][3] is None or r.scale == pytest.approx(want[i][3])
+        assert len(scaled) == len(got) and (gate or min(r.scale for r in scaled.values()) < 1)
+
+
+def test_a_name_whose_trend_fails_is_not_bought(spark):
+    rows = spark.createDataFrame([(s, i, 100.0 - i if s == "DOWN" else 100.0 + i) for s in ("DOWN", "UP") for i in range(20)], "symbol string, idx long, price double")
+    rows = riskbook.trend_ok(rows.withColumn("turnover", F.lit(1.0)).withColumn("first_idx", F.lit(0)), 2)
+    chosen = riskbook.universe(rows, 2, 2, 5, carry=("up",))
+    weights = riskbook.weighted(chosen.where("up")).select("symbol", "idx", "weight")
+    held = riskbook.positions(rows, weights, 5, gate=True)
+    assert {r.symbol for r in held.collect()} == {"UP"}
+    assert riskbook.unit_book(held, 0.0).agg(F.min("growth")).first()[0] >= 1
+
+
+def test_a_restricted_book_restates_its_costs_and_buys_the_hold_anew(spark):
+    book = spark.createDataFrame([(i, 2.0 + i, 0.1, 1.0, 0.5) for i in range(6)], "idx long, equity double, cost double, invested double, turnover double")
+    hold = spark.createDataFrame([(i, 10.0 * (i + 1)) for i in range(6)], "idx long, hold double")
+    got = riskbook.restricted(book, 2, None, hold, 0.01).orderBy("idx").collect()
+    assert [r.idx for r in got] == [0, 1, 2, 3] and got[0].equity == 1 and got[1].cost == pytest.approx(0.025)
+    assert [r.hold for r in got] == pytest.approx([0.99, 0.99 * 4 / 3, 0.99 * 5 / 3, 1.98])
+    assert riskbook.restricted(book, 4).count() == 0
+
+
 def test_run_records_and_tampering(spark, tmp_path):
     bars = bars_of(spark, {"A": [1.0, 2, 3], "B": [2.0, 2, 2]})
     marks = {r.symbol: (r.bars, r.digest) for r in runs.fingerprints(bars.repartition(3)).collect()}
