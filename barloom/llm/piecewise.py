@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import mix
+from barloom.llm.common import durable, mix, powers
 
 ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 WINDOW, LEAST_BLOCK, LONGEST = 7, 3, 64
@@ -18,12 +19,6 @@ _BASE, _STEP = 0x9E3779B97F4A7C15 | 1, np.uint32(0x01000193)
 CHUNK = 1 << 20
 
 
-def _powers(n: int, base: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
 def fingerprints(texts: list[bytes]) -> list[str]:
     """'block:signature:signature' of each UTF-8 text; the second signature is of twice the block size.
 
@@ -64,8 +59,8 @@ def _chunk(texts: list[bytes]) -> list[str]:
     ends = ends[(inside >= 0) & (ends < (starts + sizes)[np.maximum(inside, 0)])]
     low = mark[ends]
     level = np.where(low == 0, 31, np.log2((low & (~low + np.uint32(1))).astype(np.float64) + (low == 0))).astype(np.int64)
-    power = _powers(len(data) + 1, _BASE)
-    inverse = _powers(len(data) + 1, pow(_BASE, -1, 1 << 64))
+    power = powers(len(data) + 1, _BASE)
+    inverse = powers(len(data) + 1, pow(_BASE, -1, 1 << 64))
     total = np.append(np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1], dtype=np.uint64))
     first = np.searchsorted(ends, starts)
     last = np.searchsorted(ends, starts + sizes)
@@ -157,41 +152,55 @@ def fingerprint_texts(docs: DataFrame, text_col: str = "text", out: str = "finge
 RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranges: int | None = None) -> DataFrame:
+def _key_ranges(rows: DataFrame, ranges: int) -> list[tuple]:
+    """The first and last (id, hash) of each range of the order by falling id, nulls last, then hash; Spark's range partitioning cuts it."""
+
+    def ends(batches):
+        import pyarrow as pa
+
+        first = last = None
+        for batch in batches:
+            if batch.num_rows:
+                first = first or batch.slice(0, 1)
+                last = batch.slice(batch.num_rows - 1, 1)
+        if first is not None:
+            columns = [*first.columns, *last.columns]
+            yield pa.RecordBatch.from_arrays(columns, ["first_id", "first_hash", "last_id", "last_hash"])
+
+    order = (F.col("id").desc_nulls_last(), F.col("hash"))
+    cut = rows.select("id", "hash").repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    return cut.mapInArrow(ends, "first_id long, first_hash long, last_id long, last_hash long").collect()
+
+
+def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", range_bytes: int = 64 << 20) -> DataFrame:
     """How alike each text is to its half-replaced form and to the next text, by fingerprints.
 
     The next document is that of the next lower id; after the last comes the first. Rows of one
-    id follow each other by a hash of their text, null ids come last, null text is empty. Ids are cut
-    into ranges at quantiles; a range's first document is also dealt to the range before, so that each
+    id follow each other by a hash of their text, null ids come last, null text is empty; ids are whole numbers. Rows are cut
+    into ranges of about range_bytes of text by id and hash, so that neither null ids nor a repeated id make a range of
+    their own; only rows equal in id and text stay together. A range's first document is also dealt to the range before, so that each
     range, sorted and streamed, has the next document of its last one. Texts are shuffled once; the
-    driver holds one id a range, as many ranges as `ranges` or four times the shuffle partitions.
+    driver holds four numbers a range.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     rows = rows.withColumn("hash", F.xxhash64("text"))
-    ranges = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = sorted(set(rows.stat.approxQuantile("id", [k / ranges for k in range(1, ranges)], 0.2 / ranges)), reverse=True) if ranges > 1 else []
-    cuts = [int(c) for c in cuts]
-    ordered = np.array(cuts[::-1], np.int64)  # range k holds ids up to cut k - 1 and over cut k; the last has nulls too
-
-    def number(ids: np.ndarray, null: np.ndarray) -> np.ndarray:
-        return np.where(null, len(ordered), len(ordered) - np.searchsorted(ordered, ids, "left"))
-
-    def range_of(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        for batch in batches:
-            ids = pc.fill_null(batch.column(0), 0).to_numpy()
-            k = number(ids, batch.column(0).is_null().to_numpy(zero_copy_only=False))
-            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), *batch.columns], ["range", *batch.schema.names])
-
-    narrow = rows.select("id", "hash").mapInArrow(range_of, "range long, id long, hash long")
-    firsts = narrow.groupBy("range").agg(F.max("id").alias("id"))
-    firsts = narrow.join(firsts.withColumnRenamed("id", "top"), "range").where("id <=> top").groupBy("range").agg(F.first("top").alias("id"), F.min("hash").alias("hash"))
-    heads = {r["range"]: (r["id"], r["hash"]) for r in firsts.collect()}
-    filled = sorted(heads)
-    before = {heads[k]: filled[i - 1] for i, k in enumerate(filled)}  # the last range comes before the first
+    keys = durable(rows.select("id", "hash", F.octet_length("text").alias("bytes")), "keys")
+    total = keys.agg(F.sum("bytes")).first()[0] or 0
+    ranges = max(-(-total // range_bytes), 8 * spark.sparkContext.defaultParallelism)
+    # Null ids come after all others, as if of a lower id than any.
+    rank = lambda i, h: (1, 0, h) if i is None else (0, -i, h)
+    found = sorted((rank(r[0], r[1]), rank(r[2], r[3]), r[0], r[1]) for r in _key_ranges(keys, ranges))
+    lasts = [last for _, last, _, _ in found]
+    heads = {k: (i, h) for k, (_, _, i, h) in enumerate(found)}
+    before = {key: (k - 1) % len(heads) for k, key in heads.items()}  # the last range comes before the first
+    falling = np.array([last[1] for last in lasts if last[0] == 0], np.int64)
+
+    def number(ids: list, hashes: list) -> list[int]:
+        """The range of each key: the first whose last key isn't before it. Only ids that end a range need their hash for that."""
+        at = np.array([0 if i is None else -i for i in ids], np.int64)
+        low, high = np.searchsorted(falling, at, "left").tolist(), np.searchsorted(falling, at, "right").tolist()
+        return [a if a == b and i is not None else bisect_left(lasts, rank(i, h)) for a, b, i, h in zip(low, high, ids, hashes, strict=True)]
 
     def dealt(batches):
         import pyarrow as pa
@@ -200,13 +209,13 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                ids = pc.fill_null(part.column(0), 0).to_numpy()
-                k = number(ids, part.column(0).is_null().to_numpy(zero_copy_only=False))
+                ids, hashes = part.column(0).to_pylist(), part.column(2).to_pylist()
+                k = number(ids, hashes)
                 marks = fingerprints(pc.cast(part.column(1), pa.binary()).to_pylist())
-                keys = list(zip(part.column(0).to_pylist(), part.column(2).to_pylist(), strict=True))
-                more = [i for i, key in enumerate(keys) if key in before and heads.get(int(k[i])) == key]
+                keys = list(zip(ids, hashes, strict=True))
+                more = [i for i, key in enumerate(keys) if key in before]
                 rows = pa.array([*range(part.num_rows), *more], pa.int64())
-                where = np.append(k, [before[keys[i]] for i in more]).astype(np.int64)
+                where = np.array(k + [before[keys[i]] for i in more], np.int64)
                 tail = np.append(np.zeros(part.num_rows, bool), np.ones(len(more), bool))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(where), pa.array(tail), part.column(0).take(rows), part.column(2).take(rows), part.column(1).take(rows), pa.array(marks).take(rows)],
@@ -214,7 +223,7 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 )
 
     spread = rows.select("id", "text", "hash").mapInArrow(dealt, "range long, tail boolean, id long, hash long, text string, mark string")
-    spread = spread.repartition("range").sortWithinPartitions("range", "tail", F.col("id").desc_nulls_last(), "hash")
+    spread = spread.repartition(ranges, "range").sortWithinPartitions("range", "tail", F.col("id").desc_nulls_last(), "hash")
 
     def compared(batches):
         import pyarrow as pa

@@ -1,8 +1,11 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
+from barloom.llm import piecewise as P
+from barloom.llm.common import mix
 from barloom.llm.piecewise import edit_distances, edited_likeness, fingerprint_texts, fingerprints, likenesses
 
 SCHEMA = "doc_id long, text string, fingerprint string"
@@ -42,6 +45,39 @@ def test_fingerprints_do_not_depend_on_company_and_follow_local_edits():
     assert fingerprints([b"\0" * 100, b"q" * 3_000_000, b"x"])[2] == fingerprints([b"x"])[0]
 
 
+def plainly(data):
+    """A fingerprint byte by byte, from the definition."""
+    word = lambda b: int(P._TABLE[b]) if b else 0
+    levels = []
+    for i in range(len(data)):
+        roll = sum(word(data[i - j]) * pow(int(P._STEP), j, 1 << 32) for j in range(P.WINDOW) if i >= j) & 0xFFFFFFFF
+        roll = (roll ^ roll >> 16) * 0x7FEB352D & 0xFFFFFFFF
+        mark = ((roll ^ roll >> 15) + 1) & 0xFFFFFFFF
+        levels.append(-1 if mark % 3 else 31 if not mark else (mark & -mark).bit_length() - 1)
+    k = next(k for k in range(40) if len(data) <= 3 * 64 << k)
+    while k and sum(v >= k for v in levels) < 32:
+        k -= 1
+
+    def signature(least, longest):
+        pieces, piece = [], []
+        for byte, level in zip(data, levels):
+            piece.append(byte)
+            if level >= least and len(pieces) < longest - 1:
+                pieces, piece = [*pieces, piece], []
+        pieces = [*pieces, piece] if piece else pieces
+        sums = [sum((b + 1) * pow(P._BASE, n, 1 << 64) for n, b in enumerate(x)) % (1 << 64) for x in pieces]
+        return "".join(chr(P.ALPHABET[int(mix(np.array([x], np.uint64))[0]) >> 58]) for x in sums)
+
+    return f"{3 << k}:{signature(k, 64)}:{signature(k + 1, 32)}"
+
+
+def test_fingerprints_match_a_plain_loop():
+    rng = random.Random(8)
+    texts = [bytes(rng.choice(b"abcdefgh \n\xc3\xa9") for _ in range(n)) for n in (0, 1, 2, 50, 191, 192, 193, 400, 1500, 4000)]
+    texts += [b"a" * 700, bytes(200), b"abc" * 500]
+    assert fingerprints(texts) == [plainly(t) for t in texts]
+
+
 def brute(rows):
     rows = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
     out = {}
@@ -54,14 +90,14 @@ def brute(rows):
     return out
 
 
-@pytest.mark.parametrize("ranges", [1, 3, 40])
-def test_next_documents_match_brute_force(spark, ranges):
+@pytest.mark.parametrize("range_bytes", [1500, 1 << 26])
+def test_next_documents_match_brute_force(spark, range_bytes):
     rng = random.Random(9)
     rows = [(rng.randrange(10**6) * 5 + i % 5, " ".join(rng.choice(["é", "bb", "ccc"]) for _ in range(rng.randrange(60))), "x") for i in range(150)]
     rows += [(-4, None, None), (7_000_000, "", None), (None, "last of all", None), (6_000_000, "long " * 30_000, "x")]
     rows = list({r[0]: r for r in rows}.values())
     want = brute(rows)
-    got = edited_likeness(spark.createDataFrame(rows, SCHEMA).repartition(5), ranges=ranges).collect()
+    got = edited_likeness(spark.createDataFrame(rows, SCHEMA).repartition(5), range_bytes=range_bytes).collect()
     assert {r.doc_id: tuple(r)[1:] for r in got} == want and len(got) == len(rows)
 
 
@@ -70,6 +106,9 @@ def test_few_rows_repeats_and_none(spark):
     assert one[0].edited_sha256 == hashlib.sha256(b"abab").hexdigest() and one[0].near_next == 1
     twice = edited_likeness(spark.createDataFrame([(1, "abcd", None)] * 2 + [(3, "zz", None)], SCHEMA)).collect()
     assert sorted(r.doc_id for r in twice) == [1, 1, 3]
+    same = [(None, f"t{k}", None) for k in range(40)] + [(5, f"u{k % 9}", None) for k in range(40)]
+    got = edited_likeness(spark.createDataFrame(same, SCHEMA).repartition(3), range_bytes=20).collect()
+    assert len(got) == 80 and sorted(str(r.doc_id) for r in got) == ["5"] * 40 + ["None"] * 40
     empty = spark.createDataFrame([], SCHEMA)
     assert edited_likeness(empty).count() == 0 and fingerprint_texts(empty).count() == 0
     assert [r.fingerprint for r in fingerprint_texts(spark.createDataFrame([(1, None, "x")], SCHEMA)).collect()] == ["3::"]
