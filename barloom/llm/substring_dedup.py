@@ -8,10 +8,8 @@ from pyspark.sql import functions as F
 
 from barloom.llm.common import WordHashes, durable, meet, mix, powers
 
-#: Words of a line or paragraph from which on it may be a repeat by itself.
-LINE_WORDS = 16
-#: Words of a passage inside of lines, and how many places in a row may go without one being hashed.
-PASSAGE_WORDS, SPREAD = 24, 16
+#: Words of a passage, how many places in a row may go without one being hashed, and words from which on a line or paragraph is a unit.
+PASSAGE_WORDS, SPREAD, LINE_WORDS = 24, 16, 24
 #: Scripts that put no spaces between words: each of their characters counts as a word.
 UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
 

@@ -23,7 +23,7 @@ def long_lines(text, least):
         at += len(line)
 
 
-def bounds(rows, passage=24, spread=16, line=16):
+def bounds(rows, passage=24, spread=16, line=24):
     """For each text in order of id: characters that must go, and those that may, by comparing runs of words with those of the texts before."""
     long_before, short_before, lines_before, out = set(), set(), set(), {}
     for doc, text, _ in sorted(rows, key=lambda r: r[0]):
@@ -67,7 +67,7 @@ def corpus():
 def test_between_what_must_and_what_may_go(spark):
     rows = corpus()
     rng = random.Random(3)
-    line = " ".join(f"l{k}" for k in range(16))
+    line = " ".join(f"l{k}" for k in range(24))
     rows += [(300 + i, f"before {i}\n{line.upper() if i % 2 else line}  \nafter {rng.random()}", None) for i in range(5)]
     got = dedup_passages(spark.createDataFrame([*rows, (500, None, None)], SCHEMA)).collect()
     assert len(got) == len(rows) + 1
@@ -100,7 +100,7 @@ def test_hot_digests_are_found_in_place_alike(spark, monkeypatch):
 
 
 def test_null_and_repeated_ids(spark):
-    line, other = " ".join(f"a{k}" for k in range(20)), " ".join(f"b{k}" for k in range(20))
+    line, other = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30))
     rows = [(None, line, None), (3, line, None), (3, line, None), (3, f"x y.\n{line}\nz", None), (4, f"{line.upper()}\nRest stays.", None), (None, other, None), (None, other, None), (None, f"{other}\nend", None)]
     got = sorted((str(r.doc_id), r.text) for r in dedup_passages(spark.createDataFrame(rows, SCHEMA)).collect())
     assert got[:4] == [("3", line), ("3", line), ("3", f"x y.\n{line}\nz"), ("4", "Rest stays.")]
