@@ -5,7 +5,6 @@ Signals and curves are causal, so each candidate is run once over all bars and i
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,18 +46,31 @@ def series_splits(bars: DataFrame, train: int, test: int, step: int | None = Non
 
 
 def _with_splits(rows: DataFrame, splits: DataFrame, *on: str) -> DataFrame:
-    """rows beside the splits of their own series, or beside splits that hold for all."""
+    """rows beside the splits of their own series, or beside splits that hold for all, which are few."""
     if set(KEY) <= set(splits.columns):
         return rows.join(splits, [*KEY, *on])
     return rows.join(F.broadcast(splits), [*on]) if on else rows.crossJoin(F.broadcast(splits))
 
 
 def candidates(bars: DataFrame, name: str, grid: list[dict], rate: float = 0.001) -> DataFrame:
-    """(series, candidate, i, time, open, close, equity): every candidate's curve over all bars, numbered from 0."""
-    runs = [equity_curve(signal(bars, name, **params), rate).withColumn("candidate", F.lit(i)) for i, params in enumerate(grid)]
-    rows = reduce(DataFrame.unionByName, runs)
+    """(series, candidate, i, time, open, close, equity): every candidate's curve over all bars, numbered from 0.
+
+    All candidates' targets are columns of one pass over the bars, then rows: the scan, the exchange and the sort by
+    series are the same for one candidate as for four hundred, and the curves' windows keep that exchange.
+    """
+    rows, pairs = bars, []
+    for i, params in enumerate(grid):
+        rows = signal(rows, name, **params).withColumnRenamed("target", f"__target{i}")
+        columns = [F.lit(i).alias("candidate"), F.col(f"__target{i}").alias("target")]
+        if "exit_price" in rows.columns and "exit_price" not in bars.columns:
+            rows = rows.withColumnRenamed("exit_price", f"__exit{i}")
+            columns.append(F.col(f"__exit{i}").alias("exit_price"))
+        pairs.append(F.struct(*columns))
+    kept = [c for c in ("time", "open", "close", "exit_price") if c in bars.columns]
+    rows = rows.select(*KEY, *kept, F.explode(F.array(*pairs)).alias("__pair")).select(*KEY, *kept, "__pair.*")
+    curve = equity_curve(rows, rate, [*KEY, "candidate"])
     place = F.row_number().over(W.partitionBy(*KEY, "candidate").orderBy("time")) - 1
-    return rows.select(*KEY, "candidate", place.alias("i"), "time", "open", "close", "equity")
+    return curve.select(*KEY, "candidate", place.alias("i"), "time", "open", "close", "equity")
 
 
 def scores(curves: DataFrame, splits: DataFrame, per_year: float) -> DataFrame:

@@ -265,13 +265,12 @@ def masked(rows: DataFrame, mask: DataFrame) -> DataFrame:
 
 def _wrapped(rule: Rule, inner: str, own: dict) -> Rule:
     """A rule around an inner one whose parameters are passed on under their own names."""
-    base = SIGNALS[inner].defaults
+    named = {**SIGNALS[inner].defaults, **own}
 
     def rule_of(bars: DataFrame, **params) -> DataFrame:
-        return rule(bars, inner=inner, **params)
+        return rule(bars, inner=inner, **{**named, **params})
 
     kind = inspect.Parameter.KEYWORD_ONLY
-    named = {**base, **own}
     rule_of.__signature__ = inspect.Signature([inspect.Parameter(k, kind, default=v) for k, v in named.items()])
     return rule_of
 

@@ -19,11 +19,17 @@ WEEK = 604_800
 LOOK, AGE, EVERY, TOP, RATE = 13 * WEEK, 5 * WEEK, 4, 5, 0.001
 CALENDAR = "Brand#11"
 
-DATES = f"""cal AS (SELECT time, row_number() OVER (ORDER BY time) - 1 AS j, min(time) OVER () AS t0 FROM bars WHERE symbol = '{CALENDAR}'),
-cst AS (SELECT CAST(floor(median(gap)) AS BIGINT) * {EVERY} AS span FROM (SELECT time - lag(time) OVER (ORDER BY time) AS gap FROM cal)),
+
+
+def dates_sql(every):
+    return f"""cal AS (SELECT time, row_number() OVER (ORDER BY time) - 1 AS j, min(time) OVER () AS t0 FROM bars WHERE symbol = '{CALENDAR}'),
+cst AS (SELECT CAST(floor(median(gap)) AS BIGINT) * {every} AS span FROM (SELECT time - lag(time) OVER (ORDER BY time) AS gap FROM cal)),
 due AS (SELECT time, j, greatest(0, CASE WHEN time >= (t0 + span - 1) // span * span THEN (time - (t0 + span - 1) // span * span) // span + 1 ELSE 0 END) - j AS d FROM cal, cst),
 taken AS (SELECT time, j + least(1, min(d) OVER (ORDER BY time)) AS p FROM due),
 dates AS (SELECT row_number() OVER (ORDER BY time) - 1 AS k, time AS date FROM (SELECT *, lag(p) OVER (ORDER BY time) AS p1 FROM taken) WHERE p > coalesce(p1, 0))"""
+
+
+DATES = dates_sql(EVERY)
 on_bars("xs1_rebalance_dates", "brands", lambda b: X.rebalance_dates(b, CALENDAR, EVERY), f"{DATES} SELECT k, date FROM dates")
 
 
@@ -31,13 +37,18 @@ def read(bars):
     return X.panel(bars, X.rebalance_dates(bars, CALENDAR, EVERY), LOOK, AGE, 10)
 
 
-PANEL = f"""{DATES}, marked AS (SELECT *, max(close) OVER w AS peak, CASE WHEN row_number() OVER w >= 10 THEN avg(close) OVER (PARTITION BY symbol, timeframe ORDER BY time ROWS 9 PRECEDING) END AS mean FROM bars {W}),
-probes AS (SELECT symbol, k, date, date - {LOOK} AS past FROM dates, (SELECT DISTINCT symbol FROM bars)),
-now AS (SELECT p.symbol, k, date, past, m.time AS print_time, m.close AS print_close, CASE WHEN date - m.time <= {AGE} THEN m.close END AS close, CASE WHEN date - m.time <= {AGE} THEN peak END AS peak, CASE WHEN date - m.time <= {AGE} THEN mean END AS mean
+
+def panel_sql(every=EVERY, look=LOOK, age=AGE):
+    return f"""{dates_sql(every)}, marked AS (SELECT *, max(close) OVER w AS peak, CASE WHEN row_number() OVER w >= 10 THEN avg(close) OVER (PARTITION BY symbol, timeframe ORDER BY time ROWS 9 PRECEDING) END AS mean FROM bars {W}),
+probes AS (SELECT symbol, k, date, date - {look} AS past FROM dates, (SELECT DISTINCT symbol FROM bars)),
+now AS (SELECT p.symbol, k, date, past, m.time AS print_time, m.close AS print_close, CASE WHEN date - m.time <= {age} THEN m.close END AS close, CASE WHEN date - m.time <= {age} THEN peak END AS peak, CASE WHEN date - m.time <= {age} THEN mean END AS mean
         FROM probes p ASOF LEFT JOIN marked m ON p.symbol = m.symbol AND p.date >= m.time),
-both_ AS (SELECT n.*, CASE WHEN n.past - b.time <= {AGE} THEN b.close END AS past_close FROM now n ASOF LEFT JOIN bars b ON n.symbol = b.symbol AND n.past >= b.time),
+both_ AS (SELECT n.*, CASE WHEN n.past - b.time <= {age} THEN b.close END AS past_close FROM now n ASOF LEFT JOIN bars b ON n.symbol = b.symbol AND n.past >= b.time),
 read AS (SELECT symbol, k, date, close, print_close, CASE WHEN past_close <> 0 THEN close / past_close - 1 END AS momentum, close / peak - 1 AS below_peak, close / mean - 1 AS trend FROM both_),
 panel AS (SELECT * FROM read WHERE symbol IN (SELECT symbol FROM read WHERE momentum IS NOT NULL))"""
+
+
+PANEL = panel_sql()
 on_bars(
     "jn1_asof", "daily", lambda b: J.asof(b, b.where("symbol = 'Brand#11'").select(F.floor(F.col("time") / 864_000).alias("k"), (F.col("time") + 43_200).alias("date")).groupBy("k").agg(F.max("date").alias("date")), ["close"], 5 * 86_400).select("symbol", "k", "date", "print_time", "print_close", "close"),
     """d AS (SELECT time // 864000 AS k, max(time) + 43200 AS date FROM bars WHERE symbol = 'Brand#11' GROUP BY 1), p AS (SELECT symbol, k, date FROM d, (SELECT DISTINCT symbol FROM bars))
@@ -160,6 +171,7 @@ on_bars(
 )
 on_bars(
     "xs14_delisted", "daily", lambda b: (lambda p: X.book(X.weighted_readings(p, TOP), rate=RATE).agg(F.sum("delisted").alias("delisted"), F.sum("holdings").alias("holdings")))(X.panel(b, X.rebalance_dates(b, CALENDAR, 30), 40 * 86_400, 86_400)),
+    f"{panel_sql(30, 40 * 86_400, 86_400)}, {picks(TOP, False)}, {BOOK} SELECT CAST(sum(delisted) AS BIGINT) AS delisted, CAST(sum(holdings) AS BIGINT) AS holdings FROM book",
 )
 on_bars(
     "xs15_placebo", "brands", lambda b: rounded(X.book(X.weighted_readings(X.permuted(read(b), ["momentum"], 7), TOP), rate=RATE)),

@@ -85,7 +85,7 @@ def benchmark(b):
 
 on_bars(
     "wf6_benchmark", "types", benchmark,
-    f"""{CANDS}, {SPLITS}, {SCORES}, {PICKS}, h AS (SELECT c.symbol, s.split, c.close / e.close * pow(1 - {RATE}, 2) AS hold FROM cand c JOIN splits s ON c.i = s.test_end - 1 JOIN cand e ON e.symbol = c.symbol AND e.candidate = 0 AND e.i = s.train_end - 1 WHERE c.candidate = 0)
+    f"""{CANDS}, {SPLITS}, {SCORES}, {PICKS}, h AS (SELECT c.symbol, s.split, c.close / e.close * pow(1 - {RATE}, 2) AS hold FROM cand c JOIN splits s ON c.symbol = s.symbol AND c.i = s.test_end - 1 JOIN cand e ON e.symbol = c.symbol AND e.candidate = 0 AND e.i = s.train_end - 1 WHERE c.candidate = 0)
     SELECT symbol, round(product(hold), 6) AS benchmark FROM h GROUP BY symbol""",
 )
 

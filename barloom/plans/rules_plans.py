@@ -79,14 +79,17 @@ on_bars(
     "wn3_macd", "flags", lambda b: I.with_macd(b, 6, 13, 5).select(*ID, r6("macd", "macd"), r6("macd_signal", "macd_signal"), r6("macd_hist", "macd_hist")),
     f"{MACD_SQL} SELECT symbol, time, round(macd, 6) AS macd, round(macd_signal, 6) AS macd_signal, round(macd - macd_signal, 6) AS macd_hist FROM macd",
 )
-RSI_SQL = f"""{PLACED}, d AS (SELECT *, greatest(close - lag(close) OVER p, 0) AS up, greatest(lag(close) OVER p - close, 0) AS down FROM placed WINDOW p AS (PARTITION BY symbol ORDER BY i)),
-    r AS (SELECT symbol, 8::BIGINT AS i, sum(up) / 7 AS g, sum(down) / 7 AS l FROM d WHERE i BETWEEN 2 AND 8 GROUP BY symbol
-          UNION ALL SELECT d.symbol, d.i, (r.g * 6 + d.up) / 7, (r.l * 6 + d.down) / 7 FROM r JOIN d ON d.symbol = r.symbol AND d.i = r.i + 1)"""
-on_bars(
-    "wn4_rsi", "flags", lambda b: I.with_rsi(b, 7).select(*ID, r6("rsi", "rsi")),
-    f"""{RSI_SQL} SELECT p.symbol, p.time, round(CASE WHEN g = 0 AND l = 0 THEN 50 WHEN l = 0 THEN 100 ELSE 100 - 100 / (1 + g / l) END, 6) AS rsi
-    FROM placed p LEFT JOIN r ON p.symbol = r.symbol AND p.i = r.i""",
-)
+
+
+def rsi_sql(n):
+    """`levels` (symbol, time, i, ..., level): the smoothed index as a recursion from bar n + 1 on."""
+    return f"""{PLACED}, d AS (SELECT *, greatest(close - lag(close) OVER p, 0) AS up, greatest(lag(close) OVER p - close, 0) AS down FROM placed WINDOW p AS (PARTITION BY symbol ORDER BY i)),
+    r AS (SELECT symbol, {n + 1}::BIGINT AS i, sum(up) / {n} AS g, sum(down) / {n} AS l FROM d WHERE i BETWEEN 2 AND {n + 1} GROUP BY symbol HAVING count(*) = {n}
+          UNION ALL SELECT d.symbol, d.i, (r.g * {n - 1} + d.up) / {n}, (r.l * {n - 1} + d.down) / {n} FROM r JOIN d ON d.symbol = r.symbol AND d.i = r.i + 1),
+    levels AS (SELECT p.*, CASE WHEN g = 0 AND l = 0 THEN 50 WHEN l = 0 THEN 100 ELSE 100 - 100 / (1 + g / l) END AS level FROM placed p LEFT JOIN r ON p.symbol = r.symbol AND p.i = r.i)"""
+
+
+on_bars("wn4_rsi", "flags", lambda b: I.with_rsi(b, 7).select(*ID, r6("rsi", "rsi")), f"{rsi_sql(7)} SELECT symbol, time, round(level, 6) AS rsi FROM levels")
 
 
 def grid_sql(score, every, short, source="bars"):
@@ -120,7 +123,56 @@ BREAK_BOTH = f"{CHANNELS}, sig AS (SELECT *, {latch_sql('close > eh', 'close < x
 SCALE = "CASE WHEN vol IS NULL THEN 1.0 WHEN vol <= 0 THEN 1.0 ELSE greatest(0.0, least(1.0, 0.4 / vol)) END"
 SMA20 = f"CASE WHEN close > {sma_sql(20)} THEN 1.0 ELSE 0.0 END"
 
-#: name -> (fixture, plan, SQL that ends in `sig`, or None where a signal is a walk without a short recursion)
+
+
+def walk_sql(source, state, start, step):
+    """`walk` (symbol, i, state...): a recursion over `source` (symbol, i, ...), a bar at a time, from `start` at bar 0."""
+    names = ", ".join(state)
+    return f"walk AS (SELECT DISTINCT symbol, 0::BIGINT AS i, {start} FROM {source} UNION ALL SELECT symbol, i, {names} FROM ({step}))"
+
+
+def reversion_sql(short):
+    enter = "CASE WHEN level < 10 THEN 1 WHEN level > 90 THEN -1 ELSE 0 END" if short else "CASE WHEN level < 10 THEN 1 ELSE 0 END"
+    step = f"""SELECT n.symbol, n.i, CASE WHEN level IS NULL THEN side WHEN side <> 0 THEN CASE WHEN (side > 0 AND level > 50) OR (side < 0 AND level < 50) OR n.i - since >= 10 THEN 0 ELSE side END ELSE {enter} END AS side,
+        CASE WHEN level IS NOT NULL AND side = 0 AND {enter} <> 0 THEN n.i ELSE since END AS since FROM walk w JOIN levels n ON n.symbol = w.symbol AND n.i = w.i + 1"""
+    return f"""{rsi_sql(2)}, {walk_sql('levels', ('side', 'since'), '0 AS side, 0::BIGINT AS since', step)},
+    sig AS (SELECT l.*, CASE WHEN level IS NULL THEN 0.0 ELSE side END::DOUBLE AS target FROM levels l JOIN walk w ON l.symbol = w.symbol AND l.i = w.i)"""
+
+
+HOLD_STEP = """SELECT n.symbol, n.i, CASE WHEN eh IS NULL THEN side WHEN close > eh AND side = 0 THEN 1 WHEN side > 0 AND n.i - since >= 5 AND close < xl THEN 0 ELSE side END AS side,
+    CASE WHEN eh IS NOT NULL AND close > eh AND side = 0 THEN n.i ELSE since END AS since FROM walk w JOIN numbered n ON n.symbol = w.symbol AND n.i = w.i + 1"""
+BREAK_HOLD = f"""{CHANNELS}, numbered AS (SELECT *, row_number() OVER w AS i FROM ch {W}), {walk_sql('numbered', ('side', 'since'), '0 AS side, 0::BIGINT AS since', HOLD_STEP)},
+    sig AS (SELECT n.*, side::DOUBLE AS target FROM numbered n JOIN walk w ON n.symbol = w.symbol AND n.i = w.i)"""
+
+
+def stops_sql(inner, stop, profit, trail, cooldown):
+    """Exits around a long-only `inner` (SQL that ends in `sig`): a level inside of the bar first, then the close itself."""
+    off = "false"
+    filled = f"""SELECT w.*, n.i AS j, n.target AS want, n.close, CASE WHEN held = 0 THEN NULL WHEN {f'low <= entry * (1 - {stop})' if stop else off} THEN least(entry * (1 - {stop}), open)
+        WHEN {f'high >= entry * (1 + {profit})' if profit else off} THEN entry * (1 + {profit}) WHEN {f'low <= best * (1 - {trail})' if trail else off} THEN least(best * (1 - {trail}), open) END AS fill
+        FROM walk w JOIN wanted n ON n.symbol = w.symbol AND n.i = w.i + 1"""
+    judged = f"""SELECT *, greatest(best, close) AS top, held = 1 AND fill IS NULL AND want > 0 AND ({f'close / entry - 1 <= -{stop}' if stop else off} OR {f'close / entry - 1 >= {profit}' if profit else off}
+        OR {f'close / greatest(best, close) - 1 <= -{trail}' if trail else off}) AS spent FROM ({filled})"""
+    stays = "held = 1 AND fill IS NULL AND NOT spent AND want > 0"
+    enters = "held = 0 AND want > 0 AND j >= free"
+    step = f"""SELECT symbol, j AS i, CASE WHEN {stays} OR {enters} THEN 1 ELSE 0 END AS held, CASE WHEN {enters} THEN close ELSE entry END AS entry, CASE WHEN {enters} THEN close ELSE top END AS best,
+        CASE WHEN fill IS NOT NULL OR spent THEN j + 1 + {cooldown} ELSE free END AS free, fill AS exit_price FROM ({judged})"""
+    start = "0 AS held, 0.0::DOUBLE AS entry, 0.0::DOUBLE AS best, 0::BIGINT AS free, NULL::DOUBLE AS exit_price"
+    return f"""{inner.replace('sig AS (', 'within AS (')}, wanted AS (SELECT *, row_number() OVER w AS i FROM within {W}), {walk_sql('wanted', ('held', 'entry', 'best', 'free', 'exit_price'), start, step)},
+    sig AS (SELECT n.* EXCLUDE (target), CASE WHEN held = 1 THEN target ELSE 0.0 END AS target, exit_price FROM wanted n JOIN walk w ON n.symbol = w.symbol AND n.i = w.i)"""
+
+
+def scaled_sql(inner, wrap):
+    """An inner rule's SQL with its target, `t`, wrapped by what `vol` says at the same bar."""
+    inner = inner.replace(STEP_SQL + ", ", "").replace("sig AS (", "within AS (")
+    return f"{vol_sql(40)}, {inner}, sig AS (SELECT g.* EXCLUDE (target), {wrap.replace('$t', 'g.target')} AS target FROM within g JOIN vols v ON g.symbol = v.symbol AND g.time = v.time)"
+
+
+SCALED = f"greatest(-1.0, least(1.0, $t * {SCALE}))"
+CALM = "CASE WHEN vol IS NULL OR vol <= 1.6 THEN $t ELSE 0.0 END"
+MOM30 = MOM_SCORE.replace("26", "30")
+
+#: name -> (fixture, plan, SQL that ends in `sig`)
 RULES = {
     "sg1_sma": ("types", lambda b: signal(b, "sma", window=20), plain_sql(SMA20)),
     "sg1_sma_grid": ("types", lambda b: signal(b, "sma", window=20, rebalance=4), grid_sql(f"sign(close - ({sma_sql(20)}))", 4, False)),
@@ -131,29 +183,29 @@ RULES = {
     "sg4_macd_ls": ("flags", lambda b: signal(b, "macd-ls", fast=6, slow=13, signal=5), f"{MACD_SQL}, sig AS (SELECT *, CASE WHEN macd > macd_signal THEN 1.0::DOUBLE WHEN macd < macd_signal THEN -1.0 ELSE 0.0 END AS target FROM macd)"),
     "sg5_breakout": ("closes", lambda b: signal(b, "breakout"), BREAK_LONG),
     "sg5_breakout_ls": ("closes", lambda b: signal(b, "breakout-ls"), BREAK_BOTH),
-    "sg5_breakout_hold": ("closes", lambda b: signal(b, "breakout", min_hold=5), None),
-    "sg6_rsi_rev": ("types", lambda b: signal(b, "rsi-rev"), None),
-    "sg6_rsi_rev_ls": ("types", lambda b: signal(b, "rsi-rev-ls"), None),
+    "sg5_breakout_hold": ("closes", lambda b: signal(b, "breakout", min_hold=5), BREAK_HOLD),
+    "sg6_rsi_rev": ("types", lambda b: signal(b, "rsi-rev"), reversion_sql(False)),
+    "sg6_rsi_rev_ls": ("types", lambda b: signal(b, "rsi-rev-ls"), reversion_sql(True)),
     "sg7_tsmom": ("types", lambda b: signal(b, "tsmom", lookback=26, rebalance=4), grid_sql(MOM_SCORE, 4, False)),
     "sg7_tsmom_ls": ("types", lambda b: signal(b, "tsmom-ls", lookback=26, rebalance=4), grid_sql(MOM_SCORE, 4, True)),
     "sg8_tsmom_blend": ("types", lambda b: signal(b, "tsmom-blend", base=4, horizons=3, rebalance=4), grid_sql("(" + " + ".join(f"sign(close / lag(close, {n}) OVER w - 1)" for n in (4, 8, 16)) + ") / 3.0", 4, False)),
     "sg9_voltarget_sma": ("types", lambda b: signal(b, "voltarget-sma", window=20, vol_window=40), f"{vol_sql(40)}, sig AS (SELECT *, least(1.0, {SMA20} * {SCALE}) AS target FROM vols {W})"),
     "sg9_voltarget_sma_ls": ("types", lambda b: signal(b, "voltarget-sma-ls", window=20, vol_window=40), f"{vol_sql(40)}, sig AS (SELECT *, greatest(-1.0, least(1.0, (CASE WHEN close > {sma_sql(20)} THEN 1.0 WHEN close <= {sma_sql(20)} THEN -1.0 ELSE 0.0 END) * {SCALE})) AS target FROM vols {W})"),
-    "sg9_voltarget_tsmom": ("types", lambda b: signal(b, "voltarget-tsmom", lookback=26, rebalance=4, vol_window=40), None),
+    "sg9_voltarget_tsmom": ("types", lambda b: signal(b, "voltarget-tsmom", lookback=26, rebalance=4, vol_window=40), scaled_sql(grid_sql(MOM_SCORE, 4, False), SCALED)),
     "sg10_volfilter_sma": ("types", lambda b: signal(b, "volfilter-sma", window=20, vol_window=40, max_vol=1.6), f"{vol_sql(40)}, sig AS (SELECT *, CASE WHEN vol IS NULL OR vol <= 1.6 THEN {SMA20} ELSE 0.0 END AS target FROM vols {W})"),
-    "sg10_volfilter_tsmom": ("types", lambda b: signal(b, "volfilter-tsmom", max_vol=1.6, vol_window=40), None),
-    "sg10_voltarget_volfilter": ("types", lambda b: signal(b, "voltarget-volfilter-sma", window=20, vol_window=40, max_vol=1.6), None),
-    "sg11_stops_sma": ("closes", lambda b: signal(b, "stops-sma", window=20, stop_loss=0.1, take_profit=0.3, trail=0.2, cooldown=2), None),
-    "sg11_stops_breakout": ("closes", lambda b: signal(b, "stops-breakout", stop_loss=0.1, trail=0.2), None),
-    "sg11_voltarget_stops": ("types", lambda b: signal(b, "voltarget-stops-sma", window=20, stop_loss=0.1, vol_window=40), None),
+    "sg10_volfilter_tsmom": ("types", lambda b: signal(b, "volfilter-tsmom", max_vol=1.6, vol_window=40), scaled_sql(grid_sql(MOM30, 7, False), CALM)),
+    "sg10_voltarget_volfilter": ("types", lambda b: signal(b, "voltarget-volfilter-sma", window=20, vol_window=40, max_vol=1.6), scaled_sql(plain_sql(SMA20), SCALED.replace("$t", f"({CALM})"))),
+    "sg11_stops_sma": ("closes", lambda b: signal(b, "stops-sma", window=20, stop_loss=0.1, take_profit=0.3, trail=0.2, cooldown=2), stops_sql(plain_sql(SMA20), 0.1, 0.3, 0.2, 2)),
+    "sg11_stops_breakout": ("closes", lambda b: signal(b, "stops-breakout", stop_loss=0.1, trail=0.2), stops_sql(BREAK_LONG, 0.1, 0, 0.2, 0)),
+    "sg11_voltarget_stops": ("types", lambda b: signal(b, "voltarget-stops-sma", window=20, stop_loss=0.1, vol_window=40), scaled_sql(stops_sql(plain_sql(SMA20), 0.1, 0, 0, 0).replace("within", "inside"), SCALED)),
     "sg12_liquid": ("types", lambda b: liquid_only(signal(b, "sma", window=20), 12, 1000.0), f"""liq AS (SELECT *, CASE WHEN {N} >= 12 THEN quantile_cont(turnover, 0.5) OVER (PARTITION BY symbol, timeframe ORDER BY time ROWS 11 PRECEDING) END AS med FROM bars {W}),
         sig AS (SELECT *, CASE WHEN med >= 1000 THEN {SMA20} ELSE 0.0 END AS target FROM liq {W})"""),
 }
 for _name, (_fixture, _plan, _sql) in RULES.items():
-    _extra = ", exit_price" if "stops" in _name else ""
+    _exits = _name.startswith("sg11_stops")
     on_bars(
-        _name, _fixture, lambda b, plan=_plan, extra=bool(_extra) and "voltarget" not in _name: rounded(plan(b).select(*ID, "target", *(["exit_price"] if extra else []))),
-        _sql and f"{_sql} SELECT symbol, time, round(target, 6) AS target FROM sig",
+        _name, _fixture, lambda b, plan=_plan, exits=_exits: rounded(plan(b).select(*ID, "target", *(["exit_price"] if exits else []))),
+        f"{_sql} SELECT symbol, time, round(target, 6) AS target{', round(exit_price, 6) AS exit_price' if _exits else ''} FROM sig",
     )
 
 on_bars(
@@ -231,7 +283,16 @@ on_curve(
     "eq12_trades_within", "sg1_sma", lambda c: C.trades_within(C.trades(c), 800_000_000, 860_000_000).select("symbol", "entry_time", "exit_time"),
     f"{TRADES} SELECT symbol, greatest(entry_time, 800000000) AS entry_time, exit_time FROM trades WHERE entry_time <= 860000000 AND (exit_time > 800000000 OR open_at_end)",
 )
-on_bars("eq13_overlay", "types", lambda b: rounded(C.overlay(signal(b, "sma", window=20), 0.1, 0.4, 0.2).select(*ID, "scaled", "scaled_equity")))
+FALLEN = "abs(equity / peak - 1)"
+OVERLAY_STEP = f"""SELECT symbol, i, want AS pos, e AS equity, greatest(peak, e) AS peak FROM (SELECT symbol, i, want, peak, CASE WHEN i = 1 THEN 1.0 ELSE greatest(0.0, equity * (1 + pos * (open / o1 - 1)) * pow(1 - {RATE}, abs(want - pos))) END AS e
+    FROM (SELECT n.symbol, n.i, n.open, n.o1, pos, equity, peak, CASE WHEN n.i = 1 OR equity <= 0 THEN 0.0 ELSE n.t1 * CASE WHEN {FALLEN} <= 0.1 THEN 1.0 WHEN {FALLEN} >= 0.4 THEN 0.2 ELSE 1 - 0.8 * ({FALLEN} - 0.1) / (0.4 - 0.1) END END AS want
+          FROM walk w JOIN lined n ON n.symbol = w.symbol AND n.i = w.i + 1))"""
+on_bars(
+    "eq13_overlay", "types", lambda b: rounded(C.overlay(signal(b, "sma", window=20), 0.1, 0.4, 0.2).select(*ID, "scaled", "scaled_equity")),
+    f"""{RULES['sg1_sma'][2]}, lined AS (SELECT *, row_number() OVER w AS i, lag(target) OVER w AS t1, lag(open) OVER w AS o1 FROM sig {W}),
+    {walk_sql('lined', ('pos', 'equity', 'peak'), '0.0::DOUBLE AS pos, 1.0::DOUBLE AS equity, 1.0::DOUBLE AS peak', OVERLAY_STEP)}
+    SELECT n.symbol, n.time, round(pos, 6) AS scaled, round(equity, 6) AS scaled_equity FROM lined n JOIN walk w ON n.symbol = w.symbol AND n.i = w.i""",
+)
 on_curve(
     "eq14_markers", "sg5_breakout_ls", lambda c: C.markers(c).select("symbol", "time", "kind", "side"),
     f"{TRADES} SELECT symbol, time, CASE WHEN prev_side = 0 THEN 'entry' WHEN side = 0 THEN 'exit' ELSE 'flip' END AS kind, side FROM t0 WHERE side <> prev_side",

@@ -43,8 +43,10 @@ def uni(b):
     return R.universe(rows_of(b), TOP, LOOK, EVERY, OLD)
 
 
-for _name in ("rp2_universe", "wn13_turnover_rank"):
-    on_bars(_name, "brands", lambda b: uni(b).select("symbol", "idx", r6("traded", "traded"), F.col("place").cast("int").alias("place")), f"{UNI} SELECT symbol, idx, round(traded, 6) AS traded, CAST(place AS INT) AS place FROM uni")
+ranks = lambda chosen: chosen.select("symbol", "idx", r6("traded", "traded"), F.col("place").cast("int").alias("place"))
+SHOWN_RANKS = "SELECT symbol, idx, round(traded, 6) AS traded, CAST(place AS INT) AS place FROM uni"
+on_bars("rp2_universe", "brands", lambda b: ranks(uni(b)), f"{UNI} {SHOWN_RANKS}")
+on_bars("wn13_turnover_rank", "brands", lambda b: ranks(R.universe(rows_of(b), 1_000_000, 3 * LOOK, 1)), f"{UNI.replace(f'ROWS {LOOK - 1}', f'ROWS {3 * LOOK - 1}').replace(f'idx % {EVERY} = 0', 'true').replace(f'>= {OLD}', '>= 0').replace(f'<= {TOP}', '<= 1000000')} {SHOWN_RANKS}")
 VOLS = f"""rt AS (SELECT *, CASE WHEN lag(price) OVER x > 0 THEN price / lag(price) OVER x - 1 END AS r FROM aligned WINDOW x AS (PARTITION BY symbol ORDER BY idx)),
 vol AS (SELECT symbol, idx, CASE WHEN count(r) OVER x >= 3 THEN stddev_pop(r) OVER x * sqrt({PER_YEAR!r}) END AS vol FROM rt WINDOW x AS (PARTITION BY symbol ORDER BY idx ROWS {VOL - 1} PRECEDING))"""
 on_bars("wn19_trailing_vol", "brands", lambda b: R.trailing_vol(rows_of(b), VOL, PER_YEAR).select("symbol", "idx", r6("vol", "vol")), f"{AL}, {VOLS} SELECT symbol, idx, round(vol, 6) AS vol FROM vol")
@@ -136,19 +138,20 @@ def renamed(sql, n):
 CANDS = ", ".join(renamed(f"{plain_sql(f'CASE WHEN close > {sma_sql(g['window'])} THEN 1.0 ELSE 0.0 END')}, {CURVE}", n) for n, g in enumerate(GRID)) + ", cand AS (" + " UNION ALL ".join(
     f"SELECT symbol, timeframe, {n} AS candidate, row_number() OVER (PARTITION BY symbol ORDER BY time) - 1 AS i, time, open, close, equity FROM curve_{n}" for n in range(len(GRID))
 ) + ")"
-SPLITS = f"splits AS (SELECT s AS split, s * {TEST} AS train_start, s * {TEST} + {TRAIN} AS train_end, s * {TEST} + {TRAIN + TEST} AS test_end FROM (SELECT unnest(range(20)) AS s) WHERE s * {TEST} + {TRAIN + TEST} <= 300)"
-SCORES = f"""tr AS (SELECT c.*, split, ln(equity / lag(equity) OVER (PARTITION BY symbol, split, candidate ORDER BY i)) AS l FROM cand c JOIN splits ON i >= train_start AND i < train_end),
+SPLITS = f"""splits AS (SELECT symbol, timeframe, s AS split, s * {TEST} AS train_start, s * {TEST} + {TRAIN} AS train_end, s * {TEST} + {TRAIN + TEST} AS test_end
+    FROM (SELECT symbol, timeframe, unnest(range((count(*) - {TRAIN + TEST}) // {TEST} + 1)) AS s FROM bars GROUP BY symbol, timeframe HAVING count(*) >= {TRAIN + TEST}))"""
+SCORES = f"""tr AS (SELECT c.*, split, ln(equity / lag(equity) OVER (PARTITION BY c.symbol, split, candidate ORDER BY i)) AS l FROM cand c JOIN splits s ON c.symbol = s.symbol AND i >= train_start AND i < train_end),
 scores AS (SELECT symbol, timeframe, split, candidate, arg_max(equity, i) / arg_min(equity, i) AS total, count(*) AS n, CASE WHEN stddev_pop(l) > 0 THEN avg(l) / stddev_pop(l) * sqrt({WEEKS!r}) ELSE 0 END AS sharpe FROM tr GROUP BY ALL)"""
 PICKS = "picks AS (SELECT symbol, timeframe, split, candidate, score FROM (SELECT *, round(sharpe, 12) AS score, row_number() OVER (PARTITION BY symbol, split ORDER BY round(sharpe, 12) DESC, candidate) AS p FROM scores) WHERE p = 1)"
 
 
 def searched(b):
     curves = H.candidates(b, "sma", GRID, RATE)
-    splits = H.split_bounds(b.sparkSession, 300, TRAIN, TEST)
+    splits = H.series_splits(b, TRAIN, TEST)
     return curves, splits, H.scores(curves, splits, WEEKS)
 
 
-on_tables("wf1_splits", lambda spark, sf: H.split_bounds(spark, 300, TRAIN, TEST), f"WITH {SPLITS} SELECT split, train_start, train_end, test_end FROM splits")
+on_bars("wf1_splits", "types", lambda b: H.series_splits(b, TRAIN, TEST), f"{SPLITS} SELECT symbol, timeframe, split, train_start, train_end, test_end FROM splits")
 on_bars("wf3_scores", "types", lambda b: rounded(searched(b)[2]), f"{CANDS}, {SPLITS}, {SCORES} SELECT symbol, timeframe, split, candidate, round(total - 1, 6) AS total_return, round(exp(ln(total) / (n / {WEEKS!r})) - 1, 6) AS cagr, round(sharpe, 6) AS sharpe FROM scores")
 on_bars("wf4_chosen", "types", lambda b: rounded(H.chosen(searched(b)[2])), f"{CANDS}, {SPLITS}, {SCORES}, {PICKS} SELECT symbol, timeframe, split, candidate, round(score, 6) AS score FROM picks")
 on_bars("wf7_stability", "types", lambda b: rounded(H.stability(H.chosen(searched(b)[2]))), f"{CANDS}, {SPLITS}, {SCORES}, {PICKS} SELECT symbol, timeframe, candidate, count(*) AS wins, round(count(*) / sum(count(*)) OVER (PARTITION BY symbol), 6) AS share FROM picks GROUP BY symbol, timeframe, candidate")
@@ -159,11 +162,15 @@ def stitch(b):
     return rounded(H.stitched(curves, splits, H.chosen(scored), RATE).select("symbol", "split", "i", "equity", "benchmark"))
 
 
-for _name in ("wf5_stitched", "jn10_splits_by_candidates"):
+on_bars(
+    "jn10_splits_by_candidates", "types", lambda b: (lambda c, s, _: c.join(s, list(B.KEY)).where("i >= train_start and i < test_end").groupBy("symbol", "split", "candidate").agg(F.count(F.lit(1)).alias("n"), F.min("time").alias("first_time"), F.max("time").alias("last_time")))(*searched(b)),
+    f"{CANDS}, {SPLITS} SELECT c.symbol, split, candidate, count(*) AS n, min(time) AS first_time, max(time) AS last_time FROM cand c JOIN splits s ON c.symbol = s.symbol AND i >= train_start AND i < test_end GROUP BY ALL",
+)
+for _name in ("wf5_stitched",):
     on_bars(
         _name, "types", stitch,
         f"""{CANDS}, {SPLITS}, {SCORES}, {PICKS}, ts AS (SELECT c.symbol, p.split, c.i, c.equity / first_value(c.equity) OVER (PARTITION BY c.symbol, p.split ORDER BY c.i) AS part, c.close / e.close * pow(1 - {RATE}, 2) AS hold
-          FROM cand c JOIN picks p ON c.symbol = p.symbol AND c.candidate = p.candidate JOIN splits s ON p.split = s.split AND c.i >= s.train_end AND c.i < s.test_end JOIN cand e ON e.symbol = c.symbol AND e.candidate = 0 AND e.i = s.train_end - 1),
+          FROM cand c JOIN picks p ON c.symbol = p.symbol AND c.candidate = p.candidate JOIN splits s ON p.symbol = s.symbol AND p.split = s.split AND c.i >= s.train_end AND c.i < s.test_end JOIN cand e ON e.symbol = c.symbol AND e.candidate = 0 AND e.i = s.train_end - 1),
         en AS (SELECT symbol, split, product(arg_max(part, i)) OVER z AS lv, product(arg_max(hold, i)) OVER z AS hl FROM ts GROUP BY symbol, split WINDOW z AS (PARTITION BY symbol ORDER BY split ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
         SELECT t.symbol, t.split, t.i, round(part * coalesce(lv, 1), 6) AS equity, round(hold * coalesce(hl, 1), 6) AS benchmark FROM ts t JOIN en e ON t.symbol = e.symbol AND t.split = e.split""",
     )
@@ -179,12 +186,14 @@ def metric_rows(b, bump):
 
 
 SUMS = f"{RULES['sg1_sma'][2]}, {CURVE}{LAST}, fin AS (SELECT symbol, e * (1 + p * (c / o - 1)) AS v, fees_paid FROM z)"
-for _name in ("rg4_compared", "jn8_metric_diff"):
-    on_bars(
-        _name, "types", lambda b: rounded(G.compared(metric_rows(b, False), metric_rows(b, True).where("field <> 'fees' or run_id <> 'PROMO'"))),
-        f"""{SUMS} SELECT symbol AS run_id, 'final' AS field, round(v, 6) AS recorded, round(v * 1.001, 6) AS actual FROM fin WHERE length(symbol) % 2 = 0
-        UNION ALL SELECT symbol, 'fees', round(fees_paid, 6), NULL FROM fin WHERE symbol = 'PROMO'""",
-    )
+BUMPED = lambda b: metric_rows(b, True).where("field <> 'fees' or run_id <> 'PROMO'")
+GONE = "SELECT symbol AS run_id, 'fees' AS field, round(fees_paid, 6) AS recorded, NULL::DOUBLE AS actual FROM fin WHERE symbol = 'PROMO'"
+on_bars(
+    "rg4_compared", "types", lambda b: rounded(G.compared(metric_rows(b, False), BUMPED(b))),
+    f"{SUMS} SELECT symbol AS run_id, 'final' AS field, round(v, 6) AS recorded, round(v * 1.001, 6) AS actual FROM fin WHERE length(symbol) % 2 = 0 UNION ALL {GONE}",
+)
+# What differs by less than the tolerance is no difference; what is missing is one at any.
+on_bars("jn8_metric_diff", "types", lambda b: rounded(G.compared(metric_rows(b, False), BUMPED(b), 0.01)), f"{SUMS} {GONE}")
 CHECKS = "SELECT event_type AS run_id, event_id AS seq, event_id // 50 AS verified_at, CASE event_id % 3 WHEN 0 THEN 'verified' WHEN 1 THEN 'mismatch' ELSE 'data-changed' END AS status FROM events"
 
 
