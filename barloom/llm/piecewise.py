@@ -17,6 +17,8 @@ _TABLE = (mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 _BASE, _STEP = 0x9E3779B97F4A7C15 | 1, np.uint32(0x01000193)
 #: Bytes that are hashed together; bounds a task's memory.
 CHUNK = 1 << 20
+#: Ranges that the driver can hold the ends of.
+MOST_RANGES = 400_000
 
 
 def fingerprints(texts: list[bytes]) -> list[str]:
@@ -172,22 +174,22 @@ def _key_ranges(rows: DataFrame, ranges: int) -> list[tuple]:
     return cut.mapInArrow(ends, "first_id long, first_hash long, last_id long, last_hash long").collect()
 
 
-def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", range_bytes: int = 64 << 20) -> DataFrame:
+def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", range_bytes: int = 16 << 20) -> DataFrame:
     """How alike each text is to its half-replaced form and to the next text, by fingerprints.
 
     The next document is that of the next lower id; after the last comes the first. Rows of one
     id follow each other by a hash of their text, null ids come last, null text is empty; ids are whole numbers. Rows are cut
     into ranges of about range_bytes of text by id and hash, so that neither null ids nor a repeated id make a range of
     their own; only rows equal in id and text stay together. A range's first document is also dealt to the range before, so that each
-    range, sorted and streamed, has the next document of its last one. Texts are shuffled once; the
-    driver holds four numbers a range.
+    range, sorted and streamed, has the next document of its last one. Texts are shuffled once, a task a range; the
+    driver holds four numbers a range, and beyond MOST_RANGES ranges they get larger instead.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     rows = rows.withColumn("hash", F.xxhash64("text"))
     keys = durable(rows.select("id", "hash", F.octet_length("text").alias("bytes")), "keys")
     total = keys.agg(F.sum("bytes")).first()[0] or 0
-    ranges = max(-(-total // range_bytes), 8 * spark.sparkContext.defaultParallelism)
+    ranges = max(-(-total // max(range_bytes, total // MOST_RANGES)), 2 * spark.sparkContext.defaultParallelism)
     # Null ids come after all others, as if of a lower id than any.
     rank = lambda i, h: (1, 0, h) if i is None else (0, -i, h)
     found = sorted((rank(r[0], r[1]), rank(r[2], r[3]), r[0], r[1]) for r in _key_ranges(keys, ranges))
@@ -223,7 +225,7 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 )
 
     spread = rows.select("id", "text", "hash").mapInArrow(dealt, "range long, tail boolean, id long, hash long, text string, mark string")
-    spread = spread.repartition(ranges, "range").sortWithinPartitions("range", "tail", F.col("id").desc_nulls_last(), "hash")
+    spread = spread.repartitionById(max(len(found), 1), F.col("range").cast("int")).sortWithinPartitions("range", "tail", F.col("id").desc_nulls_last(), "hash")
 
     def compared(batches):
         import pyarrow as pa
