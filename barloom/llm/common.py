@@ -35,7 +35,18 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables that durable() stored and that nothing still to be run reads."""
+    for table in tables:
+        spark, path = table.sparkSession, table.__dict__.pop("stored_at", None)
+        if path:
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def meet(rows: DataFrame, table: DataFrame, keys: list[str], n: str = "n") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import durable
+from barloom.llm.common import durable, forget
 
 
 def _local_forest(batches):
@@ -62,7 +62,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     edges = durable(pairs.mapInArrow(_local_forest, "hi long, lo long").distinct(), "forest")
     seen = None
     for _ in range(most_rounds):
-        edges = durable(_stars(_stars(edges, large=True), large=False), "stars")
+        last, edges = edges, durable(_stars(_stars(edges, large=True), large=False), "stars")
+        forget(last)
         now = edges.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))
         ).first()

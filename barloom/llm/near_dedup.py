@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import WordHashes, durable, mix, shingle_set
+from barloom.llm.common import WordHashes, durable, forget, mix, shingle_set
 from barloom.llm.graph import components
 
 #: Shingle hashes that are signed together; bounds a task's memory.
@@ -66,7 +66,7 @@ def _sketcher(shingle: int, perms: int, rows: int):
             keys = np.zeros((len(sets), perms // rows), np.uint64) + band
             for i in range(rows):
                 keys = mix(keys + signs[:, i::rows][:, : perms // rows])
-            low = mix(signs[:, :: max(1, perms // 64)]).astype(np.uint8)
+            low = mix(signs).astype(np.uint8)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
@@ -207,19 +207,49 @@ def _plausible_forest(percent: int, least: float):
     return lambda batches: _grouped(batches, process)
 
 
-def _block_links(percent: int):
+def _cell_bounds(keys) -> list[tuple[int, int]]:
+    starts = [*np.flatnonzero(np.append(True, keys[1:] != keys[:-1])).tolist(), len(keys)]
+    return list(zip(starts, starts[1:], strict=False))
+
+
+def _sieved(percent: int, least: float):
+    """Of each cell of (cell, member, id, root, n, sign) the rows (cell, member, id, root) that have a plausible partner on the other side."""
+
+    def process(table, keys):
+        import pyarrow as pa
+
+        member, roots, n = (np.asarray(table.column(k).to_numpy()) for k in (1, 3, 4))
+        member = member.astype(bool)
+        sign = np.frombuffer(b"".join(table.column(5).to_pylist()), np.uint8).reshape(len(keys), -1)
+        keep = np.zeros(len(keys), bool)
+        for a, b in _cell_bounds(keys):
+            asking, asked = a + np.flatnonzero(~member[a:b]), a + np.flatnonzero(member[a:b])
+            for at in range(0, len(asking), 64):
+                part = asking[at : at + 64]
+                ok = 100 * np.minimum(n[part, None], n[None, asked]) >= percent * np.maximum(n[part, None], n[None, asked])
+                ok &= roots[part, None] != roots[None, asked]
+                x, y = np.nonzero(ok)
+                near = (sign[part[x]] == sign[asked[y]]).mean(axis=1) >= least if len(x) else np.zeros(0, bool)
+                keep[part[x[near]]] = keep[asked[y[near]]] = True
+        yield pa.RecordBatch.from_arrays([c.combine_chunks() for c in table.filter(_mask(keep)).select([0, 1, 2, 3]).columns], ["cell", "member", "id", "root"])
+
+    return lambda batches: _grouped(batches, process)
+
+
+def _block_links(percent: int, compared: list | None = None):
     """For each cell of (cell, member, id, root, hashes): links of its askers, which come first, to its members.
 
-    Whole sets are intersected through one sorted list of all that the askers hold. A link between
-    parts that links of this cell have already joined isn't returned.
+    Shingles that over half of the askers hold are counted, not compared: with what else two sets share, the lesser
+    count bounds what they have in common. Only pairs that can reach the threshold by that, and that links of this cell haven't
+    joined yet, are compared as whole sets; so documents that share a common frame and nothing else cost no comparison. `compared` gets
+    the number of such comparisons, for tests.
     """
 
     def process(table, keys):
         member, ids, roots = (table.column(k).to_pylist() for k in (1, 2, 3))
         sets = [np.frombuffer(x, np.uint64) for x in table.column(4).to_pylist()]
-        starts = [*np.flatnonzero(np.append(True, keys[1:] != keys[:-1])).tolist(), len(keys)]
         out = []
-        for a, b in zip(starts, starts[1:], strict=False):
+        for a, b in _cell_bounds(keys):
             asking = [i for i in range(a, b) if not member[i]]
             if not asking:
                 continue
@@ -227,7 +257,11 @@ def _block_links(percent: int):
             held = np.concatenate([sets[i] for i in asking])
             order = np.argsort(held, kind="stable")
             held, owner = held[order], owner[order]
+            first = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
+            values, times = held[first], np.diff(np.append(first, len(held)))
+            common = times * 2 > max(len(asking), 7)
             n = np.array([len(sets[i]) for i in asking])
+            often = np.bincount(owner[np.repeat(common, times)], minlength=len(asking))
             parent: dict[int, int] = {}
 
             def root(x, parent=parent):
@@ -238,14 +272,22 @@ def _block_links(percent: int):
             for y in range(a, b):
                 if not member[y]:
                     continue
-                lo, hi = np.searchsorted(held, sets[y], "left"), np.searchsorted(held, sets[y], "right")
-                found = hi > lo
-                lo, width = lo[found], (hi - lo)[found]
-                at = np.repeat(lo - np.append(0, np.cumsum(width)[:-1]), width) + np.arange(width.sum()) if len(lo) else np.zeros(0, np.int64)
-                both = np.bincount(owner[at], minlength=len(asking))
-                for u in np.flatnonzero(100 * both >= percent * (n + len(sets[y]) - both)):
+                at = np.minimum(np.searchsorted(values, sets[y]), len(values) - 1)
+                at = at[values[at] == sets[y]]
+                frame, rest = int(common[at].sum()), at[~common[at]]
+                lo, width = first[rest], times[rest]
+                spots = np.repeat(lo - np.append(0, np.cumsum(width)[:-1]), width) + np.arange(width.sum()) if len(rest) else np.zeros(0, np.int64)
+                most = np.bincount(owner[spots], minlength=len(asking)) + np.minimum(often, frame)
+                for u in np.flatnonzero(100 * most >= percent * (n + len(sets[y]) - most)):
                     x, z = root(roots[asking[u]]), root(roots[y])
-                    if x != z:
+                    if x == z:
+                        continue
+                    other = sets[asking[u]]
+                    place = np.searchsorted(sets[y], other)
+                    both = int((sets[y][np.minimum(place, len(sets[y]) - 1)] == other).sum())
+                    if compared is not None:
+                        compared.append(1)
+                    if 100 * both >= percent * (len(other) + len(sets[y]) - both):
                         parent[max(x, z)] = min(x, z)
                         out.append((ids[asking[u]], ids[y]))
         yield _edges(out)
@@ -270,9 +312,10 @@ def near_duplicates(
     from the start. SuperMinHash signatures are cut into perms / rows bands; at similarity 0.8 the
     32 bands of 4 miss a pair once in 2e7. Each class first meets the least members of its buckets.
     What then lies in one bucket but in different components is sieved by sizes and signatures
-    inside the bucket (0.3 below the threshold, six standard deviations) into groups in question;
+    inside the bucket (six standard deviations below the threshold) into groups in question;
     in these all members outside of the group's largest component are held against all members,
-    in blocks. Every link is confirmed on whole sets; no step gives out all pairs of a group.
+    in blocks: first by sizes and signatures, and whole sets only of those that have a plausible partner in
+    their block. Every link is confirmed on whole sets; no step gives out all pairs of a group.
     Buckets of over `block` members are first split by a further band (a linked pair shares one
     with the same certainty); what is still larger is compared as pairs of blocks.
 
@@ -280,6 +323,7 @@ def near_duplicates(
     nothing, component_id and kept null. A repeated id counts as one document of several texts:
     each of its rows is returned, all in one component. Other columns are not read.
     """
+    least = percent / 100 - 6 * (percent / 100 * (1 - percent / 100) / perms) ** 0.5
     source = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("id"), F.encode(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), "UTF-8").alias("text")
     )
@@ -299,7 +343,7 @@ def near_duplicates(
         x = reps.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("sign").alias("sa"))
         y = reps.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sign").alias("sb"))
         sized = pairs.join(x, "a").join(y, "b").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
-        return sized.select("a", "b", "sa", "sb").mapInArrow(_agreeing(percent / 100 - 0.3), "a long, b long")
+        return sized.select("a", "b", "sa", "sb").mapInArrow(_agreeing(least), "a long, b long")
 
     likely = durable(plausible(starred), "likely")
     # Whole sets only of classes that share a bucket with another one; texts move once.
@@ -321,8 +365,10 @@ def near_duplicates(
     ra = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
     rb = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
     apart = likely.join(ra, "a", "left").join(rb, "b", "left").where("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b")
-    links = links.unionByName(durable(confirmed(apart), "links"))
+    more = durable(confirmed(apart), "links")
+    first, links = links, links.unionByName(more)
     roots = components(links)
+    forget(likely)
 
     def rooted(df: DataFrame) -> DataFrame:
         return df.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
@@ -346,7 +392,7 @@ def near_duplicates(
             pairs.select(F.xxhash64("key", F.least("i", "j"), F.greatest("i", "j")).alias("key"), "id", "root")
         )
     asked = cells.join(reps, "id").select("key", "id", "root", "n_shingles", "sign").repartition("key").sortWithinPartitions("key")
-    forest = asked.mapInArrow(_plausible_forest(percent, percent / 100 - 0.3), "a long, b long").distinct()
+    forest = asked.mapInArrow(_plausible_forest(percent, least), "a long, b long").distinct()
 
     # Groups in question: askers are all outside of a group's largest component.
     groups = rooted(components(forest).select(F.col("node").alias("id"), F.col("root").alias("group")))
@@ -362,10 +408,14 @@ def near_duplicates(
         "group", "id", "root", F.explode(F.expr("sequence(0L, lots - 1)")).alias("lot"), F.pmod("hash", "spans").alias("span"), F.lit(True).alias("member")
     )
     cells = asking.unionByName(asked).select(F.xxhash64("group", "lot", "span").alias("cell"), "member", "id", "root")
-    held = cells.join(sets, "id").select("cell", "member", "id", "root", "hashes").repartition("cell").sortWithinPartitions("cell")
+    signed = cells.join(reps, "id").select("cell", "member", "id", "root", "n_shingles", "sign").repartition("cell").sortWithinPartitions("cell", "member")
+    cells = durable(signed.mapInArrow(_sieved(percent, least), "cell long, member boolean, id long, root long"), "cells")
+    held = cells.join(sets, "id").select("cell", "member", "id", "root", "hashes").repartition("cell").sortWithinPartitions("cell", "member")
     found = durable(held.mapInArrow(_block_links(percent), "a long, b long"), "links")
     if not found.isEmpty():
         roots = components(links.unionByName(found))
+    # The result reads the sketches, the classes and the roots alone.
+    forget(members, sets, groups, cells, first, more, found)
 
     placed = (
         sketched.select("id", "n_shingles", "digest")

@@ -15,7 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import durable, meet
+from barloom.llm.common import durable, forget, meet
 
 #: Header fields of a URL record by version of the ARC format.
 ARC_FIELDS = {
@@ -344,8 +344,10 @@ def archive_round_trip(pages: DataFrame, **columns) -> DataFrame:
     page_id ranks last, so it revisits any page of the same payload, and is a response where there is none.
     """
     records = durable(convert_archives(archive_pages(pages, **columns)), "records")
-    back = read_archives(durable(write_archives(records), "archives"))
-    back = durable(back.select("page_id", "payload_bytes", "payload_digest", "record_type", "record_id", "refers_to_record"), "read-back")
+    archives = durable(write_archives(records), "archives")
+    back = read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "record_id", "refers_to_record")
+    back = durable(back, "read-back")
+    forget(records, archives)
     whole = back.where("record_type <> 'revisit'")
     again = back.where("record_type = 'revisit'")
     # Responses refer to nothing, so only revisits look for their origin.

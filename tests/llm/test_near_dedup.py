@@ -1,10 +1,14 @@
+import os
 import random
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import types as T
 
 from barloom.llm.graph import components
-from barloom.llm.near_dedup import near_duplicates, superminhash
+from barloom.llm.near_dedup import _block_links, near_duplicates, superminhash
 
 SCHEMA = "doc_id long, text string, hashes string"
 
@@ -76,6 +80,70 @@ def test_null_ids_repeated_ids_and_empty_tables(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def framed(n, seed=4):
+    """Sets that share a frame, at 0.55 to 0.75 of each other, and for each tenth a near copy."""
+    rng = np.random.default_rng(seed)
+    frame = rng.integers(1, 2**63, 700, dtype=np.uint64)
+    sets = []
+    for i in range(n):
+        if i % 10 == 9:
+            sets.append(np.unique(np.append(sets[-1][:-5], rng.integers(1, 2**63, 5, dtype=np.uint64))))
+        else:
+            sets.append(np.unique(np.append(rng.permutation(frame)[:680], rng.integers(1, 2**63, int(rng.integers(140, 240)), dtype=np.uint64))))
+    return sets
+
+
+def test_sets_with_a_common_frame_cost_no_comparisons():
+    counts = {}
+    for n in (500, 1000, 2000):
+        sets, compared, got = framed(n), [], set()
+        sample = [(len(np.intersect1d(sets[i], sets[j])), i, j) for i, j in [(0, 1), (5, 77), (123, 456)]]
+        assert all(0.5 < c / (len(sets[i]) + len(sets[j]) - c) < 0.78 for c, i, j in sample)
+        for at in range(0, n, 512):  # blocks of askers against all, as the cells of a group
+            rows = [(1, False, i, i, sets[i]) for i in range(at, min(at + 512, n))] + [(1, True, i, i, x) for i, x in enumerate(sets)]
+            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary())
+            columns = [[r[k] if k < 4 else r[k].tobytes() for r in rows] for k in range(5)]
+            batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["cell", "member", "id", "root", "hashes"])
+            for out in _block_links(80, compared)(iter([batch])):
+                got |= {(min(a, b), max(a, b)) for a, b in zip(out.column(0).to_pylist(), out.column(1).to_pylist())}
+        assert got == {(i - 1, i) for i in range(9, n, 10)}
+        counts[n] = len(compared)
+    assert counts[2000] <= 2 * counts[1000] <= 4 * counts[500] and counts[2000] <= 2 * 200
+
+
+def test_frames_match_brute_force_in_spark(spark):
+    rng = random.Random(6)
+    frame = [f"f{i}" for i in range(300)]
+    rows = []
+    for i in range(150):
+        at = rng.randrange(250)
+        words = frame[:at] + [f"o{i}x{k}" for k in range(rng.randint(60, 110))] + frame[at:]
+        rows.append((2 * i, " ".join(words), None))
+        if i % 10 == 0:
+            rows.append((2 * i + 1, " ".join(words[:-3]), None))
+    got = near_duplicates(spark.createDataFrame(rows, SCHEMA), shingle=4, block=32).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, 4)
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.1"), reason="needs the test tables")
+def test_no_link_of_the_query_set_is_lost(spark):
+    """Every document whose id is divisible by 20 against all rows, by whole sets."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    found = {r.doc_id: r.component_id for r in near_duplicates(docs, shingle=4).collect()}
+    sets = {r.doc_id: shingles(r.text, 4) for r in docs.collect()}
+    holders = defaultdict(list)
+    for i, x in sets.items():
+        for s in x:
+            holders[s].append(i)
+    links = kept = 0
+    for i in sets:
+        if i % 20 == 0:
+            for j, both in Counter(j for s in sets[i] for j in holders[s]).items():
+                if i != j and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                    links, kept = links + 1, kept + (found[i] == found[j])
+    assert links > 50 and kept == links
+
+
 def test_signature_estimates_similarity_and_ignores_order():
     rng = np.random.default_rng(0)
     x = rng.integers(1, 2**63, 3000, dtype=np.uint64)
