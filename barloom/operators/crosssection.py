@@ -146,6 +146,13 @@ def vol_scale(per: DataFrame, window: int, per_year: float, target: float, floor
     return rows.withColumn("scale", scale).drop("__r")
 
 
+def vol_targeted(readings: DataFrame, window: int, per_year: float, target: float, floor: float = 0.1, cap: float = 1.0, rate: float = 0.001) -> DataFrame:
+    """book() of readings with `weight`, every date's weights times its vol_scale(), which is of the book at full weight; with `scale`."""
+    scales = vol_scale(book(readings, rate=rate), window, per_year, target, floor, cap).select("k", "scale")
+    sized = readings.join(scales, "k").withColumn("weight", F.col("weight") * F.col("scale")).drop("scale")
+    return book(sized, rate=rate).join(scales, "k")
+
+
 def equal_weight(readings: DataFrame, rate: float = 0.001) -> DataFrame:
     """(k, equal_weight): an equal share in each symbol from its first print on, cash before, its last print after."""
     along = W.partitionBy("symbol").orderBy("k")
@@ -187,5 +194,5 @@ def permuted(readings: DataFrame, columns: list[str], seed: int) -> DataFrame:
     a = names.select("symbol", F.row_number().over(W.orderBy("symbol")).alias("n"))
     b = names.select(F.col("symbol").alias("lender"), F.row_number().over(order).alias("n"))
     lent = readings.select(F.col("symbol").alias("lender"), "k", *columns)
-    mapped = F.broadcast(a.join(b, "n").drop("n"))
+    mapped = a.join(b, "n").drop("n")
     return readings.drop(*columns).join(mapped, "symbol").join(lent, ["lender", "k"], "left").drop("lender")

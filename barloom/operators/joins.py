@@ -13,9 +13,9 @@ def asof(bars: DataFrame, dates: DataFrame, values: list[str], max_age: int | No
     """For each series and each row (k, date) and its tags: the last bar at or before the date.
 
     Gives k, date, print_time, the values as print_<name>, and under their own names those not older than max_age.
-    Bars and moments go through one window by series: nothing is paired that isn't asked for. dates are few.
+    Bars and moments go through one window by series: nothing is paired that isn't asked for, a row for each series and date.
     """
-    probes = bars.select(*KEY).distinct().crossJoin(F.broadcast(dates.select("k", "date", *tags)))
+    probes = bars.select(*KEY).distinct().crossJoin(dates.select("k", "date", *tags))
     seen = F.struct(F.col("time").alias("print_time"), *[F.col(v) for v in values])
     rows = bars.select(*KEY, "time", F.lit(0).alias("probe"), F.lit(None).cast("long").alias("k"), seen.alias("seen")).unionByName(
         probes.select(*KEY, F.col("date").alias("time"), F.lit(1).alias("probe"), F.col("k").cast("long").alias("k"), *tags), allowMissingColumns=True
@@ -34,7 +34,7 @@ def aligned(bars: DataFrame, calendar: DataFrame, max_age: int = 3 * 86_400) ->
 
     Only bars on the calendar count; turnover is that of the bar itself, else 0.
     """
-    grid = bars.select("symbol").distinct().crossJoin(F.broadcast(calendar))
+    grid = bars.select("symbol").distinct().crossJoin(calendar)
     rows = grid.join(bars.select("symbol", "time", "close", "turnover"), ["symbol", "time"], "left")
     upto = W.partitionBy("symbol").orderBy("idx").rowsBetween(W.unboundedPreceding, 0)
     last = F.last(F.when(F.col("close").isNotNull(), F.struct("time", "close")), ignorenulls=True).over(upto)
@@ -44,11 +44,11 @@ def aligned(bars: DataFrame, calendar: DataFrame, max_age: int = 3 * 86_400) ->
 
 
 def window_bars(bars: DataFrame, dates: DataFrame, gate: int) -> DataFrame:
-    """bars with the k of each date in whose window (date - gate, date] they lie; the few dates travel as one array."""
-    every = dates.agg(F.sort_array(F.collect_list(F.struct("date", "k"))).alias("dates"))
-    due = F.filter("dates", lambda d: (d["date"] >= F.col("time")) & (d["date"] - gate < F.col("time")))
-    rows = bars.crossJoin(F.broadcast(every)).withColumn("__d", F.explode(due)).drop("dates")
-    return rows.withColumn("k", F.col("__d.k")).withColumn("date", F.col("__d.date")).drop("__d")
+    """bars with the k of each date in whose window (date - gate, date] they lie: a join on bins of `gate` seconds, of which a window meets two."""
+    first, last = F.floor((F.col("date") - gate + 1) / gate), F.floor(F.col("date") / gate)
+    spans = dates.select("k", "date", F.explode(F.sequence(first, last)).alias("__bin"))
+    rows = bars.withColumn("__bin", F.floor(F.col("time") / gate)).join(spans, "__bin")
+    return rows.where((F.col("time") <= F.col("date")) & (F.col("time") > F.col("date") - gate)).drop("__bin")
 
 
 def shared_times(bars: DataFrame) -> DataFrame:

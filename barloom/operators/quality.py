@@ -34,7 +34,7 @@ def misaligned(timeframe: str) -> Column:
 
 
 def gaps(bars: DataFrame, timeframe: str) -> DataFrame:
-    """(series, after, before, expected, missing): each place where the next bar isn't the next label."""
+    """(series, after, before, expected, missing): each place where the next bar isn't the next label. `missing` counts MOST_SLOTS - 1 slots at most, as in quality()."""
     rows = bars.select(*KEY, "time", F.lag("time").over(in_order()).alias("after")).where("after is not null")
     rows = rows.withColumn("expected", shift(F.col("after"), 1, timeframe))
     missing = F.when(F.col("time") <= F.col("expected"), F.lit(0).cast("long")).otherwise(_slots_up(F.col("expected"), F.col("time"), timeframe))
@@ -85,12 +85,27 @@ def verify(bars: DataFrame, timeframe: str, order: str = "time", max_gaps: int =
     return out.withColumn("expected", expected).withColumn("coverage_pct", F.least(F.col("rows") / F.col("expected") * 100, F.lit(100.0))).withColumn("clean", clean)
 
 
-def inventory(bars: DataFrame, timeframe: str) -> DataFrame:
-    """Series with their length, ends and the bar to fetch next; totals come as rows of null symbol or null timeframe."""
-    out = bars.rollup(*reversed(KEY)).agg(
-        F.countDistinct("symbol").alias("n_symbols"), F.count(F.lit(1)).alias("bars"), F.min("time").alias("first_time"), F.max("time").alias("last_time")
+def inventory(bars: DataFrame, timeframe: str, floors: DataFrame | None = None) -> DataFrame:
+    """Series with their length, ends and the bar to fetch next; totals come as rows of null symbol or null timeframe.
+
+    With `file` and `file_bytes` columns, as stored_files() gives them, also the files and their bytes (a file of several series counts
+    for each); with floors (series, floor) the oldest moment that there is, see history_floor().
+    """
+    stored = "file" in bars.columns
+    parts = bars.groupBy(*KEY, *(["file"] if stored else [])).agg(
+        F.count(F.lit(1)).alias("bars"), F.min("time").alias("lo"), F.max("time").alias("hi"), *([F.max("file_bytes").alias("size")] if stored else [])
     )
-    return out.withColumn("next_time", F.when(F.col("symbol").isNotNull(), shift(F.col("last_time"), 1, timeframe)))
+    out = parts.rollup(*reversed(KEY)).agg(
+        F.countDistinct("symbol").alias("n_symbols"), F.sum("bars").alias("bars"), F.min("lo").alias("first_time"), F.max("hi").alias("last_time"),
+        *([F.count("file").alias("files"), F.sum("size").alias("bytes")] if stored else []),
+    )
+    out = out.withColumn("next_time", F.when(F.col("symbol").isNotNull(), shift(F.col("last_time"), 1, timeframe)))
+    return out if floors is None else out.join(history_floor(floors, bars), list(KEY), "left")
+
+
+def stored_files(bars: DataFrame) -> DataFrame:
+    """Bars as they are read from files, with each one's `file` and `file_bytes`."""
+    return bars.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("file_bytes"))
 
 
 def coverage(bars: DataFrame, group: Column, name: str) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import json
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -11,8 +13,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.functions.timegrid import bars_per_year
+from barloom.operators import basket as K
+from barloom.operators.curve import buy_and_hold, equity_curve, summary, trades
+from barloom.operators.performance import performance, trade_stats
+from barloom.operators.quality import quality
+from barloom.operators.signals import SIGNALS, signal
 from barloom.sources.bars import KEY
 
+#: Parameter sets and baskets that one verification builds plans for.
+MOST_PLANS = 400
 _WINDOW = T.StructType(
     [T.StructField("symbol", T.StringType()), T.StructField("timeframe", T.StringType())]
     + [T.StructField(n, T.LongType()) for n in ("bars", "first", "last")]
@@ -47,9 +57,154 @@ def fingerprints(bars: DataFrame) -> DataFrame:
 
 
 def quick_fingerprints(bars: DataFrame) -> DataFrame:
-    """(series, bars, mark): a sum of row hashes, for a cheap look at whether anything changed; order-free and pre-aggregated."""
-    mark = F.sum(F.xxhash64("time", "open", "high", "low", "close", "volume").cast("decimal(38,0)"))
-    return bars.groupBy(*KEY).agg(F.count(F.lit(1)).alias("bars"), mark.alias("mark"))
+    """(series, bars, mark): a sum of row hashes over times and values in millionths, for a cheap look at whether anything changed; order-free and pre-aggregated."""
+    cells = [F.col("time").cast("string"), *[F.round(F.col(c) * 1_000_000).cast("long").cast("string") for c in ("open", "high", "low", "close", "volume")]]
+    row = F.conv(F.substring(F.md5(F.concat_ws("|", *cells)), 1, 12), 16, 10).cast("long")
+    return bars.groupBy(*KEY).agg(F.count(F.lit(1)).alias("bars"), F.sum(row.cast("decimal(28,0)")).alias("mark"))
+
+
+def _figures(curve: DataFrame, per_year: float, value: str, prefix: str) -> DataFrame:
+    """(series, figures): the comparable numbers of one curve, by name."""
+    names = {"total_return": "total_return", "cagr": "cagr", "ann_vol": "ann_vol", "sharpe": "sharpe", "max_dd": "max_drawdown", "years": "years", "final_equity": "final_equity"}
+    pairs = [x for name, column in names.items() for x in (F.lit(f"{prefix}.{name}"), F.col(column).cast("double"))]
+    return performance(curve, per_year, value).select(*KEY, F.create_map(*pairs).alias(prefix))
+
+
+def run_metrics(bars: DataFrame, strategy: str, params: dict, rate: float, timeframe: str) -> DataFrame:
+    """(series, metrics) of one strategy on every series: figures of the curve and of holding, costs, exposure and trades as one flat map without nulls."""
+    curve = equity_curve(buy_and_hold(signal(bars, strategy, **params), rate), rate)
+    per_year = bars_per_year(timeframe)
+    own, hold = _figures(curve, per_year, "equity", "strategy"), _figures(curve, per_year, "hold_net", "buy_hold")
+    closed = trade_stats(trades(curve)).select(*KEY, F.create_map(F.lit("trades.n_closed"), F.col("n_closed").cast("double"), F.lit("trades.win_rate"), F.col("win_rate"), F.lit("trades.mean_return"), F.col("mean_return")).alias("trades"))
+    money = summary(curve, rate).select(*KEY, F.create_map(*[x for c in ("final_equity", "gross_equity", "fees_paid", "exposure") for x in (F.lit(c), F.col(c))]).alias("money"))
+    rows = own.join(hold, list(KEY)).join(money, list(KEY)).join(closed, list(KEY), "left")
+    every = F.map_concat("strategy", "buy_hold", "money", F.coalesce("trades", F.create_map(F.lit("trades.n_closed"), F.lit(0.0))))
+    return rows.select(*KEY, F.map_filter(every, lambda _, v: v.isNotNull()).alias("metrics"))
+
+
+def basket_metrics(bars: DataFrame, strategy: str, params: dict, rate: float, timeframe: str) -> DataFrame:
+    """(field, value) of an equal basket of all series: return.*, benchmark.*, fees_paid and legs.<symbol>.* on the times that all share."""
+    per_year, times = bars_per_year(timeframe), K.timeline(bars)
+    legs = K.legs(equity_curve(buy_and_hold(signal(bars, strategy, **params), rate), rate), times)
+    whole = legs.groupBy("time").agg((1 + F.avg(F.col("leg") - 1)).alias("basket"), F.avg("hold_net").alias("hold"))
+    whole = whole.withColumn("symbol", F.lit("")).withColumn("timeframe", F.lit(timeframe))
+    fields = lambda df, column: df.select(F.explode(column).alias("field", "value"))
+    sums = [fields(_figures(whole, per_year, "basket", "return"), "return"), fields(_figures(whole, per_year, "hold", "benchmark"), "benchmark")]
+    sums.append(legs.agg(F.sum("fee").alias("value")).select(F.lit("fees_paid").alias("field"), "value"))
+    parts = _figures(legs, per_year, "leg", "leg").select("symbol", F.col("leg")["leg.sharpe"].alias("sharpe"))
+    parts = parts.join(K.contributions(legs), "symbol").join(legs.groupBy("symbol").agg(F.sum("fee").alias("fees")), "symbol")
+    named = F.create_map(*[x for n, c in (("total_return", "total"), ("sharpe", "sharpe"), ("exposure", "exposure"), ("fees", "fees"), ("contribution", "contribution")) for x in (F.lit(n), F.col(c))])
+    sums.append(parts.select("symbol", F.explode(named).alias("name", "value")).select(F.concat_ws(".", F.lit("legs"), "symbol", "name").alias("field"), "value"))
+    return reduce(DataFrame.unionByName, sums).where("value is not null")
+
+
+def windows_of(bars: DataFrame, timeframe: str) -> DataFrame:
+    """(series, data): what bars a run has seen, their digest, and their audit."""
+    seen = quality(bars, timeframe).join(fingerprints(bars).select(*KEY, "digest"), list(KEY))
+    data = F.struct("symbol", "timeframe", "bars", F.col("first_time").alias("first"), F.col("last_time").alias("last"), "digest", "gaps", F.col("missing").alias("missing_bars"), F.col("bad_ohlc").alias("bars_violating_ohlc"))
+    return seen.select(*KEY, data.cast(_WINDOW).alias("data"))
+
+
+def record_runs(
+    bars: DataFrame, strategy: str, params: dict, timeframe: str, recorded_at: str, fee: float = 0.001, slippage: float = 0.0, note: str = "", trades_file: str | None = None
+) -> DataFrame:
+    """A record for each series, of the columns of RUNS: parameters, costs, window with digest and audit, metrics. recorded_at is an ISO moment."""
+    stamp = "".join(c for c in recorded_at if c.isdigit())
+    rows = windows_of(bars, timeframe).join(run_metrics(bars, strategy, params, fee + slippage, timeframe), list(KEY))
+    label = F.concat_ws("-", F.lit(strategy), "symbol", "timeframe")
+    return rows.select(
+        F.concat_ws("-", F.lit(stamp), label).alias("run_id"), F.lit(recorded_at).alias("recorded_at"), label.alias("label"), F.lit(strategy).alias("strategy"), F.lit("backtest").alias("kind"),
+        F.lit(note).alias("note"), F.lit(trades_file).cast("string").alias("trades_file"), *_given(params, fee, slippage), "metrics", "data", F.lit(1).alias("journal_format"),
+    )
+
+
+def record_basket(bars: DataFrame, strategy: str, params: dict, timeframe: str, recorded_at: str, fee: float = 0.001, slippage: float = 0.0, note: str = "") -> DataFrame:
+    """One record for the basket of all series, with the window of each leg."""
+    stamp = "".join(c for c in recorded_at if c.isdigit())
+    legs = windows_of(bars, timeframe).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("symbol", "data")))).alias("legs"))
+    metrics = basket_metrics(bars, strategy, params, fee + slippage, timeframe).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("field", "value")))).alias("metrics"))
+    label = F.concat_ws("-", F.lit("basket"), F.lit(timeframe), F.concat(F.size("legs").cast("string"), F.lit("legs")))
+    return legs.crossJoin(metrics).select(
+        F.concat_ws("-", F.lit(stamp), label).alias("run_id"), F.lit(recorded_at).alias("recorded_at"), label.alias("label"), F.lit(strategy).alias("strategy"), F.lit("basket").alias("kind"),
+        F.lit(note).alias("note"), *_given(params, fee, slippage), "metrics", "legs", F.lit(1).alias("journal_format"),
+    )
+
+
+def _given(params: dict, fee: float, slippage: float) -> list[Column]:
+    pairs = [x for k in sorted(params) for x in (F.lit(k), F.lit(str(params[k])))]
+    held = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
+    return [held.alias("params"), F.struct(F.lit(float(fee)).alias("fee_per_side"), F.lit(float(slippage)).alias("slippage_per_side")).alias("costs")]
+
+
+def rebuilt(strategy: str, params: dict) -> dict | None:
+    """Parameters of a record as the strategy takes them, or None if there is no such strategy or it doesn't take them."""
+    if strategy not in SIGNALS or set(params) - set(SIGNALS[strategy].defaults):
+        return None
+    try:
+        kinds = {k: type(v) for k, v in SIGNALS[strategy].defaults.items()}
+        return {k: v == "True" if kinds[k] is bool else kinds[k](float(v)) if kinds[k] in (int, float) else v for k, v in params.items()}
+    except ValueError:
+        return None
+
+
+def verify_runs(runs: DataFrame, bars: DataFrame, verified_at: str, tol: float = 1e-9) -> DataFrame:
+    """(run_id, verified_at, status, bars, digest_recorded, digest_actual, mismatches) of every record, worked out anew from the bars of its own window.
+
+    error: the bars aren't there any more; unknown-strategy: it can't be rebuilt; mismatch: a figure differs; data-changed: the figures
+    are the same, the bars aren't; else verified. Runs of the same strategy, parameters and costs are one plan over all their series; the
+    driver holds one line for each such set and for each basket, MOST_PLANS at most.
+    """
+    spark = runs.sparkSession
+    runs = runs.select([f.name for f in RUNS.fields if f.name in runs.columns])
+    single = runs.where("kind <> 'basket'").select("run_id", F.array("data").alias("seen")) if "data" in runs.columns else None
+    legs = runs.where("kind = 'basket'").select("run_id", F.map_values("legs").alias("seen")) if "legs" in runs.columns else None
+    seen = reduce(DataFrame.unionByName, [x for x in (single, legs) if x is not None]).select("run_id", F.explode("seen").alias("w")).select("run_id", "w.symbol", "w.timeframe", "w.first", "w.last", F.col("w.digest").alias("recorded"))
+    sliced = run_window(bars, seen.select("run_id", *KEY, "first", "last")).drop("first", "last")
+    # Each run's window of a series is a series of its own; a zero byte is in no symbol.
+    own = sliced.withColumn("symbol", F.concat("run_id", F.lit("\0"), "symbol")).drop("run_id")
+    marks = fingerprints(own).select(F.split("symbol", "\0")[0].alias("run_id"), F.split("symbol", "\0")[1].alias("symbol"), "bars", "digest")
+    joined = lambda c: F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "symbol", c))), "|")
+    data = seen.join(marks, ["run_id", "symbol"], "left").groupBy("run_id").agg(
+        F.sum("bars").alias("bars"), F.bool_and(F.col("digest").isNotNull()).alias("there"), F.bool_and(F.col("digest") == F.col("recorded")).alias("same"),
+        joined("recorded").alias("digest_recorded"), joined("digest").alias("digest_actual"),
+    )
+    keyed = runs.select("run_id", "kind", "strategy", F.to_json("params").alias("given"), F.to_json("costs").alias("costs"), *(["data.timeframe"] if single is not None else []))
+    sets = keyed.groupBy("kind", "strategy", "given", "costs", F.when(F.col("kind") == "basket", F.col("run_id")).alias("basket"), *(["timeframe"] if single is not None else [])).count().limit(MOST_PLANS + 1).collect()
+    if len(sets) > MOST_PLANS:
+        raise ValueError(f"more than {MOST_PLANS} sets of parameters; verify the registry in parts")
+    parts, unknown = [], []
+    for x in sets:
+        params, costs = rebuilt(x.strategy, json.loads(x.given or "{}")), json.loads(x.costs)
+        rate = costs["fee_per_side"] + costs["slippage_per_side"]
+        if params is None:
+            unknown.append(keyed.where(_same(x)).select("run_id"))
+        elif x.kind == "basket":
+            mine = sliced.where(F.col("run_id") == x.basket)
+            frame = spark.createDataFrame([(x.basket,)], "run_id string")
+            timeframe = seen.where(F.col("run_id") == x.basket).first().timeframe
+            parts.append(frame.crossJoin(basket_metrics(mine.drop("run_id"), x.strategy, params, rate, timeframe)))
+        else:
+            mine = own.join(keyed.where(_same(x)).select(F.col("run_id").alias("__run")), F.split("symbol", "\0")[0] == F.col("__run"), "left_semi")
+            got = run_metrics(mine, x.strategy, params, rate, x.timeframe)
+            parts.append(got.select(F.split("symbol", "\0")[0].alias("run_id"), F.explode("metrics").alias("field", "value")))
+    none = spark.createDataFrame([], "run_id string, field string, value double")
+    actual = reduce(DataFrame.unionByName, parts, none)
+    odd = reduce(DataFrame.unionByName, unknown, none.select("run_id")).withColumn("unknown", F.lit(True))
+    wrong = compared(flattened(runs), actual, tol).groupBy("run_id").agg(F.sort_array(F.collect_list(F.struct("field", "recorded", "actual"))).alias("mismatches"))
+    rows = data.join(odd, "run_id", "left").join(wrong, "run_id", "left")
+    status = (
+        F.when(~F.col("there"), "error").when(F.coalesce("unknown", F.lit(False)), "unknown-strategy").when(F.size(F.coalesce("mismatches", F.array())) > 0, "mismatch")
+        .when(~F.col("same"), "data-changed").otherwise("verified")
+    )
+    return rows.select("run_id", F.lit(verified_at).alias("verified_at"), status.alias("status"), F.coalesce("bars", F.lit(0)).alias("bars"), "digest_recorded", "digest_actual", F.when(status == "mismatch", F.col("mismatches")).alias("mismatches"))
+
+
+def _same(x) -> Column:
+    """The records of one set of strategy, parameters and costs."""
+    same = F.col("strategy").eqNullSafe(x.strategy) & F.col("given").eqNullSafe(x.given) & F.col("costs").eqNullSafe(x.costs) & F.col("kind").eqNullSafe(x.kind)
+    if x.basket is not None:
+        return same & (F.col("run_id") == x.basket)
+    return same & F.col("timeframe").eqNullSafe(x.timeframe) if "timeframe" in x else same
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
@@ -57,6 +212,14 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUNS).option("columnNameOfCorruptRecord", "_bad").json(path)
 
 
+def bad_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, text) of each line that is no record: numbered from 1 within its file, which is read whole for that by one task."""
+    text = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\n")).alias("at", "text"))
+    parsed = F.from_json("text", "run_id string, _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    bad = (F.trim("text") != "") & (parsed["_bad"].isNotNull() | parsed["run_id"].isNull())
+    return text.where(bad).select("file", (F.col("at") + 1).alias("line"), "text")
+
+
 def named(rows: DataFrame, base: str, order: list[str]) -> DataFrame:
     """rows with unique run_id: the column base, then -2, -3, ... for those that share one."""
     n = F.row_number().over(W.partitionBy(base).orderBy(*order))
@@ -84,17 +247,6 @@ def compared(recorded: DataFrame, actual: DataFrame, tol: float = 1e-9) -> DataF
     return a.join(b, ["run_id", "field"], "full_outer").where(differs(F.col("recorded"), F.col("actual"), tol))
 
 
-def statuses(runs: DataFrame, digests: DataFrame, mismatches: DataFrame, known: list[str]) -> DataFrame:
-    """(run_id, status) of (run_id, strategy, digest), (run_id, actual_digest) and mismatches: an unknown strategy first, then changed data, then figures."""
-    wrong = mismatches.groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
-    rows = runs.join(digests, "run_id", "left").join(wrong, "run_id", "left")
-    status = (
-        F.when(~F.col("strategy").isin(known), "unknown-strategy").when(F.col("actual_digest").isNull(), "error")
-        .when(F.col("digest") != F.col("actual_digest"), "data-changed").when(F.coalesce("n", F.lit(0)) > 0, "mismatch").otherwise("verified")
-    )
-    return rows.select("run_id", status.alias("status"))
-
-
 def run_window(bars: DataFrame, windows: DataFrame) -> DataFrame:
     """bars of each run's recorded window (run_id, series, first, last): a join on the series with a range of times."""
     return bars.join(windows, list(KEY)).where("time between first and last")
@@ -114,10 +266,14 @@ def rolled_up(runs: DataFrame, status: DataFrame) -> DataFrame:
 
 
 def run_table(runs: DataFrame, status: DataFrame) -> DataFrame:
-    """Newest first: headline figures of `strategy.*`, or of `return.*` for baskets, with the last check's mark."""
-    figure = lambda name: F.coalesce(F.col("metrics")[f"strategy.{name}"], F.col("metrics")[f"return.{name}"])
+    """Newest first: headline figures of `strategy.*`, or of `return.*` for baskets, trades, number of legs, and the last check's mark."""
+    figure = lambda name: F.coalesce(F.col("metrics")[f"strategy.{name}"], F.col("metrics")[f"return.{name}"]).alias(name)
     out = runs.join(status.select("run_id", "status"), "run_id", "left")
-    return out.select("run_id", "recorded_at", figure("total").alias("total"), figure("sharpe").alias("sharpe"), F.coalesce("status", F.lit("-")).alias("status")).orderBy(F.col("recorded_at").desc(), "run_id")
+    legs = F.greatest(F.size("legs"), F.lit(0)) if "legs" in runs.columns else F.lit(0)
+    return out.select(
+        "run_id", "recorded_at", "strategy", figure("total_return"), figure("cagr"), figure("max_dd"), figure("sharpe"), F.col("metrics")["trades.n_closed"].cast("long").alias("trades"), legs.alias("legs"),
+        F.coalesce("status", F.lit("-")).alias("status"),
+    ).orderBy(F.col("recorded_at").desc(), "run_id")
 
 
 def trades_compared(recorded: DataFrame, actual: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import scalars, timegrid
 from barloom.operators import quality
+from barloom.operators import selection as SEL
 from barloom.plans.base import W, on_bars, on_tables, r6
 from barloom.sources import bars as B
 from barloom.sources.derived import DIRTY_SQL, EVENT_SQL, dirty, ticks
@@ -129,42 +130,32 @@ def pair():
     return F.when(F.length("symbol") % 2 == 0, F.concat("symbol", F.lit("-A-usdt"))).otherwise(F.concat("symbol", F.lit("-btc")))
 
 
-def search(symbol, text: str):
-    """All words of the text must match: '/q' is a quote, 'a/b' a pair, anything else a part of the name."""
-    found = F.lit(True)
-    for word in text.lower().split():
-        low = F.lower(symbol)
-        found = found & (F.endswith(low, F.lit("-" + word[1:])) if word.startswith("/") else F.contains(low, F.lit(word.replace("/", "-"))))
-    return found
-
-
 on_bars(
-    "pf8_quote_filter", "types", lambda b: b.select(pair().alias("symbol"), "time").where(scalars.quote_of(F.col("symbol")).isin("USDT")).groupBy("symbol").agg(F.count(F.lit(1)).alias("n")),
-    f"SELECT {PAIR} AS symbol, count(*) AS n FROM bars WHERE upper(split_part({PAIR}, '-', -1)) IN ('USDT') GROUP BY 1",
+    "pf8_quote_filter", "types", lambda b: SEL.quoted(b.select(pair().alias("symbol"), "time"), SEL.parse_quotes("usdt, eur")).groupBy("symbol").agg(F.count(F.lit(1)).alias("n")),
+    f"SELECT {PAIR} AS symbol, count(*) AS n FROM bars WHERE upper(split_part({PAIR}, '-', -1)) IN ('USDT', 'EUR') GROUP BY 1",
 )
 on_bars(
-    "pf9_search", "types", lambda b: b.select(pair().alias("symbol")).distinct().where(search(F.col("symbol"), "/usdt a")),
+    "pf9_search", "types", lambda b: b.select(pair().alias("symbol")).distinct().where(SEL.matching(F.col("symbol"), "/usdt a")),
     f"SELECT DISTINCT {PAIR} AS symbol FROM bars WHERE lower({PAIR}) LIKE '%-usdt' AND contains(lower({PAIR}), 'a')",
 )
 LISTED = ["PROMO", "STANDARD", "NOWHERE"]
-on_bars(
-    "pf10_listed_split", "types",
-    lambda b: B.list_series(b).join(F.broadcast(b.sparkSession.createDataFrame([(s,) for s in LISTED], "symbol string").withColumn("listed", F.lit(True))), "symbol", "left").select("symbol", F.coalesce("listed", F.lit(False)).alias("listed")),
-    "SELECT DISTINCT symbol, symbol IN ('PROMO', 'STANDARD', 'NOWHERE') AS listed FROM bars",
-)
+on_bars("pf10_listed_split", "types", lambda b: SEL.listed(B.list_series(b), LISTED).select("symbol", "listed"), "SELECT DISTINCT symbol, symbol IN ('PROMO', 'STANDARD', 'NOWHERE') AS listed FROM bars")
 on_bars(
     "pf11_min_turnover", "brands", lambda b: b.groupBy("symbol").agg(F.median("turnover").alias("turnover")).where("turnover > 1000").select("symbol", r6("turnover", "turnover")),
     "SELECT symbol, round(median(turnover), 6) AS turnover FROM bars GROUP BY symbol HAVING median(turnover) > 1000",
 )
+counted = lambda rows: rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.min("time").alias("first_time"), F.max("time").alias("last_time"))
+on_bars(
+    "pf13_last_year", "types", lambda b: counted(SEL.reporting_window(b, last="1y")),
+    "SELECT symbol, count(*) AS n, min(time) AS first_time, max(time) AS last_time FROM (SELECT *, max(time) OVER (PARTITION BY symbol) - 31536000 AS since FROM bars) WHERE time >= since GROUP BY symbol",
+)
 on_bars(
-    "pf13_last_year", "types",
-    lambda b: b.join(b.groupBy("symbol").agg((F.max("time") - timegrid.parse_duration("1y")).alias("since")), "symbol").where("time >= since").groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.min("time").alias("first_time")),
-    "SELECT symbol, count(*) AS n, min(time) AS first_time FROM (SELECT *, max(time) OVER (PARTITION BY symbol) - 31536000 AS since FROM bars) WHERE time >= since GROUP BY symbol",
+    "pf13_days", "daily", lambda b: counted(SEL.reporting_window(b.where("symbol <> 'Brand#11' or time > 886000000"), first="1998-01-31", until="1998-02-03")),
+    "b2 AS (SELECT * FROM bars WHERE symbol <> 'Brand#11' OR time > 886000000) SELECT symbol, count(*) AS n, min(time) AS first_time, max(time) AS last_time FROM b2 WHERE time BETWEEN epoch(TIMESTAMP '1998-01-31') AND epoch(TIMESTAMP '1998-02-03') GROUP BY symbol HAVING count(*) >= 3",
 )
 on_bars(
-    "pf14_selection", "types",
-    lambda b: b.sparkSession.createDataFrame([(s,) for s in LISTED], "symbol string").join(b.groupBy("symbol").agg(F.count(F.lit(1)).alias("n")), "symbol", "left").select("symbol", F.coalesce("n", F.lit(0)).alias("n")),
-    "SELECT s.symbol, coalesce(n, 0) AS n FROM (SELECT unnest(['PROMO', 'STANDARD', 'NOWHERE']) AS symbol) s LEFT JOIN (SELECT symbol, count(*) AS n FROM bars GROUP BY symbol) b ON s.symbol = b.symbol",
+    "pf14_selection", "types", lambda b: SEL.selected(b, LISTED, timeframes=["1w"]).select("symbol", "bars"),
+    "SELECT s.symbol, coalesce(n, 0) AS bars FROM (SELECT unnest(['PROMO', 'STANDARD', 'NOWHERE']) AS symbol) s LEFT JOIN (SELECT symbol, count(*) AS n FROM bars GROUP BY symbol) b ON s.symbol = b.symbol",
 )
 
 GAPPED = "b3 AS (SELECT * FROM bars WHERE time // 604800 % 11 <> 3 AND time // 604800 % 17 NOT IN (5, 6, 7))"
@@ -189,7 +180,7 @@ on_bars(
 )
 on_bars(
     "ag5_inventory", "brands", lambda b: quality.inventory(b, "1w"),
-    """SELECT symbol, timeframe, count(DISTINCT symbol) AS n_symbols, count(*) AS bars, min(time) AS first_time, max(time) AS last_time, CASE WHEN symbol IS NOT NULL THEN max(time) + 604800 END AS next_time
+    """SELECT symbol, timeframe, count(DISTINCT symbol) AS n_symbols, CAST(count(*) AS BIGINT) AS bars, min(time) AS first_time, max(time) AS last_time, CASE WHEN symbol IS NOT NULL THEN max(time) + 604800 END AS next_time
        FROM bars GROUP BY ROLLUP (timeframe, symbol)""",
 )
 on_bars(

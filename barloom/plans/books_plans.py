@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from barloom.operators import basket as K
@@ -139,6 +141,13 @@ on_bars(
     f"""{PANEL}, {picks(TOP, False)}, {BOOK}, sc AS (SELECT k, count(*) OVER v AS n, stddev_pop(growth - 1) OVER v * sqrt(13.0) AS s FROM book WINDOW v AS (ORDER BY k ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING))
     SELECT k, round(CASE WHEN n < 5 THEN 1.0 WHEN s <= 0 THEN 1.0 ELSE greatest(0.1, least(1.0, 0.4 / s)) END, 6) AS scale FROM sc""",
 )
+FULL = re.sub(r"\b(ahead|wr|gr|dr|per|fa|book)\b", r"\1_full", BOOK)
+SIZED = f"""sc AS (SELECT k, CASE WHEN n < 5 THEN 1.0 WHEN s <= 0 THEN 1.0 ELSE greatest(0.1, least(1.0, 0.4 / s)) END AS scale FROM (SELECT k, count(*) OVER v AS n, stddev_pop(growth - 1) OVER v * sqrt(13.0) AS s FROM book_full WINDOW v AS (ORDER BY k ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING))),
+sized AS (SELECT h.symbol, h.k, h.weight * scale AS weight FROM held h JOIN sc ON h.k = sc.k)"""
+on_bars(
+    "xs8_targeted_book", "brands", lambda b: rounded(X.vol_targeted(X.weighted_readings(read(b), TOP), 12, 13.0, 0.4, 0.1, 1.0, RATE).drop("delisted")),
+    f"{PANEL}, {picks(TOP, False)}, {FULL}, {SIZED}, {BOOK.replace('LEFT JOIN held h', 'LEFT JOIN sized h')} SELECT book.k, date, holdings, round(turnover, 6) AS turnover, round(growth, 6) AS growth, round(equity, 6) AS equity, round(scale, 6) AS scale FROM book JOIN sc ON book.k = sc.k",
+)
 on_bars(
     "xs9_turnover_diff", "brands",
     lambda b: (lambda h: rounded(J.diff(h.select("symbol", (F.col("k") + 1).alias("k"), "weight"), h.select("symbol", "k", "weight"), ["symbol", "k"], "weight").groupBy("k").agg(F.sum("moved").alias("turnover"))))(X.weights(X.ranked(read(b), TOP))),
@@ -251,7 +260,7 @@ on_bars(
     "bk8_swaps", "types", lambda b: rounded(K.swaps(basket(b))),
     f"{LEGS}, mv AS (SELECT time, symbol, position - coalesce(lag(position) OVER w, 0) AS mv FROM legs {W}) SELECT time, round(sum(mv), 6) AS changed, string_agg(symbol, ',' ORDER BY symbol) AS names FROM mv WHERE abs(mv) >= 1e-12 GROUP BY time",
 )
-on_bars("se1_shared_times", "daily", lambda b: J.shared_times(b), "SELECT time FROM bars GROUP BY time HAVING count(DISTINCT symbol) = (SELECT count(DISTINCT symbol) FROM bars)")
+on_bars("se1_shared_times", "flags", lambda b: J.shared_times(b), "SELECT time FROM bars GROUP BY time HAVING count(DISTINCT symbol) = (SELECT count(DISTINCT symbol) FROM bars)")
 on_bars("se2_union", "types", lambda b: b.where("time < 820000000").select("symbol", "time").union(b.where("time > 810000000").select("symbol", "time")).distinct(), "SELECT symbol, time FROM bars WHERE time < 820000000 UNION SELECT symbol, time FROM bars WHERE time > 810000000")
 on_bars("se3_difference", "types", lambda b: b.select("symbol", "time").exceptAll(b.where("time > 810000000").select("symbol", "time")), "SELECT symbol, time FROM bars EXCEPT ALL SELECT symbol, time FROM bars WHERE time > 810000000")
 on_bars("se4_dedup", "daily", lambda b: b.select("symbol", F.expr("time div 2592000").alias("month")).dropDuplicates(), "SELECT DISTINCT symbol, time // 2592000 AS month FROM bars")

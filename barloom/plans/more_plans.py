@@ -90,19 +90,9 @@ on_bars(
 )
 
 
-def recorded(b):
-    """A record for each series, appended to a registry and read again."""
-    spark, path = b.sparkSession, new_folder(b.sparkSession, "runs")
-    rows = C.summary(C.equity_curve(signal(b, "sma", window=20), RATE))
-    metrics = F.map_from_arrays(F.array(F.lit("strategy.total")), F.array(F.col("final_equity") - 1))
-    G.append_runs(rows.select(F.col("symbol").alias("run_id"), F.lit("sma").alias("strategy"), F.lit("backtest").alias("kind"), metrics.alias("metrics")), path)
-    return G.read_runs(spark, path).select("run_id", "strategy", r6(F.col("metrics")["strategy.total"], "total"))
-
-
-on_bars("rg2_recorded", "types", recorded, f"{RULES['sg1_sma'][2]}, {CURVE}{LAST} SELECT symbol AS run_id, 'sma' AS strategy, round(e * (1 + p * (c / o - 1)) - 1, 6) AS total FROM z")
 on_bars(
-    "mp1_maps", "brands", lambda b: X.weights(X.ranked(read(b), TOP)).groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("symbol", "weight"))).alias("m")).select("k", F.size("m").alias("n"), F.array_join(F.array_sort(F.map_keys("m")), ",").alias("names")),
-    f"{PANEL}, {picks(TOP, False)} SELECT k, CAST(count(*) AS INT) AS n, string_agg(symbol, ',' ORDER BY symbol) AS names FROM held GROUP BY k",
+    "mp1_maps", "brands", lambda b: X.weights(X.ranked(read(b), TOP)).groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("symbol", "weight"))).alias("m")).select("k", F.size("m").alias("n"), F.array_join(F.array_sort(F.map_keys("m")), ",").alias("names"), r6(F.aggregate(F.map_values("m"), F.lit(0.0), lambda a, x: a + x), "invested"), r6(F.col("m")[F.array_min(F.map_keys("m"))], "weight")),
+    f"{PANEL}, {picks(TOP, False)} SELECT k, CAST(count(*) AS INT) AS n, string_agg(symbol, ',' ORDER BY symbol) AS names, round(sum(weight), 6) AS invested, round(arg_min(weight, symbol), 6) AS weight FROM held GROUP BY k",
 )
 on_tables(
     "sta_strings", lambda spark, sf: table(spark, sf, "supplier").select(F.trim(F.upper("s_name")).alias("name"), scalars.quote_of(F.concat("s_name", F.lit("-usdt"))).alias("quote")),

@@ -18,8 +18,8 @@ from barloom.operators import search as H
 from barloom.operators.performance import performance
 from barloom.operators.signals import signal
 from barloom.plans.base import FIXTURES, W, on_bars, on_tables, r6, rounded
-from barloom.plans.books_plans import ALIGNED, CS, WEEK, calendar
-from barloom.plans.rules_plans import CURVE, LAST, PERF, RULES, WEEKS, plain_sql, sma_sql
+from barloom.plans.books_plans import ALIGNED, CS, LEGS, WEEK, calendar, sparse
+from barloom.plans.rules_plans import CURVE, LAST, PERF, RULES, TRADES, WEEKS, plain_sql, sma_sql
 from barloom.sources import bars as B
 from barloom.sources.derived import EVENT_SQL, table, ticks, trade_sql
 from barloom.sources.workspace import new_folder
@@ -176,7 +176,11 @@ for _name in ("wf5_stitched",):
     )
 
 on_bars("rg1_fingerprints", "types", G.fingerprints)
-on_bars("rg1_quick_fingerprints", "types", lambda b: G.quick_fingerprints(b).select("symbol", "bars"), "SELECT symbol, count(*) AS bars FROM bars GROUP BY symbol")
+on_bars(
+    "rg1_quick_fingerprints", "types", lambda b: G.quick_fingerprints(b).select("symbol", "bars", F.col("mark").cast("string").alias("mark")),
+    f"""SELECT symbol, count(*) AS bars, CAST(CAST(sum(CAST('0x' || substr(md5(concat_ws('|', time, {', '.join(f'CAST(round({c} * 1000000) AS BIGINT)' for c in ('open', 'high', 'low', 'close', 'volume'))})), 1, 12) AS BIGINT)) AS HUGEINT) AS VARCHAR) AS mark
+    FROM bars GROUP BY symbol""",
+)
 
 
 def metric_rows(b, bump):
@@ -217,26 +221,69 @@ on_tables(
     "sc12_unique_ids", lambda spark, sf: G.named(run_rows(spark, sf), "params", ["recorded_at"]).select("run_id", "recorded_at"),
     f"WITH {RUN_SQL} SELECT CASE WHEN n = 1 THEN params ELSE params || '-' || CAST(n AS VARCHAR) END AS run_id, recorded_at FROM (SELECT *, row_number() OVER (PARTITION BY params ORDER BY recorded_at) AS n FROM r)",
 )
-on_tables(
-    "rg8_run_table",
-    lambda spark, sf: rounded(G.run_table(run_rows(spark, sf).withColumn("metrics", F.create_map(F.when(F.col("recorded_at") % 2 == 0, "strategy.total").otherwise("return.total"), "total")), checks(spark, sf).select(F.col("seq").cast("string").alias("run_id"), "status").where("seq % 5 <> 0"))).drop("sharpe"),
-    f"WITH {RUN_SQL} SELECT run_id, recorded_at, round(total, 6) AS total, CASE WHEN recorded_at % 5 = 0 THEN '-' WHEN recorded_at % 3 = 0 THEN 'verified' WHEN recorded_at % 3 = 1 THEN 'mismatch' ELSE 'data-changed' END AS status FROM r",
+MOMENTS = ("2026-01-02T03:04:05Z", "2026-02-03T04:05:06Z")
+COSTS = {"fee": 0.0008, "slippage": 0.0002}
+
+
+def recorded(b, moment=MOMENTS[0], strategy="sma", **params):
+    return G.record_runs(b, strategy, params or {"window": 20}, "1w", moment, **COSTS)
+
+
+def stored_runs(spark, *records):
+    """Records appended to a registry and read again."""
+    path = new_folder(spark, "runs")
+    for rows in records:
+        G.append_runs(rows, path)
+    return G.read_runs(spark, path)
+
+
+def run_table(b):
+    runs = stored_runs(b.sparkSession, *[recorded(b, m) for m in MOMENTS])
+    even = runs.where("length(data.symbol) % 2 = 0 and recorded_at < '2026-02'").select("run_id", F.lit("verified").alias("status"))
+    return rounded(G.run_table(runs, even))
+
+
+on_bars(
+    "rg8_run_table", "types", run_table,
+    f"""{RULES['sg1_sma'][2]}, {CURVE}{TRADES}{PERF}, n AS (SELECT symbol, count(*) AS trades FROM trades WHERE NOT open_at_end GROUP BY symbol)
+    SELECT replace(replace(replace(replace(m, '-', ''), ':', ''), 'T', ''), 'Z', '') || '-sma-' || p.symbol || '-1w' AS run_id, m AS recorded_at, 'sma' AS strategy, round(fe - 1, 6) AS total_return, round(exp(ln(fe) / years) - 1, 6) AS cagr, round(mdd, 6) AS max_dd,
+    round(sharpe, 6) AS sharpe, coalesce(trades, 0) AS trades, 0 AS legs, CASE WHEN length(p.symbol) % 2 = 0 AND m = '{MOMENTS[0]}' THEN 'verified' ELSE '-' END AS status FROM perf p LEFT JOIN n ON p.symbol = n.symbol, (SELECT unnest({list(MOMENTS)}) AS m)""",
 )
+AUDIT = """q AS (SELECT symbol, count(*) AS bars, min(time) AS first_time, max(time) AS last_time, CAST(sum(CASE WHEN time <> expected THEN 1 ELSE 0 END) AS BIGINT) AS gaps,
+    CAST(sum(CASE WHEN time > expected THEN (time - expected + 604799) // 604800 ELSE 0 END) AS BIGINT) AS missing_bars FROM (SELECT *, lag(time) OVER w + 604800 AS expected FROM bars """ + W + """) GROUP BY symbol)"""
+RECORD_SQL = f"""{RULES['sg1_sma'][2]}, {CURVE}{PERF}{LAST}, {AUDIT} SELECT '20260102030405-sma-' || q.symbol || '-1w' AS run_id, 'sma' AS strategy, '20' AS window, 0.0008 AS fee, bars, first_time, last_time, gaps, missing_bars, 64 AS digits,
+    round(fe - 1, 6) AS total_return, round(fees_paid, 6) AS fees_paid, round(exposure, 6) AS exposure FROM q JOIN perf p ON q.symbol = p.symbol JOIN (SELECT symbol, fees_paid, exposure FROM z) z ON q.symbol = z.symbol"""
+
+
+def shown_runs(runs):
+    m = F.col("metrics")
+    return rounded(runs.select(
+        "run_id", "strategy", F.col("params")["window"].alias("window"), F.col("costs.fee_per_side").alias("fee"), "data.bars", F.col("data.first").alias("first_time"), F.col("data.last").alias("last_time"), "data.gaps", "data.missing_bars",
+        F.length("data.digest").alias("digits"), m["strategy.total_return"].alias("total_return"), m["fees_paid"].alias("fees_paid"), m["exposure"].alias("exposure"),
+    ))
+
+
+on_bars("rg2_recorded", "types", lambda b: shown_runs(stored_runs(b.sparkSession, recorded(b))), RECORD_SQL)
+on_bars("js1_json", "types", lambda b: shown_runs(recorded(b).select(F.to_json(F.struct("*")).alias("line")).select(F.from_json("line", G.RUNS).alias("r")).select("r.*")), RECORD_SQL)
 
 
 def run_checks(b):
-    """Every series is a recorded run: its metrics are worked out anew from the bars of its window and held against the record."""
-    windows = b.groupBy(*B.KEY).agg(F.min("time").alias("first"), (F.max("time") - WEEK).alias("last"))
-    rows = G.run_window(b, windows.withColumn("run_id", F.col("symbol"))).drop("first", "last", "run_id")
-    recorded, actual = metric_rows(rows, False), metric_rows(rows, True)
-    runs = b.select(F.col("symbol").alias("run_id"), F.when(F.col("symbol") == "PROMO", "gone").otherwise("sma").alias("strategy"), F.lit("x").alias("digest")).distinct()
-    digests = runs.select("run_id", F.when(F.col("run_id") == "SMALL", "y").otherwise("x").alias("actual_digest"))
-    return G.statuses(runs, digests, G.compared(recorded, actual), ["sma"])
+    """Records of all bars but the last, checked against an archive that has gone on and in which some series have changed."""
+    known = b.withColumn("__end", F.max("time").over(Win.partitionBy("symbol"))).where("time < __end").drop("__end")
+    runs = stored_runs(b.sparkSession, recorded(known), G.record_basket(known.where("symbol in ('ECONOMY', 'PROMO')"), "sma", {"window": 20}, "1w", MOMENTS[0], **COSTS))
+    runs = runs.withColumn("strategy", F.when(F.col("data.symbol") == "PROMO", "gone").otherwise(F.col("strategy")))
+    ends = b.where("symbol <> 'LARGE'").withColumn("__end", F.max("time").over(Win.partitionBy("symbol"))).withColumn("__first", F.min("time").over(Win.partitionBy("symbol")))
+    even = (F.length("symbol") % 2 == 0) & (F.col("time") == F.col("__end") - WEEK)
+    archive = ends.withColumn("close", F.when(even, F.col("close") * 1.1).otherwise(F.col("close"))).withColumn("volume", F.when((F.col("symbol") == "SMALL") & (F.col("time") == F.col("__first")), F.col("volume") + 1).otherwise(F.col("volume")))
+    found = G.verify_runs(runs, archive.drop("__end", "__first"), "2026-03-04T05:06:07Z")
+    return found.select("run_id", "status", "bars", (F.col("digest_recorded") == F.col("digest_actual")).alias("same_bars"), (F.size(F.coalesce("mismatches", F.array())) > 0).alias("differs"))
 
 
 on_bars(
     "rg3_verified_runs", "types", run_checks,
-    "SELECT DISTINCT symbol AS run_id, CASE WHEN symbol = 'PROMO' THEN 'unknown-strategy' WHEN symbol = 'SMALL' THEN 'data-changed' WHEN length(symbol) % 2 = 0 THEN 'mismatch' ELSE 'verified' END AS status FROM bars",
+    """n AS (SELECT symbol, count(*) - 1 AS bars FROM bars GROUP BY symbol), s AS (SELECT symbol, bars, CASE WHEN symbol = 'LARGE' THEN 'error' WHEN symbol = 'PROMO' THEN 'unknown-strategy' WHEN length(symbol) % 2 = 0 THEN 'mismatch' WHEN symbol = 'SMALL' THEN 'data-changed' ELSE 'verified' END AS status FROM n)
+    SELECT '20260102030405-sma-' || symbol || '-1w' AS run_id, status, CASE WHEN status = 'error' THEN 0 ELSE bars END AS bars, status IN ('verified', 'unknown-strategy') AS same_bars, status = 'mismatch' AS differs FROM s
+    UNION ALL SELECT '20260102030405-basket-1w-2legs', 'verified', CAST(sum(bars) AS BIGINT), true, false FROM n WHERE symbol IN ('ECONOMY', 'PROMO')""",
 )
 on_bars(
     "jn15_run_windows", "types", lambda b: G.run_window(b, b.groupBy(*B.KEY).agg((F.min("time") + 50 * WEEK).alias("first"), (F.max("time") - 50 * WEEK).alias("last")).withColumn("run_id", F.col("symbol"))).groupBy("run_id").agg(F.count(F.lit(1)).alias("n")),
@@ -250,7 +297,12 @@ def claims(b):
 
 
 on_bars("rg7_claims", "types", claims, "SELECT symbol AS claim, 356.0::DOUBLE AS value, count(*)::DOUBLE AS measured, abs(count(*) - 356.0) <= CASE WHEN length(symbol) % 2 = 0 THEN 356 * 0.005 ELSE 0.005 END AS ok FROM bars GROUP BY symbol")
-on_bars("rg9_nested", "types", lambda b: G.nested(metric_rows(b, False)).select("run_id", F.size("metrics").alias("n"), r6(F.col("metrics")["final"], "final")), f"{SUMS} SELECT symbol AS run_id, 2 AS n, round(v, 6) AS final FROM fin")
+on_bars(
+    "rg9_nested", "types", lambda b: rounded(G.basket_metrics(sparse(b), "sma", {"window": 20}, RATE, "1w").where("field like 'legs.%' and field not like '%.sharpe' or field in ('fees_paid', 'return.final_equity')")),
+    f"""{LEGS}, f AS (SELECT symbol, arg_max(leg, time) AS fin, avg(abs(position)) AS exposure, sum(fee) AS fees FROM legs GROUP BY symbol), c AS (SELECT *, (fin - 1) / count(*) OVER () AS contribution FROM f)
+    SELECT 'legs.' || symbol || '.' || name AS field, round(CASE name WHEN 'total_return' THEN fin - 1 WHEN 'exposure' THEN exposure WHEN 'fees' THEN fees ELSE contribution END, 6) AS value FROM c, (SELECT unnest(['total_return', 'exposure', 'fees', 'contribution']) AS name)
+    UNION ALL SELECT 'fees_paid', round(sum(fees), 6) FROM f UNION ALL SELECT 'return.final_equity', round(1 + avg(fin - 1), 6) FROM f""",
+)
 on_bars(
     "rg5_trades_compared", "types",
     lambda b: (lambda t: G.trades_compared(t, t.withColumn("net", F.when(F.col("n") % 5 == 0, F.col("net") + 0.001).otherwise(F.col("net")))))(C.trades(C.equity_curve(signal(b, "sma", window=20), RATE)).select(F.col("symbol").alias("run_id"), F.col("trade").alias("n"), F.col("side").cast("string").alias("side"), F.col("entry_price").alias("price"), F.col("net_return").alias("net"))),
@@ -309,10 +361,9 @@ on_bars(
     """SELECT symbol, time, strftime(to_timestamp(time), '%Y-%m-%d %H:%M') AS iso, strftime(to_timestamp(time), '%Y-%m-%d') AS day, round(exp(ln(close / 1000) / 2.5) - 1, 6) AS cagr, round(100 / turnover, 6) AS part, round(0.05 * sqrt(100 / turnover), 6) AS impact,
     round(CASE WHEN abs(close / 4000 - 1) <= 0.1 THEN 1.0 WHEN abs(close / 4000 - 1) >= 0.6 THEN 0.2 ELSE 1 - 0.8 * (abs(close / 4000 - 1) - 0.1) / 0.5 END, 6) AS factor, round(close / 1e6 * 365 * 100, 6) AS annual FROM bars""",
 )
-on_bars("ar1_arrays", "types", lambda b: b.groupBy("symbol").agg(F.sort_array(F.collect_list(F.struct("time", "close"))).alias("x")).select("symbol", F.size("x.time").cast("long").alias("n"), F.array_max("x.time").alias("t"), r6(F.element_at("x.close", -1), "c")), "SELECT symbol, count(*) AS n, max(time) AS t, round(arg_max(close, time), 6) AS c FROM bars GROUP BY symbol")
 on_bars(
-    "js1_json", "types", lambda b: b.select("symbol", "time", F.to_json(F.struct("symbol", "time")).alias("j")).select("symbol", F.from_json("j", "symbol string, time long")["time"].alias("time")).groupBy("symbol").agg(F.max("time").alias("time")),
-    "SELECT symbol, max(time) AS time FROM bars GROUP BY symbol",
+    "ar1_arrays", "types", lambda b: B.payload(b).select("symbol", F.explode(F.arrays_zip(*"tohlcv")).alias("x")).select("symbol", *[F.col(f"x.{c}").alias(c) for c in "tohlcv"]),
+    "SELECT symbol, time AS t, open AS o, high AS h, low AS l, close AS c, volume AS v FROM bars",
 )
 on_bars("pf12_checked_targets", "types", lambda b: C.check_targets(signal(b, "sma", window=20), spot_only=True).groupBy("symbol").agg(F.sum("target").cast("long").alias("bars_in")), f"{RULES['sg1_sma'][2]} SELECT symbol, CAST(sum(target) AS BIGINT) AS bars_in FROM sig GROUP BY symbol")
 on_bars(
@@ -329,7 +380,7 @@ on_bars(
 
 def written(spark, sf):
     """Bars written by partition, half of them twice, and read back with a filter."""
-    bars = FIXTURES["daily"][0](spark, sf).persist()
+    bars = FIXTURES["daily"][0](spark, sf)
     path = new_folder(spark, "bars")
     B.write_bars(bars, path)
     B.write_bars(bars.where("time < 820000000"), path)

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.functions.timegrid import align, default_rule, period
+from barloom.functions.timegrid import TIMEFRAMES, align, default_rule, period
 
 KEY = ("symbol", "timeframe")
 PRICES = ("open", "high", "low", "close", "volume")
@@ -22,11 +22,16 @@ def in_order() -> W:
 
 
 def read_bars(spark: SparkSession, path: str, symbols=None, timeframes=None, since: int | None = None, until: int | None = None) -> DataFrame:
-    """All bars under a folder, however deep, or of some series and times: filters reach the scan.
+    """All bars under a folder, or of some series and times: filters reach the scan.
 
-    timeframe and period are partition columns where write_bars made them; period is left out.
+    Folders are those that write_bars makes, timeframe=.../period=..., or plain ones, <symbol>/<timeframe>/..., however deep; in plain ones the
+    files may hold time and prices alone, and the series is that of the path. Of bars that several files of a plain archive hold, see read_archive().
     """
-    bars = spark.read.option("mergeSchema", "false").parquet(path)
+    if _is_partitioned(spark, path):
+        schema = T.StructType([*BARS.fields, T.StructField("period", T.StringType())])
+        bars = spark.read.schema(schema).parquet(path)
+    else:
+        bars = _plain(spark, path)
     for column, wanted in (("symbol", symbols), ("timeframe", timeframes)):
         if wanted is not None:
             bars = bars.where(F.col(column).isin(list(wanted)))
@@ -34,8 +39,36 @@ def read_bars(spark: SparkSession, path: str, symbols=None, timeframes=None, sin
         bars = bars.where(F.col("time") >= since)
     if until is not None:
         bars = bars.where(F.col("time") <= until)
-    present = set(bars.columns)
-    return bars.select(*[(F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in BARS.fields])
+    return bars.select(*BARS.names)
+
+
+def _is_partitioned(spark: SparkSession, path: str) -> bool:
+    """Whether the folder's own folders are named key=value."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(place)
+    return any("=" in f.getPath().getName() for f in found)
+
+
+def _plain(spark: SparkSession, path: str) -> DataFrame:
+    """Bars of <symbol>/<timeframe>/... with `file`, what the file's path is below the folder."""
+    bars = spark.read.schema(BARS).option("recursiveFileLookup", "true").parquet(path)
+    root = path.rstrip("/").rsplit("/", 1)[-1]
+    file = F.substring_index(F.col("_metadata.file_path"), f"/{root}/", -1)
+    parts = F.split(file, "/")
+    series = {"symbol": F.url_decode(parts[0]), "timeframe": F.get(parts, F.lit(1))}
+    return bars.select(*[F.coalesce(c, series[c]).alias(c) if c in series else F.col(c) for c in BARS.names], file.alias("file"))
+
+
+def read_archive(spark: SparkSession, path: str) -> DataFrame:
+    """Bars of a plain archive <symbol>/<timeframe>/<period>.parquet; of bars that several files hold that of the file that sorts last, so newer periods win."""
+    return dedupe_bars(_plain(spark, path), F.col("file")).drop("file")
+
+
+def payload(bars: DataFrame) -> DataFrame:
+    """(series, t, o, h, l, c, v): each series as parallel arrays in order of time, as charts take them. A series is one row."""
+    ordered = F.sort_array(F.collect_list(F.struct("time", "open", "high", "low", "close", "volume")))
+    rows = bars.groupBy(*KEY).agg(ordered.alias("x"))
+    return rows.select(*KEY, *[F.col(f"x.{c}").alias(a) for a, c in zip("tohlcv", ("time", "open", "high", "low", "close", "volume"), strict=True)])
 
 
 def dedupe_bars(bars: DataFrame, order: Column) -> DataFrame:
@@ -68,16 +101,20 @@ def page(bars: DataFrame, n: int, end: int | None = None) -> DataFrame:
     return shown.withColumn("more", F.min("time").over(every) > F.col("first_time")).drop("first_time")
 
 
+def with_period(bars: DataFrame, rules: dict[str, str] | None = None) -> DataFrame:
+    """bars with the `period` that each is stored under, by its timeframe's rule."""
+    rules, when = rules or {}, F
+    for timeframe in TIMEFRAMES:
+        when = when.when(F.col("timeframe") == timeframe, period(F.col("time"), rules.get(timeframe, default_rule(timeframe))))
+    return bars.withColumn("period", when.otherwise(F.lit("all")))
+
+
 def write_bars(bars: DataFrame, path: str, rules: dict[str, str] | None = None) -> None:
     """Parquet in Zstandard by timeframe and period; only the partitions that the rows touch are replaced.
 
     rules names another period for a timeframe: month, year or single.
     """
-    rules = rules or {}
-    when = F
-    for timeframe in ("1m", "3m", "5m", "15m", "30m", "1h", "2h", "4h", "6h", "8h", "12h", "1d", "1w", "1mon"):
-        when = when.when(F.col("timeframe") == timeframe, period(F.col("time"), rules.get(timeframe, default_rule(timeframe))))
-    rows = bars.withColumn("period", when.otherwise(F.lit("all")))
+    rows = with_period(bars, rules)
     rows = rows.repartition("timeframe", "period", "symbol").sortWithinPartitions("timeframe", "period", "symbol", "time")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("timeframe", "period").parquet(path)
 
