@@ -5,7 +5,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 
-from barloom.llm.packing import TokenBytes, best_fit, bin_completion, pack_documents
+from barloom.llm.packing import TokenBytes, WholeTexts, best_fit, bin_completion, encoder_of, pack_documents
 
 PATH = "/opt/tokenizers/word_bpe_49k.json"
 
@@ -43,15 +43,62 @@ def test_plans_are_whole_and_no_worse_than_best_fit():
         assert -(-sum(x * n for x, n in counts.items()) // room) <= sum(t for t, _ in plan) <= sum(t for t, _ in fit)
 
 
-def test_completion_beats_best_fit_where_it_can():
-    counts = {6: 1, 5: 2, 4: 2, 3: 2, 7: 1, 2: 2}  # 40 in rooms of 10
-    counts = {44: 3, 24: 3, 23: 3, 22: 3, 21: 3, 17: 3, 8: 3, 10: 3, 6: 6}
+def optimum(counts, room):
+    """The least number of sequences, by trying every place for every piece."""
+    items = sorted((x for x, n in counts.items() for _ in range(n)), reverse=True)
+    best = len(items)
+
+    def go(i, gaps):
+        nonlocal best
+        if len(gaps) >= best:
+            return
+        if i == len(items):
+            best = len(gaps)
+            return
+        for gap in set(g for g in gaps if g >= items[i]):
+            k = gaps.index(gap)
+            go(i + 1, [*gaps[:k], gap - items[i], *gaps[k + 1 :]])
+        go(i + 1, [*gaps, room - items[i]])
+
+    go(0, [])
+    return best
+
+
+def test_completion_beats_best_fit_and_is_the_least_possible_on_small_tables():
+    counts = {49: 1, 40: 1, 38: 1, 35: 2, 34: 1, 22: 1, 17: 1, 15: 1, 14: 1}  # 299 in rooms of 100
     plan = bin_completion(counts, 100)
     check_plan(counts, plan, 100)
-    assert sum(t for t, _ in plan) <= sum(t for t, _ in best_fit(counts, 100))
+    assert sum(t for t, _ in plan) == 3 < sum(t for t, _ in best_fit(counts, 100)) == 4
+    many = {length: 50 * n for length, n in counts.items()}
+    plan = bin_completion(many, 100)
+    check_plan(many, plan, 100)
+    assert sum(t for t, _ in plan) < sum(t for t, _ in best_fit(many, 100))
+    rng, better = random.Random(3), 0
+    for _ in range(150):
+        room, counts = rng.choice([20, 50, 100]), {}
+        for _ in range(rng.randint(6, 11)):
+            x = rng.randint(room // 7, room // 2)
+            counts[x] = counts.get(x, 0) + 1
+        plan, fit = bin_completion(counts, room, width=40), best_fit(counts, room)
+        check_plan(counts, plan, room)
+        assert sum(t for t, _ in plan) == optimum(counts, room)
+        better += sum(t for t, _ in plan) < sum(t for t, _ in fit)
+    assert better > 3
     assert bin_completion({}, 10) == []
 
 
+def test_vocabularies_of_other_rules_encode_whole_texts(spark):
+    from tokenizers import Tokenizer
+
+    other = PATH.replace("word_bpe_49k", "byte_bpe_50k")
+    assert type(encoder_of(Path(PATH).read_text())) is TokenBytes and type(encoder_of(Path(other).read_text())) is WholeTexts
+    whole = Tokenizer.from_file(other)
+    rows = [(1, "Hello big World"), (2, "a  b\n\nC"), (3, None)]
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), other).collect()}
+    ids = {i: [*whole.encode(t or "", add_special_tokens=False).ids, 0] for i, t in rows}
+    assert got == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in ids.items()} and ids[1][:2] == [15496, 1263]
+
+
 @pytest.fixture(scope="module")
 def tokens():
     return TokenBytes(Path(PATH).read_text())
