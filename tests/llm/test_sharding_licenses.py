@@ -45,7 +45,7 @@ def test_anchor_words_cover_more_than_may_be_missing():
     for text in TEMPLATES.values():
         shingles = shingles_of(words_of(text))
         missing = sum(not any(w in chosen for w in s.split()) for s in shingles)
-        assert 100 * missing < 80 * len(shingles)
+        assert 100 * missing < 80 * len(shingles) or not shingles
 
 
 def test_scan_matches_brute_force_sql(spark):
@@ -67,6 +67,15 @@ def test_scan_matches_brute_force_sql(spark):
     assert scan_licenses(df.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_make_no_window_together(spark):
+    words = TEMPLATES["mit-notice"].split()
+    half = len(words) // 2
+    rows = [(1, " ".join(words[:half]), None, None), (1, " ".join(["x"] * half + words[half:]), None, None), (2, " ".join(words), None, None), (2, "again " + " ".join(words), None, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = same(scan_licenses(df), license_sql(), df)
+    assert {r[0] for r in got if r[1] == "mit-notice"} == {2}
+
+
 def test_templates_of_under_five_words_are_found_whole(spark):
     rights = ["all", "rights", "reserved"]
     texts = ["All rights reserved.", "a b\nALL RIGHTS\nreserved!", "all rights are reserved", "overall rights reserved", "all rights reservedly", "x all rights reserved all rights reserved", "", None, "rights"]
@@ -79,11 +88,10 @@ def test_templates_of_under_five_words_are_found_whole(spark):
             if words[k : k + 3] == rights:
                 want[doc] = min(want.get(doc, k), k)
     df = spark.createDataFrame(rows, SCHEMA)
-    templates = TEMPLATES | {"all-rights-reserved": "All rights reserved."}
-    got = scan_licenses(df, templates).collect()
+    got = scan_licenses(df).collect()
     assert {(r.doc_id, r.window_start) for r in got if r.license == "all-rights-reserved"} == set(want.items()) and len(want) == 5
     assert all((r.n_shingles, r.n_shared, r.containment) == (1, 1, 1.0) for r in got if r.license == "all-rights-reserved")
-    plain = [tuple(r) for r in scan_licenses(df).collect()]
+    plain = [tuple(r) for r in scan_licenses(df, {k: v for k, v in TEMPLATES.items() if k != "all-rights-reserved"}).collect()]
     assert sorted(map(repr, plain)) == sorted(repr(tuple(r)) for r in got if r.license != "all-rights-reserved") and plain
     only = scan_licenses(df, {"all-rights-reserved": "All rights reserved."}).collect()
     assert len(only) == 5
