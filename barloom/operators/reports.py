@@ -13,29 +13,29 @@ def _fixed(column: str, digits: int):
     return F.format_string(f"%.{digits}f", F.col(column).cast("double"))
 
 
-def trade_table(trades: DataFrame) -> DataFrame:
-    """A line a trade: sides in words, moments in UTC, prices to eight digits, returns to six; what is open says yes."""
+def trade_table(trades: DataFrame, more: int = 0) -> DataFrame:
+    """A line a trade: sides in words, moments in UTC, prices to eight digits, returns to six; what is open says yes. `more` adds digits, here and below."""
     return trades.select(
-        *KEY, F.when(F.col("side") > 0, "long").otherwise("short").alias("side"), iso(F.col("entry_time")).alias("entry_time_utc"), _fixed("entry_price", 8).alias("entry_price"),
-        iso(F.col("exit_time")).alias("exit_time_utc"), _fixed("exit_price", 8).alias("exit_price"), "bars_held", _fixed("gross_return", 6).alias("gross_return"), _fixed("net_return", 6).alias("net_return"),
-        _fixed("equity_at_entry", 8).alias("equity_at_entry"), _fixed("equity_at_exit", 8).alias("equity_at_exit"), F.when(F.col("open_at_end"), "yes").otherwise("").alias("open_at_end"),
+        *KEY, F.when(F.col("side") > 0, "long").otherwise("short").alias("side"), iso(F.col("entry_time")).alias("entry_time_utc"), _fixed("entry_price", 8 + more).alias("entry_price"),
+        iso(F.col("exit_time")).alias("exit_time_utc"), _fixed("exit_price", 8 + more).alias("exit_price"), "bars_held", _fixed("gross_return", 6 + more).alias("gross_return"), _fixed("net_return", 6 + more).alias("net_return"),
+        _fixed("equity_at_entry", 8 + more).alias("equity_at_entry"), _fixed("equity_at_exit", 8 + more).alias("equity_at_exit"), F.when(F.col("open_at_end"), "yes").otherwise("").alias("open_at_end"),
     )
 
 
-def equity_table(curve: DataFrame) -> DataFrame:
+def equity_table(curve: DataFrame, more: int = 0) -> DataFrame:
     """A line a bar: close, equity and holding to eight digits, and the position. curve has `hold`, as buy_and_hold() gives it."""
-    return curve.select(*KEY, iso(F.col("time")).alias("time_utc"), _fixed("close", 8).alias("close"), _fixed("equity", 8).alias("equity"), _fixed("hold", 8).alias("buy_hold"), "position")
+    return curve.select(*KEY, iso(F.col("time")).alias("time_utc"), _fixed("close", 8 + more).alias("close"), _fixed("equity", 8 + more).alias("equity"), _fixed("hold", 8 + more).alias("buy_hold"), "position")
 
 
-def basket_table(combined: DataFrame) -> DataFrame:
+def basket_table(combined: DataFrame, more: int = 0) -> DataFrame:
     """A line a shared bar: the basket's value and the share invested."""
-    return combined.select(iso(F.col("time")).alias("time_utc"), _fixed("basket", 8).alias("basket"), _fixed("invested", 6).alias("invested"), "n_legs")
+    return combined.select(iso(F.col("time")).alias("time_utc"), _fixed("basket", 8 + more).alias("basket"), _fixed("invested", 6 + more).alias("invested"), "n_legs")
 
 
-def book_table(book: DataFrame, calendar: DataFrame) -> DataFrame:
+def book_table(book: DataFrame, calendar: DataFrame, more: int = 0) -> DataFrame:
     """A line a bar of a risk book, with its moment from calendar (idx, time)."""
     rows = book.join(calendar, "idx")
-    return rows.select(iso(F.col("time")).alias("time_utc"), _fixed("equity", 8).alias("equity"), _fixed("invested", 6).alias("invested"), _fixed("turnover", 6).alias("turnover"))
+    return rows.select(iso(F.col("time")).alias("time_utc"), _fixed("equity", 8 + more).alias("equity"), _fixed("invested", 6 + more).alias("invested"), _fixed("turnover", 6 + more).alias("turnover"))
 
 
 def summary_documents(figures: DataFrame, audits: DataFrame) -> DataFrame:

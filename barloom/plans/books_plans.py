@@ -163,13 +163,11 @@ LOG = """sd AS (SELECT p.symbol, p.k, p.close, coalesce(c.side, 0) AS side FROM
 ch AS (SELECT *, coalesce(lag(side) OVER (PARTITION BY symbol ORDER BY k), 0) AS was FROM sd),
 log AS (SELECT symbol, k, CASE WHEN was > 0 THEN 'sell' ELSE 'cover' END AS event, close FROM ch WHERE side <> was AND was <> 0 UNION ALL SELECT symbol, k, CASE WHEN side > 0 THEN 'buy' ELSE 'short' END, close FROM ch WHERE side <> was AND side <> 0)"""
 on_bars("xs12_trade_log", "brands", lambda b: rounded(X.trade_log(read(b), X.ranked(read(b), TOP, True))), f"{PANEL}, {picks(TOP, True)}, {LOG} SELECT symbol, k, event, round(close, 6) AS close FROM log")
-on_bars(
-    "ag14_census", "brands", lambda b: X.census(read(b), X.ranked(read(b), 1, True)),
-    f"""{PANEL}, {picks(1, True)}, {LOG}, e AS (SELECT symbol, count(*) FILTER (event = 'buy') AS buy, count(*) FILTER (event = 'sell') AS sell, count(*) FILTER (event = 'short') AS short, count(*) FILTER (event = 'cover') AS cover FROM log GROUP BY symbol),
+CENSUS_SQL = f"""{PANEL}, {picks(1, True)}, {LOG}, e AS (SELECT symbol, count(*) FILTER (event = 'buy') AS buy, count(*) FILTER (event = 'sell') AS sell, count(*) FILTER (event = 'short') AS short, count(*) FILTER (event = 'cover') AS cover FROM log GROUP BY symbol),
     s AS (SELECT symbol, count(*) AS held, min(k) AS first_k, max(k) AS last_k FROM chosen GROUP BY symbol)
     SELECT u.symbol, coalesce(held, 0) AS held, coalesce(buy, 0) AS buy, coalesce(sell, 0) AS sell, coalesce(short, 0) AS short, coalesce(cover, 0) AS cover, first_k, last_k
-    FROM (SELECT DISTINCT symbol FROM panel) u LEFT JOIN s ON u.symbol = s.symbol LEFT JOIN e ON u.symbol = e.symbol""",
-)
+    FROM (SELECT DISTINCT symbol FROM panel) u LEFT JOIN s ON u.symbol = s.symbol LEFT JOIN e ON u.symbol = e.symbol"""
+on_bars("ag14_census", "brands", lambda b: X.census(read(b), X.ranked(read(b), 1, True)), CENSUS_SQL)
 on_bars("jn13_never_held", "brands", lambda b: read(b).select("symbol").distinct().join(X.ranked(read(b), 1), "symbol", "left_anti"), f"{PANEL}, {picks(1, False)} SELECT DISTINCT symbol FROM panel WHERE symbol NOT IN (SELECT symbol FROM chosen)")
 on_bars("jn13_held", "brands", lambda b: read(b).select("symbol").distinct().join(X.ranked(read(b), 1), "symbol", "left_semi"), f"{PANEL}, {picks(1, False)} SELECT DISTINCT symbol FROM panel WHERE symbol IN (SELECT symbol FROM chosen)")
 on_bars(

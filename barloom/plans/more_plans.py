@@ -11,42 +11,72 @@ from barloom.operators import curve as C
 from barloom.operators import indicators as I
 from barloom.operators import joins as J
 from barloom.operators import quality
+from barloom.operators import reports as REP
 from barloom.operators import runs as G
 from barloom.operators import search as H
 from barloom.operators.signals import signal
 from barloom.plans.base import FIXTURES, W, on_bars, on_tables, r6, rounded
-from barloom.plans.books_plans import LINE, PANEL, TOP, picks, read, sparse
-from barloom.plans.rules_plans import CURVE, LAST, PLACED, RATE, RULES, TRADES, ema_sql, on_curve
-from barloom.plans.studies_plans import CANDS, GRID, PICKS, SCORES, SPLITS, drained, searched
+from barloom.plans.books_plans import CENSUS_SQL, LEGS, LINE, PANEL, TOP, basket, calendar, picks, read, sparse
+from barloom.plans.rules_plans import CURVE, HOLD, LAST, PERF, PLACED, RATE, RULES, TRADES, ema_sql, on_curve, reversion_sql
+from barloom.plans.studies_plans import AUDIT, CANDS, GRID, PICKS, SCORES, SPLITS, UNI, UNIT, drained, searched, unit
 from barloom.sources import bars as B
 from barloom.sources.derived import dirty, table
 from barloom.sources.workspace import new_folder
 from barloom.streaming import streams as ST
 
 
-def through_files(kind):
-    """The trade table as it is given out, written and read again."""
+def through_files(rows, kind):
+    """A table as it is given out, written and read again."""
+    path = new_folder(rows.sparkSession, kind)
+    B.write_table(rows, path, kind)
+    reader = rows.sparkSession.read.schema(rows.schema)
+    return reader.option("header", True).option("emptyValue", "").csv(path) if kind == "csv" else reader.json(path)
 
-    def plan(b):
-        t = C.trades(C.equity_curve(signal(b, "sma", window=20), RATE))
-        out = t.select(
-            "symbol", F.when(F.col("side") > 0, "long").otherwise("short").alias("side"), scalars.iso(F.col("entry_time")).alias("entry_time_utc"), scalars.iso(F.col("exit_time")).alias("exit_time_utc"),
-            "bars_held", F.round("net_return", 6).alias("net_return"), "open_at_end",
-        )
-        path = new_folder(b.sparkSession, kind)
-        B.write_table(out, path, kind)
-        reader = b.sparkSession.read.schema(out.schema)
-        return reader.option("header", True).csv(path) if kind == "csv" else reader.json(path)
 
-    return plan
+def curve_of(b):
+    return C.equity_curve(C.buy_and_hold(signal(b, "sma", window=20), RATE), RATE)
 
 
-for _kind, _name in (("csv", "sc10_csv"), ("json", "sc11_json")):
-    on_bars(
-        _name, "types", through_files(_kind),
-        f"""{RULES['sg1_sma'][2]}, {CURVE}{TRADES} SELECT symbol, CASE WHEN side > 0 THEN 'long' ELSE 'short' END AS side, strftime(to_timestamp(entry_time), '%Y-%m-%d %H:%M') AS entry_time_utc,
-        strftime(to_timestamp(exit_time), '%Y-%m-%d %H:%M') AS exit_time_utc, bars_held, round(net_return, 6) AS net_return, open_at_end FROM trades""",
-    )
+UTC = "strftime(to_timestamp($), '%Y-%m-%d %H:%M')"
+utc = lambda column: UTC.replace("$", column)
+# With six digits more, numbers of the text are rounded once.
+numbers = lambda rows, *names: rows.withColumns({n: F.round(F.col(n).cast("double"), 6) for n in names})
+on_bars(
+    "sc10_csv", "types", lambda b: numbers(through_files(REP.trade_table(C.trades(curve_of(b)), 6).drop("timeframe"), "csv"), "entry_price", "exit_price", "gross_return", "net_return", "equity_at_entry", "equity_at_exit").fillna(""),
+    f"""{RULES['sg1_sma'][2]}, {CURVE}{TRADES} SELECT symbol, CASE WHEN side > 0 THEN 'long' ELSE 'short' END AS side, {utc('entry_time')} AS entry_time_utc, round(entry_price, 6) AS entry_price, {utc('exit_time')} AS exit_time_utc, round(exit_price, 6) AS exit_price,
+    bars_held, round(gross_return, 6) AS gross_return, round(net_return, 6) AS net_return, round(equity_at_entry, 6) AS equity_at_entry, round(equity_at_exit, 6) AS equity_at_exit, CASE WHEN open_at_end THEN 'yes' ELSE '' END AS open_at_end FROM trades""",
+)
+on_bars(
+    "sc10_equity_csv", "types", lambda b: numbers(through_files(REP.equity_table(curve_of(b), 6).drop("timeframe"), "csv"), "close", "equity", "buy_hold"),
+    f"""{RULES['sg1_sma'][2]}, {CURVE}, hd AS (SELECT symbol, time, {HOLD} AS hold FROM bars {W}) SELECT c.symbol, {utc('c.time')} AS time_utc, round(close, 6) AS close, round(equity, 6) AS equity, round(hold, 6) AS buy_hold, position
+    FROM curve c JOIN hd ON c.symbol = hd.symbol AND c.time = hd.time""",
+)
+on_bars(
+    "sc10_basket_csv", "types", lambda b: numbers(through_files(REP.basket_table(K.combined(basket(b)), 6), "csv"), "basket", "invested"),
+    f"{LEGS} SELECT {utc('time')} AS time_utc, round(1 + avg(leg - 1), 6) AS basket, round(avg(abs(position)), 6) AS invested, count(*) AS n_legs FROM legs GROUP BY time",
+)
+on_bars(
+    "sc10_book_csv", "brands", lambda b: numbers(through_files(REP.book_table(unit(b), calendar(b), 6), "csv").withColumn("equity", F.ln(F.col("equity").cast("double"))), "equity", "invested", "turnover"),
+    f"{UNI}, {UNIT} SELECT {utc('time')} AS time_utc, round(ln(equity), 6) AS equity, round(invested, 6) AS invested, round(turnover, 6) AS turnover FROM book JOIN ix ON book.idx = ix.idx",
+)
+on_bars("sc10_census_csv", "brands", lambda b: through_files(X.census(read(b), X.ranked(read(b), 1, True)), "csv"), CENSUS_SQL)
+
+
+def documents(b):
+    """One nested JSON text a series, written and read again, and what it says."""
+    figures = G.run_metrics(b, "sma", {"window": 20}, RATE, "1w").select(*B.KEY, F.explode("metrics").alias("field", "value"))
+    texts = through_files(REP.summary_documents(figures, quality.quality(b, "1w")), "json")
+    kind = "symbol string, exposure double, strategy struct<total_return:double, max_dd:double>, trades struct<n_closed:double>, quality struct<bars:long, gaps:long, missing:long>"
+    said = texts.select(F.from_json("document", kind).alias("d")).select("d.*")
+    return said.select("symbol", r6("exposure", "exposure"), r6("strategy.total_return", "total_return"), r6("strategy.max_dd", "max_dd"), F.col("trades.n_closed").cast("long").alias("trades"), "quality.bars", "quality.gaps", "quality.missing")
+
+
+on_bars(
+    "sc11_json", "types", documents,
+    f"""{RULES['sg1_sma'][2]}, {CURVE}{TRADES}{PERF}{LAST}, {AUDIT}, n AS (SELECT symbol, count(*) AS trades FROM trades WHERE NOT open_at_end GROUP BY symbol)
+    SELECT q.symbol, round(exposure, 6) AS exposure, round(fe - 1, 6) AS total_return, round(mdd, 6) AS max_dd, coalesce(trades, 0) AS trades, bars, gaps, missing_bars AS missing
+    FROM q JOIN perf p ON q.symbol = p.symbol JOIN (SELECT symbol, exposure FROM z) z ON q.symbol = z.symbol LEFT JOIN n ON q.symbol = n.symbol""",
+)
 on_bars("ag4_clean", "types", lambda b: quality.verify(b.where("symbol <> 'PROMO'").unionByName(dirty(b.where("symbol = 'PROMO'")).drop("seq")), "1w").select("symbol", "clean"), "SELECT DISTINCT symbol, symbol <> 'PROMO' AS clean FROM bars")
 on_bars("sl3_widest_gaps", "daily", lambda b: quality.verify(b, "1d", max_gaps=2).select("symbol", F.explode("gaps").alias("g")).select("symbol", "g.after", "g.missing"),
     "g AS (SELECT symbol, lag(time) OVER w AS after, (time - lag(time) OVER w) // 86400 - 1 AS missing FROM bars WINDOW w AS (PARTITION BY symbol, timeframe ORDER BY time)) SELECT symbol, after, missing FROM g WHERE missing >= 2 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY missing DESC, after) <= 2")
@@ -100,22 +130,30 @@ on_tables(
 )
 
 
-def carried(spark, sf):
-    """A mean that is carried from batch to batch over finished bars, with its state in RocksDB."""
+def carried(spark, sf, operator, columns):
+    """A stream of finished bars, file by file in order of time, with the state of each series carried from batch to batch in RocksDB."""
     path, key = new_folder(spark, "trend"), "spark.sql.streaming.stateStore.providerClass"
     bars = FIXTURES["ticks"][0](spark, sf)
-    bars.repartition(1).sortWithinPartitions("time").write.parquet(f"{path}/bars")
+    # Files are taken in order of their times of writing, so each stretch of time is written after the one before.
+    edges = bars.select(F.expr("percentile(time, array(0.34, 0.67))").alias("x")).first().x
+    for low, high in zip((float("-inf"), *edges), (*edges, float("inf"))):
+        part = bars.where((F.col("time") > low) & (F.col("time") <= high))
+        part.repartition("symbol").write.mode("append").parquet(f"{path}/bars")
     before = spark.conf.get(key)
     spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        out = drained(spark, ST.stream_trend(spark.readStream.schema(bars.schema).parquet(f"{path}/bars"), 20), "trend")
+        out = drained(spark, operator(spark.readStream.schema(bars.schema).option("maxFilesPerTrigger", 8).parquet(f"{path}/bars")), "trend")
     finally:
         spark.conf.set(key, before)
-    return rounded(out.select("symbol", "time", "ema", "target"))
+    return rounded(out.select("symbol", "time", *columns))
 
 
 on_tables(
-    "st6_stream_trend", carried,
+    "st6_stream_trend", lambda spark, sf: carried(spark, sf, lambda bars: ST.stream_trend(bars, 20), ("ema", "target")),
     f"""WITH RECURSIVE {FIXTURES['ticks'][1]}, {PLACED}, {ema_sql('placed', 'close', 20, 'e', 20)} SELECT p.symbol, p.time, round(v, 6) AS ema, CASE WHEN close > v THEN 1.0 ELSE 0.0 END::DOUBLE AS target
     FROM placed p LEFT JOIN e ON p.symbol = e.symbol AND p.i = e.i""",
 )
+on_tables(
+    "st6_stream_reversion", lambda spark, sf: carried(spark, sf, ST.stream_reversion, ("rsi", "target")),
+    f"WITH RECURSIVE {FIXTURES['ticks'][1]}, {reversion_sql(False)} SELECT symbol, time, round(level, 6) AS rsi, target FROM sig",
+)

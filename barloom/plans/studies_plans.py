@@ -428,10 +428,37 @@ def upserted(spark, sf):
         sink(B.resample(rows.withColumn("time", F.col("ts").cast("long")), "6h", order=("ts", "event_id")), n)
 
     tick_stream(spark, sf).writeStream.foreachBatch(batch).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
-    return rounded(ST.stored(spark, f"{path}/out", B.BARS).select("symbol", "time", "open", "high", "low", "close"))
+    return rounded(ST.stored(spark, f"{path}/out").select("symbol", "time", "open", "high", "low", "close"))
 
 
 on_tables("st4_upsert", upserted, f"WITH {EVENT_SQL} SELECT symbol, time, round(open, 6) AS open, round(high, 6) AS high, round(low, 6) AS low, round(close, 6) AS close FROM bars")
 on_tables("st5_once", lambda spark, sf: drained(spark, ST.once(tick_stream(spark, sf).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1)))), ["event_id"], "1 hour"), "once").groupBy("symbol").agg(F.count(F.lit(1)).alias("n")), f"WITH {EVENT_SQL} SELECT symbol, count(*) AS n FROM ticks GROUP BY symbol")
-on_tables("st7_live_index", lambda spark, sf: rounded(ST.live_index(ticks(spark, sf)).drop("first")), f"WITH {EVENT_SQL} SELECT symbol, round(arg_max(price, ts), 6) AS last, round(arg_max(price, ts) / arg_min(price, ts) - 1, 6) AS change, round(sum(price), 6) AS turnover FROM ticks GROUP BY symbol")
-on_bars("st8_batch_quality", "ticks", lambda b: ST.batch_quality(b.unionByName(b.where("time div 21600 % 5 = 0")), "6h"), "SELECT symbol, CAST(count(*) + count(*) FILTER (time // 21600 % 5 = 0) AS BIGINT) AS rows, 0::BIGINT AS invalid, 0::BIGINT AS misaligned, count(*) FILTER (time // 21600 % 5 = 0) AS duplicates FROM bars GROUP BY symbol")
+
+
+def batches(spark, stream, sink, label, mode="append"):
+    """Runs a stream into a foreachBatch sink, made of a path, until nothing is left; returns the path."""
+    path = new_folder(spark, label)
+    stream.writeStream.foreachBatch(sink(f"{path}/out")).outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    return f"{path}/out"
+
+
+on_tables(
+    "st7_live_index", lambda spark, sf: rounded(ST.latest(spark, batches(spark, ST.live_index(tick_stream(spark, sf)), ST.numbered_sink, "index", "update"), ["symbol"])),
+    f"WITH {EVENT_SQL} SELECT symbol, round(arg_max(price, ts), 6) AS last, round(arg_max(price, ts) / arg_min(price, ts) - 1, 6) AS change, round(sum(price), 6) AS turnover FROM ticks GROUP BY symbol",
+)
+
+
+def monitored(spark, sf):
+    """Bars with repeats and holes as a stream; each batch's counts, added up by symbol."""
+    bars, path = FIXTURES["ticks"][0](spark, sf), new_folder(spark, "monitor")
+    bars.unionByName(bars.where("time div 21600 % 5 = 0")).where("time div 21600 % 7 <> 3").write.parquet(f"{path}/bars")
+    stream = spark.readStream.schema(bars.schema).parquet(f"{path}/bars")
+    found = spark.read.parquet(batches(spark, stream, lambda out: ST.quality_monitor(out, "6h"), "quality"))
+    return found.groupBy("symbol").agg(*[F.sum(c).alias(c) for c in ("rows", "invalid", "misaligned", "duplicates", "gaps", "missing")])
+
+
+on_tables(
+    "st8_batch_quality", monitored,
+    f"""WITH {EVENT_SQL}, k AS (SELECT *, time // 21600 % 5 = 0 AS twice FROM bars WHERE time // 21600 % 7 <> 3), g AS (SELECT *, (time - lag(time) OVER (PARTITION BY symbol ORDER BY time)) // 21600 - 1 AS hole FROM k)
+    SELECT symbol, CAST(count(*) + count(*) FILTER (twice) AS BIGINT) AS rows, 0::BIGINT AS invalid, 0::BIGINT AS misaligned, count(*) FILTER (twice) AS duplicates, count(*) FILTER (hole > 0) AS gaps, CAST(coalesce(sum(hole) FILTER (hole > 0), 0) AS BIGINT) AS missing FROM g GROUP BY symbol""",
+)

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from barloom.functions.timegrid import seconds_of
-from barloom.operators.quality import misaligned, ohlc_invalid_tolerant
-from barloom.sources.bars import KEY, PRICES, merge_bars
+from barloom.operators.quality import gaps, misaligned, ohlc_invalid_tolerant
+from barloom.sources.bars import BARS, KEY, PRICES, merge_bars, with_period
 
 
 def stream_bars(ticks: DataFrame, timeframe: str, lateness: str, price: str = "price", order: tuple[str, ...] = ("ts",)) -> DataFrame:
@@ -42,28 +42,43 @@ def once(ticks: DataFrame, keys: list[str], lateness: str) -> DataFrame:
     return ticks.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(keys)
 
 
-def upsert(path: str) -> Callable[[DataFrame, int], None]:
+def upsert(path: str, rules: dict[str, str] | None = None) -> Callable[[DataFrame, int], None]:
     """A foreachBatch sink: bars of a batch take the place of those stored. A batch that is replayed changes nothing.
 
-    A version is a folder of its own, and the folder named last is read; so readers never see half of a write.
+    A batch reads and writes the periods that its bars are in, and no others: its folder holds them whole, under timeframe and period,
+    and readers take each period from the newest batch that has it. A folder counts once its write is done, so nobody sees half of one.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        old = stored(spark, path, batch.schema, before=batch_id)
-        merge_bars(old, batch).drop("origin").write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        bars = with_period(batch.select(*BARS.names), rules)
+        # One row a period of the batch.
+        touched = {(r.timeframe, r.period) for r in bars.select("timeframe", "period").distinct().collect()}
+        old = stored(spark, path, before=batch_id, periods=touched)
+        merged = with_period(merge_bars(old, bars).drop("origin"), rules)
+        merged.write.mode("overwrite").partitionBy("timeframe", "period").parquet(f"{path}/batch={batch_id}")
 
     return write
 
 
-def stored(spark: SparkSession, path: str, schema, before: int | None = None) -> DataFrame:
-    """The newest version below `path`, or that before a batch; empty if there is none."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
-    found = [int(f.getPath().getName().split("=")[1]) for f in fs.listStatus(root)] if fs.exists(root) else []
-    done = [v for v in found if (before is None or v < before) and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/version={v}/_SUCCESS"))]
-    return spark.read.schema(schema).parquet(f"{path}/version={max(done)}") if done else spark.createDataFrame([], schema)
+def stored(spark: SparkSession, path: str, before: int | None = None, periods: set[tuple[str, str]] | None = None) -> DataFrame:
+    """The bars below `path`, each period from the newest batch that has it, or from those before one; only some periods if they are named. Empty if there are none."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    newest: dict[tuple[str, str], tuple[int, str]] = {}
+    for done in fs.globStatus(fs_path(f"{path}/batch=*/_SUCCESS")) or []:
+        folder = done.getPath().getParent()
+        number = int(folder.getName().split("=")[1])
+        if before is not None and number >= before:
+            continue
+        for part in fs.globStatus(fs_path(f"{folder}/timeframe=*/period=*")) or []:
+            place = part.getPath()
+            key = (place.getParent().getName().split("=")[1], place.getName().split("=")[1])
+            if periods is None or key in periods:
+                newest[key] = max(newest.get(key, (-1, "")), (number, str(place)))
+    if not newest:
+        return spark.createDataFrame([], BARS)
+    return spark.read.schema(BARS).option("basePath", path).parquet(*[p for _, p in newest.values()]).select(*BARS.names)
 
 
 class _Trend(StatefulProcessor):
@@ -102,16 +117,83 @@ def stream_trend(bars: DataFrame, n: int) -> DataFrame:
     return bars.groupBy(*KEY).transformWithStateInPandas(_Trend(n), schema, "Append", "None")
 
 
+class _Reversion(StatefulProcessor):
+    """Carries, for each series, smoothed gains and losses, the open position, its age and its stop."""
+
+    def __init__(self, window: int, oversold: float, exit_level: float, max_hold: int, stop_loss: float):
+        self.given = (window, oversold, exit_level, max_hold, stop_loss)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("state", "seen long, close double, gain double, loss double, side int, since long, entry double, time long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:  # noqa: N802
+        window, oversold, exit_level, max_hold, stop_loss = self.given
+        seen, close, gain, loss, side, since, entry, last = self.state.get() if self.state.exists() else (0, 0.0, 0.0, 0.0, 0, 0, 0.0, -(2**62))
+        out = []
+        for bar in pd.concat(list(rows)).sort_values("time").itertuples():
+            if bar.time <= last:
+                continue
+            up, down = (max(bar.close - close, 0.0), max(close - bar.close, 0.0)) if seen else (0.0, 0.0)
+            if 0 < seen <= window:
+                gain, loss = gain + up / window, loss + down / window
+            elif seen > window:
+                gain, loss = (gain * (window - 1) + up) / window, (loss * (window - 1) + down) / window
+            level = None
+            if seen >= window:
+                level = 50.0 if gain == loss == 0 else 100.0 if loss == 0 else 100 - 100 / (1 + gain / loss)
+                if side:
+                    stopped = stop_loss > 0 and bar.close <= entry * (1 - stop_loss)
+                    side = 0 if level > exit_level or seen - since >= max_hold or stopped else side
+                elif level < oversold:
+                    side, since, entry = 1, seen, bar.close
+            seen, close, last = seen + 1, bar.close, bar.time
+            out.append((*key, bar.time, level, float(side)))
+        self.state.update((seen, close, gain, loss, side, since, entry, last))
+        yield pd.DataFrame(out, columns=["symbol", "timeframe", "time", "rsi", "target"])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_reversion(bars: DataFrame, window: int = 2, oversold: float = 10, exit_level: float = 50, max_hold: int = 10, stop_loss: float = 0.0) -> DataFrame:
+    """(series, time, rsi, target) of a stream of finished bars, as the rule rsi-rev gives them for stored ones; out too where a close is stop_loss below the entry's."""
+    schema = "symbol string, timeframe string, time long, rsi double, target double"
+    return bars.groupBy(*KEY).transformWithStateInPandas(_Reversion(window, oversold, exit_level, max_hold, stop_loss), schema, "Append", "None")
+
+
 def live_index(ticks: DataFrame) -> DataFrame:
-    """Last price, change since the first and turnover of each symbol; for update mode."""
+    """Last price, change since the first and turnover of each symbol; of a stream in update mode, see index_sink()."""
     rows = ticks.groupBy("symbol").agg(F.max_by("price", "ts").alias("last"), F.min_by("price", "ts").alias("first"), F.sum("price").alias("turnover"))
     return rows.select("symbol", "last", (F.col("last") / F.col("first") - 1).alias("change"), "turnover")
 
 
+def numbered_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch sink of the rows of each batch as they are, in a folder by its number; a replayed batch replaces its own."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return write
+
+
+def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """Of what a numbered_sink() of an update stream holds, each key's row of its last batch."""
+    rows = spark.read.parquet(path)
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in rows.columns if c not in keys]), "batch").alias("x")).select(*keys, "x.*").drop("batch")
+
+
+def quality_monitor(path: str, timeframe: str) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch sink of bars: batch_quality() of each batch, with its number."""
+    sink = numbered_sink(path)
+    return lambda batch, batch_id: sink(batch_quality(batch, timeframe), batch_id)
+
+
 def batch_quality(batch: DataFrame, timeframe: str) -> DataFrame:
-    """(symbol, rows, invalid, misaligned, duplicates) of one batch of bars; for foreachBatch or batch use."""
+    """(symbol, rows, invalid, misaligned, duplicates, gaps, missing) of one batch of bars; gaps are those between its own bars."""
     flag = lambda c: F.sum(c.cast("long"))
-    return batch.groupBy("symbol").agg(
+    counts = batch.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("rows"), flag(ohlc_invalid_tolerant()).alias("invalid"), flag(misaligned(timeframe)).alias("misaligned"),
         (F.count(F.lit(1)) - F.countDistinct("time")).alias("duplicates"),
     )
+    holes = gaps(batch.dropDuplicates([*KEY, "time"]), timeframe).where("missing > 0").groupBy("symbol").agg(F.count(F.lit(1)).alias("gaps"), F.sum("missing").alias("missing"))
+    return counts.join(holes, "symbol", "left").fillna(0, ["gaps", "missing"])

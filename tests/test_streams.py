@@ -24,25 +24,73 @@ def test_bars_come_once_and_replays_change_nothing(spark, tmp_path):
     two = one.withColumn("close", F.lit(2.0)).unionByName(one.withColumn("time", F.lit(3600).cast("long")))
     for batch, n in ((one, 0), (two, 1), (two, 1)):
         sink(batch, n)
-    assert sorted((r.time, r.close) for r in stored(spark, f"{tmp_path}/bars", BARS).collect()) == [(0, 2.0), (3600, 1.0)]
+    assert sorted((r.time, r.close) for r in stored(spark, f"{tmp_path}/bars").collect()) == [(0, 2.0), (3600, 1.0)]
 
 
-def test_trend_state_matches_the_batch_recurrence():
+def test_an_upsert_writes_the_periods_that_it_touches_and_no_others(spark, tmp_path):
+    from barloom.streaming.streams import stored
+
+    year = 366 * 86_400
+    row = lambda t, c, s="A": (s, "1d", t, c, c, c, c, 1.0, c)
+    sink = upsert(f"{tmp_path}/bars")
+    sink(spark.createDataFrame([row(0, 1.0), row(year, 2.0), row(0, 9.0, "B")], BARS), 0)
+    sink(spark.createDataFrame([row(year, 3.0), row(year + 86_400, 4.0)], BARS), 1)
+    assert sorted(p.name for p in (tmp_path / "bars" / "batch=1" / "timeframe=1d").iterdir()) == ["period=1971"]
+    sink(spark.createDataFrame([row(0, 5.0)], BARS), 2)
+    for _ in range(2):  # the second time a batch is replayed
+        got = sorted((r.symbol, r.time, r.close) for r in stored(spark, f"{tmp_path}/bars").collect())
+        assert got == [("A", 0, 5.0), ("A", year, 3.0), ("A", year + 86_400, 4.0), ("B", 0, 9.0)]
+        sink(spark.createDataFrame([row(0, 5.0)], BARS), 2)
+    half = tmp_path / "bars" / "batch=3"
+    half.mkdir()
+    assert stored(spark, f"{tmp_path}/bars").count() == 4 and stored(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_reversion_state_matches_the_rule(spark):
+    import random
+
     import pandas as pd
 
-    from barloom.streaming.streams import _Trend
+    from barloom.operators.signals import signal
+    from barloom.streaming.streams import _Reversion
+
+    rng = random.Random(2)
+    closes = [100.0]
+    for _ in range(120):
+        closes.append(closes[-1] * (1 + rng.uniform(-0.04, 0.04)))
+    bars = spark.createDataFrame([("A", "1d", i, c, c, c, c, 1.0, c) for i, c in enumerate(closes)], BARS)
+    want = [r.target for r in signal(bars, "rsi-rev").orderBy("time").collect()]
+
+    def run(stop):
+        model, got = _Reversion(2, 10, 50, 10, stop), []
+        model.state = Held()
+        for lo, hi in ((0, 1), (1, 40), (30, 90), (90, 121)):
+            got += pd.concat(list(model.handleInputRows(("A", "1d"), iter([pd.DataFrame({"time": range(lo, hi), "close": closes[lo:hi]})]), None)))["target"].tolist()
+        return got
 
-    class Held:
-        value = None
+    assert run(0.0) == want and sum(want) > 5
+    assert sum(run(0.001)) < sum(want)
 
-        def exists(self):
-            return self.value is not None
 
-        def get(self):
-            return self.value
+class Held:
+    """A state that is kept in place."""
 
-        def update(self, value):
-            self.value = value
+    value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+def test_trend_state_matches_the_batch_recurrence():
+    import pandas as pd
+
+    from barloom.streaming.streams import _Trend
 
     walk = [1.0, 3.0, 2.0, 5.0, 4.0, 6.0, 2.0]
     model = _Trend(3)
