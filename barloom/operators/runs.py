@@ -214,7 +214,7 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 
 def bad_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line, text) of each line that is no record: numbered from 1 within its file, which is read whole for that by one task."""
-    text = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\n")).alias("at", "text"))
+    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\n")).alias("at", "text"))
     parsed = F.from_json("text", "run_id string, _bad string", {"columnNameOfCorruptRecord": "_bad"})
     bad = (F.trim("text") != "") & (parsed["_bad"].isNotNull() | parsed["run_id"].isNull())
     return text.where(bad).select("file", (F.col("at") + 1).alias("line"), "text")

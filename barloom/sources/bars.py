@@ -31,7 +31,7 @@ def read_bars(spark: SparkSession, path: str, symbols=None, timeframes=None, sin
         schema = T.StructType([*BARS.fields, T.StructField("period", T.StringType())])
         bars = spark.read.schema(schema).parquet(path)
     else:
-        bars = _plain(spark, path)
+        bars = _plain(spark, path, symbols, timeframes)
     for column, wanted in (("symbol", symbols), ("timeframe", timeframes)):
         if wanted is not None:
             bars = bars.where(F.col(column).isin(list(wanted)))
@@ -49,9 +49,15 @@ def _is_partitioned(spark: SparkSession, path: str) -> bool:
     return any("=" in f.getPath().getName() for f in found)
 
 
-def _plain(spark: SparkSession, path: str) -> DataFrame:
-    """Bars of <symbol>/<timeframe>/... with `file`, what the file's path is below the folder."""
-    bars = spark.read.schema(BARS).option("recursiveFileLookup", "true").parquet(path)
+def _plain(spark: SparkSession, path: str, symbols=None, timeframes=None) -> DataFrame:
+    """Bars of <symbol>/<timeframe>/... with `file`, what the file's path is below the folder; folders of other series aren't listed."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = place(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    wanted = [f"{path.rstrip('/')}/{s}/{t}" for s in symbols or ("*",) for t in timeframes or ("*",)]
+    found = [p for p in wanted if fs.globStatus(place(p))]
+    if not found:
+        return spark.createDataFrame([], T.StructType([*BARS.fields, T.StructField("file", T.StringType())]))
+    bars = spark.read.schema(BARS).option("recursiveFileLookup", "true").parquet(*found)
     root = path.rstrip("/").rsplit("/", 1)[-1]
     file = F.substring_index(F.col("_metadata.file_path"), f"/{root}/", -1)
     parts = F.split(file, "/")
@@ -59,9 +65,9 @@ def _plain(spark: SparkSession, path: str) -> DataFrame:
     return bars.select(*[F.coalesce(c, series[c]).alias(c) if c in series else F.col(c) for c in BARS.names], file.alias("file"))
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
+def read_archive(spark: SparkSession, path: str, symbols=None, timeframes=None) -> DataFrame:
     """Bars of a plain archive <symbol>/<timeframe>/<period>.parquet; of bars that several files hold that of the file that sorts last, so newer periods win."""
-    return dedupe_bars(_plain(spark, path), F.col("file")).drop("file")
+    return dedupe_bars(_plain(spark, path, symbols, timeframes), F.col("file")).drop("file")
 
 
 def payload(bars: DataFrame) -> DataFrame:

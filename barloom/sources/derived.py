@@ -44,7 +44,7 @@ def trade_bars(spark: SparkSession, sf_dir: str, key: str = "p_type", timeframe:
         items = items.join(table(spark, sf_dir, "part").select("p_partkey", key), F.col("l_partkey") == F.col("p_partkey"))
     time = align(F.col("l_shipdate").cast("timestamp").cast("long"), timeframe)
     price = F.col("l_extendedprice") / F.col("l_quantity")
-    sums = items.groupBy(F.col(key).alias("symbol"), time.alias("time")).agg(
+    sums = items.groupBy(F.col(key).cast("string").alias("symbol"), time.alias("time")).agg(
         F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")).alias("cents"), F.sum(F.col("l_quantity").cast("long")).alias("units"),
         F.max(price).alias("hi"), F.min(price).alias("lo"),
     )
