@@ -22,8 +22,12 @@ def test_every_oracle_names_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries()) and len(entry.queries()) > 150
 
 
-#: One of each kind; all of them are compared by the driver.
-SAMPLE = ["ag1_resample", "ag2_quality", "sc8_merge", "wn7_volatility", "sg7_tsmom_ls", "eq1_curve_sma", "eq8_trades", "ag8_performance", "wf5_stitched", "st1_stream_bars", "sg11_stops_sma", "entry"]
+#: One of each kind, and those whose SQL is a walk; all of them are compared by the driver.
+SAMPLE = [
+    "ag1_resample", "ag2_quality", "ag5_inventory", "sc8_merge", "sc10_csv", "sc11_json", "pf13_days", "wn7_volatility", "wn14_decisions", "sg5_breakout_hold", "sg6_rsi_rev_ls", "sg7_tsmom_ls",
+    "sg9_voltarget_tsmom", "sg10_volfilter_tsmom", "sg11_stops_sma", "sg11_voltarget_stops", "eq1_curve_sma", "eq8_trades", "eq13_overlay", "ag8_performance", "xs8_targeted_book", "xs10_book_gated", "rp6_gated_book",
+    "wf1_splits", "wf5_stitched", "rg2_recorded", "rg9_nested", "st1_stream_bars", "st4_upsert", "st8_batch_quality", "entry",
+]
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="needs the tables")
