@@ -319,7 +319,7 @@ def near_duplicates(
     Buckets of over `block` members are first split by a further band (a linked pair shares one
     with the same certainty); what is still larger is compared as pairs of blocks.
 
-    Null text and text without words: n_shingles 0, linked with nothing. Null id: linked with
+    Ids are whole numbers. Null text and text without words: n_shingles 0, linked with nothing. Null id: linked with
     nothing, component_id and kept null. A repeated id counts as one document of several texts:
     each of its rows is returned, all in one component. Other columns are not read.
     """

@@ -222,5 +222,5 @@ def media_features(media: DataFrame) -> DataFrame:
 
 
 def media_round_trip(docs: DataFrame, **columns) -> DataFrame:
-    """Every text stored as Ogg in the shared folder and read back. Each row stands for itself, repeated and null ids too."""
+    """Every text stored as Ogg in the shared folder and read back. Each row stands for itself, repeated and null ids too; ids are whole numbers, other columns aren't read."""
     return media_features(durable(to_media(docs, **columns), "media"))

@@ -125,7 +125,8 @@ def held_out(doc_id: Column) -> Column:
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **training) -> DataFrame:
     """docs with held_out, score and predicted (1 from `threshold` on).
 
-    labels: (doc_id, quality); of a document labelled twice the least label counts. Documents of
+    labels: (doc_id, quality), other columns of it aren't read; of a document labelled twice the least label counts; a score equal to the
+    threshold is 1. Empty and null texts score by the bias alone, whole texts of any length are read. Documents of
     null id are scored and never learnt from. A column of docs that has the name of an added one
     is replaced.
     """

@@ -340,7 +340,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
 def archive_round_trip(pages: DataFrame, **columns) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) for each page, from the archives written of them.
 
-    Rows that repeat a page_id and its payload are all responses, or all revisits of a lesser page; a null
+    Ids are whole numbers; other columns aren't read. Rows that repeat a page_id and its payload are all responses, or all revisits of a lesser page; a null
     page_id ranks last, so it revisits any page of the same payload, and is a response where there is none.
     """
     records = durable(convert_archives(archive_pages(pages, **columns)), "records")
