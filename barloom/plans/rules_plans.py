@@ -159,7 +159,7 @@ def stops_sql(inner, stop, profit, trail, cooldown):
         CASE WHEN fill IS NOT NULL OR spent THEN j + 1 + {cooldown} ELSE free END AS free, fill AS exit_price FROM ({judged})"""
     start = "0 AS held, 0.0::DOUBLE AS entry, 0.0::DOUBLE AS best, 0::BIGINT AS free, NULL::DOUBLE AS exit_price"
     return f"""{inner.replace('sig AS (', 'within AS (')}, wanted AS (SELECT *, row_number() OVER w AS i FROM within {W}), {walk_sql('wanted', ('held', 'entry', 'best', 'free', 'exit_price'), start, step)},
-    sig AS (SELECT n.* EXCLUDE (target), CASE WHEN held = 1 THEN target ELSE 0.0 END AS target, exit_price FROM wanted n JOIN walk w ON n.symbol = w.symbol AND n.i = w.i)"""
+    sig AS (SELECT n.* EXCLUDE (target), CASE WHEN held = 1 THEN target ELSE 0.0 END::DOUBLE AS target, exit_price FROM wanted n JOIN walk w ON n.symbol = w.symbol AND n.i = w.i)"""
 
 
 def scaled_sql(inner, wrap):

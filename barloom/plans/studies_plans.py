@@ -251,7 +251,7 @@ on_bars(
 )
 AUDIT = """q AS (SELECT symbol, count(*) AS bars, min(time) AS first_time, max(time) AS last_time, CAST(sum(CASE WHEN time <> expected THEN 1 ELSE 0 END) AS BIGINT) AS gaps,
     CAST(sum(CASE WHEN time > expected THEN (time - expected + 604799) // 604800 ELSE 0 END) AS BIGINT) AS missing_bars FROM (SELECT *, lag(time) OVER w + 604800 AS expected FROM bars """ + W + """) GROUP BY symbol)"""
-RECORD_SQL = f"""{RULES['sg1_sma'][2]}, {CURVE}{PERF}{LAST}, {AUDIT} SELECT '20260102030405-sma-' || q.symbol || '-1w' AS run_id, 'sma' AS strategy, '20' AS window, 0.0008 AS fee, bars, first_time, last_time, gaps, missing_bars, 64 AS digits,
+RECORD_SQL = f"""{RULES['sg1_sma'][2]}, {CURVE}{PERF}{LAST}, {AUDIT} SELECT '20260102030405-sma-' || q.symbol || '-1w' AS run_id, 'sma' AS strategy, '20' AS window, 0.0008::DOUBLE AS fee, bars, first_time, last_time, gaps, missing_bars, 64 AS digits,
     round(fe - 1, 6) AS total_return, round(fees_paid, 6) AS fees_paid, round(exposure, 6) AS exposure FROM q JOIN perf p ON q.symbol = p.symbol JOIN (SELECT symbol, fees_paid, exposure FROM z) z ON q.symbol = z.symbol"""
 
 
