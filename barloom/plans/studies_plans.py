@@ -54,8 +54,9 @@ on_bars("wn19_trailing_vol", "brands", lambda b: R.trailing_vol(rows_of(b), VOL,
 
 def weights_of(b, scheme, gate=False):
     """Weights among the universe, or among those of it whose price is above that of 8 bars before."""
-    rows = R.trailing_vol(R.trend_ok(rows_of(b), 8), VOL, PER_YEAR)
-    chosen = R.universe(rows, TOP, LOOK, EVERY, OLD, ("vol", "up"))
+    rows = R.trend_ok(rows_of(b), 8) if gate else rows_of(b)
+    rows = rows if scheme == "equal" else R.trailing_vol(rows, VOL, PER_YEAR)
+    chosen = R.universe(rows, TOP, LOOK, EVERY, OLD, tuple(c for c in ("vol", "up") if c in rows.columns))
     return R.weighted(chosen.where("up") if gate else chosen, scheme)
 
 
