@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from barloom.llm.conversations import repaired_conversations
 from barloom.llm.licenses import license_sql, scan_licenses
 from barloom.llm.mixing import MIX_SQL, mix_sources
 from barloom.llm.near_dedup import near_duplicates
@@ -13,6 +14,7 @@ from barloom.llm.packing import pack_documents
 from barloom.llm.piecewise import edited_likeness
 from barloom.llm.quality import quality_scores
 from barloom.llm.sharding import shard_documents, shard_sql
+from barloom.llm.spelling import spelling_variants
 from barloom.llm.substring_dedup import dedup_passages
 from barloom.llm.warc import ARCHIVE_SQL, archive_round_trip
 
@@ -66,6 +68,14 @@ def op10_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), room=2048)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_read(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired_conversations(_read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_arc_to_warc": op1_arc_to_warc,
     "op2_license_scan": op2_license_scan,
@@ -77,6 +87,8 @@ QUERIES = {
     "op8_ogg_media": op8_ogg_media,
     "op9_quality_ftrl": op9_quality_ftrl,
     "op10_bin_completion": op10_bin_completion,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 #: Signatures, fingerprints, containers, trained weights and searched fillings have no SQL form.
