@@ -12,6 +12,7 @@ from barloom.llm.near_dedup import near_duplicates
 from barloom.llm.ogg import media_round_trip
 from barloom.llm.packing import pack_documents
 from barloom.llm.piecewise import edited_likeness
+from barloom.llm.private import private_data
 from barloom.llm.quality import quality_scores
 from barloom.llm.sharding import shard_documents, shard_sql
 from barloom.llm.spelling import spelling_variants
@@ -76,6 +77,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired_conversations(_read(spark, sf_dir, "conversations"))
 
 
+def op13_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_data(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_arc_to_warc": op1_arc_to_warc,
     "op2_license_scan": op2_license_scan,
@@ -89,6 +94,7 @@ QUERIES = {
     "op10_bin_completion": op10_bin_completion,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_private_data": op13_private_data,
 }
 
 #: Signatures, fingerprints, containers, trained weights and searched fillings have no SQL form.
