@@ -23,7 +23,7 @@ def long_lines(text, least):
         at += len(line)
 
 
-def bounds(rows, passage=24, spread=16, line=24):
+def bounds(rows, passage=24, spread=16, line=3):
     """For each text in order of id: characters that must go, and those that may, by comparing runs of words with those of the texts before."""
     long_before, short_before, lines_before, out = set(), set(), set(), {}
     for doc, text, _ in sorted(rows, key=lambda r: r[0]):
@@ -69,7 +69,7 @@ def test_between_what_must_and_what_may_go(spark):
     rng = random.Random(3)
     line = " ".join(f"l{k}" for k in range(24))
     rows += [(300 + i, f"before {i}\n{line.upper() if i % 2 else line}  \nafter {rng.random()}", None) for i in range(5)]
-    got = dedup_passages(spark.createDataFrame([*rows, (500, None, None)], SCHEMA)).collect()
+    got = dedup_passages(spark.createDataFrame([*rows, (500, None, None)], SCHEMA), line_docs=2).collect()
     assert len(got) == len(rows) + 1
     want, texts, cut = bounds(rows), {r[0]: r[1] for r in rows}, 0
     for r in got:
@@ -117,13 +117,53 @@ def test_a_document_that_repeats_itself_keeps_a_whole_first_copy(spark):
     assert 24 <= len(got[2].split()) < 200
 
 
-def test_short_lines_and_clean_texts_stay_unless_asked_for(spark):
+def test_short_lines_go_where_enough_texts_hold_them(spark):
     lines = ["All rights reserved.", "Share this page now"]
-    rows = [(i, "\n".join([f"own a{i}", lines[0], f"b{i}", lines[1], f"d{i}"]), None) for i in range(3)]
+    rows = [(i, "\n".join([f"own a{i}", lines[0], f"b{i}", *lines[1 : 1 + (i < 3)], f"d{i}"]), None) for i in range(6)]
     df = spark.createDataFrame(rows, SCHEMA)
-    assert sorted(r.text for r in dedup_passages(df).collect()) == sorted(r[1] for r in rows)
-    got = {r.doc_id: r.text for r in dedup_passages(df, line_words=3).collect()}
-    assert got[0] == rows[0][1] and all(got[i].split() == f"own a{i} b{i} d{i}".split() for i in (1, 2))
+    few = {r.doc_id: r.text for r in dedup_passages(df).collect()}
+    every = {r.doc_id: r.text for r in dedup_passages(df, line_docs=2).collect()}
+    assert few[0] == every[0] == rows[0][1]
+    for i in range(1, 6):
+        assert every[i].split() == f"own a{i} b{i} d{i}".split()
+        assert few[i].split() == (f"own a{i} b{i} Share this page now d{i}" if i < 3 else f"own a{i} b{i} d{i}").split()
+    assert {r.doc_id: r.text for r in dedup_passages(df, line_words=24).collect()} == {r[0]: r[1] for r in rows}
+
+
+def test_repeated_short_lines_of_the_documents(spark):
+    """Lines of under 24 words that an earlier document holds, counted by whole lines alone: which of them are cut."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    holders, places = {}, []
+    for r in docs.orderBy("doc_id").collect():
+        at = 0
+        for line in (r.text or "").split("\n"):
+            words = line.lower().split()
+            if 0 < len(words) < 24:
+                holders.setdefault(" ".join(words), set()).add(r.doc_id)
+                places.append((r.doc_id, at + len(line) - len(line.lstrip()), at + len(line.rstrip()), " ".join(words)))
+            at += len(line) + 1
+    later = [p for p in places if p[0] != min(holders[p[3]])]
+    assert len(later) > 1000
+
+    def stays(**kwargs):
+        gone = {r.doc_id: [(g.start, g.end) for g in r.removed] for r in dedup_passages(docs, **kwargs).collect()}
+        for doc, start, end, line in later:
+            covered = np.zeros(end - start, bool)
+            for a, b in gone[doc]:
+                covered[max(a - start, 0) : max(b - start, 0)] = True
+            if not covered.all():
+                yield len(line.split()), len(holders[line])
+
+    assert not list(stays(line_words=1, line_docs=2))
+    common = sum(3 <= len(line.split()) and len(holders[line]) >= 5 for _, _, _, line in later)
+    assert common > 400 and sum(words >= 3 and texts >= 5 for words, texts in stays()) <= 0.05 * common
+
+
+def test_extra_columns_of_any_name_pass_through(spark):
+    docs = spark.createDataFrame([(1, "a b c", 5, "z", 1.5), (2, "d e f", 6, "y", 2.5)], "doc_id long, text string, kept_spans int, one string, start double")
+    got = dedup_passages(docs)
+    assert got.columns == ["doc_id", "text", "one", "start", "removed", "kept_spans"]
+    assert sorted((r.doc_id, r.text, r.one, r.start) for r in got.collect()) == [(1, "a b c", "z", 1.5), (2, "d e f", "y", 2.5)]
 
 
 def test_words_of_scripts_without_spaces(spark):
@@ -136,4 +176,4 @@ def test_words_of_scripts_without_spaces(spark):
     rows = [(1, f"first {passage} one", None), (2, f"other words {passage}。", None)]
     got = {r.doc_id: r.text for r in dedup_passages(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got[1] == rows[0][1] and len(got[2]) < len(rows[1][1]) - 50
-    assert all(len(c) == 0 for c in units("a b c", WordHashes()))
+    assert all(len(c) == 0 for c in units("a b", WordHashes()))
