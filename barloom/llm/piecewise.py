@@ -154,24 +154,43 @@ def fingerprint_texts(docs: DataFrame, text_col: str = "text", out: str = "finge
 RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def _key_ranges(rows: DataFrame, ranges: int) -> list[tuple]:
-    """The first and last (id, hash) of each range of the order by falling id, nulls last, then hash; Spark's range partitioning cuts it."""
+def _key_ranges(rows: DataFrame, ranges: int, range_bytes: int) -> list[tuple]:
+    """The first and last (id, hash) and the bytes of each range of the order by falling id, nulls last, then hash.
+
+    Spark's range partitioning deals keys by their number; each of its parts, sorted and streamed, is cut anew wherever range_bytes
+    of text are full, so sizes that follow the ids make no large range. Equal keys stay together.
+    """
 
     def ends(batches):
         import pyarrow as pa
 
-        first = last = None
+        out, first, last, size = [], None, None, 0
         for batch in batches:
-            if batch.num_rows:
-                first = first or batch.slice(0, 1)
-                last = batch.slice(batch.num_rows - 1, 1)
+            key = lambda k, b=batch: (b.column(0)[k].as_py(), b.column(1)[k].as_py())
+            upto = np.cumsum(batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64))
+            at = 0
+            while at < batch.num_rows:
+                before = int(upto[at - 1]) if at else 0
+                stop = int(np.searchsorted(upto, before + range_bytes - size, "right"))
+                if first is None:
+                    first, stop = key(at), max(stop, at + 1)
+                stop = max(stop, at)
+                while stop < batch.num_rows and key(stop) == (key(stop - 1) if stop > at else last):
+                    stop += 1
+                if stop > at:
+                    last, size = key(stop - 1), size + int(upto[stop - 1]) - before
+                if stop < batch.num_rows:
+                    out.append((*first, *last, size))
+                    first, size = None, 0
+                at = stop
         if first is not None:
-            columns = [*first.columns, *last.columns]
-            yield pa.RecordBatch.from_arrays(columns, ["first_id", "first_hash", "last_id", "last_hash"])
+            out.append((*first, *last, size))
+        names = ["first_id", "first_hash", "last_id", "last_hash", "bytes"]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(5)], names)
 
     order = (F.col("id").desc_nulls_last(), F.col("hash"))
-    cut = rows.select("id", "hash").repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    return cut.mapInArrow(ends, "first_id long, first_hash long, last_id long, last_hash long").collect()
+    cut = rows.select("id", "hash", "bytes").repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    return cut.mapInArrow(ends, "first_id long, first_hash long, last_id long, last_hash long, bytes long").collect()
 
 
 def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", range_bytes: int = 16 << 20) -> DataFrame:
@@ -179,7 +198,7 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     The next document is that of the next lower id; after the last comes the first. Rows of one
     id follow each other by a hash of their text, null ids come last, null text is empty; ids are whole numbers. Rows are cut
-    into ranges of about range_bytes of text by id and hash, so that neither null ids nor a repeated id make a range of
+    into ranges of range_bytes of text, and one document more at most, by id and hash, so that neither null ids nor a repeated id make a range of
     their own; only rows equal in id and text stay together. A range's first document is also dealt to the range before, so that each
     range, sorted and streamed, has the next document of its last one. Texts are shuffled once, a task a range; the
     driver holds four numbers a range, and beyond MOST_RANGES ranges they get larger instead.
@@ -189,10 +208,11 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = rows.withColumn("hash", F.xxhash64("text"))
     keys = durable(rows.select("id", "hash", F.octet_length("text").alias("bytes")), "keys")
     total = keys.agg(F.sum("bytes")).first()[0] or 0
-    ranges = max(-(-total // max(range_bytes, total // MOST_RANGES)), 2 * spark.sparkContext.defaultParallelism)
+    range_bytes = max(range_bytes, total // MOST_RANGES)
+    ranges = max(-(-total // range_bytes), 2 * spark.sparkContext.defaultParallelism)
     # Null ids come after all others, as if of a lower id than any.
     rank = lambda i, h: (1, 0, h) if i is None else (0, -i, h)
-    found = sorted((rank(r[0], r[1]), rank(r[2], r[3]), r[0], r[1]) for r in _key_ranges(keys, ranges))
+    found = sorted((rank(r[0], r[1]), rank(r[2], r[3]), r[0], r[1]) for r in _key_ranges(keys, ranges, range_bytes))
     lasts = [last for _, last, _, _ in found]
     heads = {k: (i, h) for k, (_, _, i, h) in enumerate(found)}
     before = {key: (k - 1) % len(heads) for k, key in heads.items()}  # the last range comes before the first

@@ -6,7 +6,7 @@ import pytest
 
 from barloom.llm import piecewise as P
 from barloom.llm.common import mix
-from barloom.llm.piecewise import edit_distances, edited_likeness, fingerprint_texts, fingerprints, likenesses
+from barloom.llm.piecewise import _key_ranges, edit_distances, edited_likeness, fingerprint_texts, fingerprints, likenesses
 
 SCHEMA = "doc_id long, text string, fingerprint string"
 
@@ -112,3 +112,16 @@ def test_few_rows_repeats_and_none(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert edited_likeness(empty).count() == 0 and fingerprint_texts(empty).count() == 0
     assert [r.fingerprint for r in fingerprint_texts(spark.createDataFrame([(1, None, "x")], SCHEMA)).collect()] == ["3::"]
+
+
+def test_ranges_are_cut_by_bytes_where_sizes_follow_ids(spark):
+    rows = [(k, k, 10 if k < 4000 else 20_000 + k) for k in range(5000)] + [(None, k, 3_000) for k in range(500)] + [(-1, 7, 400)] * 300
+    keys = spark.createDataFrame(rows, "id long, hash long, bytes long").repartition(5)
+    total, most = sum(r[2] for r in rows), 1 << 18
+    for ranges in (3, 40, 1):
+        found = _key_ranges(keys, ranges, most)
+        assert sum(r.bytes for r in found) == total
+        assert max(r.bytes for r in found) < 2 * most and len(found) < 3 * total // most + ranges
+        order = lambda i, h: (1, 0, h) if i is None else (0, -i, h)
+        ends = sorted((order(r.first_id, r.first_hash), order(r.last_id, r.last_hash)) for r in found)
+        assert all(a <= b for a, b in ends) and all(x[1] < y[0] for x, y in zip(ends, ends[1:], strict=False))
