@@ -24,8 +24,13 @@ ARC_FIELDS = {
 }
 #: The version, a reserved digit and the origin, then the names of the fields.
 VERSION_BLOCK = re.compile(rb"[12] \d+ [^\n]*\nURL IP-address ")
+#: How a gzip member begins.
+GZIP = b"\x1f\x8b\x08"
 REVISIT = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 
+#: Header lines by their number of fields, whose content type may hold spaces: URL, address, date, type, the other fields.
+_SPACED = {n: re.compile(r"(.*) ([0-9A-Fa-f:.]+|-) ([0-9]{4,14}) (.*)" + r" (\S+)" * (n - 5) + " ([0-9]+)", re.DOTALL) for n in (5, 10)}
+
 
 class ArcRecord(NamedTuple):
     url: str
@@ -57,9 +62,19 @@ def _number(text: str) -> int | None:
 
 
 def _arc_line(line: bytes, fields: int) -> tuple[list[str], int] | None:
-    """A header line's fields and declared length, or None if it isn't one. A URL may hold spaces: fields count from the right."""
-    parts = line.decode("utf-8", "replace").rsplit(" ", fields - 1)
-    if len(parts) != fields or _number(parts[-1]) is None or _number(parts[2]) is None or not 4 <= len(parts[2]) <= 14:
+    """A header line's fields and declared length, or None if it isn't one.
+
+    A URL may hold spaces: fields count from the right. A content type may too (`text/html; charset=utf-8`): then the
+    last address and date that follow each other are those of the record, and what stands between them and the last fields is the type.
+    """
+    text = line.decode("utf-8", "replace")
+    parts = text.rsplit(" ", fields - 1)
+    if len(parts) != fields or not (_number(parts[2]) is not None and 4 <= len(parts[2]) <= 14):
+        found = _SPACED[fields].fullmatch(text)
+        if found is None:
+            return None
+        parts = list(found.groups())
+    if _number(parts[-1]) is None:
         return None
     return parts, int(parts[-1])
 
@@ -67,7 +82,7 @@ def _arc_line(line: bytes, fields: int) -> tuple[list[str], int] | None:
 def read_arc(data: bytes) -> Iterator[ArcRecord]:
     """The URL records of an ARC file (gzip members are opened), after its version block, which sets the fields of the header lines.
 
-    Where a declared length doesn't lead to a line's end, or a line is no header, reading goes on at
+    A damaged gzip member costs its own records. Where a declared length doesn't lead to a line's end, or a line is no header, reading goes on at
     the next line that is one; a record cut off by the end of the file is left out.
     """
     if data[:2] == b"\x1f\x8b":
@@ -102,15 +117,25 @@ def read_arc(data: bytes) -> Iterator[ArcRecord]:
 
 
 def gunzip(data: bytes) -> bytes:
-    """All gzip members of a file, in turn; a broken one ends it."""
-    out = []
-    while data:
-        member = zlib.decompressobj(31)
+    """What all whole gzip members of a file hold, in turn.
+
+    A damaged one is left out, as its text can't be trusted, and reading goes on at the next place where a member begins. The last
+    one may be cut off: then what can be had of it is kept, and the records' own lengths and digests tell which are whole.
+    """
+    out, at = [], data.find(GZIP)
+    while at >= 0:
+        member, parts, read = zlib.decompressobj(31), [], at
         try:
-            out.append(member.decompress(data))
+            while not member.eof and read < len(data):
+                parts.append(member.decompress(data[read : read + 65536]))
+                read += 65536
         except zlib.error:
-            break
-        data = member.unused_data
+            parts = []
+        whole = member.eof
+        later = data.find(GZIP, min(read, len(data)) - len(member.unused_data) if whole else at + 1)
+        if whole or later < 0:
+            out += parts
+        at = later
     return b"".join(out)
 
 

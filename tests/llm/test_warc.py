@@ -117,3 +117,42 @@ def test_compressed_archives_hold_each_record_once(spark):
     assert len(kept) > 1 and all(a.endswith(".warc.gz") for a, _ in kept) and sum(n for _, n in kept) == 50
     back = read_archives(archives).collect()
     assert sorted(r.page_id for r in back) == list(range(50)) and sum(r.record_type == "response" for r in back) == 3
+
+
+def test_damaged_gzip_members_cost_their_own_records():
+    members = [gzip.compress(part) for part in _parts(write_arc(RECORDS))]
+    assert len(members) > 3
+    whole = list(read_arc(b"".join(members)))
+    assert [r.block for r in whole] == [r[4] for r in RECORDS]
+    for hit in range(1, len(members)):
+        for damage in ("flip", "cut"):
+            broken = bytearray(members[hit])
+            middle = len(broken) // 2
+            if damage == "flip":
+                broken[middle : middle + 4] = bytes(255 - b for b in broken[middle : middle + 4])
+            else:
+                del broken[middle:]
+            left = [r.block for r in read_arc(b"".join([*members[:hit], bytes(broken), *members[hit + 1 :]]))]
+            want = [r[4] for k, r in enumerate(RECORDS) if k != hit - 1]
+            assert left == want or (damage == "flip" and left == [r[4] for r in RECORDS])
+    fields, records = {"WARC-Type": "resource"}, []
+    for k in range(4):
+        block = f"block {k} ".encode() * 50
+        records.append(write_warc_record({"WARC-Type": "resource", "WARC-Block-Digest": f"sha1:{sha1_base32(block)}", "Content-Length": str(len(block)), **fields}, block, compress=True))
+    broken = bytearray(records[1])
+    broken[30] ^= 255
+    assert [b[:7] for _, b in read_warc(b"".join([records[0], bytes(broken), *records[2:]]))] == [b"block 0", b"block 2", b"block 3"]
+
+
+def _parts(data):
+    """The version block and each record of an ARC file."""
+    cuts = [r.offset for r in read_arc(data)]
+    return [data[a:b] for a, b in zip([0, *cuts], [*cuts, len(data)], strict=True)]
+
+
+def test_content_types_with_spaces_are_headers():
+    for version in (1, 2):
+        records = [("http://a.b/c d 1999 e", "10.0.0.1", "20010203040506", kind, b"body " * 9) for kind in ("text/html; charset=utf-8", "text/html", "a b c; d=1")]
+        got = list(read_arc(write_arc(records, version)))
+        assert [(r.ip, r.date, r.kind, r.block) for r in got] == [r[1:] for r in records]
+        assert {r.url for r in got} == {"http://a.b/c%20d%201999%20e"}
