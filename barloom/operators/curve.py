@@ -153,20 +153,20 @@ def overlay(bars: DataFrame, start: float, full: float, floor: float, rate: floa
     """Adds `scaled` and `scaled_equity`: exposure shrinks with the account's own drawdown at the bar before."""
     from barloom.operators.folds import fold
 
-    def step(rows):
-        equity, peak, pos, out, curve = 1.0, 1.0, 0.0, [], []
-        targets, opens = rows["target"].tolist(), rows["open"].tolist()
-        for i in range(len(targets)):
+    def step(rows, state):
+        equity, peak, pos, wanted, at = state or (1.0, 1.0, 0.0, None, None)
+        out, curve = [], []
+        for target, price in zip(rows["target"].tolist(), rows["open"].tolist(), strict=True):
             want = 0.0
-            if i:
+            if at is not None:
                 fall = abs(equity / peak - 1)
                 scale = 1.0 if fall <= start else floor if fall >= full else 1 - (1 - floor) * (fall - start) / (full - start)
-                want = targets[i - 1] * scale if equity > 0 else 0.0
-                equity = max(0.0, equity * (1 + pos * (opens[i] / opens[i - 1] - 1)) * (1 - rate) ** abs(want - pos))
-            pos, peak = want, max(peak, equity)
+                want = wanted * scale if equity > 0 else 0.0
+                equity = max(0.0, equity * (1 + pos * (price / at - 1)) * (1 - rate) ** abs(want - pos))
+            pos, peak, wanted, at = want, max(peak, equity), target, price
             out.append(want)
             curve.append(equity)
-        return {"scaled": out, "scaled_equity": curve}
+        return {"scaled": out, "scaled_equity": curve}, (equity, peak, pos, wanted, at)
 
     return fold(bars, KEY, step, {"scaled": "double", "scaled_equity": "double"})
 

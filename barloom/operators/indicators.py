@@ -1,4 +1,4 @@
-"""Indicators of a series as window expressions, and the three that are recurrences."""
+"""Indicators of a series as window expressions; the three that are recurrences are scans."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from barloom.functions.timegrid import DAY, YEAR_DAYS, bars_per_year
-from barloom.operators.folds import ema_of, fold, macd_of, rsi_of
+from barloom.operators.scans import ema, smoothed, with_macds, with_rsis
 from barloom.sources.bars import KEY, in_order
 
 YEAR = YEAR_DAYS * DAY
@@ -120,13 +120,14 @@ def held(value: Column, when: Column) -> Column:
 
 
 def with_ema(bars: DataFrame, n: int, out: str = "ema") -> DataFrame:
-    return fold(bars, KEY, lambda rows: {out: ema_of(rows["close"].tolist(), n)}, {out: "double"})
+    return smoothed(bars, [ema("close", n, out)])
 
 
 def with_macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
-    names = ("macd", "macd_signal", "macd_hist")
-    return fold(bars, KEY, lambda rows: dict(zip(names, macd_of(rows["close"].tolist(), fast, slow, signal), strict=True)), dict.fromkeys(names, "double"))
+    """Adds `macd`, `macd_signal` and `macd_hist`; null until the averages that they are made of are there."""
+    rows = with_macds(bars, [(fast, slow, signal)])
+    return rows.withColumnsRenamed({"line0": "macd", "trigger0": "macd_signal"}).withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
 
 
 def with_rsi(bars: DataFrame, n: int = 14) -> DataFrame:
-    return fold(bars, KEY, lambda rows: {"rsi": rsi_of(rows["close"].tolist(), n)}, {"rsi": "double"})
+    return with_rsis(bars, [n]).withColumnRenamed(f"rsi{n}", "rsi")

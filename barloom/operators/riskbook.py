@@ -138,7 +138,7 @@ def budget_scaled(bars: DataFrame, budget: float, vol_window: int, per_year: flo
     the calendar before the first fill count as flat.
     """
 
-    def step(rows):
+    def step(rows, state):
         first = int(rows["idx"].iloc[0])
         equity, scale, unit, levels, out = 1.0, 1.0, 1.0, [1.0] * first, []
         for value, exits, alive, swaps in zip(*(rows[c] for c in ("unit", "exits", "alive", "swaps")), strict=True):
@@ -161,7 +161,7 @@ def budget_scaled(bars: DataFrame, budget: float, vol_window: int, per_year: flo
                 turnover, scale, unit, invested = turnover + moved, now, 1.0, now * sum(x["new"] for x in swaps)
             levels.append(equity)
             out.append((scale, turnover, invested, equity))
-        return dict(zip(("scale", "turnover", "invested", "equity"), map(list, zip(*out, strict=True)), strict=True))
+        return dict(zip(("scale", "turnover", "invested", "equity"), map(list, zip(*out, strict=True)), strict=True)), None
 
     walked = fold(bars.withColumn("time", F.col("idx")), ["book_id"], step, dict.fromkeys(("scale", "turnover", "invested", "equity"), "double"))
     return walked.select("book_id", "idx", "fill", "scale", "turnover", "invested", "equity")

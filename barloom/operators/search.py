@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.scalars import cagr
 from barloom.operators.curve import equity_curve
-from barloom.operators.signals import signal
+from barloom.operators.signals import targets
 from barloom.sources.bars import KEY
 
 
@@ -55,15 +55,13 @@ def _with_splits(rows: DataFrame, splits: DataFrame, *on: str) -> DataFrame:
 def candidates(bars: DataFrame, name: str, grid: list[dict], rate: float = 0.001) -> DataFrame:
     """(series, candidate, i, time, open, close, equity): every candidate's curve over all bars, numbered from 0.
 
-    All candidates' targets are columns of one pass over the bars, then rows: the scan, the exchange and the sort by
-    series are the same for one candidate as for four hundred, and the curves' windows keep that exchange.
+    All candidates' targets are columns of one pass over the bars, then rows. Rules that walk do so once for all candidates, and
+    smoothings share their slices, so the number of exchanges and of Python stages is the same for one candidate as for four hundred.
     """
-    rows, pairs = bars, []
-    for i, params in enumerate(grid):
-        rows = signal(rows, name, **params).withColumnRenamed("target", f"__target{i}")
+    rows, pairs = targets(bars, name, grid), []
+    for i in range(len(grid)):
         columns = [F.lit(i).alias("candidate"), F.col(f"__target{i}").alias("target")]
-        if "exit_price" in rows.columns and "exit_price" not in bars.columns:
-            rows = rows.withColumnRenamed("exit_price", f"__exit{i}")
+        if f"__exit{i}" in rows.columns:
             columns.append(F.col(f"__exit{i}").alias("exit_price"))
         pairs.append(F.struct(*columns))
     kept = [c for c in ("time", "open", "close", "exit_price") if c in bars.columns]

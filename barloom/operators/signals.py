@@ -14,10 +14,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from barloom.operators import indicators as I
-from barloom.operators.folds import fold, macd_of, rsi_of
+from barloom.operators import scans
+from barloom.operators.folds import fold
 from barloom.sources.bars import KEY, in_order
 
 Rule = Callable[..., DataFrame]
+#: A rule for many sets of parameters at once: bars with `__target{i}` for each, and `__exit{i}` where exits fill inside of a bar.
+Many = Callable[[DataFrame, list[dict]], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -26,27 +29,32 @@ class Signal:
     rule: Rule
     sweep: str
     fixed: dict = field(default_factory=dict)
+    many: Many | None = None
 
     @property
     def defaults(self) -> dict:
         named = inspect.signature(self.rule).parameters
         return {k: p.default for k, p in named.items() if p.default is not inspect.Parameter.empty and k not in self.fixed}
 
-    def __call__(self, bars: DataFrame, **params) -> DataFrame:
+    def filled(self, params: dict) -> dict:
+        """All parameters of a run; unknown ones are refused."""
         unknown = set(params) - set(self.defaults)
         if unknown:
             raise ValueError(f"{self.name} takes {sorted(self.defaults)}, not {sorted(unknown)}")
-        return self.rule(bars, **{**self.fixed, **params})
+        return {**self.defaults, **self.fixed, **params}
+
+    def __call__(self, bars: DataFrame, **params) -> DataFrame:
+        return self.rule(bars, **self.filled(params))
 
 
 SIGNALS: dict[str, Signal] = {}
 
 
-def register_signal(name: str, rule: Rule, sweep: str, **fixed) -> None:
+def register_signal(name: str, rule: Rule, sweep: str, *, many: Many | None = None, **fixed) -> None:
     """Adds a rule under a name; `sweep` names the parameter that a sweep varies by default, `fixed` what the name settles."""
     if name in SIGNALS:
         raise ValueError(f"{name} is there already")
-    SIGNALS[name] = Signal(name, rule, sweep, fixed)
+    SIGNALS[name] = Signal(name, rule, sweep, fixed, many)
 
 
 def signal(bars: DataFrame, name: str, **params) -> DataFrame:
@@ -55,6 +63,45 @@ def signal(bars: DataFrame, name: str, **params) -> DataFrame:
     return SIGNALS[name](bars, **params)
 
 
+def targets(bars: DataFrame, name: str, grid: list[dict]) -> DataFrame:
+    """bars with `__target{i}` for each set of parameters, and `__exit{i}` where exits fill inside of a bar.
+
+    Rules of window expressions share one exchange whatever their number; those that walk have a form for many sets, with one walk for all.
+    """
+    if name not in SIGNALS:
+        raise ValueError(f"unknown signal {name!r}; there are {sorted(SIGNALS)}")
+    rule = SIGNALS[name]
+    filled = [rule.filled(params) for params in grid]
+    if rule.many is not None:
+        return rule.many(bars, filled)
+    rows = bars
+    for i, params in enumerate(filled):
+        rows = rule.rule(rows, **params).withColumnRenamed("target", f"__target{i}")
+    return rows
+
+
+def _single(rows: DataFrame) -> DataFrame:
+    """targets() of one set of parameters under the names of a rule."""
+    return rows.withColumnsRenamed({"__target0": "target", "__exit0": "exit_price"})
+
+
+def _walked(rows: DataFrame, walks: list[Callable], exits: bool = False) -> DataFrame:
+    """rows with what each walk(frame, state) -> (targets, exits, state) gives, all in one pass over a series."""
+
+    def step(frame, states):
+        found = [walk(frame, state) for walk, state in zip(walks, states or [None] * len(walks), strict=True)]
+        columns = {"__targets": list(map(list, zip(*(t for t, _, _ in found), strict=True)))}
+        if exits:
+            columns["__exits"] = list(map(list, zip(*(e for _, e, _ in found), strict=True)))
+        return columns, [state for _, _, state in found]
+
+    out = fold(rows, KEY, step, {"__targets": "arrays"} | ({"__exits": "arrays"} if exits else {}))
+    columns = {f"__target{i}": F.element_at("__targets", i + 1) for i in range(len(walks))}
+    if exits:
+        columns |= {f"__exit{i}": F.element_at("__exits", i + 1) for i in range(len(walks))}
+    return out.withColumns(columns).drop("__targets", "__exits")
+
+
 def describe() -> list[tuple[str, dict, str]]:
     return [(s.name, s.defaults, s.sweep) for s in SIGNALS.values()]
 
@@ -88,74 +135,112 @@ def sma_reversion(bars: DataFrame, window: int = 200, short: bool = False) -> Da
     return _sides(bars, F.col("close") < mean, F.col("close") > mean, short)
 
 
+def macd_crosses(bars: DataFrame, grid: list[dict]) -> DataFrame:
+    """The line against its average; closer to each other than a double of the close can tell counts as equal."""
+    rows = scans.with_macds(bars, [(p["fast"], p["slow"], p["signal"]) for p in grid])
+    sides = {}
+    for i, p in enumerate(grid):
+        gap = F.col(f"line{i}") - F.col(f"trigger{i}")
+        side = F.when(F.abs(gap) <= 1e-12 * F.abs(F.coalesce(F.nanvl("close", F.lit(0.0)), F.lit(0.0))), 0.0).when(gap > 0, 1.0).when(gap < 0, -1.0 if p["short"] else 0.0)
+        sides[f"__target{i}"] = F.coalesce(side, F.lit(0.0))
+    return rows.withColumns(sides).drop(*[f"{c}{i}" for c in ("line", "trigger") for i in range(len(grid))])
+
+
 def macd_cross(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, short: bool = False) -> DataFrame:
-    def step(rows):
-        line, trigger, _ = macd_of(rows["close"].tolist(), fast, slow, signal)
-        cut = lambda a, b: 0.0 if a is None or b is None or a == b else 1.0 if a > b else -1.0 if short else 0.0
-        return {"target": [cut(a, b) for a, b in zip(line, trigger, strict=True)]}
+    return _single(macd_crosses(bars, [{"fast": fast, "slow": slow, "signal": signal, "short": short}]))
 
-    return fold(bars, KEY, step, {"target": "double"})
 
+def _channel_walk(i: int, min_hold: int, short: bool) -> Callable:
+    """In and out of a channel with a least holding time; the state is the side and the bars since it was taken."""
 
-def breakout(bars: DataFrame, entry: int = 20, exit_window: int = 10, min_hold: int = 0, short: bool = False) -> DataFrame:
+    def walk(frame, state):
+        side, age = state or (0, 0)
+        out = []
+        for close, eh, el, xh, xl in zip(frame["close"], *(frame[f"__{k}{i}"] for k in ("eh", "el", "xh", "xl")), strict=True):
+            age += 1
+            if eh == eh and eh is not None:
+                turn = 1 if close > eh and side <= 0 else -1 if short and close < el and side >= 0 else 0
+                if turn and (side == 0 or short):
+                    side, age = turn, 0
+                elif side and age >= min_hold and (close < xl if side > 0 else close > xh):
+                    side = 0
+            out.append(float(side))
+        return out, None, (side, age)
+
+    return walk
+
+
+def breakouts(bars: DataFrame, grid: list[dict]) -> DataFrame:
     """In beyond the last `entry` bars' range, out beyond that of the last `exit_window` on the other side.
 
     Without a least holding time the long and the short side are latches of their own, and the position is
-    their difference; with one the state is walked.
+    their difference; with one the state is walked, for all such sets of parameters together.
     """
-    order = in_order()
-    warm = I.nth() > max(entry, exit_window)
-    rows = bars.withColumns(
-        {
-            "__eh": F.when(warm, I.channel_high(entry)), "__el": F.when(warm, I.channel_low(entry)),
-            "__xh": F.when(warm, I.channel_high(exit_window)), "__xl": F.when(warm, I.channel_low(exit_window)),
-        }
-    )
-    c = F.col("close")
-    if min_hold:
-        def step(frame):
-            side, since, out = 0, 0, []
-            for i, (close, eh, el, xh, xl) in enumerate(zip(*(frame[k] for k in ("close", "__eh", "__el", "__xh", "__xl")), strict=True)):
-                if eh == eh and eh is not None:
-                    turn = 1 if close > eh and side <= 0 else -1 if short and close < el and side >= 0 else 0
-                    if turn and (side == 0 or short):
-                        side, since = turn, i
-                    elif side and i - since >= min_hold and (close < xl if side > 0 else close > xh):
-                        side = 0
-                out.append(float(side))
-            return {"target": out}
-
-        return fold(rows, KEY, step, {"target": "double"}).drop("__eh", "__el", "__xh", "__xl")
+    so_far = in_order().rowsBetween(W.unboundedPreceding, 0)
+    channels, latched, walks, c = {}, {}, {}, F.col("close")
 
     def latch(on: Column, off: Column) -> Column:
         mark = F.when(on, F.lit(1.0)).when(off, F.lit(0.0))
-        return F.coalesce(F.last(mark, ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0)), F.lit(0.0))
+        return F.coalesce(F.last(mark, ignorenulls=True).over(so_far), F.lit(0.0))
+
+    for i, p in enumerate(grid):
+        warm = I.nth() > max(p["entry"], p["exit_window"])
+        channels |= {f"__eh{i}": F.when(warm, I.channel_high(p["entry"])), f"__el{i}": F.when(warm, I.channel_low(p["entry"]))}
+        channels |= {f"__xh{i}": F.when(warm, I.channel_high(p["exit_window"])), f"__xl{i}": F.when(warm, I.channel_low(p["exit_window"]))}
+        eh, el, xh, xl = (F.col(f"__{k}{i}") for k in ("eh", "el", "xh", "xl"))
+        if p["min_hold"]:
+            walks[i] = _channel_walk(i, p["min_hold"], p["short"])
+        elif p["short"]:
+            latched[f"__target{i}"] = latch(c > eh, (c < xl) | (c < el)) - latch(c < el, (c > xh) | (c > eh))
+        else:
+            latched[f"__target{i}"] = latch(c > eh, c < xl)
+    rows = bars.withColumns(channels).withColumns(latched)
+    if walks:
+        # the walks number their targets from 0: each goes to the place of its own parameters
+        names = dict(enumerate(walks))
+        rows = rows.withColumnsRenamed({k: f"__kept{k}" for k in latched})
+        rows = _walked(rows, list(walks.values())).withColumnsRenamed({f"__target{k}": f"__walked{i}" for k, i in names.items()})
+        rows = rows.withColumnsRenamed({f"__kept{k}": k for k in latched}).withColumnsRenamed({f"__walked{i}": f"__target{i}" for i in walks})
+    return rows.drop(*channels)
 
-    down = (c < F.col("__xl")) | (c < F.col("__el")) if short else c < F.col("__xl")
-    target = latch(c > F.col("__eh"), down)
-    if short:
-        target = target - latch(c < F.col("__el"), (c > F.col("__xh")) | (c > F.col("__eh")))
-    return rows.withColumn("target", target).drop("__eh", "__el", "__xh", "__xl")
 
+def breakout(bars: DataFrame, entry: int = 20, exit_window: int = 10, min_hold: int = 0, short: bool = False) -> DataFrame:
+    return _single(breakouts(bars, [{"entry": entry, "exit_window": exit_window, "min_hold": min_hold, "short": short}]))
 
-def rsi_reversion(
-    bars: DataFrame, window: int = 2, oversold: float = 10, overbought: float = 90, exit_level: float = 50, max_hold: int = 10, short: bool = False
-) -> DataFrame:
-    """In when the index is stretched, out past the exit level or after max_hold bars; never in again on the bar of an exit."""
 
-    def step(rows):
-        side, since, out = 0, 0, []
-        for i, level in enumerate(rsi_of(rows["close"].tolist(), window)):
-            if level is not None:
+def _stretched_walk(p: dict) -> Callable:
+    """The state is the side and the bars since it was taken."""
+    column = f"rsi{p['window']}"
+
+    def walk(frame, state):
+        side, age = state or (0, 0)
+        out = []
+        for level in frame[column]:
+            age += 1
+            known = level is not None and level == level
+            if known:
                 if side:
-                    back = level > exit_level if side > 0 else level < exit_level
-                    side = 0 if back or i - since >= max_hold else side
-                elif level < oversold or (short and level > overbought):
-                    side, since = 1 if level < oversold else -1, i
-            out.append(float(side) if level is not None else 0.0)
-        return {"target": out}
+                    back = level > p["exit_level"] if side > 0 else level < p["exit_level"]
+                    side = 0 if back or age >= p["max_hold"] else side
+                elif level < p["oversold"] or (p["short"] and level > p["overbought"]):
+                    side, age = 1 if level < p["oversold"] else -1, 0
+            out.append(float(side) if known else 0.0)
+        return out, None, (side, age)
+
+    return walk
 
-    return fold(bars, KEY, step, {"target": "double"})
+
+def rsi_reversions(bars: DataFrame, grid: list[dict]) -> DataFrame:
+    """In when the index is stretched, out past the exit level or after max_hold bars; never in again on the bar of an exit."""
+    windows = sorted({p["window"] for p in grid})
+    return _walked(scans.with_rsis(bars, windows), [_stretched_walk(p) for p in grid]).drop(*[f"rsi{n}" for n in windows])
+
+
+def rsi_reversion(
+    bars: DataFrame, window: int = 2, oversold: float = 10, overbought: float = 90, exit_level: float = 50, max_hold: int = 10, short: bool = False
+) -> DataFrame:
+    given = {"window": window, "oversold": oversold, "overbought": overbought, "exit_level": exit_level, "max_hold": max_hold, "short": short}
+    return _single(rsi_reversions(bars, [given]))
 
 
 def momentum(bars: DataFrame, lookback: int = 720, rebalance: int = 168, threshold: float = 0.0, short: bool = False) -> DataFrame:
@@ -172,17 +257,30 @@ def momentum_blend(bars: DataFrame, base: int = 168, horizons: int = 4, rebalanc
     return _on_grid(bars, total / horizons, rebalance, False)
 
 
+def _inner(params: dict, own: set[str], inner: str) -> dict:
+    """What of a wrapped rule's parameters the inner rule takes; the window of volatility is its own too where it has one."""
+    return {k: v for k, v in params.items() if k not in own | {"inner"} or k in SIGNALS[inner].defaults}
+
+
+def vol_targets(bars: DataFrame, inner: str, grid: list[dict]) -> DataFrame:
+    """An inner rule's exposure times target over realised volatility, between floor and cap; unscaled under `least` returns."""
+    given = [{"target_vol": 0.4, "vol_window": 168, "cap": 1.0, "floor": 0.0, "least": 20, **p} for p in grid]
+    rows = I.step_of(targets(bars, inner, [_inner(p, {"target_vol", "vol_window", "cap", "floor", "least"}, inner) for p in given]))
+    kinds = sorted({(p["vol_window"], p["least"]) for p in given})
+    for window, least in kinds:
+        rows = I.with_volatility(rows, window, least).withColumnRenamed("vol", f"__vol{window}_{least}")
+    scaled = {}
+    for i, p in enumerate(given):
+        vol, cap, target = F.col(f"__vol{p['vol_window']}_{p['least']}"), p["cap"], F.col(f"__target{i}")
+        scale = F.when(vol.isNull(), F.lit(1.0)).when(vol <= 0, F.lit(cap)).otherwise(F.greatest(F.lit(p["floor"]), F.least(F.lit(cap), F.lit(p["target_vol"]) / F.nullif(vol, F.lit(0.0)))))
+        scaled[f"__target{i}"] = F.greatest(F.lit(-cap), F.least(F.lit(cap), target * scale))
+    return rows.withColumns(scaled).drop(*[f"__vol{w}_{n}" for w, n in kinds], "step")
+
+
 def vol_target(
     bars: DataFrame, inner: str = "sma", target_vol: float = 0.4, vol_window: int = 168, cap: float = 1.0, floor: float = 0.0, least: int = 20, **params
 ) -> DataFrame:
-    """An inner rule's exposure times target over realised volatility, between floor and cap; unscaled under `least` returns."""
-    if "vol_window" in SIGNALS[inner].defaults:
-        params["vol_window"] = vol_window
-    rows = I.with_volatility(I.step_of(signal(bars, inner, **params)), vol_window, least)
-    scale = F.when(F.col("vol").isNull(), F.lit(1.0)).when(F.col("vol") <= 0, F.lit(cap)).otherwise(
-        F.greatest(F.lit(floor), F.least(F.lit(cap), F.lit(target_vol) / F.nullif(F.col("vol"), F.lit(0.0))))
-    )
-    return rows.withColumn("target", F.greatest(F.lit(-cap), F.least(F.lit(cap), F.col("target") * scale))).drop("vol", "step")
+    return _single(vol_targets(bars, inner, [{"target_vol": target_vol, "vol_window": vol_window, "cap": cap, "floor": floor, "least": least, **params}]))
 
 
 def vol_filter(bars: DataFrame, inner: str = "sma", max_vol: float = 0.8, vol_window: int = 168, **params) -> DataFrame:
@@ -218,38 +316,55 @@ class _Holding:
         return bool((stop and won <= -stop) or (profit and won >= profit) or (trail and slid <= -trail))
 
 
-def stops(
-    bars: DataFrame, inner: str = "sma", take_profit: float = 0.0, stop_loss: float = 0.0, trail: float = 0.0, cooldown: int = 0, **params
-) -> DataFrame:
-    """An inner rule with exits inside of the bar: `target` and `exit_price`. After one, the position stays out for `cooldown` bars more."""
+def _stops_walk(i: int, p: dict) -> Callable:
+    """The state is the open position, side, entry and best close, and the bars that are still to be sat out."""
+    levels = (p["stop_loss"], p["take_profit"], p["trail"])
 
-    def step(rows):
+    def walk(frame, state):
+        position, wait = state or (None, 0)
         held: _Holding | None = None
-        free, targets, fills = 0, [], []
-        for i, (want, o, h, l, c) in enumerate(zip(*(rows[k] for k in ("target", "open", "high", "low", "close")), strict=True)):  # noqa: E741
+        if position:
+            held = _Holding(position[0], position[1])
+            held.best = position[2]
+        out, fills = [], []
+        for want, o, h, l, c in zip(frame[f"__target{i}"], *(frame[k] for k in ("open", "high", "low", "close")), strict=True):  # noqa: E741
             side = (want > 0) - (want < 0)
-            fill, left = None, False
+            fill, left, wait = None, False, max(wait - 1, 0)
             if held is None:
-                held = _Holding(side, c) if side and i >= free else None
+                held = _Holding(side, c) if side and not wait else None
             else:
-                fill = held.fill(o, h, l, stop_loss, take_profit, trail)
+                fill = held.fill(o, h, l, *levels)
                 if fill is None:
                     held.best = max(held.best, c) if held.side > 0 else min(held.best, c)
                     if side and side != held.side:
                         held = _Holding(side, c)
                     elif side:
-                        left = held.spent(c, stop_loss, take_profit, trail)
+                        left = held.spent(c, *levels)
                 if fill is not None or left:
-                    free = i + 1 + cooldown
+                    wait = 1 + p["cooldown"]
                 if fill is not None or left or not side:
                     held = None
-            targets.append(float(want) if held is not None else 0.0)
+            out.append(float(want) if held is not None else 0.0)
             fills.append(fill)
-        return {"target": targets, "exit_price": fills}
+        return out, fills, (None if held is None else [int(held.side), float(held.entry), float(held.best)], wait)
 
-    rows = signal(bars, inner, **params).withColumnRenamed("target", "__want")
-    walked = fold(rows, KEY, lambda f: step(f.rename(columns={"__want": "target"})), {"target": "double", "exit_price": "double"})
-    return walked.drop("__want")
+    return walk
+
+
+def many_stops(bars: DataFrame, inner: str, grid: list[dict]) -> DataFrame:
+    """An inner rule with exits inside of the bar: targets and exit prices. After an exit, the position stays out for `cooldown` bars more."""
+    given = [{"take_profit": 0.0, "stop_loss": 0.0, "trail": 0.0, "cooldown": 0, **p} for p in grid]
+    rows = targets(bars, inner, [_inner(p, {"take_profit", "stop_loss", "trail", "cooldown"}, inner) for p in given])
+    wanted = [f"__target{i}" for i in range(len(grid))]
+    kept = [c for c in rows.columns if c not in wanted]
+    walked = _walked(rows.select(*kept, *wanted), [_stops_walk(i, p) for i, p in enumerate(given)], exits=True)
+    return walked.select(*kept, *[f"__{k}{i}" for i in range(len(grid)) for k in ("target", "exit")])
+
+
+def stops(
+    bars: DataFrame, inner: str = "sma", take_profit: float = 0.0, stop_loss: float = 0.0, trail: float = 0.0, cooldown: int = 0, **params
+) -> DataFrame:
+    return _single(many_stops(bars, inner, [{"take_profit": take_profit, "stop_loss": stop_loss, "trail": trail, "cooldown": cooldown, **params}]))
 
 
 def liquid_only(rows: DataFrame, window: int, least: float) -> DataFrame:
@@ -263,6 +378,10 @@ def masked(rows: DataFrame, mask: DataFrame) -> DataFrame:
     return joined.withColumn("target", F.when(F.coalesce("liquid", F.lit(True)), F.col("target")).otherwise(F.lit(0.0))).drop("liquid")
 
 
+def _register_wrapped(name: str, rule: Rule, inner: str, sweep: str, own: dict, many: Callable | None = None) -> None:
+    register_signal(name, _wrapped(rule, inner, own), sweep, many=many and (lambda bars, grid: many(bars, inner, grid)))
+
+
 def _wrapped(rule: Rule, inner: str, own: dict) -> Rule:
     """A rule around an inner one whose parameters are passed on under their own names."""
     named = {**SIGNALS[inner].defaults, **own}
@@ -279,24 +398,22 @@ register_signal("sma", sma_trend, "window", short=False)
 register_signal("sma-ls", sma_trend, "window", short=True, rebalance=1)
 register_signal("sma-rev", sma_reversion, "window", short=False)
 register_signal("sma-rev-ls", sma_reversion, "window", short=True)
-register_signal("macd", macd_cross, "fast", short=False)
-register_signal("macd-ls", macd_cross, "fast", short=True)
-register_signal("breakout", breakout, "entry", short=False)
-register_signal("breakout-ls", breakout, "entry", short=True)
-register_signal("rsi-rev", rsi_reversion, "window", short=False)
-register_signal("rsi-rev-ls", rsi_reversion, "window", short=True)
+for _end, _short in (("", False), ("-ls", True)):
+    register_signal("macd" + _end, macd_cross, "fast", many=macd_crosses, short=_short)
+    register_signal("breakout" + _end, breakout, "entry", many=breakouts, short=_short)
+    register_signal("rsi-rev" + _end, rsi_reversion, "window", many=rsi_reversions, short=_short)
 register_signal("tsmom", momentum, "lookback", short=False)
 register_signal("tsmom-ls", momentum, "lookback", short=True)
 register_signal("tsmom-blend", momentum_blend, "base")
 _VOL = {"target_vol": 0.4, "vol_window": 168, "cap": 1.0}
-register_signal("voltarget-sma", _wrapped(vol_target, "sma", _VOL), "window")
-register_signal("voltarget-sma-ls", _wrapped(vol_target, "sma-ls", _VOL), "window")
-register_signal("voltarget-tsmom", _wrapped(vol_target, "tsmom", _VOL), "lookback")
+_register_wrapped("voltarget-sma", vol_target, "sma", "window", _VOL, vol_targets)
+_register_wrapped("voltarget-sma-ls", vol_target, "sma-ls", "window", _VOL, vol_targets)
+_register_wrapped("voltarget-tsmom", vol_target, "tsmom", "lookback", _VOL, vol_targets)
 _CALM = {"max_vol": 0.8, "vol_window": 168}
-register_signal("volfilter-sma", _wrapped(vol_filter, "sma", _CALM), "window")
-register_signal("volfilter-tsmom", _wrapped(vol_filter, "tsmom", {**_CALM, "lookback": 30, "rebalance": 7}), "lookback")
-register_signal("voltarget-volfilter-sma", _wrapped(vol_target, "volfilter-sma", _VOL), "window")
+_register_wrapped("volfilter-sma", vol_filter, "sma", "window", _CALM)
+_register_wrapped("volfilter-tsmom", vol_filter, "tsmom", "lookback", {**_CALM, "lookback": 30, "rebalance": 7})
+_register_wrapped("voltarget-volfilter-sma", vol_target, "volfilter-sma", "window", _VOL, vol_targets)
 _EXITS = {"take_profit": 0.0, "stop_loss": 0.0, "trail": 0.0, "cooldown": 0}
-register_signal("stops-sma", _wrapped(stops, "sma", _EXITS), "stop_loss")
-register_signal("stops-breakout", _wrapped(stops, "breakout", _EXITS), "stop_loss")
-register_signal("voltarget-stops-sma", _wrapped(vol_target, "stops-sma", _VOL), "stop_loss")
+_register_wrapped("stops-sma", stops, "sma", "stop_loss", _EXITS, many_stops)
+_register_wrapped("stops-breakout", stops, "breakout", "stop_loss", _EXITS, many_stops)
+_register_wrapped("voltarget-stops-sma", vol_target, "stops-sma", "stop_loss", _VOL, vol_targets)

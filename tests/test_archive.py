@@ -61,7 +61,7 @@ def test_payload_is_parallel_arrays_in_order(spark):
 
 
 def test_selection(spark):
-    assert S.parse_quotes(" usdt, btc ") == ("USDT", "BTC") and S.parse_quotes("any") is None and S.parse_quotes("") is None
+    assert S.parse_quotes(" usdt, btc ") == {"USDT", "BTC"} and S.parse_quotes("any") is None and S.parse_quotes("") is None
     with pytest.raises(ValueError):
         S.parse_quotes(" , ")
     bars = walk(spark, "AAA-USDT", 10, 1).unionByName(walk(spark, "BB-A-BTC", 500, 2))
