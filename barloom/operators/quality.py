@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from barloom.functions.timegrid import align, seconds_of, shift, slots_between
+from barloom.functions.timegrid import align, instant, seconds_of, shift, slots_between
 from barloom.sources.bars import KEY, in_order
 
 MOST_SLOTS = 100_000
@@ -72,7 +72,9 @@ def verify(bars: DataFrame, timeframe: str, order: str = "time", max_gaps: int =
     missing = slots_between(F.col("before"), F.col("time"), timeframe) - 1
     jumped = (F.col("time") > F.col("before")) & (F.col("time") != shift(F.col("before"), 1, timeframe))
     rows = rows.withColumn("missing", F.when(jumped, F.greatest(missing, F.lit(0))).otherwise(F.lit(0).cast("long")))
-    gap = F.when(F.col("missing") >= min_gap_bars, F.struct((-F.col("missing")).alias("rank"), F.col("before").alias("after"), F.col("time").alias("before"), "missing"))
+    # only the widest are gathered, so a series full of holes makes no long list
+    rows = rows.withColumn("width", F.row_number().over(W.partitionBy(*KEY).orderBy(F.col("missing").desc(), "before", "time")))
+    gap = F.when((F.col("missing") >= min_gap_bars) & (F.col("width") <= max(max_gaps, 1)), F.struct((-F.col("missing")).alias("rank"), F.col("before").alias("after"), F.col("time").alias("before"), "missing"))
     flag = lambda c: F.sum(F.coalesce(c, F.lit(False)).cast("long"))
     out = rows.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("rows"), F.min("time").alias("first_time"), F.max("time").alias("last_time"), F.sum("missing").alias("missing"),
@@ -121,20 +123,48 @@ def islands(bars: DataFrame, timeframe: str) -> DataFrame:
 
 
 def fetch_plan(bars: DataFrame, timeframe: str, floor: int, now: int, limit: int = 1500) -> DataFrame:
-    """Half-open windows of at most `limit` bars that cover what is missing before the first bar and after the last one up to `now`."""
+    """Half-open windows of at most `limit` bars that cover what is missing before the first bar and after the last one up to `now`.
+
+    Windows are cut on the numbers of slots: steps from the epoch, or calendar months.
+    """
     step = seconds_of(timeframe)
-    if step is None:
-        raise ValueError("windows are planned on fixed grids")
-    start, stop = floor - floor % step, now - now % step
+    month = lambda t: F.year(instant(t)).cast("long") * 12 + F.month(instant(t)) - 1
+    slot = (lambda t: F.floor(t / F.lit(step))) if step else month
+    begins = (lambda n: n * step) if step else (lambda n: F.unix_timestamp(F.make_date((n / 12).cast("int"), (n % 12 + 1).cast("int"), F.lit(1)).cast("timestamp")))
     ends_ = bars.groupBy(*KEY).agg(F.min("time").alias("lo"), F.max("time").alias("hi"))
-    head = F.struct(F.lit("head").alias("side"), F.lit(start).cast("long").alias("a"), F.col("lo").alias("b"))
-    tail = F.struct(F.lit("tail").alias("side"), (F.col("hi") + step).alias("a"), F.lit(stop).cast("long").alias("b"))
-    rows = ends_.select(*KEY, F.explode(F.array(head, tail)).alias("x")).where("x.a < x.b")
-    rows = rows.select(*KEY, "x.*").withColumn("from_time", F.explode(F.sequence(F.col("a"), F.col("b") - 1, F.lit(step * limit).cast("long"))))
-    return rows.select(*KEY, "side", "from_time", F.least(F.col("from_time") + step * limit, F.col("b")).alias("to_time"))
+    moment = lambda t: F.lit(t).cast("long")
+    head = F.struct(F.lit("head").alias("side"), slot(moment(floor)).alias("a"), slot(F.col("lo")).alias("b"))
+    tail = F.struct(F.lit("tail").alias("side"), (slot(F.col("hi")) + 1).alias("a"), slot(moment(now)).alias("b"))
+    rows = ends_.select(*KEY, F.explode(F.array(head, tail)).alias("x")).where("x.a < x.b").select(*KEY, "x.*")
+    rows = rows.withColumn("n", F.explode(F.sequence(F.col("a"), F.col("b") - 1, F.lit(limit).cast("long"))))
+    return rows.select(*KEY, "side", begins(F.col("n")).alias("from_time"), begins(F.least(F.col("n") + limit, F.col("b"))).alias("to_time"))
+
+
+def merged_intervals(intervals: DataFrame, touch: int = 0, keys: tuple[str, ...] = KEY) -> DataFrame:
+    """(series, first_time, last_time, parts): the union of closed intervals (series, first_time, last_time), as those of several files.
+
+    Intervals that overlap, nest, or begin at most `touch` seconds after the end so far (a bar, where bars follow each other) are one: a
+    new one begins where the running maximum of ends is left behind.
+    """
+    order = W.partitionBy(*keys).orderBy("first_time", "last_time")
+    so_far = F.max("last_time").over(order.rowsBetween(W.unboundedPreceding, -1))
+    fresh = F.coalesce((F.col("first_time") > so_far + touch).cast("int"), F.lit(1))
+    rows = intervals.select(*keys, "first_time", "last_time", fresh.alias("fresh")).withColumn("island", F.sum("fresh").over(order))
+    return rows.groupBy(*keys, "island").agg(F.min("first_time").alias("first_time"), F.max("last_time").alias("last_time"), F.count(F.lit(1)).alias("parts")).drop("island")
 
 
 def history_floor(meta: DataFrame, bars: DataFrame) -> DataFrame:
-    """(series, floor): the recorded oldest moment, unless older bars belie it or there is no record."""
+    """(series, floor): the oldest moment that there is of a series, as far as is known.
+
+    meta has the recorded `floor`, and may have `start`, the begin that a bounded load was told, and `full`, whether a load has gone all the way back.
+    The older of record and start holds, so a bounded start never loosens a record; what stored bars are older than is belied by them; after a
+    full load, and where nothing is known, the floor is the first stored bar.
+    """
     first = bars.groupBy(*KEY).agg(F.min("time").alias("first_time"))
-    return first.join(meta, list(KEY), "left").select(*KEY, F.when(F.col("floor") <= F.col("first_time"), F.col("floor")).otherwise(F.col("first_time")).alias("floor"))
+    rows = first.join(meta, list(KEY), "left")
+    start = F.col("start") if "start" in meta.columns else F.lit(None).cast("long")
+    full = F.coalesce("full", F.lit(False)) if "full" in meta.columns else F.lit(False)
+    recorded = F.when(F.col("floor") <= F.col("first_time"), F.col("floor"))
+    told = F.when(start <= F.col("first_time"), start)
+    known = F.coalesce(F.least(recorded, told), F.col("first_time"))
+    return rows.select(*KEY, F.when(full, F.col("first_time")).otherwise(known).alias("floor"))

@@ -13,10 +13,10 @@ def _fixed(column: str, digits: int):
     return F.format_string(f"%.{digits}f", F.col(column).cast("double"))
 
 
-def trade_table(trades: DataFrame, more: int = 0) -> DataFrame:
-    """A line a trade: sides in words, moments in UTC, prices to eight digits, returns to six; what is open says yes. `more` adds digits, here and below."""
+def trade_table(trades: DataFrame, more: int = 0, keep: tuple[str, ...] = ()) -> DataFrame:
+    """A line a trade: sides in words, moments in UTC, prices to eight digits, returns to six; what is open says yes. `more` adds digits, here and below; `keep` names columns that stay."""
     return trades.select(
-        *KEY, F.when(F.col("side") > 0, "long").otherwise("short").alias("side"), iso(F.col("entry_time")).alias("entry_time_utc"), _fixed("entry_price", 8 + more).alias("entry_price"),
+        *KEY, *keep, F.when(F.col("side") > 0, "long").otherwise("short").alias("side"), iso(F.col("entry_time")).alias("entry_time_utc"), _fixed("entry_price", 8 + more).alias("entry_price"),
         iso(F.col("exit_time")).alias("exit_time_utc"), _fixed("exit_price", 8 + more).alias("exit_price"), "bars_held", _fixed("gross_return", 6 + more).alias("gross_return"), _fixed("net_return", 6 + more).alias("net_return"),
         _fixed("equity_at_entry", 8 + more).alias("equity_at_entry"), _fixed("equity_at_exit", 8 + more).alias("equity_at_exit"), F.when(F.col("open_at_end"), "yes").otherwise("").alias("open_at_end"),
     )

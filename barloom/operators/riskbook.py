@@ -175,8 +175,8 @@ def single_hold(rows: DataFrame, symbol: str, rate: float = 0.001) -> DataFrame:
 
 
 def shares(book: DataFrame) -> DataFrame:
-    """Mean share invested, share of bars out of the market, turnover a bar."""
-    return book.agg(F.avg("invested").alias("invested"), F.avg((F.col("invested") <= 0).cast("double")).alias("flat"), F.avg("turnover").alias("turnover"))
+    """Mean share invested, share of bars out of the market, turnover a bar, and cost a bar: the share of the equity that its fills and exits took."""
+    return book.agg(F.avg("invested").alias("invested"), F.avg((F.col("invested") <= 0).cast("double")).alias("flat"), F.avg("turnover").alias("turnover"), F.avg(F.col("cost") / F.nullif(F.col("equity") + F.col("cost"), F.lit(0.0))).alias("cost"))
 
 
 def restricted(book: DataFrame, first: int, last: int | None = None, hold: DataFrame | None = None, rate: float = 0.001) -> DataFrame:

@@ -13,13 +13,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.functions.scalars import iso
 from barloom.functions.timegrid import bars_per_year
 from barloom.operators import basket as K
 from barloom.operators.curve import buy_and_hold, equity_curve, summary, trades
 from barloom.operators.performance import performance, trade_stats
 from barloom.operators.quality import quality
+from barloom.operators.reports import trade_table
 from barloom.operators.signals import SIGNALS, signal
 from barloom.sources.bars import KEY
+from barloom.sources.workspace import kept
 
 #: Parameter sets and baskets that one verification builds plans for.
 MOST_PLANS = 400
@@ -70,9 +73,16 @@ def _figures(curve: DataFrame, per_year: float, value: str, prefix: str) -> Data
     return performance(curve, per_year, value).select(*KEY, F.create_map(*pairs).alias(prefix))
 
 
+def run_curve(bars: DataFrame, strategy: str, params: dict, rate: float) -> DataFrame:
+    return equity_curve(buy_and_hold(signal(bars, strategy, **params), rate), rate)
+
+
 def run_metrics(bars: DataFrame, strategy: str, params: dict, rate: float, timeframe: str) -> DataFrame:
     """(series, metrics) of one strategy on every series: figures of the curve and of holding, costs, exposure and trades as one flat map without nulls."""
-    curve = equity_curve(buy_and_hold(signal(bars, strategy, **params), rate), rate)
+    return _metrics_of(run_curve(bars, strategy, params, rate), rate, timeframe)
+
+
+def _metrics_of(curve: DataFrame, rate: float, timeframe: str) -> DataFrame:
     per_year = bars_per_year(timeframe)
     own, hold = _figures(curve, per_year, "equity", "strategy"), _figures(curve, per_year, "hold_net", "buy_hold")
     closed = trade_stats(trades(curve)).select(*KEY, F.create_map(F.lit("trades.n_closed"), F.col("n_closed").cast("double"), F.lit("trades.win_rate"), F.col("win_rate"), F.lit("trades.mean_return"), F.col("mean_return")).alias("trades"))
@@ -85,7 +95,7 @@ def run_metrics(bars: DataFrame, strategy: str, params: dict, rate: float, timef
 def basket_metrics(bars: DataFrame, strategy: str, params: dict, rate: float, timeframe: str) -> DataFrame:
     """(field, value) of an equal basket of all series: return.*, benchmark.*, fees_paid and legs.<symbol>.* on the times that all share."""
     per_year, times = bars_per_year(timeframe), K.timeline(bars)
-    legs = K.legs(equity_curve(buy_and_hold(signal(bars, strategy, **params), rate), rate), times)
+    legs = kept(K.legs(run_curve(bars, strategy, params, rate), times), "legs")
     whole = legs.groupBy("time").agg((1 + F.avg(F.col("leg") - 1)).alias("basket"), F.avg("hold_net").alias("hold"))
     whole = whole.withColumn("symbol", F.lit("")).withColumn("timeframe", F.lit(timeframe))
     fields = lambda df, column: df.select(F.explode(column).alias("field", "value"))
@@ -108,16 +118,65 @@ def windows_of(bars: DataFrame, timeframe: str) -> DataFrame:
 def record_runs(
     bars: DataFrame, strategy: str, params: dict, timeframe: str, recorded_at: str, fee: float = 0.001, slippage: float = 0.0, note: str = "", trades_file: str | None = None
 ) -> DataFrame:
-    """A record for each series, of the columns of RUNS: parameters, costs, window with digest and audit, metrics. recorded_at is an ISO moment."""
+    """A record for each series, of the columns of RUNS: parameters, costs, window with digest and audit, metrics. recorded_at is an ISO moment.
+
+    trades_file names the run's table of trades, see recorded_trades(); `{run_id}` in it stands for the run's own id.
+    """
     stamp = "".join(c for c in recorded_at if c.isdigit())
     rows = windows_of(bars, timeframe).join(run_metrics(bars, strategy, params, fee + slippage, timeframe), list(KEY))
     label = F.concat_ws("-", F.lit(strategy), "symbol", "timeframe")
+    run_id = F.concat_ws("-", F.lit(stamp), label)
+    file = F.replace(F.lit(trades_file).cast("string"), F.lit("{run_id}"), run_id)
     return rows.select(
-        F.concat_ws("-", F.lit(stamp), label).alias("run_id"), F.lit(recorded_at).alias("recorded_at"), label.alias("label"), F.lit(strategy).alias("strategy"), F.lit("backtest").alias("kind"),
-        F.lit(note).alias("note"), F.lit(trades_file).cast("string").alias("trades_file"), *_given(params, fee, slippage), "metrics", "data", F.lit(1).alias("journal_format"),
+        run_id.alias("run_id"), F.lit(recorded_at).alias("recorded_at"), label.alias("label"), F.lit(strategy).alias("strategy"), F.lit("backtest").alias("kind"),
+        F.lit(note).alias("note"), file.alias("trades_file"), *_given(params, fee, slippage), "metrics", "data", F.lit(1).alias("journal_format"),
     )
 
 
+def recorded_trades(runs: DataFrame, bars: DataFrame, strategy: str, params: dict, rate: float) -> DataFrame:
+    """The table of trades of each of the runs (all of one strategy): (trades_file, n, ...) with the lines of reports.trade_table(), n from 0 in order of time."""
+    found = _numbered(trades(run_curve(bars, strategy, params, rate)))
+    named = runs.where("trades_file is not null").select("trades_file", F.col("data.symbol").alias("symbol"), F.col("data.timeframe").alias("timeframe"))
+    return named.join(trade_table(found, keep=("n",)), list(KEY)).drop(*KEY)
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("n", F.row_number().over(W.partitionBy(*KEY).orderBy("trade")) - 1)
+
+
+#: Fields of a table of trades: text as it is, prices to 1e-8 of themselves, returns to 1e-6.
+_TEXTS, _PRICES, _RETURNS = ("side", "entry_time_utc", "exit_time_utc", "bars_held", "open_at_end"), ("entry_price", "exit_price"), ("gross_return", "net_return")
+
+
+def trade_tables_compared(runs: DataFrame, recorded: DataFrame, actual: DataFrame) -> DataFrame:
+    """(run_id, field, recorded, actual), as text, where a run's table of trades isn't what the run gives.
+
+    runs (run_id, trades_file) name their tables; recorded has the tables' lines by trades_file and n, as text or numbers, actual the trades by run_id
+    and n, typed. A table that isn't there and one of another length differ as a whole, others line by line; what is no number differs.
+    """
+    named = runs.where("trades_file is not null").select("run_id", "trades_file")
+    lengths = recorded.groupBy("trades_file").agg(F.count(F.lit(1)).alias("lines"))
+    sizes = actual.groupBy("run_id").agg(F.count(F.lit(1)).alias("trades"))
+    named = named.join(lengths, "trades_file", "left").join(sizes, "run_id", "left").withColumn("trades", F.coalesce("trades", F.lit(0)))
+    whole = named.where("lines is null or lines <> trades").select(
+        "run_id", F.when(F.col("lines").isNull(), "trades_file").otherwise("trades.rows").alias("field"),
+        F.when(F.col("lines").isNull(), F.col("trades_file")).otherwise(F.col("lines").cast("string")).alias("recorded"),
+        F.when(F.col("lines").isNull(), "missing").otherwise(F.col("trades").cast("string")).alias("actual"),
+    )
+    both = named.where("lines = trades").join(recorded.alias("r"), "trades_file").join(actual.alias("a"), ["run_id", "n"])
+    fields = []
+    for name in (*_TEXTS, *_PRICES, *_RETURNS):
+        was, now = F.col(f"r.{name}").cast("string"), F.col(f"a.{name}")
+        if name in _TEXTS:
+            wrong = F.coalesce(was, F.lit("")) != F.coalesce(now.cast("string"), F.lit(""))
+        else:
+            room = F.abs(now) * 1e-8 if name in _PRICES else F.lit(1e-6)
+            wrong = F.coalesce(F.abs(was.try_cast("double") - now) > room, F.lit(True))
+        fields.append(F.when(wrong, F.struct(F.concat(F.lit("trades["), F.col("n"), F.lit(f"].{name}")).alias("field"), was.alias("recorded"), now.cast("string").alias("actual"))))
+    lines = both.select("run_id", F.explode(F.array_compact(F.array(*fields))).alias("x")).select("run_id", "x.*")
+    return whole.unionByName(lines)
+
+
 def record_basket(bars: DataFrame, strategy: str, params: dict, timeframe: str, recorded_at: str, fee: float = 0.001, slippage: float = 0.0, note: str = "") -> DataFrame:
     """One record for the basket of all series, with the window of each leg."""
     stamp = "".join(c for c in recorded_at if c.isdigit())
@@ -147,8 +206,11 @@ def rebuilt(strategy: str, params: dict) -> dict | None:
         return None
 
 
-def verify_runs(runs: DataFrame, bars: DataFrame, verified_at: str, tol: float = 1e-9) -> DataFrame:
-    """(run_id, verified_at, status, bars, digest_recorded, digest_actual, mismatches) of every record, worked out anew from the bars of its own window.
+def verify_runs(runs: DataFrame, bars: DataFrame, verified_at: str, tol: float = 1e-9, tables: DataFrame | None = None) -> DataFrame:
+    """(run_id, verified_at, status, bars, digest_recorded, digest_actual, mismatches, trades_checked) of every record, worked out anew from the bars of its own window.
+
+    tables are the recorded tables of trades, as recorded_trades() gives them or as they are read from CSV. With them a run that names one is
+    held against it line by line, and a line that was changed, or a table that is missing, is a mismatch like a figure that differs.
 
     error: the bars aren't there any more; unknown-strategy: it can't be rebuilt; mismatch: a figure differs; data-changed: the figures
     are the same, the bars aren't; else verified. Runs of the same strategy, parameters and costs are one plan over all their series; the
@@ -172,7 +234,8 @@ def verify_runs(runs: DataFrame, bars: DataFrame, verified_at: str, tol: float =
     sets = keyed.groupBy("kind", "strategy", "given", "costs", F.when(F.col("kind") == "basket", F.col("run_id")).alias("basket"), *(["timeframe"] if single is not None else [])).count().limit(MOST_PLANS + 1).collect()
     if len(sets) > MOST_PLANS:
         raise ValueError(f"more than {MOST_PLANS} sets of parameters; verify the registry in parts")
-    parts, unknown = [], []
+    parts, unknown, done = [], [], []
+    given_tables = tables is not None and "trades_file" in runs.columns
     for x in sets:
         params, costs = rebuilt(x.strategy, json.loads(x.given or "{}")), json.loads(x.costs)
         rate = costs["fee_per_side"] + costs["slippage_per_side"]
@@ -185,18 +248,32 @@ def verify_runs(runs: DataFrame, bars: DataFrame, verified_at: str, tol: float =
             parts.append(frame.crossJoin(basket_metrics(mine.drop("run_id"), x.strategy, params, rate, timeframe)))
         else:
             mine = own.join(keyed.where(_same(x)).select(F.col("run_id").alias("__run")), F.split("symbol", "\0")[0] == F.col("__run"), "left_semi")
-            got = run_metrics(mine, x.strategy, params, rate, x.timeframe)
+            curve = run_curve(mine, x.strategy, params, rate)
+            got = _metrics_of(curve, rate, x.timeframe)
+            if given_tables:
+                found = _numbered(trades(curve)).withColumn("run_id", F.split("symbol", "\0")[0])
+                sides, moments = F.when(F.col("side") > 0, "long").otherwise("short"), {f"{c}_utc": iso(F.col(c)) for c in ("entry_time", "exit_time")}
+                done.append(found.withColumns({"side": sides, "open_at_end": F.when(F.col("open_at_end"), "yes").otherwise(""), **moments}).select("run_id", "n", *_TEXTS, *_PRICES, *_RETURNS))
             parts.append(got.select(F.split("symbol", "\0")[0].alias("run_id"), F.explode("metrics").alias("field", "value")))
     none = spark.createDataFrame([], "run_id string, field string, value double")
     actual = reduce(DataFrame.unionByName, parts, none)
     odd = reduce(DataFrame.unionByName, unknown, none.select("run_id")).withColumn("unknown", F.lit(True))
-    wrong = compared(flattened(runs), actual, tol).groupBy("run_id").agg(F.sort_array(F.collect_list(F.struct("field", "recorded", "actual"))).alias("mismatches"))
+    wrong = compared(flattened(runs), actual, tol).select("run_id", "field", *[F.col(c).cast("string").alias(c) for c in ("recorded", "actual")])
+    checked = F.lit(False)
+    if given_tables:
+        # only runs that could be worked out: those of bars that are gone or of an unknown strategy are errors of their own
+        known = runs.where("kind <> 'basket'").join(odd, "run_id", "left_anti").join(data.where("there").select("run_id"), "run_id", "left_semi")
+        empty = runs.select("run_id", F.lit(0).alias("n"), *[F.lit(None).cast("double" if c in (*_PRICES, *_RETURNS) else "string").alias(c) for c in (*_TEXTS, *_PRICES, *_RETURNS)]).where("false")
+        wrong = wrong.unionByName(trade_tables_compared(known, tables, reduce(DataFrame.unionByName, done, empty)))
+        rows_with = runs.where("trades_file is not null and kind <> 'basket'").select("run_id", F.lit(True).alias("named"))
+        data, checked = data.join(rows_with, "run_id", "left"), F.coalesce("named", F.lit(False))
+    wrong = wrong.groupBy("run_id").agg(F.sort_array(F.collect_list(F.struct("field", "recorded", "actual"))).alias("mismatches"))
     rows = data.join(odd, "run_id", "left").join(wrong, "run_id", "left")
     status = (
         F.when(~F.col("there"), "error").when(F.coalesce("unknown", F.lit(False)), "unknown-strategy").when(F.size(F.coalesce("mismatches", F.array())) > 0, "mismatch")
         .when(~F.col("same"), "data-changed").otherwise("verified")
     )
-    return rows.select("run_id", F.lit(verified_at).alias("verified_at"), status.alias("status"), F.coalesce("bars", F.lit(0)).alias("bars"), "digest_recorded", "digest_actual", F.when(status == "mismatch", F.col("mismatches")).alias("mismatches"))
+    return rows.select("run_id", F.lit(verified_at).alias("verified_at"), status.alias("status"), F.coalesce("bars", F.lit(0)).alias("bars"), "digest_recorded", "digest_actual", F.when(status == "mismatch", F.col("mismatches")).alias("mismatches"), (checked & status.isin("verified", "mismatch", "data-changed")).alias("trades_checked"))
 
 
 def _same(x) -> Column:
@@ -284,10 +361,15 @@ def trades_compared(recorded: DataFrame, actual: DataFrame) -> DataFrame:
 
 
 def claims_checked(claims: DataFrame, measured: DataFrame) -> DataFrame:
-    """(claim, value, measured, ok): claims (claim, value, tolerance, relative) against measured figures."""
+    """(claim, value, measured, ok, known): claims (claim, value, tolerance, relative) against measured figures.
+
+    A claim whose own `known` is true is a discrepancy that is on record: where it isn't ok, `known` says so, and nobody has to look.
+    """
     rows = claims.join(measured, "claim", "left")
     room = F.when(F.col("relative"), F.abs("value") * F.col("tolerance")).otherwise(F.col("tolerance"))
-    return rows.select("claim", "value", "measured", F.coalesce(F.abs(F.col("measured") - F.col("value")) <= room, F.lit(False)).alias("ok"))
+    ok = F.coalesce(F.abs(F.col("measured") - F.col("value")) <= room, F.lit(False))
+    known = F.coalesce("known", F.lit(False)) if "known" in claims.columns else F.lit(False)
+    return rows.select("claim", "value", "measured", ok.alias("ok"), (known & ~ok).alias("known"))
 
 
 def nested(metrics: DataFrame) -> DataFrame:

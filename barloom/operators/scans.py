@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.timegrid import DAY, TIMEFRAMES
 from barloom.sources.bars import KEY
+from barloom.sources.workspace import kept
 
 #: Bars of a slice at most.
 SLICE_BARS = 4096
@@ -62,7 +63,7 @@ def _across() -> W:
 
 def with_previous(bars: DataFrame, column: str, out: str, slice_bars: int = SLICE_BARS) -> DataFrame:
     """Adds the value that the bar before has; only the last bar of a slice is asked for across slices."""
-    rows = _with_slices(bars, slice_bars)
+    rows = kept(_with_slices(bars, slice_bars), "slices")
     ends = rows.groupBy(*KEY, "__slice").agg(F.max_by(column, "time").alias("__end"))
     ends = ends.select(*KEY, "__slice", F.lag("__end").over(_across()).alias("__before"))
     within = W.partitionBy(*KEY, "__slice").orderBy("time")
@@ -78,7 +79,7 @@ def smoothed(bars: DataFrame, steps: list[Smoothing], slice_bars: int = SLICE_BA
         if s.keep > 0:
             slice_bars = max(1, min(slice_bars, int(_STEEPEST / -math.log(s.keep))))
     values = list(dict.fromkeys(s.value for s in steps))
-    rows = _with_slices(bars, slice_bars)
+    rows = kept(_with_slices(bars, slice_bars), "slices")  # counted, mapped and joined: the bars themselves are worked out once
     counted = rows.groupBy(*KEY, "__slice").agg(*[F.count(_valid(v)).alias(f"__n{k}") for k, v in enumerate(values)])
     earlier = _across().rowsBetween(W.unboundedPreceding, -1)
     counted = counted.select(*KEY, "__slice", *[F.coalesce(F.sum(f"__n{k}").over(earlier), F.lit(0)).alias(f"__n{k}") for k in range(len(values))])

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from barloom.functions.timegrid import bars_per_year
+from barloom.functions.timegrid import DAY, TIMEFRAMES, bars_per_year
 from barloom.operators.costs import spreads
-from barloom.operators.indicators import changes
+from barloom.operators.curve import buy_and_hold, equity_curve, summary
+from barloom.operators.indicators import change, changes, decisions, held, step_of
 from barloom.sources.bars import KEY, ends
 
 
@@ -56,14 +57,47 @@ def index(bars: DataFrame, timeframe: str) -> DataFrame:
     return changes(bars, timeframe).join(sums, list(KEY))
 
 
-def stats(bars: DataFrame, timeframe: str, now: int, tail: int = 120, window: int = 720) -> DataFrame:
-    """A row a series: bars, ends, years, median absolute return of the last bars, spread, days since the last bar."""
+def calendar_momentum(bars: DataFrame, lookback: int, rebalance: int, least: int = 20) -> DataFrame:
+    """bars with the `target` of a momentum rule whose lookback and rebalance are seconds, in bars of each series' own timeframe, one at least.
+
+    All timeframes are one plan: their numbers of bars are a small table of constants. Series of fewer than lookback + least bars fall out.
+    """
+    bars_of = {t: [max(1, round(x / (seconds or 30 * DAY))) for x in (lookback, rebalance)] for t, seconds in TIMEFRAMES.items()}
+    numbers = F.create_map(*[x for t, (n, every) in bars_of.items() for x in (F.lit(t), F.array(F.lit(n), F.lit(every)))])
+    rows = bars.withColumn("__given", F.try_element_at(numbers, F.col("timeframe"))).where("__given is not null")
+    rows = rows.withColumn("__bars", F.count(F.lit(1)).over(W.partitionBy(*KEY))).where(F.col("__bars") >= F.col("__given")[0] + least)
+    move = F.lit(None).cast("double")
+    for n in sorted({n for n, _ in bars_of.values()}):
+        move = F.when(F.col("__given")[0] == n, change(n)).otherwise(move)
+    rows = step_of(rows).withColumn("__score", move)
+    rows = decisions(rows, F.col("__given")[1], F.col("__score").isNotNull())
+    side = F.when(F.col("__score") > 0, 1.0).when(F.col("__score").isNotNull(), 0.0)
+    rows = rows.withColumn("__side", side)
+    return rows.withColumn("target", F.coalesce(held(F.col("__side"), F.col("decide")), F.lit(0.0))).select(*bars.columns, "target")
+
+
+def archive_screen(bars: DataFrame, lookback: int = 30 * DAY, rebalance: int = 7 * DAY, rate: float = 0.001) -> DataFrame:
+    """One momentum rule in calendar time on every series of every timeframe: a row a timeframe, as screened() gives it."""
+    curve = equity_curve(buy_and_hold(calendar_momentum(bars, lookback, rebalance), rate), rate)
+    hold = curve.groupBy(*KEY).agg((F.max_by("hold", "time") - 1).alias("hold_return"))
+    return screened(summary(curve).select(*KEY, (F.col("final_equity") - 1).alias("total_return")).join(hold, list(KEY)))
+
+
+def stats(bars: DataFrame, timeframe: str, now: int, tail: int = 120, window: int = 720, fine: str = "1h") -> DataFrame:
+    """A row a series of the timeframe: bars, ends, years, median absolute return of the last bars, spread, days since the last bar.
+
+    bars may hold other timeframes too: a symbol's spread is that of its series in `fine`, which such estimates are made for, where there is one.
+    """
+    finest = spreads(bars.where(F.col("timeframe") == fine), window).select("symbol", F.col("spread").alias("fine_spread"), F.lit(fine).alias("fine"))
+    bars = bars.where(F.col("timeframe") == timeframe)
     order = W.partitionBy(*KEY).orderBy("time")
     move = F.abs(F.col("close") / F.lag("close").over(order) - 1)
     recent = ends(bars.withColumn("__m", move), tail, newest=True).groupBy(*KEY).agg(F.median("__m").alias("median_move"))
     sums = bars.groupBy(*KEY).agg(F.count(F.lit(1)).alias("bars"), F.min("time").alias("first_time"), F.max("time").alias("last_time"))
     sums = sums.withColumn("years", F.col("bars") / bars_per_year(timeframe)).withColumn("stale_days", (F.lit(now) - F.col("last_time")) / 86_400)
-    return sums.join(recent, list(KEY)).join(spreads(bars, window), list(KEY), "left")
+    rows = sums.join(recent, list(KEY)).join(spreads(bars, window), list(KEY), "left").join(finest, "symbol", "left")
+    spread = F.when(F.col("fine").isNotNull(), F.col("fine_spread")).otherwise(F.col("spread"))
+    return rows.withColumns({"spread": spread, "spread_source": F.coalesce("fine", F.lit(timeframe))}).drop("fine", "fine_spread")
 
 
 def rolling_choice(curves: DataFrame, years: int = 2) -> DataFrame:

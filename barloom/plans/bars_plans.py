@@ -10,6 +10,7 @@ from barloom.operators import selection as SEL
 from barloom.plans.base import W, on_bars, on_tables, r6
 from barloom.sources import bars as B
 from barloom.sources.derived import DIRTY_SQL, EVENT_SQL, dirty, ticks
+from barloom.sources.workspace import new_folder
 
 COLS = "symbol, timeframe, time, open, high, low, close, volume, round(turnover, 6) AS turnover"
 
@@ -58,11 +59,43 @@ merged AS (SELECT coalesce(f.symbol, o.symbol) AS symbol, coalesce(f.timeframe,
            FROM old o FULL JOIN fresh f ON o.symbol = f.symbol AND o.timeframe = f.timeframe AND o.time = f.time)"""
 on_bars("sc8_merge", "types", lambda b: _merged(b).select("symbol", "timeframe", "time", "close", "origin"), f"{MERGE_SQL} SELECT symbol, timeframe, time, close, origin FROM merged")
 on_bars(
-    "ag25_ingest_report", "types", lambda b: B.merge_stats(_merged(b)),
+    "ag25_merge_stats", "types", lambda b: B.merge_stats(_merged(b)),
     f"""{MERGE_SQL} SELECT symbol, timeframe, CAST(sum(CASE WHEN origin <> 'added' THEN 1 ELSE 0 END) AS BIGINT) AS before, count(*) AS after,
     CAST(sum(CASE WHEN origin = 'added' THEN 1 ELSE 0 END) AS BIGINT) AS added, CAST(sum(CASE WHEN origin = 'refreshed' THEN 1 ELSE 0 END) AS BIGINT) AS refreshed,
     max(origin IN ('added', 'refreshed')) AS changed, min(time) AS first_time, max(time) AS last_time FROM merged GROUP BY ALL""",
 )
+
+
+def _ingested(b, dry_run):
+    """An archive by years with holes, into which a load puts new bars, changed ones, equal ones and rows that are none."""
+    path = new_folder(b.sparkSession, "archive")
+    B.write_bars(b.where("time div 604800 % 7 <> 0 and time between 740000000 and 860000000"), path, {"1w": "year"})
+    week = F.expr("time div 604800")
+    fresh = b.where((week % 3 != 0) & ((F.col("time") > 800_000_000) | (F.col("time") < 720_000_000)))
+    fresh = fresh.withColumn("close", F.when(week % 5 == 0, F.col("close") + 1).otherwise(F.col("close"))).withColumns({"ok": week % 11 != 4, "seq": week})
+    return B.ingest(b.sparkSession, path, fresh, "seq", dry_run, {"1w": "year"}).withColumnRenamed("symbol", "series").drop("timeframe")
+
+
+LOAD_SQL = """old AS (SELECT * FROM bars WHERE time // 604800 % 7 <> 0 AND time BETWEEN 740000000 AND 860000000),
+raw AS (SELECT * EXCLUDE (close), CASE WHEN time // 604800 % 5 = 0 THEN close + 1 ELSE close END AS close, time // 604800 % 11 <> 4 AS ok FROM bars WHERE time // 604800 % 3 <> 0 AND (time > 800000000 OR time < 720000000)),
+cnt AS (SELECT symbol, count(*) AS fetched, count(*) FILTER (NOT ok) AS rejected, count(*) FILTER (ok AND (high < greatest(open, close, low) OR low > least(open, close, high))) AS invalid FROM raw GROUP BY symbol),
+fresh AS (SELECT * FROM raw WHERE ok)"""
+TOTAL_SQL = """SELECT symbol AS series, fetched, rejected, invalid, added, refreshed, net, files_changed, files_unchanged, first_time, last_time FROM rep UNION ALL
+SELECT NULL, CAST(sum(fetched) AS BIGINT), CAST(sum(rejected) AS BIGINT), CAST(sum(invalid) AS BIGINT), CAST(sum(added) AS BIGINT), CAST(sum(refreshed) AS BIGINT), CAST(sum(net) AS BIGINT), CAST(sum(files_changed) AS BIGINT), CAST(sum(files_unchanged) AS BIGINT), min(first_time), max(last_time) FROM rep"""
+on_bars(
+    "ag25_ingest_report", "types", lambda b: _ingested(b, False),
+    f"""{LOAD_SQL}, m AS (SELECT coalesce(f.symbol, o.symbol) AS symbol, coalesce(f.time, o.time) AS time, strftime(to_timestamp(coalesce(f.time, o.time)), '%Y') AS year, f.symbol IS NOT NULL AS came,
+        f.symbol IS NOT NULL AND o.symbol IS NULL AS added, f.symbol IS NOT NULL AND o.symbol IS NOT NULL AND f.close <> o.close AS refreshed FROM old o FULL JOIN fresh f ON o.symbol = f.symbol AND o.time = f.time),
+    per AS (SELECT symbol, year, bool_or(came) AS came, count(*) FILTER (added) AS added, count(*) FILTER (refreshed) AS refreshed, min(time) AS lo, max(time) AS hi FROM m GROUP BY symbol, year),
+    rep AS (SELECT p.symbol, any_value(fetched) AS fetched, any_value(rejected) AS rejected, any_value(invalid) AS invalid, CAST(sum(added) AS BIGINT) AS added, CAST(sum(refreshed) AS BIGINT) AS refreshed, CAST(sum(added) AS BIGINT) AS net,
+        count(*) FILTER (came AND added + refreshed > 0) AS files_changed, count(*) FILTER (came AND added + refreshed = 0) AS files_unchanged, min(lo) AS first_time, max(hi) AS last_time FROM per p JOIN cnt c ON p.symbol = c.symbol GROUP BY p.symbol) {TOTAL_SQL}""",
+)
+on_bars(
+    "ag25_dry_run", "types", lambda b: _ingested(b, True),
+    f"""{LOAD_SQL}, e AS (SELECT symbol, min(time) AS lo, max(time) AS hi FROM old GROUP BY symbol),
+    rep AS (SELECT f.symbol, any_value(fetched) AS fetched, any_value(rejected) AS rejected, any_value(invalid) AS invalid, count(DISTINCT time) FILTER (time < lo OR time > hi) AS added, 0::BIGINT AS refreshed,
+        count(DISTINCT time) FILTER (time < lo OR time > hi) AS net, 0::BIGINT AS files_changed, 0::BIGINT AS files_unchanged, min(lo) AS first_time, max(hi) AS last_time FROM fresh f JOIN e ON f.symbol = e.symbol JOIN cnt c ON f.symbol = c.symbol GROUP BY f.symbol) {TOTAL_SQL}""",
+)
 on_bars(
     "sc8_changed_periods", "types", lambda b: B.changed_periods(_merged(b.where("time < 850000000 or time div 604800 % 7 = 1")), "year").groupBy("period").agg(F.count(F.lit(1)).alias("n")),
     """b2 AS (SELECT * FROM bars WHERE time < 850000000 OR time // 604800 % 7 = 1), """ + MERGE_SQL.replace("FROM bars", "FROM b2") + """,
@@ -194,10 +227,28 @@ on_bars(
     y AS (SELECT *, unnest(range(CAST(a AS BIGINT), CAST(b AS BIGINT), 30240000)) AS from_time FROM x WHERE a < b)
     SELECT symbol, timeframe, side, from_time, least(from_time + 30240000, b) AS to_time FROM y""",
 )
+on_bars(
+    "ag7_fetch_months", "daily", lambda b: quality.fetch_plan(B.coarser(b, "1mon"), "1mon", 600_000_000, 1_000_000_000, 7),
+    """e AS (SELECT symbol, min(date_trunc('month', to_timestamp(time))) AS lo, max(date_trunc('month', to_timestamp(time))) AS hi FROM bars GROUP BY symbol),
+    s AS (SELECT symbol, 'head' AS side, date_trunc('month', to_timestamp(600000000)) AS a, lo AS b FROM e UNION ALL SELECT symbol, 'tail', hi + INTERVAL 1 MONTH, date_trunc('month', to_timestamp(1000000000)) FROM e),
+    w AS (SELECT symbol, side, b, unnest(generate_series(a, b - INTERVAL 1 MONTH, INTERVAL 7 MONTH)) AS f FROM s WHERE a < b)
+    SELECT symbol, '1mon' AS timeframe, side, CAST(epoch(f) AS BIGINT) AS from_time, CAST(epoch(least(f + INTERVAL 7 MONTH, b)) AS BIGINT) AS to_time FROM w""",
+)
+
+
+def floors(b):
+    """What is on record of each series: a floor, older or younger than its bars, the start of a bounded load, and whether one went all the way."""
+    first = b.groupBy("symbol", "timeframe").agg(F.min("time").alias("f")).where("symbol <> 'PROMO'")
+    start = F.when(F.col("symbol") == "LARGE", F.col("f") - 500).when(F.col("symbol") == "MEDIUM", F.col("f") - 5000).when(F.col("symbol") == "SMALL", F.col("f") + 700)
+    record = F.col("f") + F.when(F.length("symbol") % 2 == 0, -1000).otherwise(1000)
+    return first.select("symbol", "timeframe", record.alias("floor"), start.alias("start"), (F.col("symbol") == "ECONOMY").alias("full"))
+
+
 on_bars(
     "ag26_history_floor", "types",
-    lambda b: quality.history_floor(b.groupBy("symbol", "timeframe").agg((F.min("time") + F.when(F.length("symbol") % 2 == 0, -1000).otherwise(1000)).alias("floor")).where("symbol <> 'PROMO'"), b),
-    "SELECT symbol, timeframe, CASE WHEN symbol <> 'PROMO' AND length(symbol) % 2 = 0 THEN min(time) - 1000 ELSE min(time) END AS floor FROM bars GROUP BY symbol, timeframe",
+    lambda b: quality.history_floor(floors(b), b),
+    """m AS (SELECT symbol, timeframe, min(time) AS f FROM bars GROUP BY ALL), r AS (SELECT *, f + CASE WHEN length(symbol) % 2 = 0 THEN -1000 ELSE 1000 END AS record, CASE symbol WHEN 'LARGE' THEN f - 500 WHEN 'MEDIUM' THEN f - 5000 WHEN 'SMALL' THEN f + 700 END AS start, symbol = 'ECONOMY' AS "full" FROM m)
+    SELECT symbol, timeframe, CASE WHEN symbol = 'PROMO' OR "full" THEN f ELSE coalesce(least(CASE WHEN record <= f THEN record END, CASE WHEN start <= f THEN start END), f) END AS floor FROM r""",
 )
 on_bars(
     "wn17_gaps", "daily", lambda b: quality.gaps(b, "1d"),

@@ -12,9 +12,11 @@ from barloom.operators import crosssection as X
 from barloom.operators import curve as C
 
 from barloom.operators import joins as J
+from barloom.operators.quality import coverage, merged_intervals
 from barloom.operators.signals import masked, signal
 from barloom.plans.base import FIXTURES, W, on_bars, on_tables, r6, rounded
-from barloom.plans.rules_plans import CURVE, RULES, SMA20
+from barloom.plans.rules_plans import CURVE, RULES, SMA20, TRADES
+from barloom.sources.bars import KEY
 from barloom.sources.derived import table
 
 WEEK = 604_800
@@ -259,12 +261,30 @@ on_bars(
     f"{LEGS}, mv AS (SELECT time, symbol, position - coalesce(lag(position) OVER w, 0) AS mv FROM legs {W}) SELECT time, round(sum(mv), 6) AS changed, string_agg(symbol, ',' ORDER BY symbol) AS names FROM mv WHERE abs(mv) >= 1e-12 GROUP BY time",
 )
 on_bars("se1_shared_times", "flags", lambda b: J.shared_times(b), "SELECT time FROM bars GROUP BY time HAVING count(DISTINCT symbol) = (SELECT count(DISTINCT symbol) FROM bars)")
-on_bars("se2_union", "types", lambda b: b.where("time < 820000000").select("symbol", "time").union(b.where("time > 810000000").select("symbol", "time")).distinct(), "SELECT symbol, time FROM bars WHERE time < 820000000 UNION SELECT symbol, time FROM bars WHERE time > 810000000")
+def covered(b):
+    """What two archives hold of each series: one by years with years left out, one by spans of other lengths."""
+    by_year = coverage(b.where("year(timestamp_seconds(time)) % 3 <> 0"), F.year(F.timestamp_seconds("time")), "part")
+    by_span = coverage(b.where("time div 40000000 % 3 = 0"), F.expr("time div 40000000"), "part")
+    return merged_intervals(by_year.select(*KEY, "first_time", "last_time").unionByName(by_span.select(*KEY, "first_time", "last_time")), WEEK)
+
+
+on_bars(
+    "se2_union", "types", covered,
+    """iv AS (SELECT symbol, timeframe, min(time) AS a, max(time) AS z FROM bars WHERE year(to_timestamp(time)) % 3 <> 0 GROUP BY symbol, timeframe, year(to_timestamp(time))
+           UNION ALL SELECT symbol, timeframe, min(time), max(time) FROM bars WHERE time // 40000000 % 3 = 0 GROUP BY symbol, timeframe, time // 40000000),
+    k AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY a, z) AS n FROM iv), r AS (SELECT symbol, timeframe, n, a, z, 0 AS island FROM k WHERE n = 1
+          UNION ALL SELECT k.symbol, k.timeframe, k.n, k.a, greatest(k.z, CASE WHEN k.a <= r.z + 604800 THEN r.z ELSE k.z END), CASE WHEN k.a <= r.z + 604800 THEN island ELSE island + 1 END FROM r JOIN k ON k.symbol = r.symbol AND k.n = r.n + 1)
+    SELECT symbol, timeframe, min(a) AS first_time, max(z) AS last_time, count(*) AS parts FROM r GROUP BY symbol, timeframe, island""",
+)
 on_bars("se3_difference", "types", lambda b: b.select("symbol", "time").exceptAll(b.where("time > 810000000").select("symbol", "time")), "SELECT symbol, time FROM bars EXCEPT ALL SELECT symbol, time FROM bars WHERE time > 810000000")
 on_bars("se4_dedup", "daily", lambda b: b.select("symbol", F.expr("time div 2592000").alias("month")).dropDuplicates(), "SELECT DISTINCT symbol, time // 2592000 AS month FROM bars")
 on_bars("sl1_sorted", "brands", lambda b: b.groupBy("symbol").agg(F.median("turnover").alias("turnover")).orderBy(F.col("turnover").desc(), "symbol").select("symbol", r6("turnover", "turnover")), "SELECT symbol, round(median(turnover), 6) AS turnover FROM bars GROUP BY symbol")
 on_bars("sl2_top_per_week", "brands", lambda b: b.withColumn("place", F.expr("row_number() over (partition by time order by turnover desc, symbol)")).where("place <= 3").select("time", "symbol", "place"), "SELECT time, symbol, CAST(place AS INT) AS place FROM (SELECT *, row_number() OVER (PARTITION BY time ORDER BY turnover DESC, symbol) AS place FROM bars) WHERE place <= 3")
-on_bars("sl4_last_trades", "types", lambda b: b.orderBy(F.col("time").desc(), "symbol").limit(10).select("symbol", "time"), "SELECT symbol, time FROM bars ORDER BY time DESC, symbol LIMIT 10")
+on_bars(
+    "sl4_last_trades", "types",
+    lambda b: rounded(C.trades(C.equity_curve(signal(b, "sma", window=20), 0.001)).where("not open_at_end").orderBy(F.col("exit_time").desc(), "symbol").limit(10).select("symbol", "side", "entry_time", "exit_time", "net_return")),
+    f"{RULES['sg1_sma'][2]}, {CURVE}{TRADES} SELECT symbol, side, entry_time, exit_time, round(net_return, 6) AS net_return FROM trades WHERE NOT open_at_end ORDER BY exit_time DESC, symbol LIMIT 10",
+)
 
 
 def borrow(spark, sf):

@@ -20,7 +20,7 @@ from barloom.plans.books_plans import CENSUS_SQL, LEGS, LINE, PANEL, TOP, basket
 from barloom.plans.rules_plans import CURVE, HOLD, LAST, PERF, PLACED, RATE, RULES, TRADES, ema_sql, on_curve, reversion_sql
 from barloom.plans.studies_plans import AUDIT, CANDS, GRID, PICKS, SCORES, SPLITS, UNI, UNIT, drained, searched, unit
 from barloom.sources import bars as B
-from barloom.sources.derived import dirty, table
+from barloom.sources.derived import EVENT_SQL, dirty, table, ticks
 from barloom.sources.workspace import new_folder
 from barloom.streaming import streams as ST
 
@@ -157,3 +157,66 @@ on_tables(
     "st6_stream_reversion", lambda spark, sf: carried(spark, sf, ST.stream_reversion, ("rsi", "target")),
     f"WITH RECURSIVE {FIXTURES['ticks'][1]}, {reversion_sql(False)} SELECT symbol, time, round(level, 6) AS rsi, target FROM sig",
 )
+
+
+#: The middle of a slot in the middle of all ticks, and what the streams below do around it.
+MIDDLE_SQL = "mid AS (SELECT (min(time) + max(time)) // 2 // 21600 * 21600 + 10800 AS mid, max(epoch(ts)) AS most FROM ticks)"
+
+
+def _middle(rows):
+    low, high = rows.agg(F.min("time"), F.max("time")).first()
+    return (low + high) // 2 // 21_600 * 21_600 + 10_800
+
+
+def corrections(spark, sf):
+    """Ticks in four files: up to a day before the middle of a slot, up to that middle, corrections of ticks of that slot and of much older ones, and the rest."""
+    path, rows = new_folder(spark, "corrections"), ticks(spark, sf).select("symbol", F.col("ts").cast("timestamp").alias("ts"), F.col("ts").cast("long").alias("time"), "event_id", "price").withColumn("version", F.lit(1))
+    middle = _middle(rows)
+    early, late = rows.where(F.col("time") < middle), rows.where(F.col("time") >= middle)
+    changed = early.where((F.col("time") >= middle - 10_800) | (F.col("time") < middle - 2 * 86_400) & (F.col("event_id") % 50 == 0))
+    day_before = F.col("time") < middle - 86_400
+    for part in (early.where(day_before), early.where(~day_before), changed.withColumns({"price": F.col("price") * 2, "version": F.lit(2)}), late):
+        part.coalesce(1).write.mode("append").parquet(f"{path}/ticks")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/ticks")
+    bars = ST.corrected_bars(stream, ["symbol", "event_id"], "version", "6h", "1 hour", order=("ts", "event_id"))
+    query = bars.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
+    found = spark.read.schema(bars.schema).parquet(f"{path}/out").drop("timeframe")
+    return rounded(found.withColumn("late", F.lit(ST.late_rows(query)).cast("long")))
+
+
+on_tables(
+    "st5_corrected", corrections,
+    f"""WITH {EVENT_SQL}, {MIDDLE_SQL}, c AS (SELECT symbol, ts, time, event_id, price * CASE WHEN time < mid AND time >= mid - 10800 THEN 2 ELSE 1 END AS price FROM ticks, mid),
+    late AS (SELECT count(*) AS late FROM ticks, mid WHERE time < mid - 172800 AND event_id % 50 = 0),
+    r AS (SELECT symbol, time // 21600 * 21600 AS time, arg_min(price, (ts, event_id)) AS open, max(price) AS high, min(price) AS low, arg_max(price, (ts, event_id)) AS close, CAST(count(*) AS DOUBLE) AS volume, sum(price) AS turnover FROM c GROUP BY symbol, time // 21600 * 21600)
+    SELECT symbol, time, round(open, 6) AS open, round(high, 6) AS high, round(low, 6) AS low, round(close, 6) AS close, volume, round(turnover, 6) AS turnover, late FROM r, mid, late WHERE time + 21600 <= most - 3600""",
+)
+
+
+def watched(spark, sf):
+    """Bars in two files that overlap by two slots, with holes, one of them where the files meet; one symbol falls silent."""
+    path, bars, key = new_folder(spark, "watch"), FIXTURES["ticks"][0](spark, sf), "spark.sql.streaming.stateStore.providerClass"
+    middle = _middle(bars) - 10_800
+    least = bars.agg(F.min("symbol")).first()[0]
+    bars = bars.where(F.expr("time div 21600 % 7 <> 3") & ((F.col("symbol") != least) | (F.col("time") < middle + 86_400)))
+    holes = (F.col("time") >= middle) & (F.col("time") < middle + 3 * 21_600)
+    for part in (bars.where(F.col("time") < middle), bars.where((F.col("time") >= middle - 2 * 21_600) & ~holes)):
+        part.coalesce(1).write.mode("append").parquet(f"{path}/bars")
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        found = drained(spark, ST.stream_quality(spark.readStream.schema(bars.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/bars"), "6h", "1 day", 3 * 86_400), "watch")
+    finally:
+        spark.conf.set(key, before)
+    return found.groupBy("symbol").agg(F.max("last_time").alias("last_time"), *[F.sum(c).alias(c) for c in ("rows", "invalid", "misaligned", "repeats", "gaps", "missing", "silent")])
+
+
+on_tables(
+    "st8_watch", watched,
+    f"""WITH {EVENT_SQL}, mid AS (SELECT ((min(time) + max(time)) // 2 // 21600 * 21600 + 10800) - 10800 AS mid FROM bars),
+    k AS (SELECT b.*, mid, time < mid AND time >= mid - 43200 AS twice FROM bars b, mid WHERE time // 21600 % 7 <> 3 AND (symbol <> (SELECT min(symbol) FROM bars) OR time < mid + 86400) AND NOT (time >= mid AND time < mid + 64800)),
+    g AS (SELECT *, (time - lag(time) OVER (PARTITION BY symbol ORDER BY time)) // 21600 - 1 AS hole FROM k)
+    SELECT symbol, max(time) AS last_time, CAST(count(*) + count(*) FILTER (twice) AS BIGINT) AS rows, 0::BIGINT AS invalid, 0::BIGINT AS misaligned, count(*) FILTER (twice) AS repeats, count(*) FILTER (hole > 0) AS gaps,
+    CAST(coalesce(sum(hole) FILTER (hole > 0), 0) AS BIGINT) AS missing, CASE WHEN symbol = (SELECT min(symbol) FROM bars) THEN 1 ELSE 0 END::BIGINT AS silent FROM g GROUP BY symbol""",
+)

@@ -8,6 +8,7 @@ from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
 from barloom.functions import scalars
+from barloom.functions.timegrid import DAY
 from barloom.operators import curve as C
 from barloom.operators import indicators as I
 from barloom.operators import joins as J
@@ -19,10 +20,10 @@ from barloom.operators.performance import performance
 from barloom.operators.signals import signal
 from barloom.plans.base import FIXTURES, W, on_bars, on_tables, r6, rounded
 from barloom.plans.books_plans import ALIGNED, CS, LEGS, WEEK, calendar, sparse
-from barloom.plans.rules_plans import CURVE, LAST, PERF, RULES, TRADES, WEEKS, plain_sql, sma_sql
+from barloom.plans.rules_plans import CURVE, LAST, PERF, RULES, TRADES, WEEKS, grid_sql, plain_sql, sma_sql
 from barloom.sources import bars as B
-from barloom.sources.derived import EVENT_SQL, table, ticks, trade_sql
-from barloom.sources.workspace import new_folder
+from barloom.sources.derived import EVENT_SQL, table, ticks, trade_bars, trade_sql
+from barloom.sources.workspace import kept, new_folder
 from barloom.streaming import streams as ST
 
 RATE, TOP, LOOK, EVERY, OLD, VOL = 0.001, 5, 8, 4, 10, 20
@@ -53,8 +54,11 @@ on_bars("wn19_trailing_vol", "brands", lambda b: R.trailing_vol(rows_of(b), VOL,
 
 
 def weights_of(b, scheme, gate=False):
-    """Weights among the universe, or among those of it whose price is above that of 8 bars before."""
-    rows = R.trend_ok(rows_of(b), 8) if gate else rows_of(b)
+    return weights_on(R.trend_ok(rows_of(b), 8) if gate else rows_of(b), scheme, gate)
+
+
+def weights_on(rows, scheme, gate=False):
+    """Weights among the universe of aligned rows, or among those of it whose price is above that of 8 bars before."""
     rows = rows if scheme == "equal" else R.trailing_vol(rows, VOL, PER_YEAR)
     chosen = R.universe(rows, TOP, LOOK, EVERY, OLD, tuple(c for c in ("vol", "up") if c in rows.columns))
     return R.weighted(chosen.where("up") if gate else chosen, scheme)
@@ -81,8 +85,9 @@ on_bars("rp5_trend_ok", "brands", lambda b: R.trend_ok(rows_of(b), 8).select("sy
 
 
 def held_of(b, scheme="equal", gate=False):
-    rows = R.trend_ok(rows_of(b), 8) if gate else rows_of(b)
-    return R.positions(rows, weights_of(b, scheme, gate).select("symbol", "idx", "weight"), EVERY, gate)
+    """Positions, worked out once: the aligned rows and the positions are each read by several branches of what follows."""
+    rows = kept(R.trend_ok(rows_of(b), 8) if gate else rows_of(b), "aligned")
+    return kept(R.positions(rows, weights_on(rows, scheme, gate).select("symbol", "idx", "weight"), EVERY, gate), "positions")
 
 
 def unit(b, scheme="equal", gate=False):
@@ -120,7 +125,7 @@ STEPS = "st AS (SELECT symbol, idx, coalesce(price / lag(price) OVER (PARTITION
 on_bars("rp6_gated_book", "brands", lambda b: rounded(unit(b, "equal", True).drop("cost").withColumn("equity", F.ln("equity"))), f"{UNI}, {STEPS}, {GATED} SELECT idx, fill, round(growth, 6) AS growth, round(turnover, 6) AS turnover, round(invested, 6) AS invested, round(ln(equity), 6) AS equity FROM book")
 on_bars("rp7_budget_scaled", "brands", lambda b: rounded(R.budget_scaled(R.book_bars(held_of(b, "inverse")).withColumn("book_id", F.lit(0)), 0.3, 12, PER_YEAR, RATE).drop("book_id")))
 on_bars("rp10_single_hold", "brands", lambda b: rounded(R.single_hold(rows_of(b), "Brand#23", RATE)), f"{AL} SELECT idx, round(coalesce(last_value(price IGNORE NULLS) OVER x / first_value(price IGNORE NULLS) OVER x * (1 - {RATE}), 1), 6) AS hold FROM aligned WHERE symbol = 'Brand#23' WINDOW x AS (ORDER BY idx)")
-on_bars("rp11_shares", "brands", lambda b: rounded(R.shares(unit(b))), f"{UNI}, {UNIT} SELECT round(avg(invested), 6) AS invested, round(avg(CASE WHEN invested <= 0 THEN 1.0 ELSE 0.0 END), 6) AS flat, round(avg(turnover), 6) AS turnover FROM book")
+on_bars("rp11_shares", "brands", lambda b: rounded(R.shares(unit(b))), f"{UNI}, {UNIT} SELECT round(avg(invested), 6) AS invested, round(avg(CASE WHEN invested <= 0 THEN 1.0 ELSE 0.0 END), 6) AS flat, round(avg(turnover), 6) AS turnover, round(avg(1 - greatest(1 - turnover * {RATE}, 0)), 6) AS cost FROM book")
 on_bars(
     "rp12_restricted", "brands", lambda b: rounded(R.restricted(unit(b), 100, 200, R.single_hold(rows_of(b), "Brand#23", RATE), RATE)),
     f"""{UNI}, {UNIT}, hd AS (SELECT idx, price / first_value(price IGNORE NULLS) OVER (ORDER BY idx) AS hold FROM aligned WHERE symbol = 'Brand#23'), co AS (SELECT *, coalesce(lag(equity) OVER (ORDER BY idx), 1) * growth - equity AS cost FROM book)
@@ -292,12 +297,38 @@ on_bars(
 )
 
 
+def trades_checked(b):
+    """Runs with tables of trades, one of which has been changed in a line, one has lost a line, and one is gone."""
+    runs = stored_runs(b.sparkSession, G.record_runs(b, "sma", {"window": 20}, "1w", MOMENTS[0], trades_file="{run_id}.csv", **COSTS))
+    path = new_folder(b.sparkSession, "tables")
+    B.write_table(G.recorded_trades(runs, b, "sma", {"window": 20}, sum(COSTS.values())), path)
+    tables = b.sparkSession.read.option("header", True).csv(path)
+    last = Win.partitionBy("trades_file")
+    tables = tables.withColumn("most", F.max(F.col("n").cast("int")).over(last))
+    tables = tables.where("trades_file not like '%LARGE%' and not (trades_file like '%MEDIUM%' and n = most)")
+    tables = tables.withColumn("exit_price", F.when(F.col("trades_file").contains("SMALL") & (F.col("n") == 1), F.col("exit_price") * 1.001).otherwise(F.col("exit_price").cast("double")))
+    found = G.verify_runs(runs, b, "2026-03-04T05:06:07Z", tables=tables)
+    return found.select(F.col("run_id"), "status", "trades_checked", F.coalesce(F.array_join(F.col("mismatches.field"), ","), F.lit("")).alias("fields"))
+
+
+on_bars(
+    "rg5_trade_tables", "types", trades_checked,
+    """s AS (SELECT DISTINCT symbol FROM bars) SELECT '20260102030405-sma-' || symbol || '-1w' AS run_id, CASE WHEN symbol IN ('LARGE', 'MEDIUM', 'SMALL') THEN 'mismatch' ELSE 'verified' END AS status, true AS trades_checked,
+    CASE symbol WHEN 'LARGE' THEN 'trades_file' WHEN 'MEDIUM' THEN 'trades.rows' WHEN 'SMALL' THEN 'trades[1].exit_price' ELSE '' END AS fields FROM s""",
+)
+
+
 def claims(b):
     measured = b.groupBy(F.col("symbol").alias("claim")).agg(F.count(F.lit(1)).cast("double").alias("measured"))
-    return G.claims_checked(b.select(F.col("symbol").alias("claim")).distinct().select("claim", F.lit(356.0).alias("value"), F.lit(0.005).alias("tolerance"), (F.length("claim") % 2 == 0).alias("relative")), measured)
+    said = b.select(F.col("symbol").alias("claim")).distinct().select("claim", F.lit(356.0).alias("value"), F.lit(0.005).alias("tolerance"), (F.length("claim") % 2 == 0).alias("relative"), F.col("claim").isin("SMALL", "LARGE").alias("known"))
+    return G.claims_checked(said, measured)
 
 
-on_bars("rg7_claims", "types", claims, "SELECT symbol AS claim, 356.0::DOUBLE AS value, count(*)::DOUBLE AS measured, abs(count(*) - 356.0) <= CASE WHEN length(symbol) % 2 = 0 THEN 356 * 0.005 ELSE 0.005 END AS ok FROM bars GROUP BY symbol")
+on_bars(
+    "rg7_claims", "types", claims,
+    """c AS (SELECT symbol AS claim, 356.0::DOUBLE AS value, count(*)::DOUBLE AS measured, abs(count(*) - 356.0) <= CASE WHEN length(symbol) % 2 = 0 THEN 356 * 0.005 ELSE 0.005 END AS ok FROM bars GROUP BY symbol)
+    SELECT *, NOT ok AND claim IN ('SMALL', 'LARGE') AS known FROM c""",
+)
 on_bars(
     "rg9_nested", "types", lambda b: rounded(G.basket_metrics(sparse(b), "sma", {"window": 20}, RATE, "1w").where("field like 'legs.%' and field not like '%.sharpe' or field in ('fees_paid', 'return.final_equity')")),
     f"""{LEGS}, f AS (SELECT symbol, arg_max(leg, time) AS fin, avg(abs(position)) AS exposure, sum(fee) AS fees FROM legs GROUP BY symbol), c AS (SELECT *, (fin - 1) / count(*) OVER () AS contribution FROM f)
@@ -318,8 +349,26 @@ def results(b):
 
 
 RES = f"{RULES['sg7_tsmom'][2]}, {CURVE}{LAST}, hd AS (SELECT symbol, arg_max(close, time) / max(o2) - 1 AS hold_return FROM (SELECT *, nth_value(open, 2) OVER (PARTITION BY symbol ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS o2 FROM bars) GROUP BY symbol), res AS (SELECT z.symbol, z.timeframe, e * (1 + p * (c / o - 1)) - 1 AS total_return, hold_return FROM z JOIN hd ON z.symbol = hd.symbol)"
+def all_timeframes(spark, sf):
+    """6-hour bars of ticks, daily bars of one column and weekly bars of another."""
+    return FIXTURES["ticks"][0](spark, sf).unionByName(trade_bars(spark, sf, "l_returnflag", "1d")).unionByName(FIXTURES["brands"][0](spark, sf))
+
+
+def screen_sql(bars_sql, n, every):
+    """(timeframe, total_return, hold_return) of the momentum rule over n bars, decided each `every` bars."""
+    move = f"close / lag(close, {n}) OVER w - 1"
+    score = f"CASE WHEN {move} > 0 THEN 1.0 WHEN {move} <= 0 THEN 0.0 END"
+    tail = RES[RES.index(", hd AS"):]
+    return f"SELECT timeframe, total_return, hold_return FROM (WITH RECURSIVE {bars_sql.replace('bars AS (', 'every_bar AS (', 1)}, bars AS (SELECT * FROM every_bar QUALIFY count(*) OVER (PARTITION BY symbol) >= {n + 20}), {grid_sql(score, every, False)}, {CURVE}{LAST}{tail} SELECT * FROM res)"
+
+
+on_tables(
+    "ag20_screen", lambda spark, sf: rounded(S.archive_screen(all_timeframes(spark, sf), 10 * DAY, 2 * DAY, RATE)),
+    f"""WITH res AS ({screen_sql(EVENT_SQL, 40, 8)} UNION ALL {screen_sql(trade_sql('l_returnflag', '1d'), 10, 2)} UNION ALL {screen_sql(FIXTURES['brands'][1], 1, 1)})
+    SELECT timeframe, count(*) AS n, round(median(total_return), 6) AS median_total, round(median(hold_return), 6) AS median_hold, round(avg(CASE WHEN total_return > 0 THEN 1.0 ELSE 0.0 END), 6) AS profitable, round(avg(CASE WHEN total_return > hold_return THEN 1.0 ELSE 0.0 END), 6) AS beat_hold FROM res GROUP BY timeframe""",
+)
 on_bars(
-    "ag20_screen", "brands", lambda b: rounded(S.screened(results(b))),
+    "ag20_screened", "brands", lambda b: rounded(S.screened(results(b))),
     f"{RES} SELECT timeframe, count(*) AS n, round(median(total_return), 6) AS median_total, round(median(hold_return), 6) AS median_hold, round(avg(CASE WHEN total_return > 0 THEN 1.0 ELSE 0.0 END), 6) AS profitable, round(avg(CASE WHEN total_return > hold_return THEN 1.0 ELSE 0.0 END), 6) AS beat_hold FROM res GROUP BY timeframe",
 )
 on_bars(
@@ -341,12 +390,18 @@ on_bars(
     f"""n AS (SELECT symbol, timeframe, time, round(close, 6) AS close, {', '.join(f'round(close / lag(close, {n}) OVER w - 1, 6) AS change_{k}' for k, n in I.windows_of('1w').items())} FROM bars {W} QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY time DESC) = 1),
     s AS (SELECT symbol, round(median(CASE WHEN turnover > 0 THEN turnover END), 6) AS turnover, count(*) AS bars FROM bars GROUP BY symbol) SELECT n.*, s.turnover, s.bars FROM n JOIN s ON n.symbol = s.symbol""",
 )
+def halves(b):
+    """A finer series for some symbols, with ranges of its own."""
+    return b.where("length(symbol) = 5").withColumns({"timeframe": F.lit("1d"), "high": F.col("close") * 1.02, "low": F.col("close") / 1.01})
+
+
 on_bars(
-    "ag18_stats", "closes", lambda b: rounded(S.stats(b, "1w", 1_000_000_000, 50, 200)),
-    f"""tail AS (SELECT * FROM bars QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY time DESC) <= 200), {CS.replace('FROM bars', 'FROM tail')},
+    "ag18_stats", "closes", lambda b: rounded(S.stats(b.unionByName(halves(b)), "1w", 1_000_000_000, 50, 200, fine="1d")),
+    f"""fine AS (SELECT symbol, '1d' AS timeframe, time, close * 1.02 AS high, close / 1.01 AS low FROM bars WHERE length(symbol) = 5), both_ AS (SELECT symbol, timeframe, time, high, low FROM fine UNION ALL SELECT symbol, timeframe, time, high, low FROM bars WHERE length(symbol) <> 5),
+    tail AS (SELECT * FROM both_ QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY time DESC) <= 200), {CS.replace('FROM bars', 'FROM tail')},
     m AS (SELECT symbol, median(mv) AS median_move FROM (SELECT symbol, abs(close / lag(close) OVER w - 1) AS mv, row_number() OVER (PARTITION BY symbol ORDER BY time DESC) AS n FROM bars {W}) WHERE n <= 50 GROUP BY symbol),
     a AS (SELECT symbol, timeframe, count(*) AS bars, min(time) AS first_time, max(time) AS last_time FROM bars GROUP BY ALL)
-    SELECT a.symbol, a.timeframe, bars, first_time, last_time, round(bars / {WEEKS!r}, 6) AS years, round((1000000000 - last_time) / 86400, 6) AS stale_days, round(median_move, 6) AS median_move, round(spread, 6) AS spread FROM a JOIN m ON a.symbol = m.symbol LEFT JOIN spread s ON a.symbol = s.symbol""",
+    SELECT a.symbol, a.timeframe, bars, first_time, last_time, round(bars / {WEEKS!r}, 6) AS years, round((1000000000 - last_time) / 86400, 6) AS stale_days, round(median_move, 6) AS median_move, round(spread, 6) AS spread, CASE WHEN length(a.symbol) = 5 THEN '1d' ELSE '1w' END AS spread_source FROM a JOIN m ON a.symbol = m.symbol LEFT JOIN spread s ON a.symbol = s.symbol""",
 )
 on_bars(
     "xs16_rolling_choice", "types",

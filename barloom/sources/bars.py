@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.functions.timegrid import TIMEFRAMES, align, default_rule, period
+from barloom.sources.workspace import new_folder
 
 KEY = ("symbol", "timeframe")
 PRICES = ("open", "high", "low", "close", "volume")
@@ -125,13 +126,13 @@ def write_bars(bars: DataFrame, path: str, rules: dict[str, str] | None = None)
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("timeframe", "period").parquet(path)
 
 
-def merge_bars(existing: DataFrame, fresh: DataFrame, seq: str | None = None) -> DataFrame:
+def merge_bars(existing: DataFrame, fresh: DataFrame, seq: str) -> DataFrame:
     """existing and fresh as one, with `origin`: kept, added, refreshed or same. A fresh bar wins; of fresh repeats the first.
 
-    seq names the column of `fresh` that orders its rows.
+    seq names the column of `fresh` that orders its rows, so that a task that runs again chooses the same; rows of one seq go by their values.
     """
-    order = W.partitionBy(*KEY, "time").orderBy(seq or F.monotonically_increasing_id())
     values = [*PRICES, "turnover"]
+    order = W.partitionBy(*KEY, "time").orderBy(seq, *[v for v in values if v != seq])
     new = fresh.withColumn("__n", F.row_number().over(order)).where("__n = 1")
     new = new.select(*KEY, "time", F.struct(*values).alias("new"))
     old = existing.select(*KEY, "time", F.struct(*values).alias("old"))
@@ -159,6 +160,63 @@ def changed_periods(merged: DataFrame, rule: str) -> DataFrame:
     return rows.join(touched, ["timeframe", "period"], "left_semi")
 
 
+def ingest(spark: SparkSession, path: str, fresh: DataFrame, seq: str, dry_run: bool = False, rules: dict[str, str] | None = None) -> DataFrame:
+    """Merges fresh bars into the partitioned archive at `path` and reports on it: a row a series, and one of null symbol for the run.
+
+    fresh may have `ok`, as parse_raw_rows() gives it: rows that are none are rejected. Columns: fetched, rejected, invalid (kept though high, low, open and close
+    don't fit), added, refreshed, net, files_changed and files_unchanged (periods of a series that rows came for), first_time and last_time
+    as stored afterwards.
+
+    Only the periods that rows came for are read. The merge is written once to the shared folder, with its totals observed on the way; the periods that it
+    changed are then put in place of those stored, and none if there is nothing new. A dry run writes nothing, and reads the ends of
+    each series alone: what lies outside of them counts as added, nothing as refreshed.
+    """
+    ok = F.coalesce("ok", F.lit(False)) if "ok" in fresh.columns else F.lit(True)
+    rows = with_period(fresh.withColumn("__ok", ok), rules)
+    odd = (F.col("high") < F.greatest("open", "close", "low")) | (F.col("low") > F.least("open", "close", "high"))
+    flag = lambda c: F.sum(F.coalesce(c, F.lit(False)).cast("long"))
+    counts = rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("fetched"), flag(~F.col("__ok")).alias("rejected"), flag(F.col("__ok") & odd).alias("invalid"))
+    good = rows.where("__ok")
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    old = read_bars(spark, path) if there else spark.createDataFrame([], BARS)
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
+    totals = ("fetched", "rejected", "invalid", "added", "refreshed", "net", "files_changed", "files_unchanged")
+    if dry_run:
+        ends_ = old.groupBy(*KEY).agg(F.min("time").alias("lo"), F.max("time").alias("hi"))
+        new = good.select(*KEY, "time").distinct().join(ends_, list(KEY), "left")
+        outside = F.col("lo").isNull() | (F.col("time") < F.col("lo")) | (F.col("time") > F.col("hi"))
+        found = new.groupBy(*KEY).agg(flag(outside).alias("added"), F.min(F.coalesce("lo", "time")).alias("first_time"), F.max(F.coalesce("hi", "time")).alias("last_time"))
+        report = counts.join(found, list(KEY), "left").select(*KEY, *[zero(c) if c in ("fetched", "rejected", "invalid", "added") else F.lit(0).cast("long").alias(c) for c in totals if c != "net"], zero("added").alias("net"), "first_time", "last_time")
+    else:
+        # One row a period.
+        touched = {(r.timeframe, r.period) for r in good.select("timeframe", "period").distinct().collect()}
+        part = F.lit(False)
+        for timeframe in {t for t, _ in touched}:
+            part = part | (F.col("timeframe") == timeframe) & F.col("period").isin(*[p for t, p in touched if t == timeframe])
+        schema = T.StructType([*BARS.fields, T.StructField("period", T.StringType())])
+        stored = spark.read.schema(schema).parquet(path).where(part) if there else old
+        seen = Observation("merge")
+        merged = with_period(merge_bars(stored.select(*BARS.names), good, seq), rules)
+        merged = merged.observe(seen, flag(F.col("origin").isin("added", "refreshed")).alias("changed"))
+        scratch = new_folder(spark, "merge")
+        merged.write.parquet(scratch)
+        merged = spark.read.schema(merged.schema).parquet(scratch)
+        if seen.get["changed"]:
+            new = merged.where(F.col("origin").isin("added", "refreshed")).select("timeframe", "period").distinct()
+            write_bars(merged.join(F.broadcast(new), ["timeframe", "period"], "left_semi").select(*BARS.names), path, rules)
+        came = good.select(*KEY, "period").distinct().withColumn("came", F.lit(True))
+        each = merged.groupBy(*KEY, "period").agg(flag(F.col("origin") == "added").alias("added"), flag(F.col("origin") == "refreshed").alias("refreshed"))
+        each = each.join(came, [*KEY, "period"]).groupBy(*KEY).agg(
+            F.sum("added").alias("added"), F.sum("refreshed").alias("refreshed"), flag(F.col("added") + F.col("refreshed") > 0).alias("files_changed"), flag(F.col("added") + F.col("refreshed") == 0).alias("files_unchanged")
+        )
+        now = read_bars(spark, path).groupBy(*KEY).agg(F.min("time").alias("first_time"), F.max("time").alias("last_time"))
+        report = counts.join(each, list(KEY), "left").join(now, list(KEY), "left").select(*KEY, *[zero("added").alias(c) if c == "net" else zero(c) for c in totals], "first_time", "last_time")
+    whole = report.agg(*[F.sum(c).alias(c) for c in totals], F.min("first_time").alias("first_time"), F.max("last_time").alias("last_time"))
+    none = [F.lit(None).cast("string").alias(c) for c in KEY]
+    return report.unionByName(whole.select(*none, *totals, "first_time", "last_time"))
+
+
 def parse_raw_rows(raw: DataFrame, payload: str = "payload") -> DataFrame:
     """Bars of JSON arrays [time, open, close, high, low, volume, turnover?] in text or numbers, in `payload` with symbol and timeframe.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -17,3 +17,10 @@ def new_folder(spark: SparkSession, label: str) -> str:
         base = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base}/{label}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """df worked out once, as a Parquet table in that folder: for what several branches of a plan read. A lost executor repeats its tasks of the write only."""
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

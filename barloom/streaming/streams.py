@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 
 from barloom.functions.timegrid import seconds_of
 from barloom.operators.quality import gaps, misaligned, ohlc_invalid_tolerant
@@ -42,6 +42,57 @@ def once(ticks: DataFrame, keys: list[str], lateness: str) -> DataFrame:
     return ticks.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(keys)
 
 
+def corrected(ticks: DataFrame, keys: list[str], version: str, lateness: str, grain: str) -> DataFrame:
+    """Ticks of which the newest version of each key within the lateness counts, once its span of `grain` is over.
+
+    A correction may come as long as the span of its tick is open; what is older is dropped, and counted, see LateRows. In a stream of several
+    stateful steps Spark drops by the watermark of the batch before, so a row that is just too late may still pass. The result has `ts`
+    within the span as its event time, so bars of that grain can be made of it, by corrected_bars().
+    """
+    rows = ticks.withWatermark("ts", lateness).groupBy(*keys, F.window("ts", grain))
+    return rows.agg(F.max_by(F.struct(*[c for c in ticks.columns if c not in keys]), version).alias("__tick"))
+
+
+def corrected_bars(ticks: DataFrame, keys: list[str], version: str, timeframe: str, lateness: str, price: str = "price", order: tuple[str, ...] = ("ts",)) -> DataFrame:
+    """Bars of the newest versions: a corrected tick changes its bar as long as that is open. Two stateful steps in one stream, append mode.
+
+    The second step closes a window when the first can't add to it any more, which is a batch later.
+    """
+    size = f"{seconds_of(timeframe)} seconds"
+    newest = corrected(ticks, keys, version, lateness, size).select(*keys, "window", "__tick.*")
+    place = F.struct(*order)
+    bars = newest.groupBy("symbol", F.window(F.window_time("window"), size).alias("bar")).agg(
+        F.min_by(price, place).alias("open"), F.max(price).alias("high"), F.min(price).alias("low"), F.max_by(price, place).alias("close"),
+        F.count(F.lit(1)).cast("double").alias("volume"), F.sum(price).alias("turnover"),
+    )
+    return bars.select("symbol", F.lit(timeframe).alias("timeframe"), F.unix_timestamp("bar.start").alias("time"), *PRICES, "turnover")
+
+
+class LateRows(StreamingQueryListener):
+    """Counts the rows that streams dropped as too late, by query: add it to spark.streams before they start."""
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        key = str(event.progress.id)
+        self.dropped[key] = self.dropped.get(key, 0) + sum(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+
+def late_rows(query) -> int:
+    """Rows that a finished query dropped as too late, from the progress that Spark keeps of its last batches; longer streams take LateRows."""
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+
+
 def upsert(path: str, rules: dict[str, str] | None = None) -> Callable[[DataFrame, int], None]:
     """A foreachBatch sink: bars of a batch take the place of those stored. A batch that is replayed changes nothing.
 
@@ -55,7 +106,7 @@ def upsert(path: str, rules: dict[str, str] | None = None) -> Callable[[DataFram
         # One row a period of the batch.
         touched = {(r.timeframe, r.period) for r in bars.select("timeframe", "period").distinct().collect()}
         old = stored(spark, path, before=batch_id, periods=touched)
-        merged = with_period(merge_bars(old, bars).drop("origin"), rules)
+        merged = with_period(merge_bars(old, bars, seq="time").drop("origin"), rules)
         merged.write.mode("overwrite").partitionBy("timeframe", "period").parquet(f"{path}/batch={batch_id}")
 
     return write
@@ -188,6 +239,67 @@ def quality_monitor(path: str, timeframe: str) -> Callable[[DataFrame, int], Non
     return lambda batch, batch_id: sink(batch_quality(batch, timeframe), batch_id)
 
 
+class _Watch(StatefulProcessor):
+    """Carries, for each series, the last time seen; an event-time timer tells of a series that has fallen silent."""
+
+    def __init__(self, step: int, silence: int):
+        self.step, self.silence = step, silence
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("state", "time long, timer long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:  # noqa: N802
+        last, timer = self.state.get() if self.state.exists() else (None, None)
+        counts = dict.fromkeys(("rows", "invalid", "misaligned", "repeats", "gaps", "missing"), 0)
+        for bar in pd.concat(list(rows)).sort_values("time", kind="stable").itertuples():
+            counts["rows"] += 1
+            counts["invalid"] += int(bar.odd)
+            if bar.time % self.step:
+                counts["misaligned"] += 1
+                continue
+            if last is not None and bar.time <= last:
+                counts["repeats"] += 1
+                continue
+            if last is not None and bar.time > last + self.step:
+                counts["gaps"] += 1
+                counts["missing"] += (bar.time - last) // self.step - 1
+            last = int(bar.time)
+        if last is not None:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            timer = (last + self.silence) * 1000
+            self.handle.registerTimer(timer)
+            self.state.update((last, timer))
+        yield self._row(key, last, silent=0, **counts)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        last, _ = self.state.get()
+        self.state.update((last, None))
+        yield self._row(key, last, rows=0, invalid=0, misaligned=0, repeats=0, gaps=0, missing=0, silent=1)
+
+    def _row(self, key, last, **counts) -> pd.DataFrame:
+        names = ("rows", "invalid", "misaligned", "repeats", "gaps", "missing", "silent")
+        return pd.DataFrame([(*key, last, *(counts[c] for c in names))], columns=["symbol", "timeframe", "last_time", *names])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_quality(bars: DataFrame, timeframe: str, lateness: str, silence: int) -> DataFrame:
+    """A row for each series and batch: rows, invalid and misaligned ones, repeats (of no later time than one before), gaps and missing bars.
+
+    What a series has seen is kept from batch to batch, so a hole between two batches counts once, and so does a bar that comes again in
+    the next. A series of which `silence` seconds of event time bring nothing gets a row of its own, `silent` 1. Needs the RocksDB state store.
+    """
+    step = seconds_of(timeframe)
+    if step is None:
+        raise ValueError("a watch needs a fixed grid")
+    schema = "symbol string, timeframe string, last_time long, rows long, invalid long, misaligned long, repeats long, gaps long, missing long, silent long"
+    rows = bars.select(*KEY, "time", F.coalesce(ohlc_invalid_tolerant(), F.lit(True)).alias("odd"), F.timestamp_seconds("time").alias("ts")).withWatermark("ts", lateness)
+    return rows.groupBy(*KEY).transformWithStateInPandas(_Watch(step, silence), schema, "Append", "EventTime")
+
+
 def batch_quality(batch: DataFrame, timeframe: str) -> DataFrame:
     """(symbol, rows, invalid, misaligned, duplicates, gaps, missing) of one batch of bars; gaps are those between its own bars."""
     flag = lambda c: F.sum(c.cast("long"))

@@ -26,7 +26,7 @@ def test_every_oracle_names_a_query():
 SAMPLE = [
     "ag1_resample", "ag2_quality", "ag5_inventory", "sc8_merge", "sc10_csv", "sc11_json", "pf13_days", "wn7_volatility", "wn14_decisions", "sg5_breakout_hold", "sg6_rsi_rev_ls", "sg7_tsmom_ls",
     "sg9_voltarget_tsmom", "sg10_volfilter_tsmom", "sg11_stops_sma", "sg11_voltarget_stops", "eq1_curve_sma", "eq8_trades", "eq13_overlay", "ag8_performance", "xs8_targeted_book", "xs10_book_gated", "rp6_gated_book",
-    "wf1_splits", "wf5_stitched", "rg2_recorded", "rg9_nested", "st1_stream_bars", "st4_upsert", "st8_batch_quality", "entry",
+    "wf1_splits", "wf5_stitched", "rg2_recorded", "rg5_trade_tables", "rg9_nested", "se2_union", "ag25_ingest_report", "ag20_screen", "wn3_macd", "wn4_rsi", "st1_stream_bars", "st4_upsert", "st5_corrected", "st8_watch", "entry",
 ]
 
 
