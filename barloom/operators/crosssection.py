@@ -66,19 +66,22 @@ def ranked(readings: DataFrame, top: float, long_short: bool = False) -> DataFra
     return _sided(readings.where("momentum is not null and close is not null"), top, long_short).where("side is not null")
 
 
-def weighted_readings(readings: DataFrame, top: float, long_short: bool = False, ok: Column | None = None) -> DataFrame:
-    """All readings with `side` and `weight`, those of ranked() and weights() among the ones that are `ok`, null and 0 elsewhere."""
+def weighted_readings(readings: DataFrame, top: float, long_short: bool = False, ok: Column | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """All readings with `side` and `weight`, those of ranked() and weights() among the ones that are `ok`, null and 0 elsewhere.
+
+    `by` names the columns of a book's key: books that differ in what is ok are then rows of one plan.
+    """
     fit = F.col("momentum").isNotNull() & F.col("close").isNotNull()
     fit = fit if ok is None else fit & ok
-    rows = _sided(readings.withColumn("__fit", fit), top, long_short, "__fit")
+    rows = _sided(readings.withColumn("__fit", fit), top, long_short, "__fit", by)
     rows = rows.withColumn("side", F.when(F.col("__fit"), F.col("side"))).drop("__fit")
-    half = F.when(F.min("side").over(W.partitionBy("k")) < 0, 0.5).otherwise(1.0)
-    weight = F.col("side") * half / F.count("side").over(W.partitionBy("k", "side"))
+    half = F.when(F.min("side").over(W.partitionBy(*by, "k")) < 0, 0.5).otherwise(1.0)
+    weight = F.col("side") * half / F.count("side").over(W.partitionBy(*by, "k", "side"))
     return rows.withColumn("weight", F.when(F.col("side").isNotNull(), weight).otherwise(F.lit(0.0)))
 
 
-def _sided(rows: DataFrame, top: float, long_short: bool, fit: str | None = None) -> DataFrame:
-    every = W.partitionBy(*(["k", fit] if fit else ["k"]))
+def _sided(rows: DataFrame, top: float, long_short: bool, fit: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    every = W.partitionBy(*by, *(["k", fit] if fit else ["k"]))
     n = F.greatest(F.lit(1), F.bround(F.count(F.lit(1)).over(every) * top).cast("int")) if top < 1 else F.lit(int(top))
     best = F.row_number().over(every.orderBy(F.col("momentum").desc(), "symbol"))
     worst = F.row_number().over(every.orderBy("momentum", "symbol"))
@@ -101,30 +104,48 @@ def weights(chosen: DataFrame) -> DataFrame:
     return chosen.withColumn("weight", F.col("side") * half / F.count(F.lit(1)).over(each))
 
 
-def book(readings: DataFrame, held: DataFrame | None = None, rate: float = 0.001) -> DataFrame:
+def book(readings: DataFrame, held: DataFrame | None = None, rate: float = 0.001, by: tuple[str, ...] = ()) -> DataFrame:
     """(k, date, holdings, turnover, growth, delisted, equity): equity before each date's trades, by period.
 
-    Without `held`, readings have `weight` themselves, as weighted_readings() gives it: nothing is joined then.
+    Without `held`, readings have `weight` themselves, as weighted_readings() gives it: nothing is joined then. `by` names the columns of a book's
+    key, which come first; each book is one of its own.
 
     A holding earns from its close to the next date's, or to its last print where it has none there. Turnover is
     against what the weights before have drifted to; its cost is paid before the period earns.
     """
-    along = W.partitionBy("symbol").orderBy("k")
+    along = W.partitionBy(*by, "symbol").orderBy("k")
     ahead = readings.select(
-        "symbol", "k", "date", "close", F.lead("close").over(along).alias("next_close"), F.lead("print_close").over(along).alias("next_print"), *(["weight"] if held is None else [])
+        *by, "symbol", "k", "date", "close", F.lead("close").over(along).alias("next_close"), F.lead("print_close").over(along).alias("next_print"), *(["weight"] if held is None else [])
     )
-    rows = ahead if held is None else ahead.join(held.select("symbol", "k", "weight"), ["symbol", "k"], "left")
+    rows = ahead if held is None else ahead.join(held.select(*by, "symbol", "k", "weight"), [*by, "symbol", "k"], "left")
     rows = rows.withColumn("weight", F.coalesce("weight", F.lit(0.0)))
     ratio = F.when(F.col("weight") != 0, F.coalesce(F.coalesce("next_close", "next_print") / F.col("close"), F.lit(1.0))).otherwise(F.lit(1.0))
     rows = rows.withColumn("ratio", ratio)
-    growth = 1 + F.sum(F.col("weight") * (F.col("ratio") - 1)).over(W.partitionBy("k"))
+    growth = 1 + F.sum(F.col("weight") * (F.col("ratio") - 1)).over(W.partitionBy(*by, "k"))
     rows = rows.withColumn("growth", growth).withColumn("drifted", F.lag(F.col("weight") * F.col("ratio") / F.col("growth")).over(along))
     turn = F.abs(F.col("weight") - F.coalesce("drifted", F.lit(0.0)))
-    per = rows.groupBy("k").agg(
+    per = rows.groupBy(*by, "k").agg(
         F.max("date").alias("date"), F.sum((F.col("weight") != 0).cast("long")).alias("holdings"), F.sum(turn).alias("turnover"), F.max("growth").alias("growth"),
         F.sum(((F.col("weight") != 0) & F.col("next_close").isNull() & F.col("next_print").isNotNull()).cast("long")).alias("delisted"),
     )
-    return compounded(per, rate)
+    return compounded(per, rate, by)
+
+
+def gate_books(readings: DataFrame, limits: list[float | None], top: float, rate: float = 0.001) -> DataFrame:
+    """(option, k, date, ...): book() for each limit of how far below its peak a symbol may be, in order of the list; None is no gate.
+
+    The limits are a few constants: readings are repeated for each, and ranks, weights and books are keyed by them in one plan.
+    """
+    options = F.array(*[F.struct(F.lit(i).alias("option"), F.lit(x).cast("double").alias("limit")) for i, x in enumerate(limits)])
+    rows = readings.withColumn("__o", F.explode(options)).withColumns({"option": F.col("__o.option"), "__limit": F.col("__o.limit")}).drop("__o")
+    ok = F.col("__limit").isNull() | F.coalesce(F.col("below_peak") >= -F.col("__limit"), F.lit(False))
+    return book(weighted_readings(rows, top, ok=ok, by=("option",)), rate=rate, by=("option",))
+
+
+def yearly(books: DataFrame, rate: float = 0.001, by: tuple[str, ...] = ("option",)) -> DataFrame:
+    """(by, year, growth): what the periods that begin in a year made of a book, costs included."""
+    net = F.greatest(1 - F.col("turnover") * rate, F.lit(0.0)) * F.col("growth")
+    return books.groupBy(*by, F.year(F.timestamp_seconds("date")).alias("year")).agg(F.product(net).alias("growth"))
 
 
 def compounded(per: DataFrame, rate: float, keys: tuple[str, ...] = ()) -> DataFrame:

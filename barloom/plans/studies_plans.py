@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import scalars
 from barloom.functions.timegrid import DAY
+from barloom.operators import crosssection as X
 from barloom.operators import curve as C
 from barloom.operators import indicators as I
 from barloom.operators import joins as J
@@ -19,7 +20,7 @@ from barloom.operators import search as H
 from barloom.operators.performance import performance
 from barloom.operators.signals import signal
 from barloom.plans.base import FIXTURES, W, on_bars, on_tables, r6, rounded
-from barloom.plans.books_plans import ALIGNED, CS, LEGS, WEEK, calendar, sparse
+from barloom.plans.books_plans import ALIGNED, BOOK, CS, LEGS, PANEL, WEEK, calendar, picks, read, sparse
 from barloom.plans.rules_plans import CURVE, LAST, PERF, RULES, TRADES, WEEKS, grid_sql, plain_sql, sma_sql
 from barloom.sources import bars as B
 from barloom.sources.derived import EVENT_SQL, table, ticks, trade_bars, trade_sql
@@ -403,12 +404,20 @@ on_bars(
     a AS (SELECT symbol, timeframe, count(*) AS bars, min(time) AS first_time, max(time) AS last_time FROM bars GROUP BY ALL)
     SELECT a.symbol, a.timeframe, bars, first_time, last_time, round(bars / {WEEKS!r}, 6) AS years, round((1000000000 - last_time) / 86400, 6) AS stale_days, round(median_move, 6) AS median_move, round(spread, 6) AS spread, CASE WHEN length(a.symbol) = 5 THEN '1d' ELSE '1w' END AS spread_source FROM a JOIN m ON a.symbol = m.symbol LEFT JOIN spread s ON a.symbol = s.symbol""",
 )
+LIMITS = [0.3, 0.6, 0.9, None]
+
+
+def gated_years(option, limit):
+    """(option, k, date, f): the periods of a book whose symbols are at most `limit` below their peak, and what each made of it after costs."""
+    ok = "true" if limit is None else f"coalesce(below_peak >= -{limit}, false)"
+    return f"SELECT {option} AS option, k, date, f FROM (WITH RECURSIVE {FIXTURES['brands'][1]}, {PANEL}, gated AS (SELECT p.*, {ok} AS ok FROM panel p), {picks(5, False, 'ok AND momentum IS NOT NULL AND close IS NOT NULL', 'gated')}, {BOOK} SELECT k, date, f FROM fa)"
+
+
 on_bars(
-    "xs16_rolling_choice", "types",
-    lambda b: rounded(S.rolling_choice(b.withColumn("year", F.year(F.timestamp_seconds("time"))).groupBy("symbol", "year").agg((F.max_by("close", "time") / F.min_by("close", "time")).alias("growth")).withColumn("option", F.dense_rank().over(Win.orderBy("symbol")))).select("year", "option", "total")),
-    """g AS (SELECT symbol, CAST(year(to_timestamp(time)) AS INT) AS year, arg_max(close, time) / arg_min(close, time) AS growth FROM bars GROUP BY 1, 2), o AS (SELECT *, CAST(dense_rank() OVER (ORDER BY symbol) AS INT) AS option FROM g),
+    "xs16_rolling_choice", "brands", lambda b: rounded(S.rolling_choice(X.yearly(X.gate_books(read(b), LIMITS, 5, RATE), RATE))),
+    f"""x AS ({' UNION ALL '.join(gated_years(i, x) for i, x in enumerate(LIMITS))}), o AS (SELECT option, CAST(year(to_timestamp(date)) AS INT) AS year, product(f) AS growth FROM x GROUP BY 1, 2),
     p AS (SELECT *, product(growth) OVER x AS pr, count(*) OVER x AS n FROM o WINDOW x AS (PARTITION BY option ORDER BY year ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING)),
-    b AS (SELECT year, option, growth, row_number() OVER (PARTITION BY year ORDER BY round(pr, 12) DESC, option) AS k FROM p WHERE n = 2) SELECT year, option, round(growth - 1, 6) AS total FROM b WHERE k = 1""",
+    b AS (SELECT year, option, growth, row_number() OVER (PARTITION BY year ORDER BY round(pr, 12) DESC, option) AS k FROM p WHERE n = 2) SELECT year, CAST(option AS INT) AS option, round(growth - 1, 6) AS total FROM b WHERE k = 1""",
 )
 on_bars(
     "ma_scalars", "types",
