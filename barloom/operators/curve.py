@@ -91,7 +91,7 @@ def book_check(trade_rows: DataFrame, totals: DataFrame, keys=KEY, tol: float =
     return totals.join(held, list(keys), "left").select(*keys, error.alias("error"), (F.coalesce(error, F.lit(0.0)) <= tol).alias("ok"))
 
 
-def buy_and_hold(bars: DataFrame, rate: float = 0.001, keys=KEY) -> DataFrame:
+def buy_and_hold(bars: DataFrame, rate: Column | float = 0.001, keys=KEY) -> DataFrame:
     """bars with `hold`: 1 at first, then the close over the second bar's open."""
     order = W.partitionBy(*keys).orderBy("time")
     second = F.nth_value("open", 2).over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))

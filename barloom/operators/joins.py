@@ -51,11 +51,12 @@ def window_bars(bars: DataFrame, dates: DataFrame, gate: int) -> DataFrame:
     return rows.where((F.col("time") <= F.col("date")) & (F.col("time") > F.col("date") - gate)).drop("__bin")
 
 
-def shared_times(bars: DataFrame) -> DataFrame:
-    """The times at which every symbol has a bar."""
-    n = bars.select(F.countDistinct("symbol").alias("n"))
-    times = bars.groupBy("time").agg(F.countDistinct("symbol").alias("have"))
-    return times.join(F.broadcast(n), times["have"] == n["n"]).select("time")
+def shared_times(bars: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, time): the times at which every symbol, of those of the same `by` if it is given, has a bar."""
+    n = bars.groupBy(*by).agg(F.countDistinct("symbol").alias("n"))
+    times = bars.groupBy(*by, "time").agg(F.countDistinct("symbol").alias("have"))
+    every = times.join(n, list(by)).where("have = n") if by else times.join(F.broadcast(n), times["have"] == n["n"])
+    return every.select(*by, "time")
 
 
 def diff(old: DataFrame, new: DataFrame, keys: list[str], value: str) -> DataFrame:

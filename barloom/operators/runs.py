@@ -14,18 +14,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.functions.scalars import iso
-from barloom.functions.timegrid import bars_per_year
+from barloom.functions.timegrid import TIMEFRAMES, bars_per_year
 from barloom.operators import basket as K
 from barloom.operators.curve import buy_and_hold, equity_curve, summary, trades
 from barloom.operators.performance import performance, trade_stats
 from barloom.operators.quality import quality
 from barloom.operators.reports import trade_table
-from barloom.operators.signals import SIGNALS, signal
+from barloom.operators.signals import SIGNALS, signal, targets
 from barloom.sources.bars import KEY
 from barloom.sources.workspace import kept
 
-#: Parameter sets and baskets that one verification builds plans for.
-MOST_PLANS = 400
+#: Sets of parameters of one rule whose targets a verification works out side by side, as columns.
+SETS_ASIDE = 16
 _WINDOW = T.StructType(
     [T.StructField("symbol", T.StringType()), T.StructField("timeframe", T.StringType())]
     + [T.StructField(n, T.LongType()) for n in ("bars", "first", "last")]
@@ -66,11 +66,16 @@ def quick_fingerprints(bars: DataFrame) -> DataFrame:
     return bars.groupBy(*KEY).agg(F.count(F.lit(1)).alias("bars"), F.sum(row.cast("decimal(28,0)")).alias("mark"))
 
 
-def _figures(curve: DataFrame, per_year: float, value: str, prefix: str) -> DataFrame:
-    """(series, figures): the comparable numbers of one curve, by name."""
+def _figures(curve: DataFrame, per_year: Column | float, value: str, prefix: str, keys=KEY) -> DataFrame:
+    """(keys, figures): the comparable numbers of each curve, by name."""
     names = {"total_return": "total_return", "cagr": "cagr", "ann_vol": "ann_vol", "sharpe": "sharpe", "max_dd": "max_drawdown", "years": "years", "final_equity": "final_equity"}
     pairs = [x for name, column in names.items() for x in (F.lit(f"{prefix}.{name}"), F.col(column).cast("double"))]
-    return performance(curve, per_year, value).select(*KEY, F.create_map(*pairs).alias(prefix))
+    return performance(curve, per_year, value, keys).select(*keys, F.create_map(*pairs).alias(prefix))
+
+
+def _yearly() -> Column:
+    """Bars a year of each row's own timeframe."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for t in TIMEFRAMES for x in (t, bars_per_year(t))]), F.col("timeframe"))
 
 
 def run_curve(bars: DataFrame, strategy: str, params: dict, rate: float) -> DataFrame:
@@ -79,14 +84,13 @@ def run_curve(bars: DataFrame, strategy: str, params: dict, rate: float) -> Data
 
 def run_metrics(bars: DataFrame, strategy: str, params: dict, rate: float, timeframe: str) -> DataFrame:
     """(series, metrics) of one strategy on every series: figures of the curve and of holding, costs, exposure and trades as one flat map without nulls."""
-    return _metrics_of(run_curve(bars, strategy, params, rate), rate, timeframe)
+    return _metrics_of(run_curve(bars, strategy, params, rate), bars_per_year(timeframe))
 
 
-def _metrics_of(curve: DataFrame, rate: float, timeframe: str) -> DataFrame:
-    per_year = bars_per_year(timeframe)
+def _metrics_of(curve: DataFrame, per_year: Column | float) -> DataFrame:
     own, hold = _figures(curve, per_year, "equity", "strategy"), _figures(curve, per_year, "hold_net", "buy_hold")
     closed = trade_stats(trades(curve)).select(*KEY, F.create_map(F.lit("trades.n_closed"), F.col("n_closed").cast("double"), F.lit("trades.win_rate"), F.col("win_rate"), F.lit("trades.mean_return"), F.col("mean_return")).alias("trades"))
-    money = summary(curve, rate).select(*KEY, F.create_map(*[x for c in ("final_equity", "gross_equity", "fees_paid", "exposure") for x in (F.lit(c), F.col(c))]).alias("money"))
+    money = summary(curve).select(*KEY, F.create_map(*[x for c in ("final_equity", "gross_equity", "fees_paid", "exposure") for x in (F.lit(c), F.col(c))]).alias("money"))
     rows = own.join(hold, list(KEY)).join(money, list(KEY)).join(closed, list(KEY), "left")
     every = F.map_concat("strategy", "buy_hold", "money", F.coalesce("trades", F.create_map(F.lit("trades.n_closed"), F.lit(0.0))))
     return rows.select(*KEY, F.map_filter(every, lambda _, v: v.isNotNull()).alias("metrics"))
@@ -94,17 +98,23 @@ def _metrics_of(curve: DataFrame, rate: float, timeframe: str) -> DataFrame:
 
 def basket_metrics(bars: DataFrame, strategy: str, params: dict, rate: float, timeframe: str) -> DataFrame:
     """(field, value) of an equal basket of all series: return.*, benchmark.*, fees_paid and legs.<symbol>.* on the times that all share."""
-    per_year, times = bars_per_year(timeframe), K.timeline(bars)
-    legs = kept(K.legs(run_curve(bars, strategy, params, rate), times), "legs")
-    whole = legs.groupBy("time").agg((1 + F.avg(F.col("leg") - 1)).alias("basket"), F.avg("hold_net").alias("hold"))
-    whole = whole.withColumn("symbol", F.lit("")).withColumn("timeframe", F.lit(timeframe))
-    fields = lambda df, column: df.select(F.explode(column).alias("field", "value"))
-    sums = [fields(_figures(whole, per_year, "basket", "return"), "return"), fields(_figures(whole, per_year, "hold", "benchmark"), "benchmark")]
-    sums.append(legs.agg(F.sum("fee").alias("value")).select(F.lit("fees_paid").alias("field"), "value"))
-    parts = _figures(legs, per_year, "leg", "leg").select("symbol", F.col("leg")["leg.sharpe"].alias("sharpe"))
-    parts = parts.join(K.contributions(legs), "symbol").join(legs.groupBy("symbol").agg(F.sum("fee").alias("fees")), "symbol")
+    return _basket_of(run_curve(bars, strategy, params, rate), K.timeline(bars), bars_per_year(timeframe))
+
+
+def _basket_of(curve: DataFrame, times: DataFrame, per_year: Column | float, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, field, value) of each basket, told apart by the columns `by`, all in one plan."""
+    legs = kept(K.legs(curve, times, by), "legs")
+    keys = (*by, *KEY)
+    whole = legs.groupBy(*by, "time").agg((1 + F.avg(F.col("leg") - 1)).alias("basket"), F.avg("hold_net").alias("hold"), F.max("timeframe").alias("timeframe"))
+    whole = whole.withColumn("symbol", F.lit(""))
+    fields = lambda df, column: df.select(*by, F.explode(column).alias("field", "value"))
+    sums = [fields(_figures(whole, per_year, "basket", "return", keys), "return"), fields(_figures(whole, per_year, "hold", "benchmark", keys), "benchmark")]
+    sums.append(legs.groupBy(*by).agg(F.sum("fee").alias("value")).select(*by, F.lit("fees_paid").alias("field"), "value"))
+    leg = [*by, "symbol"]
+    parts = _figures(legs, per_year, "leg", "leg", keys).select(*leg, F.col("leg")["leg.sharpe"].alias("sharpe"))
+    parts = parts.join(K.contributions(legs, by), leg).join(legs.groupBy(*leg).agg(F.sum("fee").alias("fees")), leg)
     named = F.create_map(*[x for n, c in (("total_return", "total"), ("sharpe", "sharpe"), ("exposure", "exposure"), ("fees", "fees"), ("contribution", "contribution")) for x in (F.lit(n), F.col(c))])
-    sums.append(parts.select("symbol", F.explode(named).alias("name", "value")).select(F.concat_ws(".", F.lit("legs"), "symbol", "name").alias("field"), "value"))
+    sums.append(parts.select(*leg, F.explode(named).alias("name", "value")).select(*by, F.concat_ws(".", F.lit("legs"), "symbol", "name").alias("field"), "value"))
     return reduce(DataFrame.unionByName, sums).where("value is not null")
 
 
@@ -206,6 +216,26 @@ def rebuilt(strategy: str, params: dict) -> dict | None:
         return None
 
 
+def run_targets(bars: DataFrame, sets: list[tuple[str, dict]]) -> DataFrame:
+    """bars with `target` and `exit_price` by the rule of their own `__set`, an index into sets of (strategy, parameters).
+
+    The sets of a rule are columns of one branch over the series that ask for them, SETS_ASIDE at a time, and each series takes its own. So the plan
+    grows with rules, and beyond SETS_ASIDE with their sets, never with series. bars are read by each branch and should be stored.
+    """
+    rules: dict[str, list[int]] = {}
+    for i, (strategy, _) in enumerate(sets):
+        rules.setdefault(strategy, []).append(i)
+    parts = []
+    for strategy, every in rules.items():
+        for at in range(0, len(every), SETS_ASIDE):
+            some = every[at : at + SETS_ASIDE]
+            rows = targets(bars.where(F.col("__set").isin(some)), strategy, [sets[i][1] for i in some])
+            own = {c: F.coalesce(*[F.when(F.col("__set") == i, F.col(f"__{c}{j}")) for j, i in enumerate(some)]) for c in ("target", "exit") if f"__{c}0" in rows.columns}
+            parts.append(rows.select(*bars.columns, own["target"].alias("target"), own.get("exit", F.lit(None).cast("double")).alias("exit_price")))
+    none = bars.where("false").select("*", F.lit(None).cast("double").alias("target"), F.lit(None).cast("double").alias("exit_price"))
+    return reduce(DataFrame.unionByName, parts) if parts else none
+
+
 def verify_runs(runs: DataFrame, bars: DataFrame, verified_at: str, tol: float = 1e-9, tables: DataFrame | None = None) -> DataFrame:
     """(run_id, verified_at, status, bars, digest_recorded, digest_actual, mismatches, trades_checked) of every record, worked out anew from the bars of its own window.
 
@@ -213,58 +243,50 @@ def verify_runs(runs: DataFrame, bars: DataFrame, verified_at: str, tol: float =
     held against it line by line, and a line that was changed, or a table that is missing, is a mismatch like a figure that differs.
 
     error: the bars aren't there any more; unknown-strategy: it can't be rebuilt; mismatch: a figure differs; data-changed: the figures
-    are the same, the bars aren't; else verified. Runs of the same strategy, parameters and costs are one plan over all their series; the
-    driver holds one line for each such set and for each basket, MOST_PLANS at most.
+    are the same, the bars aren't; else verified. All runs and baskets are one plan: their windows are stored once, their rules give targets
+    (run_targets()), costs and bars a year are columns, and one chain makes all curves, which are stored too. The driver holds a line for each distinct set of a strategy and its parameters.
     """
     spark = runs.sparkSession
     runs = runs.select([f.name for f in RUNS.fields if f.name in runs.columns])
     single = runs.where("kind <> 'basket'").select("run_id", F.array("data").alias("seen")) if "data" in runs.columns else None
     legs = runs.where("kind = 'basket'").select("run_id", F.map_values("legs").alias("seen")) if "legs" in runs.columns else None
     seen = reduce(DataFrame.unionByName, [x for x in (single, legs) if x is not None]).select("run_id", F.explode("seen").alias("w")).select("run_id", "w.symbol", "w.timeframe", "w.first", "w.last", F.col("w.digest").alias("recorded"))
+    keyed = runs.select("run_id", "kind", "strategy", F.coalesce(F.to_json("params"), F.lit("{}")).alias("given"), (F.col("costs.fee_per_side") + F.col("costs.slippage_per_side")).alias("__rate"))
+    sets, numbers = [], []
+    for x in keyed.select("strategy", "given").distinct().collect():
+        params = rebuilt(x.strategy, json.loads(x.given))
+        numbers.append((x.strategy, x.given, None if params is None else len(sets)))
+        if params is not None:
+            sets.append((x.strategy, params))
+    known = spark.createDataFrame(numbers, "__strategy string, __given string, __set int")
+    keyed = keyed.join(known, F.col("strategy").eqNullSafe(F.col("__strategy")) & (F.col("given") == F.col("__given")))
     sliced = run_window(bars, seen.select("run_id", *KEY, "first", "last")).drop("first", "last")
     # Each run's window of a series is a series of its own; a zero byte is in no symbol.
-    own = sliced.withColumn("symbol", F.concat("run_id", F.lit("\0"), "symbol")).drop("run_id")
-    marks = fingerprints(own).select(F.split("symbol", "\0")[0].alias("run_id"), F.split("symbol", "\0")[1].alias("symbol"), "bars", "digest")
+    owner, leg = F.split("symbol", "\0")[0], F.split("symbol", "\0")[1]
+    own = sliced.join(keyed.select("run_id", "kind", "__set", "__rate"), "run_id").withColumn("symbol", F.concat("run_id", F.lit("\0"), "symbol"))
+    own = kept(own.drop("run_id"), "windows")
+    marks = fingerprints(own.drop("kind", "__set", "__rate")).select(owner.alias("run_id"), leg.alias("symbol"), "bars", "digest")
     joined = lambda c: F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "symbol", c))), "|")
     data = seen.join(marks, ["run_id", "symbol"], "left").groupBy("run_id").agg(
         F.sum("bars").alias("bars"), F.bool_and(F.col("digest").isNotNull()).alias("there"), F.bool_and(F.col("digest") == F.col("recorded")).alias("same"),
         joined("recorded").alias("digest_recorded"), joined("digest").alias("digest_actual"),
     )
-    keyed = runs.select("run_id", "kind", "strategy", F.to_json("params").alias("given"), F.to_json("costs").alias("costs"), *(["data.timeframe"] if single is not None else []))
-    sets = keyed.groupBy("kind", "strategy", "given", "costs", F.when(F.col("kind") == "basket", F.col("run_id")).alias("basket"), *(["timeframe"] if single is not None else [])).count().limit(MOST_PLANS + 1).collect()
-    if len(sets) > MOST_PLANS:
-        raise ValueError(f"more than {MOST_PLANS} sets of parameters; verify the registry in parts")
-    parts, unknown, done = [], [], []
-    given_tables = tables is not None and "trades_file" in runs.columns
-    for x in sets:
-        params, costs = rebuilt(x.strategy, json.loads(x.given or "{}")), json.loads(x.costs)
-        rate = costs["fee_per_side"] + costs["slippage_per_side"]
-        if params is None:
-            unknown.append(keyed.where(_same(x)).select("run_id"))
-        elif x.kind == "basket":
-            mine = sliced.where(F.col("run_id") == x.basket)
-            frame = spark.createDataFrame([(x.basket,)], "run_id string")
-            timeframe = seen.where(F.col("run_id") == x.basket).first().timeframe
-            parts.append(frame.crossJoin(basket_metrics(mine.drop("run_id"), x.strategy, params, rate, timeframe)))
-        else:
-            mine = own.join(keyed.where(_same(x)).select(F.col("run_id").alias("__run")), F.split("symbol", "\0")[0] == F.col("__run"), "left_semi")
-            curve = run_curve(mine, x.strategy, params, rate)
-            got = _metrics_of(curve, rate, x.timeframe)
-            if given_tables:
-                found = _numbered(trades(curve)).withColumn("run_id", F.split("symbol", "\0")[0])
-                sides, moments = F.when(F.col("side") > 0, "long").otherwise("short"), {f"{c}_utc": iso(F.col(c)) for c in ("entry_time", "exit_time")}
-                done.append(found.withColumns({"side": sides, "open_at_end": F.when(F.col("open_at_end"), "yes").otherwise(""), **moments}).select("run_id", "n", *_TEXTS, *_PRICES, *_RETURNS))
-            parts.append(got.select(F.split("symbol", "\0")[0].alias("run_id"), F.explode("metrics").alias("field", "value")))
-    none = spark.createDataFrame([], "run_id string, field string, value double")
-    actual = reduce(DataFrame.unionByName, parts, none)
-    odd = reduce(DataFrame.unionByName, unknown, none.select("run_id")).withColumn("unknown", F.lit(True))
+    curves = run_targets(own.where("__set is not null"), sets)
+    curves = kept(equity_curve(buy_and_hold(curves, F.col("__rate")), F.col("__rate")), "curves").withColumn("run_id", owner)
+    alone, together = curves.where("kind <> 'basket'"), curves.where("kind = 'basket'").withColumn("symbol", leg)
+    actual = _metrics_of(alone, _yearly()).select(owner.alias("run_id"), F.explode("metrics").alias("field", "value"))
+    if legs is not None:
+        actual = actual.unionByName(_basket_of(together, K.timeline(together, ("run_id",)), _yearly(), ("run_id",)))
+    odd = keyed.where("__set is null").select("run_id", F.lit(True).alias("unknown"))
     wrong = compared(flattened(runs), actual, tol).select("run_id", "field", *[F.col(c).cast("string").alias(c) for c in ("recorded", "actual")])
     checked = F.lit(False)
-    if given_tables:
+    if tables is not None and "trades_file" in runs.columns:
         # only runs that could be worked out: those of bars that are gone or of an unknown strategy are errors of their own
-        known = runs.where("kind <> 'basket'").join(odd, "run_id", "left_anti").join(data.where("there").select("run_id"), "run_id", "left_semi")
-        empty = runs.select("run_id", F.lit(0).alias("n"), *[F.lit(None).cast("double" if c in (*_PRICES, *_RETURNS) else "string").alias(c) for c in (*_TEXTS, *_PRICES, *_RETURNS)]).where("false")
-        wrong = wrong.unionByName(trade_tables_compared(known, tables, reduce(DataFrame.unionByName, done, empty)))
+        able = runs.where("kind <> 'basket'").join(odd, "run_id", "left_anti").join(data.where("there").select("run_id"), "run_id", "left_semi")
+        found = _numbered(trades(alone)).withColumn("run_id", owner)
+        sides, moments = F.when(F.col("side") > 0, "long").otherwise("short"), {f"{c}_utc": iso(F.col(c)) for c in ("entry_time", "exit_time")}
+        found = found.withColumns({"side": sides, "open_at_end": F.when(F.col("open_at_end"), "yes").otherwise(""), **moments}).select("run_id", "n", *_TEXTS, *_PRICES, *_RETURNS)
+        wrong = wrong.unionByName(trade_tables_compared(able, tables, found))
         rows_with = runs.where("trades_file is not null and kind <> 'basket'").select("run_id", F.lit(True).alias("named"))
         data, checked = data.join(rows_with, "run_id", "left"), F.coalesce("named", F.lit(False))
     wrong = wrong.groupBy("run_id").agg(F.sort_array(F.collect_list(F.struct("field", "recorded", "actual"))).alias("mismatches"))
@@ -276,14 +298,6 @@ def verify_runs(runs: DataFrame, bars: DataFrame, verified_at: str, tol: float =
     return rows.select("run_id", F.lit(verified_at).alias("verified_at"), status.alias("status"), F.coalesce("bars", F.lit(0)).alias("bars"), "digest_recorded", "digest_actual", F.when(status == "mismatch", F.col("mismatches")).alias("mismatches"), (checked & status.isin("verified", "mismatch", "data-changed")).alias("trades_checked"))
 
 
-def _same(x) -> Column:
-    """The records of one set of strategy, parameters and costs."""
-    same = F.col("strategy").eqNullSafe(x.strategy) & F.col("given").eqNullSafe(x.given) & F.col("costs").eqNullSafe(x.costs) & F.col("kind").eqNullSafe(x.kind)
-    if x.basket is not None:
-        return same & (F.col("run_id") == x.basket)
-    return same & F.col("timeframe").eqNullSafe(x.timeframe) if "timeframe" in x else same
-
-
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """Runs of JSON lines; a line that is none has its text in `_bad`."""
     return spark.read.schema(RUNS).option("columnNameOfCorruptRecord", "_bad").json(path)
