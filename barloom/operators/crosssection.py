@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from barloom.functions.timegrid import DAY, YEAR_DAYS
 from barloom.operators import indicators as I
 from barloom.operators.joins import asof, window_bars
 from barloom.sources.bars import KEY, in_order
@@ -40,13 +41,17 @@ def panel(bars: DataFrame, dates: DataFrame, lookback: int, max_age: int, trend_
 
 
 def window_gates(bars: DataFrame, dates: DataFrame, gate: int) -> DataFrame:
-    """(symbol, k, turnover, volatility) of the bars in (date - gate, date]: the upper middle turnover, and the deviation of log returns."""
-    rows = window_bars(bars.select(*KEY, "time", "close", "turnover"), dates, gate)
-    rows = rows.withColumn("__r", F.ln(F.col("close") / F.lag("close").over(W.partitionBy("symbol", "k").orderBy("time"))))
-    out = rows.groupBy("symbol", "k").agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("turnover")).alias("t"), F.stddev_pop("__r").alias("sd"))
-    return out.select(
-        "symbol", "k", F.when(F.col("n") >= 3, F.element_at("t", F.floor(F.col("n") / 2).cast("int") + 1)).alias("turnover"), F.when(F.col("n") > 2, F.col("sd")).alias("volatility")
-    )
+    """(symbol, k, turnover, volatility) of the bars in (date - gate, date], null under three: the upper middle turnover, one that is missing counting 0, and the
+    deviation of the log returns inside of the window, three at least, a year's worth by the series' own spacing.
+    """
+    rows = window_bars(I.step_of(bars).select(*KEY, "time", "close", "turnover", "step"), dates, gate)
+    close, before = F.col("close"), F.lag("close").over(W.partitionBy("symbol", "k").orderBy("time"))
+    rows = rows.withColumn("__r", F.when((before > 0) & (close > 0), F.ln(close / F.when(before > 0, before))))
+    # counted downwards the middle of an even number is the upper one
+    middle = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY coalesce(turnover, 0.0D) DESC)")
+    out = rows.groupBy("symbol", "k").agg(F.count(F.lit(1)).alias("n"), middle.alias("t"), F.count("__r").alias("moves"), F.stddev_pop("__r").alias("sd"), F.max("step").alias("step"))
+    yearly = F.sqrt(F.coalesce(F.lit(float(YEAR_DAYS * DAY)) / F.nullif("step", F.lit(0)), F.lit(float(YEAR_DAYS))))
+    return out.select("symbol", "k", F.when(F.col("n") >= 3, F.col("t")).alias("turnover"), F.when(F.col("moves") > 2, F.col("sd") * yearly).alias("volatility"))
 
 
 def gate_ok(trend: float | None = None, below_peak: float | None = None, turnover: float | None = None, volatility: float | None = None) -> Column:

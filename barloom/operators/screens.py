@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom.functions.timegrid import DAY, TIMEFRAMES, bars_per_year
 from barloom.operators.costs import spreads
 from barloom.operators.curve import buy_and_hold, equity_curve, summary
-from barloom.operators.indicators import change, changes, decisions, held, step_of
-from barloom.sources.bars import KEY, ends
+from barloom.operators.indicators import change, changes, decisions, held, step_of, windows_of
+from barloom.sources.bars import BARS, KEY, ends, stored_periods
+from barloom.sources.workspace import kept
 
 
 def screened(results: DataFrame, by: str = "timeframe") -> DataFrame:
@@ -57,6 +59,37 @@ def index(bars: DataFrame, timeframe: str) -> DataFrame:
     return changes(bars, timeframe).join(sums, list(KEY))
 
 
+def stored_index(spark: SparkSession, path: str, timeframe: str, reach: int = 1) -> DataFrame:
+    """index() of an archive of write_bars(), from the newest period of each series alone: for archives with much more history than a row a series needs.
+
+    Where that period has too few bars for the longest span of change, the `reach` periods before it are read too; a change beyond them is null.
+    turnover is the median of the newest period, bars are those that were looked at; closes that aren't positive are left out. Of the older periods, symbols are
+    read alone, to find the series that have ended: these are read in the periods around their own last one. No period is named to the scan that isn't needed.
+    """
+    periods = stored_periods(spark, path, timeframe)
+    bars = spark.read.schema(T.StructType([*BARS.fields, T.StructField("period", T.StringType())])).parquet(path).where(F.col("timeframe") == timeframe)
+    bars = bars.select(*KEY, "time", "close", "turnover", "period")
+    if not periods:
+        return index(bars.drop("period"), timeframe)
+    newest, before = periods[-1], periods[:-1]
+    place = F.array_position(F.array(*[F.lit(p) for p in periods]), F.col("period"))
+    rows = bars.where(F.col("period").isin(periods[-1 - reach :])).withColumn("last", F.max("period").over(W.partitionBy(*KEY))).where(F.col("last") == newest)
+    if before:
+        live = bars.where(F.col("period") == newest).select(*KEY).distinct()
+        gone = kept(bars.where(F.col("period").isin(before)).select(*KEY, "period").distinct().join(live, list(KEY), "left_anti").groupBy(*KEY).agg(F.max("period").alias("last")), "ended")
+        # a line a period
+        ends_ = [periods.index(r["last"]) for r in gone.select("last").distinct().collect()]
+        wanted = sorted({periods[i] for at in ends_ for i in range(max(0, at - reach), at + 1)})
+        at = F.array_position(F.array(*[F.lit(p) for p in periods]), F.col("last"))
+        if wanted:
+            rows = rows.unionByName(bars.where(F.col("period").isin(wanted)).join(gone, list(KEY)).where(place.between(at - reach, at)))
+    own = F.col("period") == F.col("last")
+    needed = max(windows_of(timeframe).values()) + 1
+    rows = rows.withColumn("__n", F.sum(own.cast("long")).over(W.partitionBy(*KEY))).where((own | (F.col("__n") < needed)) & (F.col("close") > 0))
+    sums = rows.groupBy(*KEY).agg(F.median(F.when(own & (F.col("turnover") > 0), F.col("turnover"))).alias("turnover"), F.count(F.lit(1)).alias("bars"))
+    return changes(rows, timeframe).join(sums, list(KEY))
+
+
 def calendar_momentum(bars: DataFrame, lookback: int, rebalance: int, least: int = 20) -> DataFrame:
     """bars with the `target` of a momentum rule whose lookback and rebalance are seconds, in bars of each series' own timeframe, one at least.
 

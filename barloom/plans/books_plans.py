@@ -83,8 +83,9 @@ on_bars(
     "jn4_window_bars", "brands", lambda b: J.window_bars(b, X.rebalance_dates(b, CALENDAR, EVERY), GATE).groupBy("symbol", "k").agg(F.count(F.lit(1)).alias("n"), F.min("time").alias("first_time")),
     f"{DATES} SELECT symbol, k, count(*) AS n, min(time) AS first_time FROM bars JOIN dates ON time > date - {GATE} AND time <= date GROUP BY ALL",
 )
-GATES = f"""gb AS (SELECT symbol, k, turnover, ln(close / lag(close) OVER (PARTITION BY symbol, k ORDER BY time)) AS r FROM bars JOIN dates ON time > date - {GATE} AND time <= date),
-gates AS (SELECT symbol, k, CASE WHEN count(*) >= 3 THEN list_sort(list(turnover))[count(*) // 2 + 1] END AS turnover, CASE WHEN count(*) > 2 THEN stddev_pop(r) END AS volatility FROM gb GROUP BY symbol, k)"""
+GATES = f"""gs AS (SELECT symbol, CAST(floor(median(gap)) AS BIGINT) AS step FROM (SELECT symbol, time - lag(time) OVER (PARTITION BY symbol ORDER BY time) AS gap FROM bars) GROUP BY symbol),
+gb AS (SELECT symbol, k, turnover, ln(close / lag(close) OVER (PARTITION BY symbol, k ORDER BY time)) AS r FROM bars JOIN dates ON time > date - {GATE} AND time <= date),
+gates AS (SELECT gb.symbol, k, CASE WHEN count(*) >= 3 THEN list_sort(list(turnover))[count(*) // 2 + 1] END AS turnover, CASE WHEN count(r) > 2 THEN stddev_pop(r) * sqrt(31536000.0 / max(step)) END AS volatility FROM gb JOIN gs ON gb.symbol = gs.symbol GROUP BY gb.symbol, k)"""
 on_bars(
     "xs3_gates", "brands", lambda b: rounded(X.window_gates(b, X.rebalance_dates(b, CALENDAR, EVERY), GATE)),
     f"{DATES}, {GATES} SELECT symbol, k, round(turnover, 6) AS turnover, round(volatility, 6) AS volatility FROM gates",

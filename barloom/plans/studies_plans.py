@@ -391,6 +391,24 @@ on_bars(
     f"""n AS (SELECT symbol, timeframe, time, round(close, 6) AS close, {', '.join(f'round(close / lag(close, {n}) OVER w - 1, 6) AS change_{k}' for k, n in I.windows_of('1w').items())} FROM bars {W} QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY time DESC) = 1),
     s AS (SELECT symbol, round(median(CASE WHEN turnover > 0 THEN turnover END), 6) AS turnover, count(*) AS bars FROM bars GROUP BY symbol) SELECT n.*, s.turnover, s.bars FROM n JOIN s ON n.symbol = s.symbol""",
 )
+
+
+def newest_periods(b):
+    """The index of an archive in files of years, in which a series has ended years before the others."""
+    path = new_folder(b.sparkSession, "archive")
+    B.write_bars(b.where(f"symbol <> 'PROMO' or time < {PROMO_END}"), path, {"1w": "year"})
+    return rounded(S.stored_index(b.sparkSession, path, "1w"))
+
+
+PROMO_END = 788_918_400
+on_bars(
+    "ag17_newest_periods", "types", newest_periods,
+    f"""y AS (SELECT *, CAST(date_part('year', make_timestamp(time * 1000000)) AS BIGINT) AS y FROM bars WHERE symbol <> 'PROMO' OR time < {PROMO_END}), l AS (SELECT *, max(y) OVER (PARTITION BY symbol) AS last FROM y), c AS (SELECT *, sum(CASE WHEN y = last THEN 1 ELSE 0 END) OVER (PARTITION BY symbol) AS own FROM l),
+    seen AS (SELECT * FROM c WHERE y = last OR (y = last - 1 AND own < 53)), n AS (SELECT symbol, timeframe, time, round(close, 6) AS close, {', '.join(f'round(close / lag(close, {n}) OVER w - 1, 6) AS change_{k}' for k, n in I.windows_of('1w').items())} FROM seen {W} QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY time DESC) = 1),
+    s AS (SELECT symbol, round(median(CASE WHEN y = last AND turnover > 0 THEN turnover END), 6) AS turnover, count(*) AS bars FROM seen GROUP BY symbol) SELECT n.*, s.turnover, s.bars FROM n JOIN s ON n.symbol = s.symbol""",
+)
+
+
 def halves(b):
     """A finer series for some symbols, with ranges of its own."""
     return b.where("length(symbol) = 5").withColumns({"timeframe": F.lit("1d"), "high": F.col("close") * 1.02, "low": F.col("close") / 1.01})
@@ -508,7 +526,7 @@ def batches(spark, stream, sink, label, mode="append"):
 
 
 on_tables(
-    "st7_live_index", lambda spark, sf: rounded(ST.latest(spark, batches(spark, ST.live_index(tick_stream(spark, sf)), ST.numbered_sink, "index", "update"), ["symbol"])),
+    "st7_live_index", lambda spark, sf: rounded(ST.latest(spark, batches(spark, ST.live_index(tick_stream(spark, sf)), lambda out: ST.index_sink(out, ["symbol"]), "index", "update"))),
     f"WITH {EVENT_SQL} SELECT symbol, round(arg_max(price, ts), 6) AS last, round(arg_max(price, ts) / arg_min(price, ts) - 1, 6) AS change, round(sum(price), 6) AS turnover FROM ticks GROUP BY symbol",
 )
 

@@ -50,6 +50,13 @@ def _is_partitioned(spark: SparkSession, path: str) -> bool:
     return any("=" in f.getPath().getName() for f in found)
 
 
+def stored_periods(spark: SparkSession, path: str, timeframe: str) -> list[str]:
+    """The periods that an archive of write_bars() has of a timeframe, in order, from the names of its folders."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/timeframe={timeframe}/period=*")
+    found = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(place)
+    return sorted(f.getPath().getName().split("=", 1)[1] for f in found or [])
+
+
 def _plain(spark: SparkSession, path: str, symbols=None, timeframes=None) -> DataFrame:
     """Bars of <symbol>/<timeframe>/... with `file`, what the file's path is below the folder; folders of other series aren't listed."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path

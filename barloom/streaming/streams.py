@@ -93,11 +93,12 @@ def late_rows(query) -> int:
     return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
 
 
-def upsert(path: str, rules: dict[str, str] | None = None) -> Callable[[DataFrame, int], None]:
+def upsert(path: str, rules: dict[str, str] | None = None, keep: int = 8) -> Callable[[DataFrame, int], None]:
     """A foreachBatch sink: bars of a batch take the place of those stored. A batch that is replayed changes nothing.
 
     A batch reads and writes the periods that its bars are in, and no others: its folder holds them whole, under timeframe and period,
     and readers take each period from the newest batch that has it. A folder counts once its write is done, so nobody sees half of one.
+    What a later batch has replaced is deleted `keep` batches after that, so reads that began by then are served; what is listed stays near what is stored.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -108,28 +109,55 @@ def upsert(path: str, rules: dict[str, str] | None = None) -> Callable[[DataFram
         old = stored(spark, path, before=batch_id, periods=touched)
         merged = with_period(merge_bars(old, bars, seq="time").drop("origin"), rules)
         merged.write.mode("overwrite").partitionBy("timeframe", "period").parquet(f"{path}/batch={batch_id}")
+        _drop_replaced(spark, path, batch_id - keep)
 
     return write
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and a function that makes its paths."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return place(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def _batches(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(number, folder) of the batches whose write is done, in order."""
+    fs, place = _files(spark, path)
+    folders = [done.getPath().getParent() for done in fs.globStatus(place(f"{path}/batch=*/_SUCCESS")) or []]
+    return sorted((int(f.getName().split("=")[1]), str(f)) for f in folders)
+
+
+def _periods(spark: SparkSession, path: str) -> list[tuple[int, str, tuple[str, str], str]]:
+    """(batch, its folder, (timeframe, period), the period's folder) of all that is stored, in order of batches."""
+    fs, place = _files(spark, path)
+    out = []
+    for number, folder in _batches(spark, path):
+        for part in fs.globStatus(place(f"{folder}/timeframe=*/period=*")) or []:
+            at = part.getPath()
+            out.append((number, folder, (at.getParent().getName().split("=")[1], at.getName().split("=")[1]), str(at)))
+    return out
+
+
+def _drop_replaced(spark: SparkSession, path: str, upto: int) -> None:
+    """Deletes the periods that a later batch, of number `upto` at most, has too, and batches that have none left."""
+    fs, place = _files(spark, path)
+    parts = [x for x in _periods(spark, path) if x[0] <= upto]
+    newest = {key: number for number, _, key, _ in parts}
+    for number, _, key, at in parts:
+        if number < newest[key]:
+            fs.delete(place(at), True)
+    full = set(newest.values())
+    for number, folder in _batches(spark, path):
+        if number <= upto and number not in full:
+            fs.delete(place(folder), True)
+
+
 def stored(spark: SparkSession, path: str, before: int | None = None, periods: set[tuple[str, str]] | None = None) -> DataFrame:
     """The bars below `path`, each period from the newest batch that has it, or from those before one; only some periods if they are named. Empty if there are none."""
-    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = fs_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    newest: dict[tuple[str, str], tuple[int, str]] = {}
-    for done in fs.globStatus(fs_path(f"{path}/batch=*/_SUCCESS")) or []:
-        folder = done.getPath().getParent()
-        number = int(folder.getName().split("=")[1])
-        if before is not None and number >= before:
-            continue
-        for part in fs.globStatus(fs_path(f"{folder}/timeframe=*/period=*")) or []:
-            place = part.getPath()
-            key = (place.getParent().getName().split("=")[1], place.getName().split("=")[1])
-            if periods is None or key in periods:
-                newest[key] = max(newest.get(key, (-1, "")), (number, str(place)))
+    newest = {key: at for number, _, key, at in _periods(spark, path) if (before is None or number < before) and (periods is None or key in periods)}
     if not newest:
         return spark.createDataFrame([], BARS)
-    return spark.read.schema(BARS).option("basePath", path).parquet(*[p for _, p in newest.values()]).select(*BARS.names)
+    return spark.read.schema(BARS).option("basePath", path).parquet(*newest.values()).select(*BARS.names)
 
 
 class _Trend(StatefulProcessor):
@@ -227,10 +255,32 @@ def numbered_sink(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Of what a numbered_sink() of an update stream holds, each key's row of its last batch."""
-    rows = spark.read.parquet(path)
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in rows.columns if c not in keys]), "batch").alias("x")).select(*keys, "x.*").drop("batch")
+def index_sink(path: str, keys: list[str], keep: int = 8) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch sink of an update stream: each batch's folder holds the whole table as of then, a row a key, its own rows in place of those before.
+
+    A batch reads the folder before its own alone, and the folders of more than `keep` batches ago are deleted; a replayed batch replaces its own.
+    For tables that grow with keys, not with time.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        earlier = [folder for number, folder in _batches(spark, path) if number < batch_id]
+        rows = batch
+        if earlier:
+            old = spark.read.schema(batch.schema).parquet(earlier[-1])
+            rows = batch.unionByName(old.join(batch.select(*keys), keys, "left_anti"))
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        fs, place = _files(spark, path)
+        for number, folder in _batches(spark, path):
+            if number < batch_id - keep:
+                fs.delete(place(folder), True)
+
+    return write
+
+
+def latest(spark: SparkSession, path: str) -> DataFrame:
+    """The table of an index_sink() as of its newest batch."""
+    return spark.read.parquet(_batches(spark, path)[-1][1])
 
 
 def quality_monitor(path: str, timeframe: str) -> Callable[[DataFrame, int], None]:
