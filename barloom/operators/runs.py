@@ -143,6 +143,28 @@ def record_runs(
     )
 
 
+def record_sets(bars: DataFrame, sets: list[tuple[str, dict]], timeframe: str, recorded_at: str, fee: float = 0.001, slippage: float = 0.0, note: str = "") -> DataFrame:
+    """record_runs() of each series with each of the sets of (strategy, parameters), all in one plan; runs of one name are numbered in order of the sets, see named().
+
+    The bars of a series are stored once for each set, as its curves are.
+    """
+    stamp, rate = "".join(c for c in recorded_at if c.isdigit()), float(fee + slippage)
+    every = F.explode(F.sequence(F.lit(0), F.lit(len(sets) - 1))).alias("__set")
+    number, own = F.split("symbol", "\0")[0].cast("int"), F.split("symbol", "\0")[1]
+    rows = kept(bars.select("*", every).withColumn("symbol", F.concat(F.col("__set").cast("string"), F.lit("\0"), "symbol")), "windows")
+    curves = kept(equity_curve(buy_and_hold(run_targets(rows, sets), rate), rate), "curves")
+    metrics = _metrics_of(curves, _yearly()).select(number.alias("__set"), own.alias("symbol"), "timeframe", "metrics")
+    given = [_given(params, fee, slippage) for _, params in sets]
+    of = lambda values: F.array(*values)[F.col("__set")]
+    rows = windows_of(bars, timeframe).join(metrics, list(KEY)).withColumns({"strategy": of([F.lit(s) for s, _ in sets]), "params": of([p for p, _ in given])})
+    rows = rows.withColumn("label", F.concat_ws("-", "strategy", "symbol", "timeframe"))
+    rows = named(rows.withColumn("__name", F.concat_ws("-", F.lit(stamp), "label")), "__name", ["__set"])
+    return rows.select(
+        "run_id", F.lit(recorded_at).alias("recorded_at"), "label", "strategy", F.lit("backtest").alias("kind"), F.lit(note).alias("note"), "params", given[0][1], "metrics", "data",
+        F.lit(1).alias("journal_format"),
+    )
+
+
 def recorded_trades(runs: DataFrame, bars: DataFrame, strategy: str, params: dict, rate: float) -> DataFrame:
     """The table of trades of each of the runs (all of one strategy): (trades_file, n, ...) with the lines of reports.trade_table(), n from 0 in order of time."""
     found = _numbered(trades(run_curve(bars, strategy, params, rate)))

@@ -292,6 +292,25 @@ on_bars(
     SELECT '20260102030405-sma-' || symbol || '-1w' AS run_id, status, CASE WHEN status = 'error' THEN 0 ELSE bars END AS bars, status IN ('verified', 'unknown-strategy') AS same_bars, status = 'mismatch' AS differs FROM s
     UNION ALL SELECT '20260102030405-basket-1w-2legs', 'verified', CAST(sum(bars) AS BIGINT), true, false FROM n WHERE symbol IN ('ECONOMY', 'PROMO')""",
 )
+SETS = [("sma", {"window": n}) for n in range(5, 25)] + [
+    ("macd", {"fast": 4, "slow": 9}), ("stops-sma", {"window": 20, "stop_loss": 0.1}), ("rsi-rev", {"window": 3}), ("tsmom", {"lookback": 8, "rebalance": 4}), ("breakout", {"entry": 6, "exit_window": 3, "min_hold": 2}),
+]
+
+
+def sets_checked(b):
+    """Records of many sets of parameters of several rules, of which two of a rule have another total than they gave, checked against the same bars."""
+    runs = stored_runs(b.sparkSession, G.record_sets(b, SETS, "1w", MOMENTS[0], **COSTS))
+    wrong = F.col("run_id").like("%-5") | F.col("run_id").like("%-10")
+    totals = F.transform_values("metrics", lambda k, v: F.when((k == "strategy.total_return") & wrong, v + 0.001).otherwise(v))
+    found = G.verify_runs(runs.withColumn("metrics", totals), b, "2026-03-04T05:06:07Z")
+    return found.select("run_id", "status", "bars", F.coalesce(F.array_join(F.col("mismatches.field"), ","), F.lit("")).alias("fields"))
+
+
+on_bars(
+    "rg3_many_sets", "types", sets_checked,
+    f"""n AS (SELECT symbol, count(*) AS bars FROM bars GROUP BY symbol), r AS (SELECT unnest({[s for s, _ in SETS]}) AS rule, unnest({[sum(1 for x, _ in SETS[: i + 1] if x == s) for i, (s, _) in enumerate(SETS)]}) AS n)
+    SELECT '20260102030405-' || rule || '-' || symbol || '-1w' || CASE WHEN r.n > 1 THEN '-' || CAST(r.n AS VARCHAR) ELSE '' END AS run_id, CASE WHEN r.n IN (5, 10) THEN 'mismatch' ELSE 'verified' END AS status, bars, CASE WHEN r.n IN (5, 10) THEN 'strategy.total_return' ELSE '' END AS fields FROM n, r""",
+)
 on_bars(
     "jn15_run_windows", "types", lambda b: G.run_window(b, b.groupBy(*B.KEY).agg((F.min("time") + 50 * WEEK).alias("first"), (F.max("time") - 50 * WEEK).alias("last")).withColumn("run_id", F.col("symbol"))).groupBy("run_id").agg(F.count(F.lit(1)).alias("n")),
     f"SELECT symbol AS run_id, count(*) AS n FROM (SELECT *, min(time) OVER (PARTITION BY symbol) + {50 * WEEK} AS a, max(time) OVER (PARTITION BY symbol) - {50 * WEEK} AS z FROM bars) WHERE time BETWEEN a AND z GROUP BY symbol",

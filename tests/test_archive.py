@@ -4,6 +4,7 @@ import hashlib
 import json
 import math
 import random
+import re
 import struct
 
 import pytest
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from barloom.functions import timegrid
 from barloom.operators import curve as C
 from barloom.operators import quality as Q
-from barloom.operators import reports, runs
+from barloom.operators import reports, runs, screens
 from barloom.operators import selection as S
 from barloom.operators.search import candidates, expand_grid
 from barloom.operators.signals import signal
@@ -120,6 +121,54 @@ def test_runs_are_recorded_and_found_again(spark, tmp_path):
     assert sorted((r.line, r.text) for r in runs.bad_lines(spark, path).collect()) == [(3, "{broken"), (4, '{"label": "no id"}')]
 
 
+def test_many_sets_and_baskets_are_verified_in_one_plan(spark, tmp_path):
+    bars = walk(spark, "A", 150, 5).unionByName(walk(spark, "B", 150, 6))
+    sets = [("sma", {"window": n}) for n in range(3, 23)] + [("macd", {"fast": 4, "slow": 9}), ("stops-sma", {"window": 9, "stop_loss": 0.03}), ("breakout", {"entry": 6, "exit_window": 3, "min_hold": 2})]
+    alone = {r.run_id: r.metrics for r in runs.record_runs(bars, "stops-sma", {"window": 9, "stop_loss": 0.03}, "1d", "2026-01-01T00:00:00Z").collect()}
+    recorded = runs.record_sets(bars, sets, "1d", "2026-01-01T00:00:00Z")
+    got = {r.run_id: r for r in recorded.collect()}
+    assert len(got) == 46 and got["20260101000000-sma-A-1d"].params == {"window": "3"} and got["20260101000000-sma-B-1d-20"].params == {"window": "22"}
+    for name, metrics in alone.items():
+        assert got[name].metrics == pytest.approx(metrics)
+    path, at = f"{tmp_path}/runs", "2026-02-01T00:00:00Z"
+    runs.append_runs(recorded, path)
+    for label, name, some, fee in (("2026-01-02T00:00:00Z", "tsmom", bars, 0.002), ("2026-01-03T00:00:00Z", "sma", bars.where("time < 100 * 86400"), 0.001)):
+        runs.append_runs(runs.record_basket(some, name, {}, "1d", label, fee), path)
+    stored = runs.read_runs(spark, path)
+    # one figure of one run and one of one basket; all others are verified
+    changed = {"20260101000000-sma-B-1d-7": "fees_paid", "20260103000000-basket-1d-2legs": "legs.A.exposure"}
+    off = F.transform_values("metrics", lambda k, v: F.when(F.element_at(F.create_map(*[F.lit(x) for p in changed.items() for x in p]), F.col("run_id")) == k, v + 0.01).otherwise(v))
+    off = stored.withColumn("metrics", F.when(F.col("run_id").isin(*changed), off).otherwise(F.col("metrics")))
+    found = runs.verify_runs(off, bars, at).collect()
+    assert len(found) == 48 and {r.run_id: [m.field for m in r.mismatches] for r in found if r.status != "verified"} == {k: [v] for k, v in changed.items()}
+    # sets of one rule are columns of one branch
+    rows = runs.kept(bars.withColumn("__set", F.when(F.col("symbol") == "A", 0).otherwise(1)), "windows")
+    plan = lambda n: runs.run_targets(rows, sets[:n])._jdf.queryExecution().executedPlan().toString()
+    assert plan(2).count("Exchange ") == plan(16).count("Exchange ") and plan(16).count("Scan ") == 1 and plan(20).count("Scan ") == 2
+    none = runs.verify_runs(stored.where("false"), bars, at)
+    assert none.count() == 0
+
+
+def test_the_index_of_newest_periods_reads_no_others(spark, tmp_path):
+    bars = walk(spark, "LIVE", 1200, 1).unionByName(walk(spark, "ENDED", 500, 2)).unionByName(walk(spark, "NEW", 40, 3, 1110 * DAY))
+    path = f"{tmp_path}/bars"
+    B.write_bars(bars, path)
+    got = {r.symbol: r for r in screens.stored_index(spark, path, "1d").collect()}
+    whole = {r.symbol: r for r in screens.index(bars, "1d").collect()}
+    assert set(got) == set(whole)
+    for name, row in got.items():
+        for c in ("time", "close", "change_1", "change_24h", "change_7d", "change_30d", "change_1y"):
+            assert getattr(row, c) == (pytest.approx(getattr(whole[name], c)) if getattr(whole[name], c) is not None else None)
+    # of LIVE the newest year and, for the change over a year, the one before; ENDED's last year is the second
+    ends = {r.symbol: r.n for r in bars.where(F.year(F.timestamp_seconds("time")) >= 1972).groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got["LIVE"].bars == ends["LIVE"] and got["NEW"].bars == 40 and got["ENDED"].bars == 500
+    plan = screens.stored_index(spark, path, "1d")._jdf.queryExecution().executedPlan().toString()
+    # one scan of the newest two years, one of the two around ENDED's last; nothing is read without naming its periods
+    read = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+    assert {tuple(re.findall(r"\b19\d\d\b", f)) for f in read if f} == {("1972", "1973"), ("1970", "1971")}
+    assert screens.stored_index(spark, path, "1h").count() == 0
+
+
 def test_all_candidates_come_from_one_pass(spark):
     bars = walk(spark, "A", 150, 7).unionByName(walk(spark, "B", 90, 8))
     for name, grid in (("sma", expand_grid({"window": [5, 20], "rebalance": [1, 3]})), ("macd", expand_grid({"fast": [4, 6], "slow": [13]})), ("stops-sma", expand_grid({"window": [10], "stop_loss": [0.02, 0.05]}))):

@@ -1,5 +1,6 @@
 """Books against loops that walk from date to date."""
 
+import math
 import random
 import statistics
 
@@ -49,6 +50,32 @@ def test_book_matches_a_loop(spark):
             drifted = {s: new[s] * ratio[s] / growth for s in symbols}
 
 
+def test_gates_of_a_window_match_a_loop(spark):
+    from barloom.operators.crosssection import window_gates
+
+    day, rng, rows = 86_400, random.Random(4), []
+    for symbol, n in (("A", 60), ("B", 60), ("C", 4), ("D", 3)):
+        for i in range(n):
+            if symbol == "B" and i % 5 == 2:
+                continue
+            close = 0.0 if symbol == "B" and i == 33 else 50 * math.exp(rng.gauss(0, 0.1))
+            rows.append((symbol, "1d", i * day, close, close, close, close, 1.0, None if rng.random() < 0.2 else float(rng.randint(1, 9))))
+    dates = [(k, t * day + rng.choice((0, 5))) for k, t in enumerate((0, 1, 2, 3, 12, 35, 59))]
+    gate = 9 * day
+    got = {(r.symbol, r.k): (r.turnover, r.volatility) for r in window_gates(spark.createDataFrame(rows, BARS), spark.createDataFrame(dates, "k long, date long"), gate).collect()}
+    want = {}
+    for symbol in "ABCD":
+        for k, date in dates:
+            seen = [r for r in rows if r[0] == symbol and date - gate < r[2] <= date]
+            turns = sorted(r[8] or 0.0 for r in seen)
+            moves = [math.log(b[6] / a[6]) for a, b in zip(seen, seen[1:]) if a[6] > 0 and b[6] > 0]
+            if seen:
+                want[symbol, k] = (turns[len(turns) // 2] if len(seen) >= 3 else None, statistics.pstdev(moves) * 365**0.5 if len(moves) > 2 else None)
+    assert got.keys() == want.keys()
+    for key, (turnover, volatility) in want.items():
+        assert got[key][0] == turnover and (got[key][1] is None if volatility is None else got[key][1] == pytest.approx(volatility)), key
+
+
 def test_gates_that_miss_a_reading_fail(spark):
     rows = spark.createDataFrame([(0.1, -0.1), (None, -0.1), (0.1, -0.9), (-0.1, -0.1)], "trend double, below_peak double")
     assert [r.ok for r in rows.withColumn("ok", crosssection.gate_ok(trend=0.0, below_peak=0.5)).collect()] == [True, False, False, False]

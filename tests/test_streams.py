@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from barloom.operators.folds import ema_of
 from barloom.sources.bars import BARS
-from barloom.streaming.streams import stored, stream_bars, upsert
+from barloom.streaming.streams import index_sink, latest, stored, stream_bars, upsert
 
 TICK = "symbol string, ts timestamp, event_id long, price double"
 
@@ -46,6 +46,30 @@ def test_an_upsert_writes_the_periods_that_it_touches_and_no_others(spark, tmp_p
     assert stored(spark, f"{tmp_path}/bars").count() == 4 and stored(spark, f"{tmp_path}/none").count() == 0
 
 
+def test_what_was_replaced_is_deleted_after_a_while(spark, tmp_path):
+    year = 366 * 86_400
+    row = lambda t, c, s="A": (s, "1d", t, c, c, c, c, 1.0, c)
+    sink = upsert(f"{tmp_path}/bars", keep=2)
+    for n in range(6):
+        sink(spark.createDataFrame([row(0, float(n))] + ([row(year, 7.0)] if n == 1 else []), BARS), n)
+    left = sorted(p.relative_to(tmp_path / "bars").as_posix() for p in (tmp_path / "bars").glob("batch=*/timeframe=*/period=*"))
+    # the first year of batch 3 was replaced by 4, which is later than two batches ago; the second year has no other copy
+    assert left == ["batch=1/timeframe=1d/period=1971"] + [f"batch={n}/timeframe=1d/period=1970" for n in (3, 4, 5)]
+    assert sorted(p.name for p in (tmp_path / "bars").iterdir()) == ["batch=1", "batch=3", "batch=4", "batch=5"]
+    for _ in range(2):
+        assert sorted((r.time, r.close) for r in stored(spark, f"{tmp_path}/bars").collect()) == [(0, 5.0), (year, 7.0)]
+        sink(spark.createDataFrame([row(0, 5.0)], BARS), 5)
+
+
+def test_an_index_table_holds_each_keys_newest_row(spark, tmp_path):
+    sink = index_sink(f"{tmp_path}/index", ["symbol"], keep=1)
+    some = lambda *rows: spark.createDataFrame(rows, "symbol string, last double")
+    for n, rows in enumerate(([("A", 1.0), ("B", 1.0)], [("B", 2.0)], [("C", 3.0)], [("A", 4.0)], [("A", 4.0)])):
+        sink(some(*rows), min(n, 3))
+    assert sorted(map(tuple, latest(spark, f"{tmp_path}/index").collect())) == [("A", 4.0), ("B", 2.0), ("C", 3.0)]
+    assert sorted(p.name for p in (tmp_path / "index").iterdir()) == ["batch=2", "batch=3"]
+
+
 def test_reversion_state_matches_the_rule(spark):
     import random
 
